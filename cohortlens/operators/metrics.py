@@ -119,13 +119,23 @@ def metrics_row(
     y_pred: str = "y_pred",
     digits: int = 4,
     where: Column | None = None,
-) -> DataFrame:
-    """Reduced, rounded, prefixed metrics (no tn): accuracy..f1, fp, fn, tp, n."""
-    agg = df.agg(*confusion_aggs(y_true, y_pred, where=where, prefix=prefix))
-    return agg.select(
-        *metric_columns(prefix, digits),
-        *[f"{prefix}{c}" for c in ["fp", "fn", "tp", "n"]],
-    )
+) -> list:
+    """Reduced, rounded, prefixed metrics (no tn): accuracy..f1, fp, fn, tp, n.
+
+    Returns (aggregate expressions, select expressions) so several prefixed
+    rows can share one aggregate pass.
+    """
+    aggs = confusion_aggs(y_true, y_pred, where=where, prefix=prefix)
+    sel = [*metric_columns(prefix, digits), *[F.col(f"{prefix}{c}") for c in ["fp", "fn", "tp", "n"]]]
+    return [aggs, sel]
+
+
+def metrics_rows(df: DataFrame, specs: list, by: list[str] | None = None) -> DataFrame:
+    """One aggregate for several ``metrics_row`` specs side by side."""
+    by = by or []
+    aggs = [a for s in specs for a in s[0]]
+    sels = [c for s in specs for c in s[1]]
+    return df.groupBy(*by).agg(*aggs).select(*by, *sels)
 
 
 def class_balance(df: DataFrame, target: str, by: list[str] | None = None) -> DataFrame:

@@ -79,7 +79,7 @@ def q_strategy_row_prefixed(spark, sf_dir):
     df = labelled(spark, sf_dir)
     g = M.metrics_row(df, "global_")
     c = M.metrics_row(df, "cohort_", where=F.col(P.FOCUS_COLUMN) == P.FOCUS_VALUE)
-    return g.crossJoin(c).select(F.lit("rule").alias("strategy"), "*")
+    return M.metrics_rows(df, [g, c]).select(F.lit("rule").alias("strategy"), "*")
 
 
 def q_class_balance(spark, sf_dir):
@@ -100,3 +100,153 @@ QUERIES = {
     "strategy_row_prefixed": q_strategy_row_prefixed,
     "class_balance": q_class_balance,
 }
+
+
+# ---------------------------------------------------------------- profile
+from cohortlens.operators import prepare as PR  # noqa: E402
+from cohortlens.operators import profile as PF  # noqa: E402
+from cohortlens.operators import split as SP  # noqa: E402
+
+TARGETS = ["row_id", "y_true", "y_pred", "y_learn"]
+NUMERIC_FEATURES = ["total_price", "acctbal", "part_a", "part_b", "month"]
+CATEGORICAL_FEATURES = ["segment", "line_flag"]
+K_FOLDS = 5
+SEED = 42
+
+
+def q_drop_redundant(spark, sf_dir):
+    return PF.drop_redundant(q_load_labelled(spark, sf_dir), P.REDUNDANT_COLUMNS)
+
+
+def q_feature_groups(spark, sf_dir):
+    df = q_load_labelled(spark, sf_dir)
+    return PF.feature_groups_table(df, exclude=TARGETS)
+
+
+def q_redundancy_checks(spark, sf_dir):
+    return PF.redundancy_checks(
+        labelled(spark, sf_dir),
+        sums={"part_total": ["part_a", "part_b"]},
+        zeros=["zero"],
+        pairs=[("week", "month")],
+    )
+
+
+def q_high_correlations(spark, sf_dir):
+    return PF.high_correlations(q_load_labelled(spark, sf_dir), exclude=TARGETS)
+
+
+# ---------------------------------------------------------------- split
+def q_stratified_rank(spark, sf_dir):
+    df = labelled(spark, sf_dir).select("row_id", "y_true")
+    return SP.hashed_rank(df, ["y_true"], SEED)
+
+
+def q_stratified_split(spark, sf_dir):
+    df = labelled(spark, sf_dir).select("row_id", "y_true")
+    return SP.stratified_split(df, "y_true", 0.2, SEED)
+
+
+def folds_table(spark, sf_dir, k=K_FOLDS):
+    df = labelled(spark, sf_dir)
+    return SP.add_folds(df, "y_learn", k, SEED)
+
+
+def q_stratified_folds(spark, sf_dir):
+    return folds_table(spark, sf_dir).select("row_id", "y_learn", "fold")
+
+
+def q_fold_membership(spark, sf_dir):
+    long = SP.fold_membership(folds_table(spark, sf_dir).select("row_id", "y_learn", "fold"), K_FOLDS)
+    return long.groupBy("eval_fold", "split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("y_learn") == 1).alias("n_pos")
+    )
+
+
+def q_learning_subsets(spark, sf_dir):
+    long = SP.fold_membership(folds_table(spark, sf_dir).select("row_id", "y_learn", "fold"), K_FOLDS)
+    train = long.where(F.col("split") == "train")
+    sub = SP.learning_subsets(train, ["eval_fold"], seed=SEED)
+    return sub.groupBy("eval_fold", F.col("fraction").cast("double").alias("fraction"), "subset_n").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("y_learn") == 1).alias("n_pos")
+    )
+
+
+# ---------------------------------------------------------------- prepare
+def _round_doubles(df, digits=6):
+    return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in df.schema.fields])
+
+
+def q_fit_stats(spark, sf_dir):
+    df = labelled(spark, sf_dir)
+    stats = PR.fit_statistics(df, NUMERIC_FEATURES, CATEGORICAL_FEATURES)
+    return _round_doubles(PR.fit_stats_table(spark, stats))
+
+
+def q_impute_median(spark, sf_dir):
+    df = labelled(spark, sf_dir)
+    cols = ["part_a", "part_b", "part_total"]
+    med = {c: PR.exact_median(df, c) for c in cols}
+    return df.select("row_id", *[F.coalesce(F.col(c), F.lit(med[c])).alias(c) for c in cols])
+
+
+def q_impute_mode(spark, sf_dir):
+    df = labelled(spark, sf_dir)
+    st = PR.fit_statistics(df, [], ["line_flag"])
+    return df.select("row_id", F.coalesce("line_flag", F.lit(st["categorical"]["line_flag"]["mode"])).alias("line_flag"))
+
+
+def q_standard_scale(spark, sf_dir):
+    df = labelled(spark, sf_dir)
+    model = PR.TablePreprocessor(numericCols=["total_price", "acctbal", "month", "zero"], keepCols=["row_id"]).fit(df)
+    return _round_doubles(model.transform(df).drop("features"))
+
+
+def q_one_hot(spark, sf_dir):
+    df = labelled(spark, sf_dir)
+    model = PR.TablePreprocessor(categoricalCols=["segment"], keepCols=["row_id"]).fit(df)
+    return model.transform(df).drop("features")
+
+
+def split_tables(spark, sf_dir):
+    df = labelled(spark, sf_dir)
+    return SP.train_test(df, "y_learn", 0.2, SEED)
+
+
+def fitted_preprocessor(train):
+    return PR.TablePreprocessor(
+        numericCols=NUMERIC_FEATURES, categoricalCols=CATEGORICAL_FEATURES, keepCols=["row_id", "y_learn"]
+    ).fit(train)
+
+
+def q_transform_test(spark, sf_dir):
+    train, test = split_tables(spark, sf_dir)
+    return _round_doubles(fitted_preprocessor(train).transform(test).drop("features"))
+
+
+def q_row_parity(spark, sf_dir):
+    train, _ = split_tables(spark, sf_dir)
+    prepared = fitted_preprocessor(train).transform(train)
+    return V.row_parity(labelled(spark, sf_dir), prepared)
+
+
+QUERIES.update(
+    {
+        "drop_redundant": q_drop_redundant,
+        "feature_groups": q_feature_groups,
+        "redundancy_checks": q_redundancy_checks,
+        "high_correlations": q_high_correlations,
+        "stratified_rank": q_stratified_rank,
+        "stratified_split": q_stratified_split,
+        "stratified_folds": q_stratified_folds,
+        "fold_membership": q_fold_membership,
+        "learning_subsets": q_learning_subsets,
+        "fit_stats": q_fit_stats,
+        "impute_median": q_impute_median,
+        "impute_mode": q_impute_mode,
+        "standard_scale": q_standard_scale,
+        "one_hot": q_one_hot,
+        "transform_test": q_transform_test,
+        "row_parity": q_row_parity,
+    }
+)

@@ -123,3 +123,221 @@ SQL["class_balance"] = with_views(
        FROM (SELECT segment, y_learn, count(*) AS c FROM labelled_orders GROUP BY segment, y_learn)
        GROUP BY segment"""
 )
+
+# ---------------------------------------------------------------- profile
+SQL["drop_redundant"] = with_views(
+    "SELECT row_id, y_true, y_pred, y_learn, segment, priority, nation, total_price, acctbal, "
+    "part_a, part_b, month, line_flag FROM labelled_orders"
+)
+
+SQL["feature_groups"] = (
+    "SELECT column_name AS feature, "
+    "CASE WHEN column_type = 'VARCHAR' THEN 'categorical' ELSE 'numeric' END AS feature_group, "
+    "CAST(row_number() OVER () AS INTEGER) AS position FROM (DESCRIBE ("
+    + with_views(
+        "SELECT segment, priority, nation, total_price, acctbal, part_a, part_b, part_total, "
+        "month, week, zero, line_flag FROM labelled_orders"
+    )
+    + "))"
+)
+
+def _corr(a: str, b: str) -> str:
+    both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+    xa = f"CASE WHEN {both} THEN CAST({a} AS DOUBLE) END"
+    xb = f"CASE WHEN {both} THEN CAST({b} AS DOUBLE) END"
+    return f"covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0)"
+
+
+SQL["redundancy_checks"] = with_views(
+    """SELECT 'part_total = part_a + part_b' AS "check", s0 AS passed, CAST(NULL AS DOUBLE) AS value FROM agg
+       UNION ALL SELECT 'zero all zero', s1, CAST(NULL AS DOUBLE) FROM agg
+       UNION ALL SELECT 'corr(week, month)', CAST(NULL AS BOOLEAN), round(s2, 6) FROM agg""",
+    f"""agg AS (
+      SELECT coalesce(bool_and(coalesce(abs(part_total - (part_a + part_b))
+                       <= 1e-08 + 1e-05 * abs(part_a + part_b), false)), true) AS s0,
+             coalesce(bool_and(coalesce(zero = 0, false)), true) AS s1,
+             {_corr('week', 'month')} AS s2
+      FROM labelled_orders)""",
+)
+
+_NUM = ["total_price", "acctbal", "part_a", "part_b", "part_total", "month", "week", "zero"]
+_PAIRS = [(a, b) for i, a in enumerate(_NUM) for b in _NUM[i + 1 :]]
+SQL["high_correlations"] = with_views(
+    "SELECT feature_a, feature_b, correlation FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(abs(r{i}), 6) AS correlation FROM corr_row"
+        for i, (a, b) in enumerate(_PAIRS)
+    )
+    + ") WHERE correlation IS NOT NULL AND NOT isnan(correlation) AND correlation > 0.85",
+    "corr_row AS (SELECT "
+    + ", ".join(f"{_corr(a, b)} AS r{i}" for i, (a, b) in enumerate(_PAIRS))
+    + " FROM labelled_orders)",
+)
+
+# ---------------------------------------------------------------- split
+SPLIT_CTES = """
+ranked AS (
+  SELECT row_id, y_true, row_number() OVER (PARTITION BY y_true ORDER BY md5('42:' || row_id), row_id) AS rk
+  FROM labelled_orders
+),
+cc AS (SELECT y_true, count(*) AS n_class FROM labelled_orders GROUP BY y_true),
+q1 AS (SELECT *, sum(n_class) OVER () AS n_all FROM cc),
+q2 AS (SELECT *, CAST(ceil(n_all * 0.2) AS BIGINT) AS n_test FROM q1),
+q3 AS (SELECT *, (n_test * n_class) // n_all AS fl, (n_test * n_class) % n_all AS rem FROM q2),
+q4 AS (SELECT *, n_test - sum(fl) OVER () AS left_n,
+              row_number() OVER (ORDER BY rem DESC, y_true) AS r FROM q3),
+quota AS (SELECT y_true, fl + CASE WHEN r <= left_n THEN 1 ELSE 0 END AS test_quota FROM q4)
+"""
+
+SQL["stratified_rank"] = with_views("SELECT row_id, y_true, rk AS rank FROM ranked", SPLIT_CTES)
+SQL["stratified_split"] = with_views(
+    """SELECT row_id, y_true, CASE WHEN rk <= test_quota THEN 'test' ELSE 'train' END AS split
+       FROM ranked JOIN quota USING (y_true)""",
+    SPLIT_CTES,
+)
+
+# split on y_learn (model target): train/test tables used by the preparation oracles
+LEARN_SPLIT_CTES = """
+lranked AS (
+  SELECT *, row_number() OVER (PARTITION BY y_learn ORDER BY md5('42:' || row_id), row_id) AS rk
+  FROM labelled_orders
+),
+lcc AS (SELECT y_learn, count(*) AS n_class FROM labelled_orders GROUP BY y_learn),
+lq1 AS (SELECT *, sum(n_class) OVER () AS n_all FROM lcc),
+lq2 AS (SELECT *, CAST(ceil(n_all * 0.2) AS BIGINT) AS n_test FROM lq1),
+lq3 AS (SELECT *, (n_test * n_class) // n_all AS fl, (n_test * n_class) % n_all AS rem FROM lq2),
+lq4 AS (SELECT *, n_test - sum(fl) OVER () AS left_n,
+               row_number() OVER (ORDER BY rem DESC, y_learn) AS r FROM lq3),
+lquota AS (SELECT y_learn, fl + CASE WHEN r <= left_n THEN 1 ELSE 0 END AS test_quota FROM lq4),
+lsplit AS (SELECT lranked.* EXCLUDE (rk), CASE WHEN rk <= test_quota THEN 'test' ELSE 'train' END AS split
+           FROM lranked JOIN lquota USING (y_learn)),
+train_rows AS (SELECT * EXCLUDE (split) FROM lsplit WHERE split = 'train'),
+test_rows AS (SELECT * EXCLUDE (split) FROM lsplit WHERE split = 'test')
+"""
+
+FOLD_CTES = """
+frk AS (
+  SELECT *, row_number() OVER (PARTITION BY y_learn ORDER BY md5('42:fold:' || row_id), row_id) AS rk
+  FROM labelled_orders
+),
+fcc AS (SELECT y_learn, count(*) AS n_class FROM labelled_orders GROUP BY y_learn),
+foff AS (SELECT y_learn, coalesce(sum(n_class) OVER (ORDER BY y_learn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS coff FROM fcc),
+folds AS (SELECT frk.* EXCLUDE (rk), CAST((coff + rk - 1) % 5 + 1 AS INTEGER) AS fold FROM frk JOIN foff USING (y_learn)),
+fold_long AS (
+  SELECT f.*, e.eval_fold, CASE WHEN f.fold = e.eval_fold THEN 'val' ELSE 'train' END AS split
+  FROM folds f, (SELECT CAST(range AS INTEGER) AS eval_fold FROM range(1, 6)) e
+)
+"""
+
+SQL["stratified_folds"] = with_views("SELECT row_id, y_learn, fold FROM folds", FOLD_CTES)
+SQL["fold_membership"] = with_views(
+    """SELECT eval_fold, split, count(*) AS n_rows, count(*) FILTER (WHERE y_learn = 1) AS n_pos
+       FROM fold_long GROUP BY eval_fold, split""",
+    FOLD_CTES,
+)
+SUBSET_CTES = """
+sub_rank AS (
+  SELECT *, row_number() OVER (PARTITION BY eval_fold ORDER BY md5('42:subset:' || row_id), row_id) AS lrk
+  FROM fold_long WHERE split = 'train'
+),
+sub_n AS (SELECT eval_fold, count(*) AS n FROM fold_long WHERE split = 'train' GROUP BY eval_fold),
+sub_size AS (
+  SELECT eval_fold, fr.f AS fraction, least(n, greatest(CAST(floor(n * fr.f) AS BIGINT), 50)) AS subset_n
+  FROM sub_n, (SELECT CAST(range AS DECIMAL(4,2)) / 10 AS f FROM range(1, 11)) fr
+),
+subsets AS (SELECT s.*, z.fraction, z.subset_n FROM sub_rank s JOIN sub_size z USING (eval_fold) WHERE s.lrk <= z.subset_n)
+"""
+SQL["learning_subsets"] = with_views(
+    """SELECT eval_fold, CAST(fraction AS DOUBLE) AS fraction, subset_n, count(*) AS n_rows,
+              count(*) FILTER (WHERE y_learn = 1) AS n_pos
+       FROM subsets GROUP BY eval_fold, fraction, subset_n""",
+    FOLD_CTES + "," + SUBSET_CTES,
+)
+
+# ---------------------------------------------------------------- prepare
+SQL["fit_stats"] = with_views(
+    """SELECT feature, kind, round(median, 6) AS median, round(mean, 6) AS mean, round(std, 6) AS std,
+              round(scale, 6) AS scale, mode, n_categories FROM (
+         SELECT 'total_price' AS feature, 'numeric' AS kind, median(total_price) AS median,
+                avg(total_price) AS mean, stddev_pop(total_price) AS std,
+                CASE WHEN stddev_pop(total_price) < 2.220446049250313e-15 THEN 1.0 ELSE stddev_pop(total_price) END AS scale,
+                NULL AS mode, CAST(NULL AS INTEGER) AS n_categories FROM labelled_orders
+         UNION ALL SELECT 'acctbal', 'numeric', median(acctbal), avg(acctbal), stddev_pop(acctbal),
+                CASE WHEN stddev_pop(acctbal) < 2.220446049250313e-15 THEN 1.0 ELSE stddev_pop(acctbal) END, NULL, NULL FROM labelled_orders
+         UNION ALL SELECT 'part_a', 'numeric', any_value(m), avg(coalesce(part_a, m)), stddev_pop(coalesce(part_a, m)),
+                stddev_pop(coalesce(part_a, m)), NULL, NULL
+                FROM labelled_orders, (SELECT median(part_a) AS m FROM labelled_orders)
+         UNION ALL SELECT 'part_b', 'numeric', any_value(m), avg(coalesce(part_b, m)), stddev_pop(coalesce(part_b, m)),
+                stddev_pop(coalesce(part_b, m)), NULL, NULL
+                FROM labelled_orders, (SELECT median(part_b) AS m FROM labelled_orders)
+         UNION ALL SELECT 'month', 'numeric', median(month), avg(month), stddev_pop(month), stddev_pop(month), NULL, NULL FROM labelled_orders
+         UNION ALL SELECT 'segment', 'categorical', NULL, NULL, NULL, NULL,
+                (SELECT segment FROM labelled_orders WHERE segment IS NOT NULL GROUP BY segment ORDER BY count(*) DESC, segment LIMIT 1),
+                (SELECT CAST(count(DISTINCT segment) AS INTEGER) FROM labelled_orders)
+         UNION ALL SELECT 'line_flag', 'categorical', NULL, NULL, NULL, NULL,
+                (SELECT line_flag FROM labelled_orders WHERE line_flag IS NOT NULL GROUP BY line_flag ORDER BY count(*) DESC, line_flag LIMIT 1),
+                (SELECT CAST(count(DISTINCT line_flag) AS INTEGER) FROM labelled_orders))"""
+)
+
+SQL["impute_median"] = with_views(
+    """SELECT row_id, coalesce(part_a, ma) AS part_a, coalesce(part_b, mb) AS part_b,
+              coalesce(part_total, mt) AS part_total
+       FROM labelled_orders, (SELECT median(part_a) AS ma, median(part_b) AS mb, median(part_total) AS mt
+                              FROM labelled_orders)"""
+)
+
+SQL["impute_mode"] = with_views(
+    """SELECT row_id, coalesce(line_flag, (SELECT line_flag FROM labelled_orders WHERE line_flag IS NOT NULL
+                                          GROUP BY line_flag ORDER BY count(*) DESC, line_flag LIMIT 1)) AS line_flag
+       FROM labelled_orders"""
+)
+
+
+def _scaled(col: str, src: str = "labelled_orders", fit: str = "labelled_orders") -> str:
+    return (
+        f"round((coalesce(CAST({col} AS DOUBLE), (SELECT median({col}) FROM {fit})) - "
+        f"(SELECT avg(coalesce(CAST({col} AS DOUBLE), (SELECT median({col}) FROM {fit}))) FROM {fit})) / "
+        f"(SELECT CASE WHEN stddev_pop(v) IS NULL OR stddev_pop(v) < 2.220446049250313e-15 THEN 1.0 ELSE stddev_pop(v) END "
+        f"FROM (SELECT coalesce(CAST({col} AS DOUBLE), (SELECT median({col}) FROM {fit})) AS v FROM {fit})), 6) AS {col}"
+    )
+
+
+SQL["standard_scale"] = with_views(
+    "SELECT row_id, " + ", ".join(_scaled(c) for c in ["total_price", "acctbal", "month", "zero"]) + " FROM labelled_orders"
+)
+
+_SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+_FLAGS = ["A", "N", "R"]
+
+
+def _onehot(col: str, values: list[str], mode_src: str) -> str:
+    mode = (
+        f"(SELECT {col} FROM {mode_src} WHERE {col} IS NOT NULL GROUP BY {col} ORDER BY count(*) DESC, {col} LIMIT 1)"
+    )
+    return ", ".join(
+        f"CASE WHEN coalesce({col}, {mode}) = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS \"{col}_{v}\"" for v in values
+    )
+
+
+SQL["one_hot"] = with_views(f"SELECT row_id, {_onehot('segment', _SEGMENTS, 'labelled_orders')} FROM labelled_orders")
+
+SQL["transform_test"] = with_views(
+    "SELECT row_id, y_learn, "
+    + ", ".join(_scaled(c, fit="train_rows") for c in ["total_price", "acctbal", "part_a", "part_b", "month"])
+    + ", "
+    + _onehot("segment", _SEGMENTS, "train_rows")
+    + ", "
+    + _onehot("line_flag", _FLAGS, "train_rows")
+    + " FROM test_rows",
+    LEARN_SPLIT_CTES,
+)
+
+SQL["row_parity"] = with_views(
+    """SELECT count(l.row_id) AS n_left, count(r.row_id) AS n_right,
+              count(*) FILTER (WHERE r.row_id IS NULL) AS only_left,
+              count(*) FILTER (WHERE l.row_id IS NULL) AS only_right,
+              count(*) FILTER (WHERE l.row_id IS NOT NULL AND r.row_id IS NOT NULL) AS n_both,
+              (count(*) FILTER (WHERE r.row_id IS NULL) = 0 AND count(*) FILTER (WHERE l.row_id IS NULL) = 0) AS parity
+       FROM labelled_orders l FULL OUTER JOIN train_rows r ON l.row_id = r.row_id""",
+    LEARN_SPLIT_CTES,
+)
