@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 import math
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.param.shared import Param, Params, TypeConverters
@@ -151,7 +151,13 @@ class TablePreprocessor(Estimator, _PrepParams, DefaultParamsReadable, DefaultPa
         return cls(numericCols=g.numeric, categoricalCols=g.categorical, keepCols=list(keep), **kw)
 
     def _fit(self, df: DataFrame) -> "TablePreprocessorModel":
-        stats = fit_statistics(df, self.getOrDefault("numericCols"), self.getOrDefault("categoricalCols"))
+        num, cat = self.getOrDefault("numericCols"), self.getOrDefault("categoricalCols")
+        # several statistics jobs read the same columns: keep them for the fit only
+        data = df.select(*num, *cat).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            stats = fit_statistics(data, num, cat)
+        finally:
+            data.unpersist()
         m = TablePreprocessorModel(
             stats=json.dumps(stats),
             keepCols=self.getOrDefault("keepCols"),

@@ -250,3 +250,66 @@ QUERIES.update(
         "row_parity": q_row_parity,
     }
 )
+
+
+# ---------------------------------------------------------------- resample
+from cohortlens.operators import knn as KN  # noqa: E402
+from cohortlens.operators import resample as RS  # noqa: E402
+
+K_NN = 5
+
+
+def events(spark, sf_dir):
+    return P.events_labelled(spark, sf_dir).withColumn("x", F.array("x1", "x2"))
+
+
+def _vec_out(df, names=("x1", "x2"), vec="x"):
+    return [F.round(F.col(vec)[i], 6).alias(n) for i, n in enumerate(names)]
+
+
+def q_knn_minority(spark, sf_dir):
+    ev = events(spark, sf_dir).where("y = 1")
+    return KN.knn(ev, K_NN, key="row_id", vec="x").withColumn("distance", F.round("distance", 6))
+
+
+def q_smote_full(spark, sf_dir):
+    rows, _ = RS.smote(events(spark, sf_dir), "y", "x", K_NN, SEED)
+    return rows.select("row_id", "syn_j", "is_synthetic", "y", *_vec_out(rows), "neighbour_id")
+
+
+def cohort_points(spark, sf_dir):
+    return labelled(spark, sf_dir).withColumn("x", F.array("total_price", "acctbal"))
+
+
+def q_smote_cohort(spark, sf_dir):
+    df = cohort_points(spark, sf_dir)
+    rows, _ = RS.smote_cohort(df, "y_learn", F.col(P.FOCUS_COLUMN) == P.FOCUS_VALUE, "x", K_NN, SEED, carry=["segment"])
+    return rows.select("row_id", "syn_j", "is_synthetic", "y_learn", "segment", *_vec_out(rows, ("total_price", "acctbal")), "neighbour_id")
+
+
+def q_smote_cohort_counts(spark, sf_dir):
+    df = cohort_points(spark, sf_dir)
+    rows, st = RS.smote_cohort(df, "y_learn", F.col(P.FOCUS_COLUMN) == P.FOCUS_VALUE, "x", K_NN, SEED, carry=["segment"])
+    agg = rows.agg(
+        F.count(F.lit(1)).alias("total_n_after"),
+        F.count_if(F.col("segment") == P.FOCUS_VALUE).alias("cohort_resampled_n"),
+        F.count_if(F.col("is_synthetic")).alias("cohort_synthetic_n"),
+    )
+    return agg.select(
+        F.lit(st["cohort_original_n"]).cast("long").alias("cohort_original_n"),
+        F.lit(st["cohort_original_minority_n"]).cast("long").alias("cohort_original_minority_n"),
+        F.lit(st["cohort_original_majority_n"]).cast("long").alias("cohort_original_majority_n"),
+        "cohort_resampled_n",
+        "cohort_synthetic_n",
+        "total_n_after",
+    )
+
+
+QUERIES.update(
+    {
+        "knn_minority": q_knn_minority,
+        "smote_full": q_smote_full,
+        "smote_cohort": q_smote_cohort,
+        "smote_cohort_counts": q_smote_cohort_counts,
+    }
+)

@@ -341,3 +341,74 @@ SQL["row_parity"] = with_views(
        FROM labelled_orders l FULL OUTER JOIN train_rows r ON l.row_id = r.row_id""",
     LEARN_SPLIT_CTES,
 )
+
+# ---------------------------------------------------------------- resample
+
+
+def smote_ctes(src: str, target: str, x1: str, x2: str, p: str) -> str:
+    """Brute-force SMOTE in SQL over table ``src`` (prefix ``p`` for CTE names)."""
+    return f"""
+{p}cls AS (SELECT {target} AS y, count(*) AS c FROM {src} GROUP BY {target}),
+{p}mm AS (SELECT (SELECT y FROM {p}cls ORDER BY c, y LIMIT 1) AS ym, min(c) AS m, max(c) AS big,
+                 count(*) AS n_cls FROM {p}cls),
+{p}mino AS (SELECT s.row_id, s.{x1} AS x1, s.{x2} AS x2 FROM {src} s, {p}mm WHERE s.{target} = {p}mm.ym
+            AND {p}mm.n_cls = 2 AND {p}mm.m >= 2 AND {p}mm.m < {p}mm.big),
+{p}pairs AS (SELECT a.row_id, b.row_id AS neighbour_id,
+                    sqrt((a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2)) AS distance
+             FROM {p}mino a JOIN {p}mino b ON a.row_id <> b.row_id),
+{p}nn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY distance, neighbour_id) AS nn_rank
+                         FROM {p}pairs) WHERE nn_rank <= (SELECT least(5, m - 1) FROM {p}mm)),
+{p}pos AS (SELECT row_id, row_number() OVER (ORDER BY md5('42:smote:' || row_id), row_id) AS pz FROM {p}mino),
+{p}reps AS (SELECT row_id, (big - m) // m + CASE WHEN pz <= (big - m) % m THEN 1 ELSE 0 END AS r FROM {p}pos, {p}mm),
+{p}syn0 AS (SELECT row_id, CAST(unnest(range(1, r + 1)) AS INTEGER) AS syn_j FROM {p}reps WHERE r > 0),
+{p}syn AS (
+  SELECT s.row_id, s.syn_j, nn.neighbour_id,
+         b.x1 + g.gap * (q.x1 - b.x1) AS x1, b.x2 + g.gap * (q.x2 - b.x2) AS x2
+  FROM {p}syn0 s
+  CROSS JOIN LATERAL (SELECT CAST(('0x' || substr(md5('42:nn:' || s.row_id || ':' || s.syn_j), 1, 8))::BIGINT
+                               % (SELECT least(5, m - 1) FROM {p}mm) + 1 AS INTEGER) AS pick,
+                          CAST(('0x' || substr(md5('42:gap:' || s.row_id || ':' || s.syn_j), 1, 8))::BIGINT AS DOUBLE)
+                               / CAST(4294967296 AS DOUBLE) AS gap) g
+  JOIN {p}nn nn ON nn.row_id = s.row_id AND nn.nn_rank = g.pick
+  JOIN {p}mino b ON b.row_id = s.row_id
+  JOIN {p}mino q ON q.row_id = nn.neighbour_id
+)
+"""
+
+
+SQL["knn_minority"] = with_views(
+    "SELECT row_id, CAST(nn_rank AS INTEGER) AS nn_rank, neighbour_id, round(distance, 6) AS distance FROM e_nn",
+    smote_ctes("events_labelled", "y", "x1", "x2", "e_"),
+)
+
+SQL["smote_full"] = with_views(
+    """SELECT row_id, 0 AS syn_j, false AS is_synthetic, y, round(x1, 6) AS x1, round(x2, 6) AS x2,
+              CAST(NULL AS BIGINT) AS neighbour_id FROM events_labelled
+       UNION ALL
+       SELECT s.row_id, s.syn_j, true, (SELECT ym FROM e_mm), round(s.x1, 6), round(s.x2, 6), s.neighbour_id
+       FROM e_syn s""",
+    smote_ctes("events_labelled", "y", "x1", "x2", "e_"),
+)
+
+COHORT_SMOTE = """
+coh AS (SELECT * FROM labelled_orders WHERE segment = 'HOUSEHOLD')
+""" + "," + smote_ctes("coh", "y_learn", "total_price", "acctbal", "c_")
+
+SQL["smote_cohort"] = with_views(
+    """SELECT row_id, 0 AS syn_j, false AS is_synthetic, y_learn, segment, round(total_price, 6) AS total_price,
+              round(acctbal, 6) AS acctbal, CAST(NULL AS BIGINT) AS neighbour_id FROM labelled_orders
+       UNION ALL
+       SELECT s.row_id, s.syn_j, true, (SELECT ym FROM c_mm), 'HOUSEHOLD', round(s.x1, 6), round(s.x2, 6), s.neighbour_id
+       FROM c_syn s""",
+    COHORT_SMOTE,
+)
+
+SQL["smote_cohort_counts"] = with_views(
+    """SELECT (SELECT count(*) FROM coh) AS cohort_original_n,
+              (SELECT m FROM c_mm) AS cohort_original_minority_n,
+              (SELECT big FROM c_mm) AS cohort_original_majority_n,
+              (SELECT count(*) FROM coh) + (SELECT count(*) FROM c_syn) AS cohort_resampled_n,
+              (SELECT count(*) FROM c_syn) AS cohort_synthetic_n,
+              (SELECT count(*) FROM labelled_orders) + (SELECT count(*) FROM c_syn) AS total_n_after""",
+    COHORT_SMOTE,
+)
