@@ -313,3 +313,77 @@ QUERIES.update(
         "smote_cohort_counts": q_smote_cohort_counts,
     }
 )
+
+
+# ---------------------------------------------------------------- protocols (group-rate estimator)
+from cohortlens.operators.estimators import GroupRateClassifier  # noqa: E402
+from cohortlens.plans import crossval as CV  # noqa: E402
+
+_MEMO: dict = {}
+
+
+def _memo(spark, key, fn):
+    k = (id(spark), spark.sparkContext.applicationId, key)
+    if k not in _MEMO:
+        _MEMO[k] = fn()
+    return _MEMO[k]
+
+
+def rate_learner() -> CV.Learner:
+    est = GroupRateClassifier(groupCols=["segment", "priority"], labelCol="y_learn")
+    feat = lambda train: (lambda df: df.withColumn("x", F.array("total_price", "acctbal")))
+    return CV.Learner(est, feat, "x", needs_vectors=False)
+
+
+RATE_SPEC = CV.Spec(target="y_learn", cohort_column=P.FOCUS_COLUMN, cohort_value=P.FOCUS_VALUE, k=K_FOLDS, seed=SEED, carry=["priority"])
+
+
+def rate_inputs(spark, sf_dir):
+    df = folds_table(spark, sf_dir).select("row_id", "y_learn", "segment", "priority", "total_price", "acctbal", "fold")
+    extra = P.extra_rows(labelled(spark, sf_dir)).select("row_id", "y_learn", "segment", "priority", "total_price", "acctbal")
+    return df, extra
+
+
+def rate_cv(spark, sf_dir):
+    def run():
+        df, extra = rate_inputs(spark, sf_dir)
+        return CV.strategy_cv(df, extra, rate_learner(), RATE_SPEC)
+
+    return _memo(spark, ("rate_cv", sf_dir), run)
+
+
+def q_strategy_cv_rate(spark, sf_dir):
+    preds, _ = rate_cv(spark, sf_dir)
+    return CV.comparison(preds, RATE_SPEC)
+
+
+def q_fold_metrics(spark, sf_dir):
+    preds, _ = rate_cv(spark, sf_dir)
+    return CV.fold_metrics(preds)
+
+
+def q_oof_predictions_rate(spark, sf_dir):
+    preds, _ = rate_cv(spark, sf_dir)
+    return CV.oof_predictions(preds).drop("strategy")
+
+
+def q_smote_fold_stats(spark, sf_dir):
+    _, st = rate_cv(spark, sf_dir)
+    return st
+
+
+def q_append_extra(spark, sf_dir):
+    df = labelled(spark, sf_dir).select("row_id", "y_learn", "segment").withColumn("source", F.lit("train"))
+    ex = P.extra_rows(labelled(spark, sf_dir)).select("row_id", "y_learn", "segment").withColumn("source", F.lit("extra"))
+    return df.unionByName(ex, allowMissingColumns=True)
+
+
+QUERIES.update(
+    {
+        "strategy_cv_rate": q_strategy_cv_rate,
+        "fold_metrics": q_fold_metrics,
+        "oof_predictions_rate": q_oof_predictions_rate,
+        "smote_fold_stats": q_smote_fold_stats,
+        "append_extra": q_append_extra,
+    }
+)

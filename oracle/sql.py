@@ -412,3 +412,115 @@ SQL["smote_cohort_counts"] = with_views(
               (SELECT count(*) FROM labelled_orders) + (SELECT count(*) FROM c_syn) AS total_n_after""",
     COHORT_SMOTE,
 )
+
+# ---------------------------------------------------------------- protocols (group-rate estimator)
+
+
+def _smote_rows(src: str, p: str) -> str:
+    """Synthetic rows (no vectors) per eval_fold of table ``src``."""
+    return f"""
+{p}cls AS (SELECT eval_fold, y_learn, count(*) AS c FROM {src} GROUP BY eval_fold, y_learn),
+{p}mm AS (SELECT eval_fold, min(c) AS m, max(c) AS big, count(*) AS n_cls, arg_min(y_learn, c) AS ym
+          FROM {p}cls GROUP BY eval_fold),
+{p}pos AS (SELECT t.eval_fold, t.row_id, t.segment, t.priority, mm.ym, mm.m, mm.big,
+                  row_number() OVER (PARTITION BY t.eval_fold ORDER BY md5('42:smote:' || t.row_id), t.row_id) AS pz
+           FROM {src} t JOIN {p}mm mm USING (eval_fold)
+           WHERE t.y_learn = mm.ym AND mm.n_cls = 2 AND mm.m >= 2 AND mm.m < mm.big),
+{p}syn AS (SELECT eval_fold, row_id, segment, priority, ym AS y_learn, CAST(unnest(range(1, r + 1)) AS INTEGER) AS syn_j
+           FROM (SELECT *, (big - m) // m + CASE WHEN pz <= (big - m) % m THEN 1 ELSE 0 END AS r FROM {p}pos)
+           WHERE r > 0)
+"""
+
+
+RATE_CTES = (
+    FOLD_CTES.strip()
+    + """,
+tr AS (SELECT eval_fold, row_id, y_learn, segment, priority FROM fold_long WHERE split = 'train'),
+trc AS (SELECT * FROM tr WHERE segment = 'HOUSEHOLD'),
+"""
+    + _smote_rows("tr", "sf_").strip()
+    + ",\n"
+    + _smote_rows("trc", "sc_").strip()
+    + """,
+fit AS (
+  SELECT 'baseline' AS strategy, eval_fold, row_id, 0 AS syn_j, y_learn, segment, priority FROM tr
+  UNION ALL SELECT 'real_data', eval_fold, row_id, 0, y_learn, segment, priority FROM tr
+  UNION ALL SELECT 'real_data', e.eval_fold, x.row_id, 0, x.y_learn, x.segment, x.priority
+            FROM extra_rows x, (SELECT DISTINCT eval_fold FROM tr) e
+  UNION ALL SELECT 'smote', eval_fold, row_id, 0, y_learn, segment, priority FROM tr
+  UNION ALL SELECT 'smote', eval_fold, row_id, syn_j, y_learn, segment, priority FROM sf_syn
+  UNION ALL SELECT 'smote_cohort', eval_fold, row_id, 0, y_learn, segment, priority FROM tr
+  UNION ALL SELECT 'smote_cohort', eval_fold, row_id, syn_j, y_learn, segment, priority FROM sc_syn
+),
+gstats AS (SELECT strategy, eval_fold, segment, priority, count(*) AS n_g,
+                  count(*) FILTER (WHERE y_learn = 1) AS pos_g FROM fit GROUP BY ALL),
+ostats AS (SELECT strategy, eval_fold, sum(n_g) AS n, sum(pos_g) AS pos FROM gstats GROUP BY ALL),
+rule AS (SELECT g.strategy, g.eval_fold, g.segment, g.priority,
+                CASE WHEN g.pos_g * o.n >= o.pos * g.n_g THEN 1 ELSE 0 END AS pred
+         FROM gstats g JOIN ostats o USING (strategy, eval_fold)),
+preds AS (
+  SELECT f.strategy, CAST(f.eval_fold AS INTEGER) AS fold, 'train' AS split, f.row_id, CAST(f.syn_j AS INTEGER) AS syn_j,
+         f.y_learn AS y_true, r.pred AS y_pred, f.segment
+  FROM fit f JOIN rule r USING (strategy, eval_fold, segment, priority)
+  UNION ALL
+  SELECT s.strategy, CAST(v.eval_fold AS INTEGER), 'val', v.row_id, 0, v.y_learn, coalesce(r.pred, 0), v.segment
+  FROM fold_long v
+  CROSS JOIN (VALUES ('baseline'), ('real_data'), ('smote'), ('smote_cohort')) s(strategy)
+  LEFT JOIN rule r ON r.strategy = s.strategy AND r.eval_fold = v.eval_fold
+                  AND r.segment = v.segment AND r.priority = v.priority
+  WHERE v.split = 'val'
+),
+comparison AS (
+  SELECT strategy, global_n, """
+    + ratios("global_")
+    + """, global_tn, global_fp, global_fn, global_tp,
+         'segment' AS cohort_column, 'HOUSEHOLD' AS cohort_value,
+         cohort_n, """
+    + ratios("cohort_")
+    + """, cohort_tn, cohort_fp, cohort_fn, cohort_tp
+  FROM (SELECT strategy, """
+    + counts(prefix="global_")
+    + ", "
+    + counts(where="segment = 'HOUSEHOLD'", prefix="cohort_")
+    + """ FROM preds WHERE split = 'val' GROUP BY strategy)
+),
+fold_metrics AS (
+  SELECT strategy, fold, train_n, val_n, """
+    + ratios("train_")
+    + ", "
+    + ratios("val_")
+    + """
+  FROM (SELECT strategy, fold, """
+    + counts(where="split = 'train'", prefix="train_")
+    + ", "
+    + counts(where="split = 'val'", prefix="val_")
+    + """ FROM preds GROUP BY strategy, fold)
+)
+"""
+)
+
+SQL["strategy_cv_rate"] = with_views("SELECT * FROM comparison", RATE_CTES)
+SQL["fold_metrics"] = with_views("SELECT * FROM fold_metrics", RATE_CTES)
+SQL["oof_predictions_rate"] = with_views(
+    """SELECT fold, row_id, y_true, y_pred, segment, y_true <> y_pred AS is_error
+       FROM preds WHERE split = 'val' AND strategy = 'baseline'""",
+    RATE_CTES,
+)
+SQL["smote_fold_stats"] = with_views(
+    """SELECT 'smote_cohort' AS strategy, CAST(m.eval_fold AS INTEGER) AS fold,
+              (SELECT count(*) FROM trc WHERE trc.eval_fold = m.eval_fold) AS cohort_original_n,
+              CAST(m.m AS BIGINT) AS cohort_original_minority_n, CAST(m.big AS BIGINT) AS cohort_original_majority_n,
+              (SELECT count(*) FROM trc WHERE trc.eval_fold = m.eval_fold)
+                + (SELECT count(*) FROM sc_syn s WHERE s.eval_fold = m.eval_fold) AS cohort_resampled_n,
+              (SELECT count(*) FROM sc_syn s WHERE s.eval_fold = m.eval_fold) AS cohort_synthetic_n,
+              (SELECT count(*) FROM tr WHERE tr.eval_fold = m.eval_fold)
+                + (SELECT count(*) FROM sc_syn s WHERE s.eval_fold = m.eval_fold) AS fold_total_n_after_smote,
+              (SELECT count(*) FROM tr WHERE tr.eval_fold = m.eval_fold) AS train_fold_n,
+              (SELECT count(*) FROM trc WHERE trc.eval_fold = m.eval_fold) AS cohort_fold_n
+       FROM sc_mm m""",
+    RATE_CTES,
+)
+SQL["append_extra"] = with_views(
+    """SELECT row_id, y_learn, segment, 'train' AS source FROM labelled_orders
+       UNION ALL SELECT row_id, y_learn, segment, 'extra' FROM extra_rows"""
+)
