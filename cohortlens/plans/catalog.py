@@ -338,9 +338,14 @@ def rate_learner() -> CV.Learner:
 RATE_SPEC = CV.Spec(target="y_learn", cohort_column=P.FOCUS_COLUMN, cohort_value=P.FOCUS_VALUE, k=K_FOLDS, seed=SEED, carry=["priority"])
 
 
+RATE_COLUMNS = ["row_id", "y_learn", "segment", "priority", "total_price", "acctbal"]
+
+
 def rate_inputs(spark, sf_dir):
-    df = folds_table(spark, sf_dir).select("row_id", "y_learn", "segment", "priority", "total_price", "acctbal", "fold")
-    extra = P.extra_rows(labelled(spark, sf_dir)).select("row_id", "y_learn", "segment", "priority", "total_price", "acctbal")
+    """CV folds over the train split only; the test split is never seen by selection."""
+    train, _ = split_tables(spark, sf_dir)
+    df = SP.add_folds(train.select(*RATE_COLUMNS), "y_learn", K_FOLDS, SEED)
+    extra = P.extra_rows(labelled(spark, sf_dir)).select(*RATE_COLUMNS)
     return df, extra
 
 
@@ -367,6 +372,133 @@ def q_oof_predictions_rate(spark, sf_dir):
     return CV.oof_predictions(preds).drop("strategy")
 
 
+# ---------------------------------------------------------------- reports over the protocol
+from cohortlens.plans import report as RP  # noqa: E402
+from cohortlens.sources import reports as JR  # noqa: E402
+from cohortlens.sources import tables as TB  # noqa: E402
+
+
+def rate_comparison(spark, sf_dir):
+    preds, _ = rate_cv(spark, sf_dir)
+    return CV.comparison(preds, RATE_SPEC)
+
+
+def q_rank_strategies(spark, sf_dir):
+    return RP.rank_strategies(rate_comparison(spark, sf_dir)).select("rank", "strategy", "global_f1", "cohort_f1")
+
+
+def q_selected_strategy(spark, sf_dir):
+    return RP.selected_strategy(rate_comparison(spark, sf_dir))
+
+
+def q_strategy_deltas(spark, sf_dir):
+    return RP.strategy_deltas(rate_comparison(spark, sf_dir))
+
+
+def q_strategy_long(spark, sf_dir):
+    return RP.strategy_long(rate_comparison(spark, sf_dir))
+
+
+def q_train_val_by_strategy(spark, sf_dir):
+    preds, _ = rate_cv(spark, sf_dir)
+    return RP.train_val_by_strategy(CV.fold_metrics(preds))
+
+
+def q_smote_summary(spark, sf_dir):
+    _, st = rate_cv(spark, sf_dir)
+    return RP.smote_summary(st)
+
+
+def q_strategy_sizes(spark, sf_dir):
+    preds, _ = rate_cv(spark, sf_dir)
+    return RP.strategy_sizes(preds, RATE_SPEC.in_cohort())
+
+
+def q_cohort_breakdown(spark, sf_dir):
+    train, _ = split_tables(spark, sf_dir)
+    extra = P.extra_rows(labelled(spark, sf_dir))
+    return RP.cohort_breakdown(train, extra, "y_learn", F.col(P.FOCUS_COLUMN) == P.FOCUS_VALUE)
+
+
+def q_cohort_summary(spark, sf_dir):
+    preds, _ = rate_cv(spark, sf_dir)
+    oof = CV.oof_predictions(preds)
+    train, _ = split_tables(spark, sf_dir)
+    raw = train.select("row_id", "priority", "nation", "line_flag")
+    joined = oof.select("row_id", "y_true", "y_pred", "segment").join(raw, "row_id", "inner")
+    return RP.cohort_summary(M.cohort_metrics(joined, P.COHORT_COLUMNS))
+
+
+def q_align_predictions(spark, sf_dir):
+    """raw x prepared x OOF prediction, aligned by key (inner equi-joins)."""
+    preds, _ = rate_cv(spark, sf_dir)
+    oof = CV.oof_predictions(preds).select("row_id", "fold", "y_pred", "is_error")
+    train, _ = split_tables(spark, sf_dir)
+    prepared = fitted_preprocessor(train).transform(train).select("row_id", F.round("total_price", 6).alias("total_price_scaled"))
+    raw = train.select("row_id", "y_learn", "segment", "total_price")
+    return raw.join(prepared, "row_id", "inner").join(oof, "row_id", "inner")
+
+
+def rate_final(spark, sf_dir):
+    def run():
+        train, test = split_tables(spark, sf_dir)
+        sel = RP.selected_strategy(rate_comparison(spark, sf_dir)).first()["strategy"]  # one name
+        extra = P.extra_rows(labelled(spark, sf_dir)).select(*RATE_COLUMNS)
+        model, f, _ = CV.fit_final(train.select(*RATE_COLUMNS), extra, sel, rate_learner(), RATE_SPEC)
+        preds = CV.test_predictions(model, f, test.select(*RATE_COLUMNS), RATE_SPEC, sel)
+        return CV.materialize(preds, "final-test"), sel
+
+    return _memo(spark, ("rate_final", sf_dir), run)
+
+
+def q_final_test_rate(spark, sf_dir):
+    preds, _ = rate_final(spark, sf_dir)
+    return M.global_vs_cohort(preds, RATE_SPEC.cohort_column, RATE_SPEC.cohort_value, by=["strategy"])
+
+
+def q_final_vs_cohort(spark, sf_dir):
+    return RP.final_vs_cohort(q_final_test_rate(spark, sf_dir))
+
+
+def q_best_strategy_tvt(spark, sf_dir):
+    preds, _ = rate_cv(spark, sf_dir)
+    test, sel = rate_final(spark, sf_dir)
+    tm = M.binary_metrics(test)
+    return RP.best_strategy_tvt(CV.fold_metrics(preds), tm, RP.selected_strategy(rate_comparison(spark, sf_dir)))
+
+
+def q_report_json(spark, sf_dir):
+    """Comparison metadata as one JSON document per strategy row."""
+    ranked = RP.rank_strategies(rate_comparison(spark, sf_dir))
+    return JR.json_report(ranked, ["rank", "strategy", "global_n", "global_tp", "cohort_n", "cohort_tp"], "report").orderBy("report")
+
+
+def q_roundtrip_csv(spark, sf_dir):
+    return TB.roundtrip_csv(q_load_labelled(spark, sf_dir))
+
+
+def rate_curve(spark, sf_dir):
+    def run():
+        df, _ = rate_inputs(spark, sf_dir)
+        return CV.materialize(CV.learning_curve(df, rate_learner(), RATE_SPEC), "curve")
+
+    return _memo(spark, ("rate_curve", sf_dir), run)
+
+
+def q_learning_curve_rate(spark, sf_dir):
+    return rate_curve(spark, sf_dir)
+
+
+def q_curve_verdict(spark, sf_dir):
+    return CV.curve_verdict(rate_curve(spark, sf_dir))
+
+
+def q_augmentation_rate(spark, sf_dir):
+    train, _ = split_tables(spark, sf_dir)
+    extra = P.extra_rows(labelled(spark, sf_dir)).select(*RATE_COLUMNS)
+    return CV.augmentation_comparison(train.select(*RATE_COLUMNS), extra, rate_learner(), RATE_SPEC)
+
+
 def q_smote_fold_stats(spark, sf_dir):
     _, st = rate_cv(spark, sf_dir)
     return st
@@ -385,5 +517,23 @@ QUERIES.update(
         "oof_predictions_rate": q_oof_predictions_rate,
         "smote_fold_stats": q_smote_fold_stats,
         "append_extra": q_append_extra,
+        "rank_strategies": q_rank_strategies,
+        "selected_strategy": q_selected_strategy,
+        "strategy_deltas": q_strategy_deltas,
+        "strategy_long": q_strategy_long,
+        "train_val_by_strategy": q_train_val_by_strategy,
+        "smote_summary": q_smote_summary,
+        "strategy_sizes": q_strategy_sizes,
+        "cohort_breakdown": q_cohort_breakdown,
+        "cohort_summary": q_cohort_summary,
+        "align_predictions": q_align_predictions,
+        "final_test_rate": q_final_test_rate,
+        "final_vs_cohort": q_final_vs_cohort,
+        "best_strategy_tvt": q_best_strategy_tvt,
+        "report_json": q_report_json,
+        "roundtrip_csv": q_roundtrip_csv,
+        "learning_curve_rate": q_learning_curve_rate,
+        "curve_verdict": q_curve_verdict,
+        "augmentation_rate": q_augmentation_rate,
     }
 )

@@ -70,10 +70,14 @@ def _featurize(learner: Learner, train: DataFrame):
     return learner.featurizer(train)
 
 
-def _base_rows(df: DataFrame, spec: Spec, learner: Learner) -> DataFrame:
-    return df.select(spec.key, spec.target, learner.vec, *spec.carried()).withColumn("syn_j", F.lit(0)).withColumn(
-        "is_synthetic", F.lit(False)
-    )
+def _base_rows(df: DataFrame, spec: Spec, learner: Learner, origin: str | None = "train") -> DataFrame:
+    out = df.select(spec.key, spec.target, learner.vec, *spec.carried(), *(["origin"] if origin is None else []))
+    out = out.withColumn("syn_j", F.lit(0)).withColumn("is_synthetic", F.lit(False))
+    return out.withColumn("origin", F.lit(origin)) if origin is not None else out
+
+
+def _with_origin(rows: DataFrame) -> DataFrame:
+    return rows.drop("neighbour_id").withColumn("origin", F.when(F.col("is_synthetic"), "synthetic").otherwise("train"))
 
 
 def augment(strategy: str, train: DataFrame, extra: DataFrame | None, learner: Learner, spec: Spec):
@@ -81,21 +85,23 @@ def augment(strategy: str, train: DataFrame, extra: DataFrame | None, learner: L
     if strategy == "real_data":
         if extra is None:
             raise ValueError("The real_data strategy requires the extra dataset.")
-        both = train.unionByName(extra.select(*train.columns))
+        both = train.withColumn("origin", F.lit("train")).unionByName(
+            extra.select(*train.columns).withColumn("origin", F.lit("extra"))
+        )
         f = _featurize(learner, both)
-        return _base_rows(f(both), spec, learner), f, None
+        return _base_rows(f(both), spec, learner, origin=None), f, None
     f = _featurize(learner, train)
     prepared = f(train)
     if strategy == "baseline":
         return _base_rows(prepared, spec, learner), f, None
     if strategy == "smote":
         rows, st = RS.smote(prepared, spec.target, learner.vec, spec.k_nn, spec.seed, spec.key, spec.carried(), learner.needs_vectors)
-        return rows.drop("neighbour_id"), f, None
+        return _with_origin(rows), f, None
     if strategy == "smote_cohort":
         rows, st = RS.smote_cohort(
             prepared, spec.target, spec.in_cohort(), learner.vec, spec.k_nn, spec.seed, spec.key, spec.carried(), learner.needs_vectors
         )
-        return rows.drop("neighbour_id"), f, st
+        return _with_origin(rows), f, st
     raise ValueError(f"Unknown strategy: {strategy}")
 
 
@@ -110,6 +116,7 @@ def _scored(model, df: DataFrame, spec: Spec, strategy: str, fold: int, split: s
         F.col(spec.target).cast("int").alias("y_true"),
         F.col("prediction").cast("int").alias("y_pred"),
         spec.cohort_column,
+        F.col("origin") if "origin" in out.columns else F.lit("train").alias("origin"),
     )
 
 
@@ -188,7 +195,7 @@ def fold_metrics(predictions: DataFrame) -> DataFrame:
 
 def oof_predictions(predictions: DataFrame, strategy: str = "baseline") -> DataFrame:
     val = predictions.where((F.col("split") == "val") & (F.col("strategy") == strategy))
-    return M.error_flags(val.drop("split", "syn_j"))
+    return M.error_flags(val.drop("split", "syn_j", "origin"))
 
 
 def oof_predict(estimator: Estimator, df: DataFrame, spec: Spec, learner: Learner | None = None, fold_col: str = "fold") -> DataFrame:

@@ -414,6 +414,19 @@ SQL["smote_cohort_counts"] = with_views(
 )
 
 # ---------------------------------------------------------------- protocols (group-rate estimator)
+STRATS = "(VALUES ('baseline'), ('real_data'), ('smote'), ('smote_cohort')) s(strategy)"
+
+
+def fold_ctes(src: str, p: str, key: str = "row_id", k: int = 5) -> str:
+    return f"""
+{p}frk AS (SELECT *, row_number() OVER (PARTITION BY y_learn ORDER BY md5('42:fold:' || {key}), {key}) AS rk FROM {src}),
+{p}fcc AS (SELECT y_learn, count(*) AS n_class FROM {src} GROUP BY y_learn),
+{p}foff AS (SELECT y_learn, coalesce(sum(n_class) OVER (ORDER BY y_learn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS coff
+            FROM {p}fcc),
+{p}folds AS (SELECT f.* EXCLUDE (rk), CAST((coff + rk - 1) % {k} + 1 AS INTEGER) AS fold FROM {p}frk f JOIN {p}foff USING (y_learn)),
+{p}fold_long AS (SELECT f.*, e.eval_fold, CASE WHEN f.fold = e.eval_fold THEN 'val' ELSE 'train' END AS split
+                 FROM {p}folds f, (SELECT CAST(range AS INTEGER) AS eval_fold FROM range(1, {k + 1})) e)
+""".strip()
 
 
 def _smote_rows(src: str, p: str) -> str:
@@ -429,48 +442,87 @@ def _smote_rows(src: str, p: str) -> str:
 {p}syn AS (SELECT eval_fold, row_id, segment, priority, ym AS y_learn, CAST(unnest(range(1, r + 1)) AS INTEGER) AS syn_j
            FROM (SELECT *, (big - m) // m + CASE WHEN pz <= (big - m) % m THEN 1 ELSE 0 END AS r FROM {p}pos)
            WHERE r > 0)
+""".strip()
+
+
+def _rule(fit: str, p: str, by: str) -> str:
+    return f"""
+{p}gstats AS (SELECT {by}, segment, priority, count(*) AS n_g, count(*) FILTER (WHERE y_learn = 1) AS pos_g
+              FROM {fit} GROUP BY {by}, segment, priority),
+{p}ostats AS (SELECT {by}, sum(n_g) AS n, sum(pos_g) AS pos FROM {p}gstats GROUP BY {by}),
+{p}rule AS (SELECT g.* EXCLUDE (n_g, pos_g), CASE WHEN g.pos_g * o.n >= o.pos * g.n_g THEN 1 ELSE 0 END AS pred
+            FROM {p}gstats g JOIN {p}ostats o USING ({by}))
+""".strip()
+
+
+def rate_fit(tr: str, trc: str, p: str) -> str:
+    return (
+        _smote_rows(tr, p + "sf_")
+        + ",\n"
+        + _smote_rows(trc, p + "sc_")
+        + f""",
+{p}fit AS (
+  SELECT 'baseline' AS strategy, eval_fold, row_id, 0 AS syn_j, y_learn, segment, priority, 'train' AS origin FROM {tr}
+  UNION ALL SELECT 'real_data', eval_fold, row_id, 0, y_learn, segment, priority, 'train' FROM {tr}
+  UNION ALL SELECT 'real_data', e.eval_fold, x.row_id, 0, x.y_learn, x.segment, x.priority, 'extra'
+            FROM extra_rows x, (SELECT DISTINCT eval_fold FROM {tr}) e
+  UNION ALL SELECT 'smote', eval_fold, row_id, 0, y_learn, segment, priority, 'train' FROM {tr}
+  UNION ALL SELECT 'smote', eval_fold, row_id, syn_j, y_learn, segment, priority, 'synthetic' FROM {p}sf_syn
+  UNION ALL SELECT 'smote_cohort', eval_fold, row_id, 0, y_learn, segment, priority, 'train' FROM {tr}
+  UNION ALL SELECT 'smote_cohort', eval_fold, row_id, syn_j, y_learn, segment, priority, 'synthetic' FROM {p}sc_syn
+),
 """
+        + _rule(f"{p}fit", p, "strategy, eval_fold")
+    )
 
 
 RATE_CTES = (
-    FOLD_CTES.strip()
+    LEARN_SPLIT_CTES.strip()
+    + ",\n"
+    + fold_ctes("train_rows", "cv_")
     + """,
-tr AS (SELECT eval_fold, row_id, y_learn, segment, priority FROM fold_long WHERE split = 'train'),
+tr AS (SELECT eval_fold, row_id, y_learn, segment, priority FROM cv_fold_long WHERE split = 'train'),
 trc AS (SELECT * FROM tr WHERE segment = 'HOUSEHOLD'),
 """
-    + _smote_rows("tr", "sf_").strip()
-    + ",\n"
-    + _smote_rows("trc", "sc_").strip()
-    + """,
-fit AS (
-  SELECT 'baseline' AS strategy, eval_fold, row_id, 0 AS syn_j, y_learn, segment, priority FROM tr
-  UNION ALL SELECT 'real_data', eval_fold, row_id, 0, y_learn, segment, priority FROM tr
-  UNION ALL SELECT 'real_data', e.eval_fold, x.row_id, 0, x.y_learn, x.segment, x.priority
-            FROM extra_rows x, (SELECT DISTINCT eval_fold FROM tr) e
-  UNION ALL SELECT 'smote', eval_fold, row_id, 0, y_learn, segment, priority FROM tr
-  UNION ALL SELECT 'smote', eval_fold, row_id, syn_j, y_learn, segment, priority FROM sf_syn
-  UNION ALL SELECT 'smote_cohort', eval_fold, row_id, 0, y_learn, segment, priority FROM tr
-  UNION ALL SELECT 'smote_cohort', eval_fold, row_id, syn_j, y_learn, segment, priority FROM sc_syn
-),
-gstats AS (SELECT strategy, eval_fold, segment, priority, count(*) AS n_g,
-                  count(*) FILTER (WHERE y_learn = 1) AS pos_g FROM fit GROUP BY ALL),
-ostats AS (SELECT strategy, eval_fold, sum(n_g) AS n, sum(pos_g) AS pos FROM gstats GROUP BY ALL),
-rule AS (SELECT g.strategy, g.eval_fold, g.segment, g.priority,
-                CASE WHEN g.pos_g * o.n >= o.pos * g.n_g THEN 1 ELSE 0 END AS pred
-         FROM gstats g JOIN ostats o USING (strategy, eval_fold)),
+    + rate_fit("tr", "trc", "cv_")
+    + f""",
 preds AS (
   SELECT f.strategy, CAST(f.eval_fold AS INTEGER) AS fold, 'train' AS split, f.row_id, CAST(f.syn_j AS INTEGER) AS syn_j,
-         f.y_learn AS y_true, r.pred AS y_pred, f.segment
-  FROM fit f JOIN rule r USING (strategy, eval_fold, segment, priority)
+         f.y_learn AS y_true, r.pred AS y_pred, f.segment, f.origin
+  FROM cv_fit f JOIN cv_rule r USING (strategy, eval_fold, segment, priority)
   UNION ALL
-  SELECT s.strategy, CAST(v.eval_fold AS INTEGER), 'val', v.row_id, 0, v.y_learn, coalesce(r.pred, 0), v.segment
-  FROM fold_long v
-  CROSS JOIN (VALUES ('baseline'), ('real_data'), ('smote'), ('smote_cohort')) s(strategy)
-  LEFT JOIN rule r ON r.strategy = s.strategy AND r.eval_fold = v.eval_fold
-                  AND r.segment = v.segment AND r.priority = v.priority
+  SELECT s.strategy, CAST(v.eval_fold AS INTEGER), 'val', v.row_id, 0, v.y_learn, coalesce(r.pred, 0), v.segment, 'train'
+  FROM cv_fold_long v CROSS JOIN {STRATS}
+  LEFT JOIN cv_rule r ON r.strategy = s.strategy AND r.eval_fold = v.eval_fold
+                     AND r.segment = v.segment AND r.priority = v.priority
   WHERE v.split = 'val'
 ),
 comparison AS (
+  SELECT strategy, global_n, {ratios("global_")}, global_tn, global_fp, global_fn, global_tp,
+         'segment' AS cohort_column, 'HOUSEHOLD' AS cohort_value,
+         cohort_n, {ratios("cohort_")}, cohort_tn, cohort_fp, cohort_fn, cohort_tp
+  FROM (SELECT strategy, {counts(prefix="global_")}, {counts(where="segment = 'HOUSEHOLD'", prefix="cohort_")}
+        FROM preds WHERE split = 'val' GROUP BY strategy)
+),
+fold_metrics AS (
+  SELECT strategy, fold, train_n, val_n, {ratios("train_")}, {ratios("val_")}
+  FROM (SELECT strategy, fold, {counts(where="split = 'train'", prefix="train_")},
+               {counts(where="split = 'val'", prefix="val_")} FROM preds GROUP BY strategy, fold)
+),
+ranked AS (SELECT CAST(row_number() OVER (ORDER BY global_f1 DESC, cohort_f1 DESC, strategy) AS INTEGER) AS rank, *
+           FROM comparison),
+selected AS (SELECT strategy FROM ranked WHERE rank = 1),
+ftr AS (SELECT 0 AS eval_fold, row_id, y_learn, segment, priority FROM train_rows),
+ftrc AS (SELECT * FROM ftr WHERE segment = 'HOUSEHOLD'),
+"""
+    + rate_fit("ftr", "ftrc", "fin_")
+    + """,
+test_preds AS (
+  SELECT s.strategy, t.row_id, t.y_learn AS y_true, coalesce(r.pred, 0) AS y_pred, t.segment
+  FROM test_rows t CROSS JOIN selected s
+  LEFT JOIN fin_rule r ON r.strategy = s.strategy AND r.segment = t.segment AND r.priority = t.priority
+),
+final_row AS (
   SELECT strategy, global_n, """
     + ratios("global_")
     + """, global_tn, global_fp, global_fn, global_tp,
@@ -482,19 +534,7 @@ comparison AS (
     + counts(prefix="global_")
     + ", "
     + counts(where="segment = 'HOUSEHOLD'", prefix="cohort_")
-    + """ FROM preds WHERE split = 'val' GROUP BY strategy)
-),
-fold_metrics AS (
-  SELECT strategy, fold, train_n, val_n, """
-    + ratios("train_")
-    + ", "
-    + ratios("val_")
-    + """
-  FROM (SELECT strategy, fold, """
-    + counts(where="split = 'train'", prefix="train_")
-    + ", "
-    + counts(where="split = 'val'", prefix="val_")
-    + """ FROM preds GROUP BY strategy, fold)
+    + """ FROM test_preds GROUP BY strategy)
 )
 """
 )
@@ -511,16 +551,210 @@ SQL["smote_fold_stats"] = with_views(
               (SELECT count(*) FROM trc WHERE trc.eval_fold = m.eval_fold) AS cohort_original_n,
               CAST(m.m AS BIGINT) AS cohort_original_minority_n, CAST(m.big AS BIGINT) AS cohort_original_majority_n,
               (SELECT count(*) FROM trc WHERE trc.eval_fold = m.eval_fold)
-                + (SELECT count(*) FROM sc_syn s WHERE s.eval_fold = m.eval_fold) AS cohort_resampled_n,
-              (SELECT count(*) FROM sc_syn s WHERE s.eval_fold = m.eval_fold) AS cohort_synthetic_n,
+                + (SELECT count(*) FROM cv_sc_syn s WHERE s.eval_fold = m.eval_fold) AS cohort_resampled_n,
+              (SELECT count(*) FROM cv_sc_syn s WHERE s.eval_fold = m.eval_fold) AS cohort_synthetic_n,
               (SELECT count(*) FROM tr WHERE tr.eval_fold = m.eval_fold)
-                + (SELECT count(*) FROM sc_syn s WHERE s.eval_fold = m.eval_fold) AS fold_total_n_after_smote,
+                + (SELECT count(*) FROM cv_sc_syn s WHERE s.eval_fold = m.eval_fold) AS fold_total_n_after_smote,
               (SELECT count(*) FROM tr WHERE tr.eval_fold = m.eval_fold) AS train_fold_n,
               (SELECT count(*) FROM trc WHERE trc.eval_fold = m.eval_fold) AS cohort_fold_n
-       FROM sc_mm m""",
+       FROM cv_sc_mm m""",
     RATE_CTES,
 )
 SQL["append_extra"] = with_views(
     """SELECT row_id, y_learn, segment, 'train' AS source FROM labelled_orders
        UNION ALL SELECT row_id, y_learn, segment, 'extra' FROM extra_rows"""
 )
+SQL["rank_strategies"] = with_views("SELECT rank, strategy, global_f1, cohort_f1 FROM ranked", RATE_CTES)
+SQL["selected_strategy"] = with_views("SELECT strategy, 'comparison' AS source FROM selected", RATE_CTES)
+SQL["strategy_deltas"] = with_views(
+    """SELECT strategy, global_f1,
+              round(global_accuracy - (SELECT global_accuracy FROM comparison WHERE strategy = 'baseline'), 6) AS delta_global_accuracy,
+              round(global_precision - (SELECT global_precision FROM comparison WHERE strategy = 'baseline'), 6) AS delta_global_precision,
+              round(global_recall - (SELECT global_recall FROM comparison WHERE strategy = 'baseline'), 6) AS delta_global_recall,
+              round(global_f1 - (SELECT global_f1 FROM comparison WHERE strategy = 'baseline'), 6) AS delta_global_f1
+       FROM comparison WHERE strategy <> 'baseline'""",
+    RATE_CTES,
+)
+_LONG_COLS = [f"{sc}_{m}" for sc in ("global", "cohort") for m in ["accuracy", "precision", "recall", "f1", "tn", "fp", "fn", "tp"]]
+SQL["strategy_long"] = with_views(
+    """SELECT position, strategy, split_part(name, '_', 1) AS scope,
+              substr(name, length(split_part(name, '_', 1)) + 2) AS metric, value
+       FROM (UNPIVOT (SELECT CAST(CASE strategy WHEN 'baseline' THEN 1 WHEN 'real_data' THEN 2 WHEN 'smote' THEN 3
+                                     WHEN 'smote_cohort' THEN 4 END AS INTEGER) AS position, strategy, """
+    + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _LONG_COLS)
+    + """ FROM comparison) ON """
+    + ", ".join(_LONG_COLS)
+    + """ INTO NAME name VALUE value)""",
+    RATE_CTES,
+)
+_TV = [f"{s_}_{m}" for s_ in ("train", "val") for m in ["accuracy", "precision", "recall", "f1"]]
+SQL["train_val_by_strategy"] = with_views(
+    "SELECT strategy, count(*) AS n_folds, "
+    + ", ".join(f"round(avg({c}), 6) AS {c}_mean, round(stddev_samp({c}), 6) AS {c}_std" for c in _TV)
+    + " FROM fold_metrics GROUP BY strategy",
+    RATE_CTES,
+)
+SQL["smote_summary"] = with_views(
+    """SELECT 'smote_cohort' AS strategy, count(*) AS n_folds, round(avg(s), 6) AS synthetic_mean,
+              min(s) AS synthetic_min, max(s) AS synthetic_max, CAST(sum(s) AS BIGINT) AS synthetic_total,
+              round(avg(t), 6) AS fold_total_mean
+       FROM (SELECT m.eval_fold, (SELECT count(*) FROM cv_sc_syn x WHERE x.eval_fold = m.eval_fold) AS s,
+                    (SELECT count(*) FROM tr WHERE tr.eval_fold = m.eval_fold)
+                      + (SELECT count(*) FROM cv_sc_syn x WHERE x.eval_fold = m.eval_fold) AS t
+             FROM cv_sc_mm m)""",
+    RATE_CTES,
+)
+SQL["strategy_sizes"] = with_views(
+    """SELECT strategy, round(avg(fit_n), 6) AS fit_n_mean, round(avg(cohort_original_n), 6) AS cohort_original_n_mean,
+              round(avg(added_n), 6) AS added_n_mean, round(avg(cohort_total_n), 6) AS cohort_total_n_mean
+       FROM (SELECT strategy, fold, count(*) AS fit_n,
+                    count(*) FILTER (WHERE origin = 'train' AND segment = 'HOUSEHOLD') AS cohort_original_n,
+                    count(*) FILTER (WHERE origin IN ('extra', 'synthetic')) AS added_n,
+                    count(*) FILTER (WHERE segment = 'HOUSEHOLD') AS cohort_total_n
+             FROM preds WHERE split = 'train' GROUP BY strategy, fold)
+       GROUP BY strategy""",
+    RATE_CTES,
+)
+SQL["cohort_breakdown"] = with_views(
+    f"""SELECT coalesce(source, 'combined') AS source, n, positives, n - positives AS negatives,
+               {ratio('positives', 'n')} AS positive_rate
+        FROM (SELECT source, count(*) AS n, count(*) FILTER (WHERE y_learn = 1) AS positives
+              FROM (SELECT 'train' AS source, y_learn FROM train_rows WHERE segment = 'HOUSEHOLD'
+                    UNION ALL SELECT 'extra', y_learn FROM extra_rows WHERE segment = 'HOUSEHOLD')
+              GROUP BY ROLLUP (source))""",
+    LEARN_SPLIT_CTES,
+)
+_OOF_COHORT = f"""
+oofj AS (SELECT p.y_true, p.y_pred, p.segment, t.priority, t.nation, t.line_flag
+         FROM preds p JOIN train_rows t USING (row_id) WHERE p.split = 'val' AND p.strategy = 'baseline'),
+oof_long AS (
+  SELECT y_true, y_pred, 'segment' AS cohort_feature, segment AS cohort_value FROM oofj
+  UNION ALL SELECT y_true, y_pred, 'priority', priority FROM oofj
+  UNION ALL SELECT y_true, y_pred, 'nation', nation FROM oofj
+  UNION ALL SELECT y_true, y_pred, 'line_flag', line_flag FROM oofj
+),
+oof_cohorts AS (
+  SELECT cohort_feature, cohort_value, n, {ratio('pos', 'n')} AS positive_rate, {ratios()}, tn, fp, fn, tp
+  FROM (SELECT cohort_feature, cohort_value, {counts()}, count(*) FILTER (WHERE y_true = 1) AS pos
+        FROM oof_long WHERE cohort_value IS NOT NULL GROUP BY cohort_feature, cohort_value)
+)
+"""
+SQL["cohort_summary"] = with_views(
+    """SELECT cohort_feature, cohort_value, n, positive_rate, recall, tn, fp, fn, tp,
+              CAST(row_number() OVER (PARTITION BY cohort_feature ORDER BY recall ASC, n DESC, cohort_value) AS INTEGER) AS position
+       FROM oof_cohorts""",
+    RATE_CTES + "," + _OOF_COHORT,
+)
+SQL["align_predictions"] = with_views(
+    "SELECT t.row_id, t.y_learn, t.segment, t.total_price, "
+    + _scaled("total_price", src="t", fit="train_rows").replace("AS total_price", "AS total_price_scaled")
+    + """, p.fold, p.y_pred, p.y_true <> p.y_pred AS is_error
+       FROM train_rows t JOIN preds p ON p.row_id = t.row_id AND p.split = 'val' AND p.strategy = 'baseline'""",
+    RATE_CTES,
+)
+SQL["final_test_rate"] = with_views("SELECT * FROM final_row", RATE_CTES)
+SQL["final_vs_cohort"] = with_views(
+    """SELECT 'accuracy' AS metric, global_accuracy AS global_value, cohort_accuracy AS cohort_value FROM final_row
+       UNION ALL SELECT 'precision', global_precision, cohort_precision FROM final_row
+       UNION ALL SELECT 'recall', global_recall, cohort_recall FROM final_row
+       UNION ALL SELECT 'f1', global_f1, cohort_f1 FROM final_row""",
+    RATE_CTES,
+)
+SQL["best_strategy_tvt"] = with_views(
+    """SELECT m.metric, m.train, m.val, t.test FROM (
+         SELECT 'accuracy' AS metric, round(avg(train_accuracy), 6) AS train, round(avg(val_accuracy), 6) AS val FROM fm_sel
+         UNION ALL SELECT 'precision', round(avg(train_precision), 6), round(avg(val_precision), 6) FROM fm_sel
+         UNION ALL SELECT 'recall', round(avg(train_recall), 6), round(avg(val_recall), 6) FROM fm_sel
+         UNION ALL SELECT 'f1', round(avg(train_f1), 6), round(avg(val_f1), 6) FROM fm_sel) m
+       JOIN (SELECT 'accuracy' AS metric, global_accuracy AS test FROM final_row
+             UNION ALL SELECT 'precision', global_precision FROM final_row
+             UNION ALL SELECT 'recall', global_recall FROM final_row
+             UNION ALL SELECT 'f1', global_f1 FROM final_row) t USING (metric)""",
+    RATE_CTES + ", fm_sel AS (SELECT * FROM fold_metrics WHERE strategy IN (SELECT strategy FROM selected))",
+)
+SQL["report_json"] = with_views(
+    """SELECT CAST(to_json({'rank': rank, 'strategy': strategy, 'global_n': global_n, 'global_tp': global_tp,
+                            'cohort_n': cohort_n, 'cohort_tp': cohort_tp}) AS VARCHAR) AS report FROM ranked""",
+    RATE_CTES,
+)
+SQL["roundtrip_csv"] = SQL["load_labelled"]
+
+CURVE_CTES = """
+lc_sub_rank AS (SELECT *, row_number() OVER (PARTITION BY eval_fold ORDER BY md5('42:subset:' || row_id), row_id) AS lrk
+                FROM cv_fold_long WHERE split = 'train'),
+lc_n AS (SELECT eval_fold, count(*) AS n FROM cv_fold_long WHERE split = 'train' GROUP BY eval_fold),
+lc_size AS (SELECT eval_fold, fr.f AS fraction, least(n, greatest(CAST(floor(n * fr.f) AS BIGINT), 50)) AS subset_n
+            FROM lc_n, (SELECT CAST(range AS DECIMAL(4,2)) / 10 AS f FROM range(1, 11)) fr),
+lc_subsets AS (SELECT s.eval_fold, z.fraction, s.row_id, s.y_learn, s.segment, s.priority
+               FROM lc_sub_rank s JOIN lc_size z USING (eval_fold) WHERE s.lrk <= z.subset_n),
+""" + _rule("lc_subsets", "lc_", "eval_fold, fraction") + f""",
+lc_preds AS (
+  SELECT s.eval_fold AS fold, s.fraction, 'train' AS split, s.y_learn AS y_true, r.pred AS y_pred
+  FROM lc_subsets s JOIN lc_rule r USING (eval_fold, fraction, segment, priority)
+  UNION ALL
+  SELECT v.eval_fold, z.fraction, 'val', v.y_learn, coalesce(r.pred, 0)
+  FROM cv_fold_long v JOIN lc_size z ON z.eval_fold = v.eval_fold
+  LEFT JOIN lc_rule r ON r.eval_fold = v.eval_fold AND r.fraction = z.fraction
+                     AND r.segment = v.segment AND r.priority = v.priority
+  WHERE v.split = 'val'
+),
+lc_m AS (SELECT fraction, fold, split, {ratios()} FROM (SELECT fraction, fold, split, {counts()} FROM lc_preds GROUP BY ALL)),
+curve AS (
+  SELECT CAST(fraction AS DOUBLE) AS fraction,
+         round(avg(f1) FILTER (WHERE split = 'train'), 6) AS train_f1,
+         round(avg(f1) FILTER (WHERE split = 'val'), 6) AS val_f1,
+         round(avg(recall) FILTER (WHERE split = 'train'), 6) AS train_recall,
+         round(avg(recall) FILTER (WHERE split = 'val'), 6) AS val_recall,
+         CAST(floor((SELECT count(*) FROM train_rows) * 0.8 * fraction) AS BIGINT) AS n_samples
+  FROM lc_m GROUP BY fraction
+)
+"""
+SQL["learning_curve_rate"] = with_views("SELECT * FROM curve", RATE_CTES + "," + CURVE_CTES)
+SQL["curve_verdict"] = with_views(
+    """SELECT round(tf - vf, 6) AS gap_f1, round(vf - vm, 6) AS trend, tf - vf > 0.15 AS overfit, vf - vm > 0.02 AS still_rising
+       FROM (SELECT arg_max(train_f1, fraction) AS tf, arg_max(val_f1, fraction) AS vf,
+                    max(val_f1) FILTER (WHERE pos = 5) AS vm
+             FROM (SELECT *, row_number() OVER (ORDER BY fraction) - 1 AS pos FROM curve))""",
+    RATE_CTES + "," + CURVE_CTES,
+)
+
+
+def aug_protocol(src: str, p: str, cohort: str) -> str:
+    return (
+        fold_ctes(src, p, key="uid")
+        + ",\n"
+        + _rule(f"(SELECT * FROM {p}fold_long WHERE split = 'train')", p, "eval_fold")
+        + f""",
+{p}preds AS (SELECT v.*, coalesce(r.pred, 0) AS y_pred FROM {p}fold_long v
+             LEFT JOIN {p}rule r ON r.eval_fold = v.eval_fold AND r.segment = v.segment AND r.priority = v.priority
+             WHERE v.split = 'val'),
+{p}row AS (SELECT {ratios('global_', 4)}, global_fp, global_fn, global_tp, global_n,
+                  {ratios('cohort_', 4)}, cohort_fp, cohort_fn, cohort_tp, cohort_n
+           FROM (SELECT {counts('y_learn', 'y_pred', prefix='global_')},
+                        {counts('y_learn', 'y_pred', where=cohort, prefix='cohort_')} FROM {p}preds))"""
+    )
+
+
+AUG_CTES = (
+    """
+ab_src AS (SELECT row_id, 0 AS syn_j, y_learn, segment, priority, 'train' AS src, row_id || ':0' AS uid FROM train_rows),
+ar_src AS (SELECT * FROM ab_src UNION ALL
+           SELECT row_id, 0, y_learn, segment, priority, 'extra', row_id || ':0' FROM extra_rows),
+atr AS (SELECT 0 AS eval_fold, row_id, y_learn, segment, priority FROM train_rows),
+"""
+    + _smote_rows("atr", "as_")
+    + """,
+as_src AS (SELECT * FROM ab_src UNION ALL
+           SELECT row_id, syn_j, y_learn, segment, priority, 'synthetic', row_id || ':' || syn_j FROM as_syn),
+"""
+    + aug_protocol("ab_src", "ab_", "segment = 'HOUSEHOLD' AND src = 'train'")
+    + ",\n"
+    + aug_protocol("ar_src", "ar_", "src = 'extra'")
+    + ",\n"
+    + aug_protocol("as_src", "asm_", "segment = 'HOUSEHOLD' AND src = 'train'")
+)
+SQL["augmentation_rate"] = with_views(
+    """SELECT 'baseline' AS strategy, * FROM ab_row UNION ALL SELECT 'real_data', * FROM ar_row
+       UNION ALL SELECT 'smote', * FROM asm_row""",
+    LEARN_SPLIT_CTES + "," + AUG_CTES,
+)
