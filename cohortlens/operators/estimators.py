@@ -51,26 +51,34 @@ class BalancedWeights(Transformer, HasLabelCol, HasOutputCol):
 
 class _GroupRateParams(HasLabelCol):
     groupCols = Param(Params._dummy(), "groupCols", "group columns", TypeConverters.toListString)
+    modelCols = Param(Params._dummy(), "modelCols", "one independent model per value of these columns", TypeConverters.toListString)
     predictionCol = Param(Params._dummy(), "predictionCol", "prediction column", TypeConverters.toString)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(predictionCol="prediction")
+        self._setDefault(predictionCol="prediction", modelCols=[])
 
 
 class GroupRateClassifier(Estimator, _GroupRateParams):
     @keyword_only
-    def __init__(self, *, groupCols=None, labelCol="label", predictionCol="prediction"):
+    def __init__(self, *, groupCols=None, labelCol="label", predictionCol="prediction", modelCols=None):
         super().__init__()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
+    def with_models(self, cols: list[str]) -> "GroupRateClassifier":
+        """Same estimator fitting one model per value of ``cols`` in one job."""
+        return GroupRateClassifier(groupCols=self.getOrDefault("groupCols"), labelCol=self.getLabelCol(),
+                                   predictionCol=self.getOrDefault("predictionCol"), modelCols=cols)
+
     def _fit(self, df: DataFrame) -> "GroupRateModel":
         g, y = self.getOrDefault("groupCols"), self.getLabelCol()
-        stats = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_ng"), F.count_if(F.col(y) == 1).alias("_pg"))
-        w = Window.partitionBy(F.lit(0))  # over the group table only
+        mc = self.getOrDefault("modelCols")
+        stats = df.groupBy(*mc, *g).agg(F.count(F.lit(1)).alias("_ng"), F.count_if(F.col(y) == 1).alias("_pg"))
+        # per-model totals over the small group table
+        w = Window.partitionBy(*mc) if mc else Window.partitionBy(F.lit(0))
         stats = stats.withColumn("_n", F.sum("_ng").over(w)).withColumn("_p", F.sum("_pg").over(w))
-        rule = stats.select(*g, (F.col("_pg") * F.col("_n") >= F.col("_p") * F.col("_ng")).cast("int").alias("_rule"))
-        m = GroupRateModel(groupCols=g, predictionCol=self.getOrDefault("predictionCol"))
+        rule = stats.select(*mc, *g, (F.col("_pg") * F.col("_n") >= F.col("_p") * F.col("_ng")).cast("int").alias("_rule"))
+        m = GroupRateModel(groupCols=[*mc, *g], predictionCol=self.getOrDefault("predictionCol"))
         m.rules = rule
         return m
 

@@ -131,3 +131,73 @@ def smote_cohort(
         "cohort_synthetic_n": st["synthetic_n"],
     }
     return out, stats
+
+
+def smote_grouped(
+    df: DataFrame,
+    target: str,
+    by: list[str],
+    vec: str = "x",
+    k: int = 5,
+    seed: int = 42,
+    key: str = "row_id",
+    carry: list[str] | None = None,
+    vectors: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """SMOTE run independently inside every group of ``by`` (e.g. per fold), in one plan.
+
+    Class sizes, the minority label and the no-op rule are decided per group
+    inside the plan (no driver round trip per group); per group the result
+    equals ``smote`` on that group alone.  Returns (rows, stats per group).
+    """
+    from pyspark.sql import Window
+
+    carry = [c for c in (carry or []) if c not in (key, target, vec, *by)]
+    cc = df.groupBy(*by, target).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*by)
+    w_min = Window.partitionBy(*by).orderBy("_c", target)
+    info = (
+        cc.withColumn("_ncls", F.count(F.lit(1)).over(w))
+        .withColumn("_m", F.min("_c").over(w))
+        .withColumn("_big", F.max("_c").over(w))
+        .withColumn("_tot", F.sum("_c").over(w))
+        .withColumn("_rk", F.row_number().over(w_min))
+        .where("_rk = 1")
+    )
+    stats = info.select(
+        *by,
+        F.col("_tot").alias("original_n"),
+        F.col("_m").alias("minority_n"),
+        F.col("_big").alias("majority_n"),
+        F.when((F.col("_ncls") == 2) & (F.col("_m") >= 2), F.col("_tot") + F.col("_big") - F.col("_m")).otherwise(F.col("_tot")).alias("resampled_n"),
+        F.when((F.col("_ncls") == 2) & (F.col("_m") >= 2), F.col("_big") - F.col("_m")).otherwise(F.lit(0)).cast("long").alias("synthetic_n"),
+    )
+    active = info.where((F.col("_ncls") == 2) & (F.col("_m") >= 2) & (F.col("_m") < F.col("_big"))).select(
+        *by, F.col(target).alias("_ym"), F.col("_m"), (F.col("_big") - F.col("_m")).alias("_nsyn"),
+        F.least(F.lit(k), F.col("_m") - 1).alias("_k"),
+    )
+    base = df.select(*by, key, target, vec, *carry).withColumn("syn_j", F.lit(0)).withColumn("is_synthetic", F.lit(False)).withColumn(
+        "neighbour_id", F.lit(None).cast(df.schema[key].dataType)
+    )
+    minority = df.join(active, by, "inner").where(F.col(target) == F.col("_ym")).select(*by, key, target, vec, *carry, "_m", "_nsyn", "_k")
+    pos = hashed_rank(minority, by, seed, key, "_pos", salt="smote")
+    reps = pos.withColumn(
+        "_r", F.expr("_nsyn div _m") + F.when(F.col("_pos") <= F.col("_nsyn") % F.col("_m"), 1).otherwise(0)
+    ).where("_r > 0")
+    syn = reps.withColumn("syn_j", F.explode(F.sequence(F.lit(1), F.col("_r").cast("int"))))
+    if not vectors:
+        synthetic = syn.select(
+            *by, key, target, F.lit(None).cast(df.schema[vec].dataType).alias(vec), *carry, "syn_j",
+            F.lit(True).alias("is_synthetic"), F.lit(None).cast(df.schema[key].dataType).alias("neighbour_id"),
+        )
+        return base.unionByName(synthetic), stats
+    nn = knn(minority.select(*by, key, vec), k, key=key, vec=vec, by=by)
+    syn = syn.withColumn("nn_rank", (portable_hash(seed, F.lit("nn"), F.col(key), F.col("syn_j")) % F.col("_k") + 1).cast("int"))
+    syn = syn.withColumn("_gap", hash_unit(seed, F.lit("gap"), F.col(key), F.col("syn_j")))
+    syn = syn.join(nn.select(*by, key, "nn_rank", "neighbour_id"), [*by, key, "nn_rank"], "inner")
+    syn = syn.join(minority.select(*by, F.col(key).alias("neighbour_id"), F.col(vec).alias("_q")), [*by, "neighbour_id"], "inner")
+    synthetic = syn.select(
+        *by, key, target, F.zip_with(vec, "_q", lambda b, q: b + F.col("_gap") * (q - b)).alias(vec), *carry, "syn_j",
+        F.lit(True).alias("is_synthetic"), "neighbour_id",
+    )
+    return base.unionByName(synthetic), stats

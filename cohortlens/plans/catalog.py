@@ -332,7 +332,7 @@ def _memo(spark, key, fn):
 def rate_learner() -> CV.Learner:
     est = GroupRateClassifier(groupCols=["segment", "priority"], labelCol="y_learn")
     feat = lambda train: (lambda df: df.withColumn("x", F.array("total_price", "acctbal")))
-    return CV.Learner(est, feat, "x", needs_vectors=False)
+    return CV.Learner(est, feat, "x", needs_vectors=False, stateless_features=True)
 
 
 RATE_SPEC = CV.Spec(target="y_learn", cohort_column=P.FOCUS_COLUMN, cohort_value=P.FOCUS_VALUE, k=K_FOLDS, seed=SEED, carry=["priority"])

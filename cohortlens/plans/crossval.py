@@ -44,6 +44,14 @@ class Learner:
     featurizer: Featurizer | None = None
     vec: str = "x"
     needs_vectors: bool = True
+    stateless_features: bool = False
+
+    @property
+    def batched(self) -> bool:
+        """All fold models can be fitted as one grouped job: the estimator
+        supports model-key columns and preparation does not depend on the
+        training rows."""
+        return hasattr(self.estimator, "with_models") and (self.featurizer is None or self.stateless_features)
 
 
 @dataclass
@@ -140,6 +148,8 @@ def strategy_cv(
     fold_col: str = "fold",
 ) -> tuple[DataFrame, DataFrame]:
     """Same folds for every strategy; returns (predictions, SMOTE fold stats)."""
+    if learner.batched:
+        return _strategy_cv_batched(df, extra, learner, spec, strategies, fold_col)
     parts, stats = [], []
     folds = list(range(1, spec.k + 1))
     # every fold and strategy re-reads the input: write it once
@@ -176,6 +186,74 @@ def strategy_cv(
     return preds, fold_stats
 
 
+def _strategy_cv_batched(df, extra, learner: Learner, spec: Spec, strategies, fold_col: str):
+    """Every (strategy, fold) model in one fit: fold rows are laid out long
+    (row x eval_fold), SMOTE runs grouped by fold, and the estimator fits one
+    model per (strategy, eval_fold) key in a single grouped job."""
+    df = materialize(df, "cv-input")
+    extra = materialize(extra, "cv-extra") if extra is not None else None
+    f = _featurize(learner, df)
+    carried = spec.carried()
+    long = SP.fold_membership(f(df), spec.k, fold_col)
+    train_long = long.where(F.col("split") == "train").drop("split", fold_col)
+    val_long = long.where(F.col("split") == "val").drop("split", fold_col)
+
+    def base(t: DataFrame, origin: str) -> DataFrame:
+        return t.select("eval_fold", spec.key, spec.target, learner.vec, *carried).withColumn("syn_j", F.lit(0)).withColumn(
+            "is_synthetic", F.lit(False)
+        ).withColumn("origin", F.lit(origin))
+
+    def grouped_smote(t: DataFrame):
+        rows, st = RS.smote_grouped(t, spec.target, ["eval_fold"], learner.vec, spec.k_nn, spec.seed, spec.key, carried, learner.needs_vectors)
+        return rows.drop("neighbour_id").withColumn("origin", F.when(F.col("is_synthetic"), "synthetic").otherwise("train")), st
+
+    fits, present, cohort_stats = [], [], None
+    for s in strategies:
+        if s == "real_data" and extra is None:
+            continue
+        present.append(s)
+        if s == "baseline":
+            rows = base(train_long, "train")
+        elif s == "real_data":
+            ex = f(extra).withColumn("eval_fold", F.explode(F.sequence(F.lit(1), F.lit(spec.k))))
+            rows = base(train_long, "train").unionByName(base(ex, "extra"))
+        elif s == "smote":
+            rows, _ = grouped_smote(train_long)
+        elif s == "smote_cohort":
+            tagged = train_long.withColumn("_in", F.coalesce(spec.in_cohort(), F.lit(False)))
+            rows_c, cohort_stats = grouped_smote(tagged.where("_in").drop("_in"))
+            rows = base(tagged.where(~F.col("_in")).drop("_in"), "train").unionByName(rows_c)
+        else:
+            raise ValueError(f"Unknown strategy: {s}")
+        fits.append(rows.select(*rows.columns).withColumn("strategy", F.lit(s)))
+    fit_all = materialize(M.union_all(fits), "cv-fit", ["strategy"])
+    model = learner.estimator.with_models(["strategy", "eval_fold"]).fit(fit_all)
+    cols = lambda split, syn, origin: [
+        "strategy", F.col("eval_fold").cast("int").alias("fold"), F.lit(split).alias("split"), spec.key,
+        syn, F.col(spec.target).cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
+        spec.cohort_column, origin,
+    ]
+    tp = model.transform(fit_all).select(*cols("train", F.col("syn_j").cast("int").alias("syn_j"), F.col("origin")))
+    vx = val_long.withColumn("strategy", F.explode(F.array(*[F.lit(x) for x in present])))
+    vp = model.transform(vx).select(*cols("val", F.lit(0).alias("syn_j"), F.lit("train").alias("origin")))
+    preds = materialize(tp.unionByName(vp), "predictions", ["strategy"])
+    if cohort_stats is None:
+        st_df = df.sparkSession.createDataFrame([], "strategy string, fold int, cohort_original_n long")
+    else:
+        st_df = cohort_stats.select(
+            F.lit("smote_cohort").alias("strategy"), F.col("eval_fold").cast("int").alias("fold"),
+            F.col("original_n").alias("cohort_original_n"), F.col("minority_n").alias("cohort_original_minority_n"),
+            F.col("majority_n").alias("cohort_original_majority_n"), F.col("resampled_n").alias("cohort_resampled_n"),
+            F.col("synthetic_n").alias("cohort_synthetic_n"),
+        )
+    sizes = preds.where("split = 'train'").groupBy("strategy", "fold").agg(
+        F.count(F.lit(1)).alias("fold_total_n_after_smote"),
+        F.count_if(F.col("syn_j") == 0).alias("train_fold_n"),
+        F.count_if((F.col("syn_j") == 0) & spec.in_cohort()).alias("cohort_fold_n"),
+    )
+    return preds, materialize(st_df.join(sizes, ["strategy", "fold"], "inner"), "cv-fold-stats")
+
+
 def comparison(predictions: DataFrame, spec: Spec) -> DataFrame:
     """Global and cohort validation metrics per strategy (one aggregate)."""
     val = predictions.where(F.col("split") == "val")
@@ -223,7 +301,14 @@ def augmentation_comparison(df: DataFrame, extra: DataFrame | None, learner: Lea
         keyed = table.withColumn("_uid", F.concat_ws(":", F.col(spec.key).cast("string"), F.col("syn_j").cast("string")))
         folded = materialize(SP.add_folds(keyed, spec.target, spec.k, spec.seed, key="_uid"), f"aug-folds-{name}")
         preds = []
-        for i in range(1, spec.k + 1):
+        if learner.batched:
+            long = SP.fold_membership(folded, spec.k, "fold")
+            tr = long.where(F.col("split") == "train")
+            model = learner.estimator.with_models(["eval_fold"]).fit(tr)
+            preds.append(model.transform(long.where(F.col("split") == "val")).select(
+                spec.key, "syn_j", spec.cohort_column, "_src", F.col(spec.target).cast("int").alias("y_true"),
+                F.col("prediction").cast("int").alias("y_pred")))
+        for i in (range(1, spec.k + 1) if not learner.batched else []):
             train = folded.where(F.col("fold") != i)
             val = folded.where(F.col("fold") == i)
             f = _featurize(learner, train) if name != "smote" else (lambda d: d)
@@ -254,6 +339,22 @@ def learning_curve(df: DataFrame, learner: Learner, spec: Spec, fractions=FRACTI
     """Mean train/val F1 and recall over folds for growing nested subsets."""
     parts = []
     df = materialize(df, "curve-input")
+    if learner.batched:
+        f = _featurize(learner, df)
+        long = SP.fold_membership(f(df), spec.k, fold_col)
+        train_long = long.where(F.col("split") == "train").drop("split", fold_col)
+        subsets = materialize(SP.learning_subsets(train_long, ["eval_fold"], fractions, min_rows, spec.seed, spec.key), "curve-subsets")
+        model = learner.estimator.with_models(["eval_fold", "fraction"]).fit(subsets)
+        frs = F.array(*[F.lit(Decimal(str(x))).cast("decimal(4,2)") for x in fractions])
+        val = long.where(F.col("split") == "val").drop("split", fold_col).withColumn("fraction", F.explode(frs))
+        for split, table in (("train", subsets), ("val", val)):
+            parts.append(
+                model.transform(table).select(
+                    F.col("eval_fold").alias("fold"), F.col("fraction").cast("double").alias("fraction"), F.lit(split).alias("split"),
+                    F.col(spec.target).cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
+                )
+            )
+        return _curve_table(df, parts, spec)
     for i in range(1, spec.k + 1):
         train = df.where(F.col(fold_col) != i).withColumn("eval_fold", F.lit(i))
         val = df.where(F.col(fold_col) == i)
@@ -269,6 +370,10 @@ def learning_curve(df: DataFrame, learner: Learner, spec: Spec, fractions=FRACTI
                         F.col(spec.target).cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
                     )
                 )
+    return _curve_table(df, parts, spec)
+
+
+def _curve_table(df: DataFrame, parts: list, spec: Spec) -> DataFrame:
     p = materialize(M.union_all(parts), "learning-curve")
     per = M.binary_metrics(p, ["fraction", "fold", "split"])
     tr, va = F.col("split") == "train", F.col("split") == "val"
