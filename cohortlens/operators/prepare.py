@@ -30,29 +30,74 @@ from cohortlens.operators.profile import feature_groups
 SCALE_EPS = 10 * 2.220446049250313e-16  # below this a std counts as zero
 
 
-def exact_median(df: DataFrame, col: str, buckets: int = 256) -> float | None:
-    """Exact median (mean of the two middle values for an even count)."""
-    v = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    d = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+def exact_medians(df: DataFrame, cols: list[str], buckets: int | None = None) -> dict[str, float | None]:
+    """Exact medians of several numeric columns in three jobs.
+
+    1. approximate quantiles of every column (one aggregate) give ``buckets``
+       value ranges per column with about equal row counts;
+    2. one aggregate counts rows per (column, bucket); the buckets holding
+       the middle ranks are found on that small table;
+    3. only rows of those buckets are grouped by value and ordered, so no task
+       ever orders a whole column (a hot value is one row after grouping).
+    For an even count the two middle values are averaged.
+    """
+    if not cols:
+        return {}
+    x = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in cols])
+    if buckets is None:
+        # enough ranges that the ordered bucket stays ~100k rows, at most 1024
+        n_max = x.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        buckets = int(min(1024, max(16, n_max // 100_000)))
     probs = [i / buckets for i in range(1, buckets)]
-    head = d.agg(F.percentile_approx("v", probs, 20 * buckets).alias("q"), F.sum("c").alias("n")).first()
-    n = head["n"]
-    if not n:
-        return None
-    splits = [-math.inf] + sorted(set(float(x) for x in head["q"])) + [math.inf]
-    b = Bucketizer(splits=splits, inputCol="v", outputCol="b").transform(d)
-    bc = b.groupBy("b").agg(F.sum("c").alias("bc"))  # at most `buckets` rows
-    w = Window.partitionBy(F.lit(0)).orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    bc = bc.withColumn("hi", F.sum("bc").over(w)).withColumn("lo", F.col("hi") - F.col("bc"))
-    k1, k2 = (n + 1) // 2, n // 2 + 1
-    hit = ((F.col("lo") < k1) & (F.col("hi") >= k1)) | ((F.col("lo") < k2) & (F.col("hi") >= k2))
-    targets = bc.where(hit).select("b", "lo")  # at most two rows
-    sel = b.join(F.broadcast(targets), "b", "inner")
-    w2 = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    sel = sel.withColumn("cum", F.sum("c").over(w2) + F.col("lo"))
-    pick = lambda k: F.max(F.when((F.col("cum") - F.col("c") < k) & (F.col("cum") >= k), F.col("v")))
-    r = sel.agg(pick(k1).alias("v1"), pick(k2).alias("v2")).first()
-    return (r["v1"] + r["v2"]) / 2.0
+    head = x.agg(
+        *[F.percentile_approx(c, probs, 20 * buckets).alias(f"q_{i}") for i, c in enumerate(cols)],
+        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
+    ).first()
+    out: dict[str, float | None] = {c: None for c in cols}
+    live = [(i, c) for i, c in enumerate(cols) if head[f"n_{i}"]]
+    if not live:
+        return out
+    splits = [[-math.inf] + sorted(set(float(v) for v in head[f"q_{i}"])) + [math.inf] for i, _ in live]
+    bz = Bucketizer(
+        splitsArray=splits, inputCols=[c for _, c in live], outputCols=[f"b_{i}" for i, _ in live], handleInvalid="keep"
+    )
+    long = bz.transform(x).select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).alias("v"), F.col(f"b_{i}").alias("b")) for i, c in live])).alias("r")
+    ).select("r.*").where(F.col("v").isNotNull())
+    counts = long.groupBy("f", "b").agg(F.count(F.lit(1)).alias("c")).collect()  # columns x buckets rows
+    targets = []  # (feature, bucket, rows before the bucket, [ranks])
+    for _, c in live:
+        n = head[f"n_{cols.index(c)}"]
+        ks = sorted({(n + 1) // 2, n // 2 + 1})
+        seen = 0
+        for r in sorted((r for r in counts if r["f"] == c), key=lambda r: r["b"]):
+            hit = [k for k in ks if seen < k <= seen + r["c"]]
+            if hit:
+                targets.append((c, float(r["b"]), seen, hit))
+            seen += r["c"]
+    spark = df.sparkSession
+    tdf = spark.createDataFrame([(c, b, lo) for c, b, lo, _ in targets], "f string, b double, lo long")
+    sel = long.join(F.broadcast(tdf), ["f", "b"], "inner").groupBy("f", "b", "lo", "v").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy("f", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    sel = sel.withColumn("cum", F.sum("c").over(w) + F.col("lo"))
+    picks = []
+    for c, b, lo, ks in targets:
+        for k in ks:
+            picks.append((c, b, k))
+    pdf = spark.createDataFrame(picks, "f string, b double, k long")
+    got = sel.join(F.broadcast(pdf), ["f", "b"], "inner").where((F.col("cum") - F.col("c") < F.col("k")) & (F.col("cum") >= F.col("k")))
+    vals: dict[str, dict[int, float]] = {}
+    for r in got.select("f", "k", "v").collect():  # at most two rows per column
+        vals.setdefault(r["f"], {})[r["k"]] = r["v"]
+    for _, c in live:
+        n = head[f"n_{cols.index(c)}"]
+        v1, v2 = vals[c][(n + 1) // 2], vals[c][n // 2 + 1]
+        out[c] = (v1 + v2) / 2.0
+    return out
+
+
+def exact_median(df: DataFrame, col: str, buckets: int | None = None) -> float | None:
+    return exact_medians(df, [col], buckets)[col]
 
 
 def value_counts(df: DataFrame, col: str) -> list[tuple[str, int]]:
@@ -64,7 +109,7 @@ def value_counts(df: DataFrame, col: str) -> list[tuple[str, int]]:
 def fit_statistics(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict:
     """median, mean and population std (after imputation); mode and vocabulary."""
     stats: dict = {"numeric": {}, "categorical": {}, "numeric_order": numeric, "categorical_order": categorical}
-    medians = {c: exact_median(df, c) for c in numeric}
+    medians = exact_medians(df, numeric)
     if numeric:
         aggs = []
         for c in numeric:

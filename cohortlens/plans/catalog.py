@@ -186,7 +186,7 @@ def q_fit_stats(spark, sf_dir):
 def q_impute_median(spark, sf_dir):
     df = labelled(spark, sf_dir)
     cols = ["part_a", "part_b", "part_total"]
-    med = {c: PR.exact_median(df, c) for c in cols}
+    med = PR.exact_medians(df, cols)
     return df.select("row_id", *[F.coalesce(F.col(c), F.lit(med[c])).alias(c) for c in cols])
 
 
@@ -537,3 +537,130 @@ QUERIES.update(
         "augmentation_rate": q_augmentation_rate,
     }
 )
+
+
+# ---------------------------------------------------------------- learned models (rows-only checks)
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from cohortlens.operators.estimators import forest, logistic  # noqa: E402
+from cohortlens.plans import selection as SEL  # noqa: E402
+
+# query sizes (function defaults keep the reference sizes)
+RF_TREES, RF_DEPTH, RF_FOLDS = 20, 5, 3
+KEEP = ["row_id", "y_learn", "segment", "priority", "origin", "syn_j", "is_synthetic", "fold", "eval_fold", "_src", "_uid"]
+RF_SPEC = CV.Spec(target="y_learn", cohort_column=P.FOCUS_COLUMN, cohort_value=P.FOCUS_VALUE, k=RF_FOLDS, seed=SEED, carry=["priority"])
+
+
+def _prep_featurizer(train):
+    model = PR.TablePreprocessor(
+        numericCols=NUMERIC_FEATURES, categoricalCols=CATEGORICAL_FEATURES, keepCols=KEEP, arrayCol="x"
+    ).fit(train)
+    return lambda df: model.transform(df).drop("features")
+
+
+def rf_learner(depth=RF_DEPTH, min_leaf=1, balanced=True, trees=RF_TREES) -> CV.Learner:
+    return CV.Learner(forest("y_learn", "x", trees, depth, min_leaf, balanced, SEED), _prep_featurizer, "x", needs_vectors=True)
+
+
+def lr_learner(C=1.0, balanced=True, n_rows=None) -> CV.Learner:
+    return CV.Learner(logistic("y_learn", "x", C, balanced, n_rows), _prep_featurizer, "x", needs_vectors=True)
+
+
+def rf_inputs(spark, sf_dir):
+    train, _ = split_tables(spark, sf_dir)
+    cols = ["row_id", "y_learn", "segment", "priority", *[c for c in NUMERIC_FEATURES + CATEGORICAL_FEATURES if c != "segment"]]
+    df = SP.add_folds(train.select(*cols), "y_learn", RF_FOLDS, SEED)
+    extra = P.extra_rows(labelled(spark, sf_dir)).select(*cols)
+    return df, extra
+
+
+def rf_cv(spark, sf_dir):
+    def run():
+        df, extra = rf_inputs(spark, sf_dir)
+        return CV.strategy_cv(df, extra, rf_learner(), RF_SPEC)
+
+    return _memo(spark, ("rf_cv", sf_dir), run)
+
+
+def q_feature_vector(spark, sf_dir):
+    train, test = split_tables(spark, sf_dir)
+    f = _prep_featurizer(train)
+    return f(test).select("row_id", "x")
+
+
+def q_oof_predictions(spark, sf_dir):
+    preds, _ = rf_cv(spark, sf_dir)
+    return CV.oof_predictions(preds).drop("strategy")
+
+
+def q_strategy_cv(spark, sf_dir):
+    preds, _ = rf_cv(spark, sf_dir)
+    return CV.comparison(preds, RF_SPEC)
+
+
+def q_oof_cohort_report(spark, sf_dir):
+    preds, _ = rf_cv(spark, sf_dir)
+    oof = CV.oof_predictions(preds)
+    train, _ = split_tables(spark, sf_dir)
+    joined = oof.select("row_id", "y_true", "y_pred", "segment").join(train.select("row_id", "priority", "nation", "line_flag"), "row_id")
+    return M.worst_cohorts(M.cohort_metrics(joined, P.COHORT_COLUMNS))
+
+
+def rf_final(spark, sf_dir):
+    def run():
+        train, test = split_tables(spark, sf_dir)
+        df, extra = rf_inputs(spark, sf_dir)
+        sel = RP.selected_strategy(q_strategy_cv(spark, sf_dir)).first()["strategy"]
+        model, f, _ = CV.fit_final(df.drop("fold"), extra, sel, rf_learner(), RF_SPEC)
+        return model, f, sel, test
+
+    return _memo(spark, ("rf_final", sf_dir), run)
+
+
+def q_final_test_metrics(spark, sf_dir):
+    model, f, sel, test = rf_final(spark, sf_dir)
+    preds = CV.test_predictions(model, f, test, RF_SPEC, sel)
+    return M.global_vs_cohort(preds, RF_SPEC.cohort_column, RF_SPEC.cohort_value, by=["strategy"])
+
+
+def q_score_table(spark, sf_dir):
+    """Score the test split with the final model: class and P(1)."""
+    model, f, _, test = rf_final(spark, sf_dir)
+    out = model.transform(f(test.drop("y_learn")))
+    return out.select("row_id", F.col("prediction").cast("int").alias("prediction"), vector_to_array("probability")[1].alias("probability"))
+
+
+def q_baseline_selection(spark, sf_dir):
+    df, _ = rf_inputs(spark, sf_dir)
+    n_fit = None
+    cands = {
+        "logistic_regression": (lambda p: lr_learner(p["C"], p["balanced"], n_fit), [{"C": c, "balanced": True} for c in (0.1, 1.0, 10.0)]),
+        "random_forest": (lambda p: rf_learner(p["depth"], p["min_leaf"], p["balanced"]), [{"depth": d, "min_leaf": 1, "balanced": True} for d in (3, RF_DEPTH)]),
+    }
+    best, _ = SEL.grid_search(df, cands, RF_SPEC)
+    return best
+
+
+def q_learning_curve(spark, sf_dir):
+    df, _ = rf_inputs(spark, sf_dir)
+    return CV.learning_curve(df, rf_learner(), RF_SPEC)
+
+
+def q_augmentation_comparison(spark, sf_dir):
+    df, extra = rf_inputs(spark, sf_dir)
+    return CV.augmentation_comparison(df.drop("fold"), extra, rf_learner(), RF_SPEC)
+
+
+QUERIES.update(
+    {
+        "feature_vector": q_feature_vector,
+        "oof_predictions": q_oof_predictions,
+        "strategy_cv": q_strategy_cv,
+        "oof_cohort_report": q_oof_cohort_report,
+        "final_test_metrics": q_final_test_metrics,
+        "score_table": q_score_table,
+        "baseline_selection": q_baseline_selection,
+        "learning_curve": q_learning_curve,
+        "augmentation_comparison": q_augmentation_comparison,
+    }
+)
