@@ -88,8 +88,12 @@ def _with_origin(rows: DataFrame) -> DataFrame:
     return rows.drop("neighbour_id").withColumn("origin", F.when(F.col("is_synthetic"), "synthetic").otherwise("train"))
 
 
-def augment(strategy: str, train: DataFrame, extra: DataFrame | None, learner: Learner, spec: Spec):
-    """(fit table, featurize function, SMOTE stats or None) for one strategy."""
+def augment(strategy: str, train: DataFrame, extra: DataFrame | None, learner: Learner, spec: Spec, fitted=None):
+    """(fit table, featurize function, SMOTE stats or None) for one strategy.
+
+    ``fitted`` is an already fitted featurize function for ``train`` (shared
+    by the strategies that prepare on the sub-train alone).
+    """
     if strategy == "real_data":
         if extra is None:
             raise ValueError("The real_data strategy requires the extra dataset.")
@@ -98,7 +102,7 @@ def augment(strategy: str, train: DataFrame, extra: DataFrame | None, learner: L
         )
         f = _featurize(learner, both)
         return _base_rows(f(both), spec, learner, origin=None), f, None
-    f = _featurize(learner, train)
+    f = fitted or _featurize(learner, train)
     prepared = f(train)
     if strategy == "baseline":
         return _base_rows(prepared, spec, learner), f, None
@@ -155,13 +159,20 @@ def strategy_cv(
     # every fold and strategy re-reads the input: write it once
     df = materialize(df, "cv-input")
     extra = materialize(extra, "cv-extra") if extra is not None else None
+    prep: dict[int, Callable] = {}
     for s in strategies:
         if s == "real_data" and extra is None:
             continue
         for i in folds:
             train = df.where(F.col(fold_col) != i).drop(fold_col)
             val = df.where(F.col(fold_col) == i).drop(fold_col)
-            fit_rows, f, st = augment(s, train, extra, learner, spec)
+            shared = None
+            if s != "real_data":
+                if i not in prep:
+                    prep[i] = _featurize(learner, train)
+                shared = prep[i]
+            fit_rows, f, st = augment(s, train, extra, learner, spec, shared)
+            fit_rows = materialize(fit_rows, "cv-fit")  # read by the fit and by train scoring
             model = learner.estimator.fit(fit_rows)
             parts.append(_scored(model, fit_rows, spec, s, i, "train"))
             parts.append(_scored(model, f(val).withColumn("syn_j", F.lit(0)), spec, s, i, "val"))
@@ -355,17 +366,22 @@ def learning_curve(df: DataFrame, learner: Learner, spec: Spec, fractions=FRACTI
                 )
             )
         return _curve_table(df, parts, spec)
+    # as in the reference, the curve reads the table prepared once on the whole train
+    f = _featurize(learner, df)
+    prepared = materialize(f(df), "curve-prepared")
+    long = SP.fold_membership(prepared, spec.k, fold_col)
+    subsets = materialize(
+        SP.learning_subsets(long.where(F.col("split") == "train"), ["eval_fold"], fractions, min_rows, spec.seed, spec.key),
+        "curve-subsets",
+    )
     for i in range(1, spec.k + 1):
-        train = df.where(F.col(fold_col) != i).withColumn("eval_fold", F.lit(i))
-        val = df.where(F.col(fold_col) == i)
-        subsets = SP.learning_subsets(train, ["eval_fold"], fractions, min_rows, spec.seed, spec.key)
+        val = prepared.where(F.col(fold_col) == i)
         for fr in fractions:
-            sub = subsets.where(F.col("fraction") == F.lit(fr).cast("decimal(4,2)")).drop("eval_fold", "fraction", "subset_n", fold_col)
-            f = _featurize(learner, sub)
-            model = learner.estimator.fit(f(sub))
-            for split, table in (("train", sub), ("val", val.drop(fold_col))):
+            sub = subsets.where((F.col("eval_fold") == i) & (F.col("fraction") == F.lit(fr).cast("decimal(4,2)")))
+            model = learner.estimator.fit(sub)
+            for split, table in (("train", sub), ("val", val)):
                 parts.append(
-                    model.transform(f(table)).select(
+                    model.transform(table).select(
                         F.lit(i).alias("fold"), F.lit(float(fr)).alias("fraction"), F.lit(split).alias("split"),
                         F.col(spec.target).cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
                     )
