@@ -17,11 +17,12 @@ from pyspark.ml import Estimator, Model, Pipeline, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param.shared import HasInputCol, HasLabelCol, HasOutputCol, Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-class ArrayToVector(Transformer, HasInputCol, HasOutputCol):
+class ArrayToVector(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     @keyword_only
     def __init__(self, *, inputCol="x", outputCol="features"):
         super().__init__()
@@ -31,7 +32,7 @@ class ArrayToVector(Transformer, HasInputCol, HasOutputCol):
         return df.withColumn(self.getOutputCol(), array_to_vector(F.col(self.getInputCol())))
 
 
-class BalancedWeights(Transformer, HasLabelCol, HasOutputCol):
+class BalancedWeights(Transformer, HasLabelCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """weight = n / (2 * n_class), from one aggregate over the fit table."""
 
     @keyword_only
