@@ -50,7 +50,7 @@ def knn(
     key: str = "row_id",
     vec: str = "x",
     by: list[str] | None = None,
-    target_per_cell: float = 16.0,
+    target_per_cell: float | None = None,
     max_levels: int = 64,
 ) -> DataFrame:
     """(by..., key, nn_rank, neighbour_id, distance) for the k nearest other points."""
@@ -70,6 +70,9 @@ def knn(
     span = [max(float(rng[f"hi{j}"]) - lo[j], 1e-12) for j in range(g)]
     uniq = _first_ids(pts, by, key, "_x", k + 1).persist(StorageLevel.MEMORY_AND_DISK)
     n_uniq = uniq.count()
+    if target_per_cell is None:
+        # beyond the grid dims, distances exceed the projected ones: start coarser
+        target_per_cell = float(min(256, 16 * 4 ** max(0, d - g)))
     w0 = (math.prod(span) * target_per_cell / max(n_uniq, 1)) ** (1.0 / g)
     w0 = min(w0, max(span))
     offsets = F.array(*[F.array(*[F.lit(o) for o in combo]) for combo in _offsets(g)])

@@ -106,6 +106,18 @@ def value_counts(df: DataFrame, col: str) -> list[tuple[str, int]]:
     return [(r[0], r[1]) for r in rows]
 
 
+def category_counts(df: DataFrame, cols: list[str]) -> dict[str, list[tuple[str, int]]]:
+    """(value, count) for several categorical columns in one job; size = vocabularies."""
+    out: dict[str, list[tuple[str, int]]] = {c: [] for c in cols}
+    if not cols:
+        return out
+    recs = F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v")) for c in cols]))
+    long = df.select(recs.alias("r")).select("r.*").where(F.col("v").isNotNull())
+    for r in long.groupBy("f", "v").agg(F.count(F.lit(1)).alias("c")).collect():
+        out[r["f"]].append((r["v"], r["c"]))
+    return out
+
+
 def fit_statistics(df: DataFrame, numeric: list[str], categorical: list[str]) -> dict:
     """median, mean and population std (after imputation); mode and vocabulary."""
     stats: dict = {"numeric": {}, "categorical": {}, "numeric_order": numeric, "categorical_order": categorical}
@@ -122,8 +134,9 @@ def fit_statistics(df: DataFrame, numeric: list[str], categorical: list[str]) ->
             m, s = row[f"m_{c}"], row[f"s_{c}"]
             scale = 1.0 if s is None or s < SCALE_EPS else float(s)
             stats["numeric"][c] = {"median": medians[c], "mean": m, "std": s, "scale": scale}
+    counts = category_counts(df, categorical)
     for c in categorical:
-        vc = value_counts(df, c)
+        vc = counts[c]
         mode = min(vc, key=lambda t: (-t[1], t[0]))[0] if vc else None
         stats["categorical"][c] = {"mode": mode, "vocabulary": sorted(v for v, _ in vc)}
     return stats
