@@ -664,3 +664,18 @@ QUERIES.update(
         "augmentation_comparison": q_augmentation_comparison,
     }
 )
+
+
+# ---------------------------------------------------------------- other labelled tables
+def q_validate_document_labels(spark, sf_dir):
+    """Target checks on documents left-joined with their quality labels (nulls = unlabelled)."""
+    return V.target_summary(P.document_labels(spark, sf_dir), "quality")
+
+
+def q_knn_embeddings(spark, sf_dir):
+    """Exact kNN in 64 dimensions among the embeddings of one label."""
+    pts = P.embedding_points(spark, sf_dir, label=0).where("y = 1")
+    return KN.knn(pts, K_NN, key="row_id", vec="features").withColumn("distance", F.round("distance", 6))
+
+
+QUERIES.update({"validate_document_labels": q_validate_document_labels, "knn_embeddings": q_knn_embeddings})

@@ -758,3 +758,20 @@ SQL["augmentation_rate"] = with_views(
        UNION ALL SELECT 'smote', * FROM asm_row""",
     LEARN_SPLIT_CTES + "," + AUG_CTES,
 )
+
+SQL["validate_document_labels"] = """
+SELECT count(*) AS n,
+       count(*) FILTER (WHERE l.quality IS NULL) AS n_null,
+       count(*) FILTER (WHERE l.quality IS NOT NULL AND l.quality NOT IN (0, 1)) AS n_invalid,
+       count(*) FILTER (WHERE l.quality = 1) AS n_positive,
+       (count(*) FILTER (WHERE l.quality IS NULL) = 0
+        AND count(*) FILTER (WHERE l.quality IS NOT NULL AND l.quality NOT IN (0, 1)) = 0) AS valid
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+
+SQL["knn_embeddings"] = """
+WITH pts AS (SELECT vec_id AS row_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label = 0),
+pairs AS (SELECT a.row_id, b.row_id AS neighbour_id,
+                 sqrt(list_sum(list_transform(list_zip(a.x, b.x), lambda t: (t[1] - t[2]) * (t[1] - t[2])))) AS distance
+          FROM pts a JOIN pts b ON a.row_id <> b.row_id),
+nn AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY distance, neighbour_id) AS nn_rank FROM pairs)
+SELECT row_id, CAST(nn_rank AS INTEGER) AS nn_rank, neighbour_id, round(distance, 6) AS distance FROM nn WHERE nn_rank <= 5"""
