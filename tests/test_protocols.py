@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.plans import catalog as C
 
-TABLES = "nation customer orders lineitem events".split()
+TABLES = "nation customer orders lineitem events documents labels embeddings".split()
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,7 @@ def rows_of(df):
 
 @pytest.mark.parametrize(
     "name",
-    ["worst_cohorts", "cohort_metrics", "stratified_split", "stratified_folds", "high_correlations", "strategy_cv_rate", "fold_metrics", "smote_cohort_counts", "learning_curve_rate"],
+    ["worst_cohorts", "cohort_metrics", "stratified_split", "stratified_folds", "high_correlations", "strategy_cv_rate", "fold_metrics", "smote_cohort_counts", "learning_curve_rate", "validate_document_labels", "knn_embeddings"],
 )
 def test_oracle_parity(spark, smoke_dir, duck, name):
     from oracle.sql import SQL
