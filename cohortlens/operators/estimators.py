@@ -21,6 +21,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.operators.joins import broadcast_if_small
+
 
 class ArrayToVector(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     @keyword_only
@@ -80,7 +82,8 @@ class GroupRateClassifier(Estimator, _GroupRateParams):
         stats = stats.withColumn("_n", F.sum("_ng").over(w)).withColumn("_p", F.sum("_pg").over(w))
         rule = stats.select(*mc, *g, (F.col("_pg") * F.col("_n") >= F.col("_p") * F.col("_ng")).cast("int").alias("_rule"))
         m = GroupRateModel(groupCols=[*mc, *g], predictionCol=self.getOrDefault("predictionCol"))
-        m.rules = rule
+        # one row per (model, group); scored rows join it on possibly hot group keys
+        m.rules = broadcast_if_small(rule.persist())
         return m
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.hashing import hash_unit, portable_hash
+from cohortlens.operators.joins import broadcast_if_small
 from cohortlens.operators.knn import knn
 from cohortlens.operators.split import hashed_rank
 
@@ -179,6 +180,9 @@ def smote_grouped(
     base = df.select(*by, key, target, vec, *carry).withColumn("syn_j", F.lit(0)).withColumn("is_synthetic", F.lit(False)).withColumn(
         "neighbour_id", F.lit(None).cast(df.schema[key].dataType)
     )
+    # one row per group; joined on a low-cardinality key (e.g. the fold), so it is
+    # broadcast after a size check instead of shuffling whole groups into single tasks
+    active = broadcast_if_small(active.persist())
     minority = df.join(active, by, "inner").where(F.col(target) == F.col("_ym")).select(*by, key, target, vec, *carry, "_m", "_nsyn", "_k")
     pos = hashed_rank(minority, by, seed, key, "_pos", salt="smote")
     reps = pos.withColumn(
