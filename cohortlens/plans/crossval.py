@@ -72,6 +72,19 @@ class Spec:
         return list(dict.fromkeys([*self.carry, self.cohort_column]))
 
 
+FIT_THREADS = 4  # concurrent fold fits submitted from the driver
+
+
+def run_concurrently(tasks: list[Callable], threads: int = FIT_THREADS) -> list:
+    """Run independent fits as concurrent Spark jobs; results keep task order."""
+    if threads <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return list(pool.map(lambda t: t(), tasks))
+
+
 def _featurize(learner: Learner, train: DataFrame):
     if learner.featurizer is None:
         return lambda df: df
@@ -159,25 +172,23 @@ def strategy_cv(
     # every fold and strategy re-reads the input: write it once
     df = materialize(df, "cv-input")
     extra = materialize(extra, "cv-extra") if extra is not None else None
-    prep: dict[int, Callable] = {}
-    for s in strategies:
-        if s == "real_data" and extra is None:
-            continue
-        for i in folds:
-            train = df.where(F.col(fold_col) != i).drop(fold_col)
-            val = df.where(F.col(fold_col) == i).drop(fold_col)
-            shared = None
-            if s != "real_data":
-                if i not in prep:
-                    prep[i] = _featurize(learner, train)
-                shared = prep[i]
-            fit_rows, f, st = augment(s, train, extra, learner, spec, shared)
-            fit_rows = materialize(fit_rows, "cv-fit")  # read by the fit and by train scoring
-            model = learner.estimator.fit(fit_rows)
-            parts.append(_scored(model, fit_rows, spec, s, i, "train"))
-            parts.append(_scored(model, f(val).withColumn("syn_j", F.lit(0)), spec, s, i, "val"))
-            if st is not None:
-                stats.append((s, i, st))
+    runs = [(s, i) for s in strategies if not (s == "real_data" and extra is None) for i in folds]
+    split = lambda i: (df.where(F.col(fold_col) != i).drop(fold_col), df.where(F.col(fold_col) == i).drop(fold_col))
+    # preparation fitted once per fold, shared by the strategies that prepare on the sub-train
+    prep = dict(zip(folds, run_concurrently([lambda i=i: _featurize(learner, split(i)[0]) for i in folds])))
+
+    def one(s: str, i: int):
+        train, val = split(i)
+        fit_rows, f, st = augment(s, train, extra, learner, spec, None if s == "real_data" else prep[i])
+        fit_rows = materialize(fit_rows, "cv-fit")  # read by the fit and by train scoring
+        model = learner.estimator.fit(fit_rows)
+        scored = [_scored(model, fit_rows, spec, s, i, "train"), _scored(model, f(val).withColumn("syn_j", F.lit(0)), spec, s, i, "val")]
+        return scored, st
+
+    for (s, i), (scored, st) in zip(runs, run_concurrently([lambda s=s, i=i: one(s, i) for s, i in runs])):
+        parts.extend(scored)
+        if st is not None:
+            stats.append((s, i, st))
     preds = materialize(M.union_all(parts), "predictions", ["strategy"])
     spark = df.sparkSession
     rows = []
@@ -374,18 +385,21 @@ def learning_curve(df: DataFrame, learner: Learner, spec: Spec, fractions=FRACTI
         SP.learning_subsets(long.where(F.col("split") == "train"), ["eval_fold"], fractions, min_rows, spec.seed, spec.key),
         "curve-subsets",
     )
-    for i in range(1, spec.k + 1):
+    def one(i, fr):
         val = prepared.where(F.col(fold_col) == i)
-        for fr in fractions:
-            sub = subsets.where((F.col("eval_fold") == i) & (F.col("fraction") == F.lit(fr).cast("decimal(4,2)")))
-            model = learner.estimator.fit(sub)
-            for split, table in (("train", sub), ("val", val)):
-                parts.append(
-                    model.transform(table).select(
-                        F.lit(i).alias("fold"), F.lit(float(fr)).alias("fraction"), F.lit(split).alias("split"),
-                        F.col(spec.target).cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
-                    )
-                )
+        sub = subsets.where((F.col("eval_fold") == i) & (F.col("fraction") == F.lit(fr).cast("decimal(4,2)")))
+        model = learner.estimator.fit(sub)
+        return [
+            model.transform(table).select(
+                F.lit(i).alias("fold"), F.lit(float(fr)).alias("fraction"), F.lit(split).alias("split"),
+                F.col(spec.target).cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
+            )
+            for split, table in (("train", sub), ("val", val))
+        ]
+
+    jobs = [(i, fr) for i in range(1, spec.k + 1) for fr in fractions]
+    for got in run_concurrently([lambda i=i, fr=fr: one(i, fr) for i, fr in jobs]):
+        parts.extend(got)
     return _curve_table(df, parts, spec)
 
 
