@@ -12,6 +12,12 @@
 3. Points without that certificate go to the next level with doubled cell
    width; at the level where one cell spans the whole range the block holds
    every vector, so the result is exact by construction.
+4. Dense regions start finer.  A cell holding more than ``dense_cell``
+   distinct vectors (a cluster of near copies) is split by halving the
+   width, repeatedly, and its vectors start at the coarsest level where
+   their home cell is small again.  So the pairs a point examines stay
+   bounded by its neighbourhood at its own scale, never by the size of a
+   hot cluster; the certificate is unchanged, so results stay exact.
 
 Ties are broken by neighbour key, so the result is deterministic and equals
 the brute-force ``row_number() over (partition by p order by dist, q)``.
@@ -22,13 +28,15 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.session import shared_dir
 
 GRID_DIMS = 3
 ID_BUCKETS = 1024
+DENSE_CELL = 512  # distinct vectors in one home cell before that cell is split
+MAX_REFINE = 40  # halvings of the start width (2^-40 of it) at most
 
 
 def _sqdist(a: str, b: str):
@@ -44,6 +52,43 @@ def _first_ids(points: DataFrame, by: list[str], key: str, vec: str, keep: int)
     return small.groupBy(*by, vec).agg(F.slice(F.array_sort(F.collect_list(key)), 1, keep).alias("_ids"))
 
 
+def _width(w0: float, level: Column) -> Column:
+    return F.lit(w0) * F.pow(F.lit(2.0), level.cast("double"))
+
+
+def _cell(col: str, width: Column, lo: list[float]) -> Column:
+    return F.array(*[F.floor((F.col(col)[j] - F.lit(lo[j])) / width).cast("long") for j in range(len(lo))])
+
+
+def _start_levels(uniq: DataFrame, by: list[str], w0: float, lo: list[float], dense_cell: int, max_refine: int):
+    """(by..., _x, _lvl): the coarsest level <= 0 whose home cell holds at most
+    ``dense_cell`` distinct vectors; None when no cell at level 0 is dense.
+
+    Each round counts vectors per cell among the vectors of the dense cells
+    of the round before (cells nest, since widths halve from one origin);
+    the hot-cell table has at most (vectors / dense_cell) rows.
+    """
+    cur = uniq.select(*by, "_x")
+    calm: list[DataFrame] = []
+    level = 0
+    while True:
+        tagged = cur.withColumn("_c", _cell("_x", F.lit(w0 * 2.0**level), lo))
+        hot = tagged.groupBy(*by, "_c").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > dense_cell).select(*by, "_c")
+        hot = hot.checkpoint(eager=True)
+        if hot.isEmpty() or level <= -max_refine:
+            if level == 0:
+                return None
+            calm.append(cur.withColumn("_lvl", F.lit(level)))
+            break
+        calm.append(tagged.join(hot, [*by, "_c"], "left_anti").select(*by, "_x", F.lit(level).alias("_lvl")))
+        cur = tagged.join(hot, [*by, "_c"], "left_semi").select(*by, "_x").checkpoint(eager=True)
+        level -= 1
+    out = calm[0]
+    for c in calm[1:]:
+        out = out.unionByName(c)
+    return out.checkpoint(eager=True)
+
+
 def knn(
     df: DataFrame,
     k: int,
@@ -52,6 +97,7 @@ def knn(
     by: list[str] | None = None,
     target_per_cell: float | None = None,
     max_levels: int = 64,
+    dense_cell: int = DENSE_CELL,
 ) -> DataFrame:
     """(by..., key, nn_rank, neighbour_id, distance) for the k nearest other points."""
     by = list(by or [])
@@ -68,49 +114,59 @@ def knn(
     rng = pts.agg(*[F.min(F.col("_x")[j]).alias(f"lo{j}") for j in range(g)], *[F.max(F.col("_x")[j]).alias(f"hi{j}") for j in range(g)]).first()
     lo = [float(rng[f"lo{j}"]) for j in range(g)]
     span = [max(float(rng[f"hi{j}"]) - lo[j], 1e-12) for j in range(g)]
-    uniq = _first_ids(pts, by, key, "_x", k + 1).persist(StorageLevel.MEMORY_AND_DISK)
+    uniq = _first_ids(pts, by, key, "_x", k + 1).checkpoint(eager=True)
     n_uniq = uniq.count()
     if target_per_cell is None:
         # beyond the grid dims, distances exceed the projected ones: start coarser
         target_per_cell = float(min(256, 16 * 4 ** max(0, d - g)))
     w0 = (math.prod(span) * target_per_cell / max(n_uniq, 1)) ** (1.0 / g)
     w0 = min(w0, max(span))
+    top = max(span)
     offsets = F.array(*[F.array(*[F.lit(o) for o in combo]) for combo in _offsets(g)])
 
-    def cell(col, width):
-        return F.array(*[F.floor((F.col(col)[j] - F.lit(lo[j])) / F.lit(width)).cast("long") for j in range(g)])
-
-    pending = pts
+    levels = _start_levels(uniq, by, w0, lo, dense_cell, MAX_REFINE)
+    if levels is None:
+        pending = pts.withColumn("_lvl", F.lit(0))
+        start = [0]
+    else:
+        pending = pts.join(levels, [*by, "_x"], "inner")
+        start = sorted(r[0] for r in levels.select("_lvl").distinct().collect())  # <= MAX_REFINE + 1 values
     found: list[DataFrame] = []
-    level = 0
+    step = 0
     while True:
-        width = w0 * (2 ** level)
-        final = width > max(span) or level >= max_levels
-        grid = uniq.select(*by, F.col("_x").alias("_qx"), "_ids", cell("_x", width).alias("_cell"))
-        probe = pending.select(*by, key, "_x", cell("_x", width).alias("_home")).withColumn("_off", F.explode(offsets))
+        if len(start) == 1:
+            present = [start[0] + step]
+        else:
+            present = sorted(r[0] for r in pending.select("_lvl").distinct().collect())
+        lv = F.col("_lvl")
+        grid = uniq.select(*by, F.col("_x").alias("_qx"), "_ids").withColumn("_lvl", F.explode(F.array(*[F.lit(v) for v in present])))
+        grid = grid.withColumn("_cell", _cell("_qx", _width(w0, lv), lo))
+        probe = pending.select(*by, key, "_x", "_lvl").withColumn("_w", _width(w0, lv))
+        probe = probe.withColumn("_home", _cell("_x", F.col("_w"), lo)).withColumn("_off", F.explode(offsets))
         probe = probe.withColumn("_cell", F.zip_with("_home", "_off", lambda a, o: a + o))
-        pairs = probe.join(grid, [*by, "_cell"], "inner")
-        pairs = pairs.select(*by, key, F.explode("_ids").alias("neighbour_id"), F.sqrt(_sqdist("_x", "_qx")).alias("distance"))
+        pairs = probe.join(grid, [*by, "_lvl", "_cell"], "inner")
+        pairs = pairs.select(*by, key, "_lvl", "_w", F.explode("_ids").alias("neighbour_id"), F.sqrt(_sqdist("_x", "_qx")).alias("distance"))
         pairs = pairs.where(F.col("neighbour_id") != F.col(key))
         w = Window.partitionBy(*by, key).orderBy("distance", "neighbour_id")
-        top = pairs.withColumn("nn_rank", F.row_number().over(w).cast("int")).where(F.col("nn_rank") <= k)
-        per = top.groupBy(*by, key).agg(
+        top_k = pairs.withColumn("nn_rank", F.row_number().over(w).cast("int")).where(F.col("nn_rank") <= k)
+        per = top_k.groupBy(*by, key).agg(
+            F.first("_lvl").alias("_lvl"),
+            F.first("_w").alias("_w"),
             F.count(F.lit(1)).alias("_cnt"),
             F.max("distance").alias("_kth"),
             F.collect_list(F.struct("nn_rank", "neighbour_id", "distance")).alias("_nn"),  # at most k
         )
-        ok = F.lit(True) if final else ((F.col("_cnt") == k) & (F.col("_kth") < F.lit(width)))
+        final = (F.col("_w") > F.lit(top)) | (F.col("_lvl") >= F.lit(max_levels))
+        ok = final | ((F.col("_cnt") == k) & (F.col("_kth") < F.col("_w")))
         # reliable checkpoint: cuts the plan, which would otherwise double per level
         per = per.withColumn("_ok", ok).checkpoint(eager=True)
-        done = per.where("_ok").select(*by, key, F.inline("_nn"))
-        found.append(done)
-        if final:
-            break
-        nxt = pending.join(per.where("_ok").select(*by, key), [*by, key], "left_anti").checkpoint(eager=True)
+        found.append(per.where("_ok").select(*by, key, F.inline("_nn")))
+        nxt = pending.join(per.where("_ok").select(*by, key), [*by, key], "left_anti")
+        nxt = nxt.withColumn("_lvl", F.col("_lvl") + 1).checkpoint(eager=True)
         if nxt.isEmpty():
             break
         pending = nxt
-        level += 1
+        step += 1
     pts.unpersist()
     result = found[0]
     for f in found[1:]:

@@ -414,6 +414,11 @@ def q_strategy_sizes(spark, sf_dir):
     return RP.strategy_sizes(preds, RATE_SPEC.in_cohort())
 
 
+def q_strategy_table(spark, sf_dir):
+    preds, _ = rate_cv(spark, sf_dir)
+    return RP.strategy_table(rate_comparison(spark, sf_dir), RP.strategy_sizes(preds, RATE_SPEC.in_cohort()))
+
+
 def q_cohort_breakdown(spark, sf_dir):
     train, _ = split_tables(spark, sf_dir)
     extra = P.extra_rows(labelled(spark, sf_dir))
@@ -524,6 +529,7 @@ QUERIES.update(
         "train_val_by_strategy": q_train_val_by_strategy,
         "smote_summary": q_smote_summary,
         "strategy_sizes": q_strategy_sizes,
+        "strategy_table": q_strategy_table,
         "cohort_breakdown": q_cohort_breakdown,
         "cohort_summary": q_cohort_summary,
         "align_predictions": q_align_predictions,

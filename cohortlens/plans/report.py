@@ -57,6 +57,24 @@ def strategy_long(comparison: DataFrame, order=ORDER) -> DataFrame:
     )
 
 
+def display_3dp(c) -> "F.Column":
+    """A ratio as display text with 3 decimals (via decimal, half up)."""
+    return F.round(F.col(c).cast("decimal(20,10)"), 3).cast("decimal(14,3)").cast("string")
+
+
+def strategy_table(comparison: DataFrame, sizes: DataFrame, order=ORDER) -> DataFrame:
+    """Per strategy in the fixed order: fit sizes (per fit, mean over folds)
+    and the headline scores as 3-decimal display text."""
+    pos = F.array_position(F.array(*[F.lit(s) for s in order]), F.col("strategy")).cast("int")
+    present = comparison.withColumn("position", pos).where(F.col("position") > 0)
+    out = present.join(sizes, "strategy", "inner")  # both one row per strategy
+    return out.select(
+        "position", "strategy", "fit_n_mean", "cohort_original_n_mean", "added_n_mean", "cohort_total_n_mean",
+        display_3dp("global_f1").alias("global_f1"), display_3dp("cohort_recall").alias("cohort_rec"),
+        display_3dp("cohort_f1").alias("cohort_f1"),
+    ).orderBy("position")
+
+
 def train_val_by_strategy(fold_metrics: DataFrame) -> DataFrame:
     """Mean and sample std over folds of the 8 train/val ratios."""
     cols = [f"{s}_{m}" for s in ("train", "val") for m in METRICS]

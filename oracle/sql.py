@@ -615,6 +615,28 @@ SQL["strategy_sizes"] = with_views(
        GROUP BY strategy""",
     RATE_CTES,
 )
+def _d3(c):
+    return f"CAST(CAST(round(CAST({c} AS DECIMAL(20,10)), 3) AS DECIMAL(14,3)) AS VARCHAR)"
+
+
+SQL["strategy_table"] = with_views(
+    """SELECT CAST(CASE c.strategy WHEN 'baseline' THEN 1 WHEN 'real_data' THEN 2 WHEN 'smote' THEN 3
+                                  WHEN 'smote_cohort' THEN 4 END AS INTEGER) AS position,
+              c.strategy, s.fit_n_mean, s.cohort_original_n_mean, s.added_n_mean, s.cohort_total_n_mean, """
+    + f"{_d3('c.global_f1')} AS global_f1, {_d3('c.cohort_recall')} AS cohort_rec, {_d3('c.cohort_f1')} AS cohort_f1"
+    + """
+       FROM comparison c JOIN (
+         SELECT strategy, round(avg(fit_n), 6) AS fit_n_mean, round(avg(cohort_original_n), 6) AS cohort_original_n_mean,
+                round(avg(added_n), 6) AS added_n_mean, round(avg(cohort_total_n), 6) AS cohort_total_n_mean
+         FROM (SELECT strategy, fold, count(*) AS fit_n,
+                      count(*) FILTER (WHERE origin = 'train' AND segment = 'HOUSEHOLD') AS cohort_original_n,
+                      count(*) FILTER (WHERE origin IN ('extra', 'synthetic')) AS added_n,
+                      count(*) FILTER (WHERE segment = 'HOUSEHOLD') AS cohort_total_n
+               FROM preds WHERE split = 'train' GROUP BY strategy, fold)
+         GROUP BY strategy) s USING (strategy)
+       WHERE c.strategy IN ('baseline', 'real_data', 'smote', 'smote_cohort')""",
+    RATE_CTES,
+)
 SQL["cohort_breakdown"] = with_views(
     f"""SELECT coalesce(source, 'combined') AS source, n, positives, n - positives AS negatives,
                {ratio('positives', 'n')} AS positive_rate

@@ -36,6 +36,27 @@ def test_knn_matches_brute_force(spark, dim):
         assert [d for _, _, d in g] == pytest.approx([d for _, d in nn])
 
 
+@pytest.mark.parametrize("dim", [2, 4])
+def test_knn_dense_cluster_starts_finer(spark, dim):
+    """A third of the points are near copies in a tiny region: their cells are
+    split until small, and the answer still equals brute force."""
+    rng = np.random.default_rng(7 + dim)
+    pts = [(i, [float(v) for v in rng.uniform(-10, 10, size=dim)]) for i in range(200)]
+    pts += [(5000 + i, [float(v) for v in 1.0 + rng.normal(size=dim) * 1e-6]) for i in range(100)]
+    df = spark.createDataFrame(pts, "row_id long, x array<double>")
+    uniq = KN._first_ids(df.withColumnRenamed("x", "_x"), [], "row_id", "_x", 6)
+    assert KN._start_levels(uniq, [], 1.0, [-10.0] * min(dim, 3), 16, 40) is not None
+    got = {}
+    for r in KN.knn(df, 5, dense_cell=16).collect():
+        got.setdefault(r["row_id"], []).append((r["nn_rank"], r["neighbour_id"], r["distance"]))
+    want = brute_knn(pts, 5)
+    assert set(got) == set(want)
+    for pid, nn in want.items():
+        g = sorted(got[pid])
+        assert [q for _, q, _ in g] == [q for q, _ in nn]
+        assert [d for _, _, d in g] == pytest.approx([d for _, d in nn], rel=1e-9, abs=1e-12)
+
+
 def test_knn_by_group(spark):
     pts = [(i, i % 2, [float(i), 0.0]) for i in range(20)]
     df = spark.createDataFrame(pts, "row_id long, g int, x array<double>")
@@ -95,3 +116,20 @@ def test_grouped_smote_equals_per_group(spark):
         a = sorted((r["row_id"], r["syn_j"], tuple(r["x"])) for r in grouped.where(F.col("g") == g).collect())
         b = sorted((r["row_id"], r["syn_j"], tuple(r["x"])) for r in single.collect())
         assert a == b
+
+
+def test_smote_estimator_augments_in_fit_only(spark):
+    from cohortlens.operators.estimators import GroupRateClassifier
+    from cohortlens.operators.smote_model import SmoteEstimator
+
+    rows = [(i, 1 if i % 7 == 0 else 0, "a" if i < 30 else "b", [float(i), float(i % 4)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id long, y int, seg string, x array<double>")
+    inner = GroupRateClassifier(groupCols=["seg"], labelCol="y")
+    est = SmoteEstimator(inner, "y", "x", cohort_column="seg", cohort_value="a", k=3)
+    model = est.fit(df)
+    st = est.last_stats
+    assert st["cohort_original_n"] == 30 and st["cohort_synthetic_n"] == st["cohort_original_majority_n"] - st["cohort_original_minority_n"]
+    direct = inner.fit(est.resample(df)[0].drop("neighbour_id"))
+    got = {r["row_id"]: r["prediction"] for r in model.transform(df).collect()}
+    want = {r["row_id"]: r["prediction"] for r in direct.transform(df).collect()}
+    assert got == want and len(got) == 60  # scoring keeps the input rows, no synthetic ones
