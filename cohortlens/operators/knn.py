@@ -9,15 +9,20 @@
    adjacent cells (3^g cells), its k best candidates are kept, and the
    answer is final when the k-th distance is below the cell width: any
    vector outside the searched block is at least one cell width away.
-3. Points without that certificate go to the next level with doubled cell
-   width; at the level where one cell spans the whole range the block holds
-   every vector, so the result is exact by construction.
+3. Points without that certificate go to a coarser level: a point that
+   already has k candidates within distance D jumps straight to the first
+   level whose width exceeds D (its block there holds those k, so the
+   certificate must hold); a point with fewer candidates doubles the width.
+   At the level where one cell spans the whole range the block holds every
+   vector, so the result is exact by construction.
 4. Dense regions start finer.  A cell holding more than ``dense_cell``
    distinct vectors (a cluster of near copies) is split by halving the
    width, repeatedly, and its vectors start at the coarsest level where
    their home cell is small again.  So the pairs a point examines stay
    bounded by its neighbourhood at its own scale, never by the size of a
    hot cluster; the certificate is unchanged, so results stay exact.
+   By default a cell counts as dense above three times the target
+   occupancy of the start width.
 
 Ties are broken by neighbour key, so the result is deterministic and equals
 the brute-force ``row_number() over (partition by p order by dist, q)``.
@@ -26,21 +31,32 @@ the brute-force ``row_number() over (partition by p order by dist, q)``.
 from __future__ import annotations
 
 import math
+import time
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.operators.joins import MAX_BROADCAST_ROWS
 from cohortlens.session import shared_dir
 
 GRID_DIMS = 3
 ID_BUCKETS = 1024
-DENSE_CELL = 512  # distinct vectors in one home cell before that cell is split
+DENSE_FACTOR = 3  # a cell is split above DENSE_FACTOR x the target occupancy
 MAX_REFINE = 40  # halvings of the start width (2^-40 of it) at most
+TRACE: list | None = None  # tests/diagnostics: set to a list to record (step, levels, resolved, pending)
 
 
-def _sqdist(a: str, b: str):
-    return F.aggregate(F.zip_with(F.col(a), F.col(b), lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda acc, t: acc + t)
+def _sqdist(a: str, b: str, d: int | None = None):
+    """Squared distance; with a known common length ``d`` a plain sum of
+    ``d`` terms (whole-stage codegen) instead of interpreted lambdas."""
+    if d is None:
+        return F.aggregate(F.zip_with(F.col(a), F.col(b), lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda acc, t: acc + t)
+    terms = [(F.col(a)[j] - F.col(b)[j]) * (F.col(a)[j] - F.col(b)[j]) for j in range(d)]
+    out = terms[0]
+    for t in terms[1:]:
+        out = out + t
+    return out
 
 
 def _first_ids(points: DataFrame, by: list[str], key: str, vec: str, keep: int) -> DataFrame:
@@ -89,6 +105,11 @@ def _start_levels(uniq: DataFrame, by: list[str], w0: float, lo: list[float], de
     return out.checkpoint(eager=True)
 
 
+def _mark(label):
+    if TRACE is not None:
+        TRACE.append((label, round(time.time(), 2)))
+
+
 def knn(
     df: DataFrame,
     k: int,
@@ -97,7 +118,7 @@ def knn(
     by: list[str] | None = None,
     target_per_cell: float | None = None,
     max_levels: int = 64,
-    dense_cell: int = DENSE_CELL,
+    dense_cell: int | None = None,
 ) -> DataFrame:
     """(by..., key, nn_rank, neighbour_id, distance) for the k nearest other points."""
     by = list(by or [])
@@ -105,26 +126,33 @@ def knn(
     shared_dir(spark)
     pts = df.select(*by, key, F.col(vec).cast("array<double>").alias("_x")).persist(StorageLevel.MEMORY_AND_DISK)
     out_schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by), f"`{key}` {df.schema[key].dataType.simpleString()}", "nn_rank int", "neighbour_id " + df.schema[key].dataType.simpleString(), "distance double"])
-    head = pts.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_x")).alias("d")).first()
+    head = pts.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_x")).alias("d"), F.min(F.size("_x")).alias("d_min")).first()
     if not head["n"] or k <= 0:
         pts.unpersist()
         return spark.createDataFrame([], out_schema)
+    _mark("head")
     d = int(head["d"])
+    fixed_d = d if d == int(head["d_min"]) and d <= 256 else None
     g = min(d, GRID_DIMS)
     rng = pts.agg(*[F.min(F.col("_x")[j]).alias(f"lo{j}") for j in range(g)], *[F.max(F.col("_x")[j]).alias(f"hi{j}") for j in range(g)]).first()
     lo = [float(rng[f"lo{j}"]) for j in range(g)]
+    _mark("rng")
     span = [max(float(rng[f"hi{j}"]) - lo[j], 1e-12) for j in range(g)]
     uniq = _first_ids(pts, by, key, "_x", k + 1).checkpoint(eager=True)
+    _mark("uniq")
     n_uniq = uniq.count()
     if target_per_cell is None:
         # beyond the grid dims, distances exceed the projected ones: start coarser
         target_per_cell = float(min(256, 16 * 4 ** max(0, d - g)))
     w0 = (math.prod(span) * target_per_cell / max(n_uniq, 1)) ** (1.0 / g)
     w0 = min(w0, max(span))
+    if dense_cell is None:
+        dense_cell = int(max(32, DENSE_FACTOR * target_per_cell))
     top = max(span)
     offsets = F.array(*[F.array(*[F.lit(o) for o in combo]) for combo in _offsets(g)])
 
     levels = _start_levels(uniq, by, w0, lo, dense_cell, MAX_REFINE)
+    _mark("levels")
     if levels is None:
         pending = pts.withColumn("_lvl", F.lit(0))
         start = [0]
@@ -132,10 +160,11 @@ def knn(
         pending = pts.join(levels, [*by, "_x"], "inner")
         start = sorted(r[0] for r in levels.select("_lvl").distinct().collect())  # <= MAX_REFINE + 1 values
     found: list[DataFrame] = []
+    n_pending = int(head["n"])
     step = 0
     while True:
-        if len(start) == 1:
-            present = [start[0] + step]
+        if len(start) == 1 and step == 0:
+            present = [start[0]]
         else:
             present = sorted(r[0] for r in pending.select("_lvl").distinct().collect())
         lv = F.col("_lvl")
@@ -144,29 +173,44 @@ def knn(
         probe = pending.select(*by, key, "_x", "_lvl").withColumn("_w", _width(w0, lv))
         probe = probe.withColumn("_home", _cell("_x", F.col("_w"), lo)).withColumn("_off", F.explode(offsets))
         probe = probe.withColumn("_cell", F.zip_with("_home", "_off", lambda a, o: a + o))
+        if n_pending * len(_offsets(g)) <= MAX_BROADCAST_ROWS:
+            # few points left (exact count known): ship them, do not re-shuffle the grid
+            probe = F.broadcast(probe)
         pairs = probe.join(grid, [*by, "_lvl", "_cell"], "inner")
-        pairs = pairs.select(*by, key, "_lvl", "_w", F.explode("_ids").alias("neighbour_id"), F.sqrt(_sqdist("_x", "_qx")).alias("distance"))
+        pairs = pairs.select(*by, key, "_lvl", "_w", F.explode("_ids").alias("neighbour_id"), F.sqrt(_sqdist("_x", "_qx", fixed_d)).alias("distance"))
         pairs = pairs.where(F.col("neighbour_id") != F.col(key))
-        w = Window.partitionBy(*by, key).orderBy("distance", "neighbour_id")
-        top_k = pairs.withColumn("nn_rank", F.row_number().over(w).cast("int")).where(F.col("nn_rank") <= k)
-        per = top_k.groupBy(*by, key).agg(
-            F.first("_lvl").alias("_lvl"),
-            F.first("_w").alias("_w"),
-            F.count(F.lit(1)).alias("_cnt"),
-            F.max("distance").alias("_kth"),
-            F.collect_list(F.struct("nn_rank", "neighbour_id", "distance")).alias("_nn"),  # at most k
-        )
+        # one aggregate per point: its candidates (bounded by its block) sorted by
+        # (distance, neighbour key), first k kept
+        cand = F.sort_array(F.collect_list(F.struct("distance", "neighbour_id")))
+        per = pairs.groupBy(*by, key).agg(F.first("_lvl").alias("_lvl"), F.first("_w").alias("_w"), F.slice(cand, 1, k).alias("_nn"))
+        per = per.withColumn("_cnt", F.size("_nn")).withColumn("_kth", F.col("_nn")[F.col("_cnt") - 1]["distance"])
         final = (F.col("_w") > F.lit(top)) | (F.col("_lvl") >= F.lit(max_levels))
         ok = final | ((F.col("_cnt") == k) & (F.col("_kth") < F.col("_w")))
         # reliable checkpoint: cuts the plan, which would otherwise double per level
         per = per.withColumn("_ok", ok).checkpoint(eager=True)
-        found.append(per.where("_ok").select(*by, key, F.inline("_nn")))
-        nxt = pending.join(per.where("_ok").select(*by, key), [*by, key], "left_anti")
-        nxt = nxt.withColumn("_lvl", F.col("_lvl") + 1).checkpoint(eager=True)
-        if nxt.isEmpty():
+        _mark("per")
+        found.append(
+            per.where("_ok").select(*by, key, F.posexplode("_nn").alias("_p", "_c")).select(
+                *by, key, (F.col("_p") + 1).cast("int").alias("nn_rank"), F.col("_c.neighbour_id").alias("neighbour_id"), F.col("_c.distance").alias("distance")
+            )
+        )
+        # points with no candidate at all are absent from ``per``: count by difference
+        n_ok = per.where("_ok").count()
+        if TRACE is not None:
+            TRACE.append((step, present, n_ok, n_pending - n_ok))
+        if n_ok == n_pending:
             break
-        pending = nxt
+        # k candidates within _kth: the first level wider than _kth certifies them
+        jump = F.floor(F.log2(F.col("_kth") / F.lit(w0))).cast("int") + 1
+        # fewer than k candidates: the block is sparse, quadruple the width
+        nxt_lvl = F.when((F.col("_cnt") == k) & (F.col("_kth") > 0), F.greatest(F.col("_lvl") + 1, jump)).otherwise(F.col("_lvl") + 2)
+        moves = per.where(~F.col("_ok")).select(*by, key, nxt_lvl.alias("_next"))
+        nxt = pending.join(per.where("_ok").select(*by, key), [*by, key], "left_anti").join(moves, [*by, key], "left")
+        nxt = nxt.withColumn("_lvl", F.coalesce(F.col("_next"), F.col("_lvl") + 2)).drop("_next")
+        pending = nxt.withColumn("_lvl", F.least(F.col("_lvl"), F.lit(max_levels))).checkpoint(eager=True)
+        n_pending -= n_ok
         step += 1
+    _mark("loop")
     pts.unpersist()
     result = found[0]
     for f in found[1:]:
