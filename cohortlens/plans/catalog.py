@@ -21,6 +21,16 @@ LABELLED_COLUMNS = [
 ]
 
 
+_MEMO: dict = {}
+
+
+def _memo(spark, key, fn):
+    k = (id(spark), spark.sparkContext.applicationId, key)
+    if k not in _MEMO:
+        _MEMO[k] = fn()
+    return _MEMO[k]
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.labelled_orders(spark, sf_dir)
 
@@ -209,8 +219,15 @@ def q_one_hot(spark, sf_dir):
 
 
 def split_tables(spark, sf_dir):
-    df = labelled(spark, sf_dir)
-    return SP.train_test(df, "y_learn", 0.2, SEED)
+    """Train/test split, computed once per session and stored (partitioned by
+    side) in the shared folder: every fit, transform and protocol reads it."""
+
+    def run():
+        s = SP.stratified_split(labelled(spark, sf_dir), "y_learn", 0.2, SEED)
+        t = CV.materialize(s, "split", ["split"])
+        return t.where(F.col("split") == "train").drop("split"), t.where(F.col("split") == "test").drop("split")
+
+    return _memo(spark, ("split", sf_dir), run)
 
 
 def fitted_preprocessor(train):
@@ -319,16 +336,6 @@ QUERIES.update(
 from cohortlens.operators.estimators import GroupRateClassifier  # noqa: E402
 from cohortlens.plans import crossval as CV  # noqa: E402
 
-_MEMO: dict = {}
-
-
-def _memo(spark, key, fn):
-    k = (id(spark), spark.sparkContext.applicationId, key)
-    if k not in _MEMO:
-        _MEMO[k] = fn()
-    return _MEMO[k]
-
-
 def rate_learner() -> CV.Learner:
     est = GroupRateClassifier(groupCols=["segment", "priority"], labelCol="y_learn")
     feat = lambda train: (lambda df: df.withColumn("x", F.array("total_price", "acctbal")))
