@@ -4,18 +4,16 @@
    count and only its k+1 smallest keys (the most any query point can use
    from one vector: k neighbours plus itself).  A hot group of copies
    therefore costs k+1 candidates, not its size.
-2. Distinct vectors are binned on a grid over (up to) three dimensions:
-   the raw components up to three dimensions, else the projections on the
-   top three principal directions (orthonormal, so a projected distance is
-   a lower bound of the true one, and the tightest such bound in three
-   dimensions on average).  A query point is joined with the vectors in its own and the
+2. Distinct vectors are binned on a grid over (up to) the first three
+   components (a projected distance is a lower bound of the true one).
+   A query point is joined with the vectors in its own and the
    adjacent cells (3^g cells), its k best candidates are kept, and the
    answer is final when the k-th distance is below the cell width: any
    vector outside the searched block is at least one cell width away.
 3. Points without that certificate go to a coarser level: a point that
    already has k candidates within distance D jumps straight to the first
    level whose width exceeds D (its block there holds those k, so the
-   certificate must hold); a point with fewer candidates doubles the width.
+   certificate must hold); a point with fewer candidates quadruples the width.
    At the level where one cell spans the whole range the block holds every
    vector, so the result is exact by construction.
 4. Dense regions start finer.  A cell holding more than ``dense_cell``
@@ -75,33 +73,11 @@ def _width(w0: float, level: Column) -> Column:
     return F.lit(w0) * F.pow(F.lit(2.0), level.cast("double"))
 
 
-def _coord(col: str, j: int, proj: list[list[float]] | None) -> Column:
-    """Grid coordinate j: the raw component, or the projection on principal
-    direction j (orthonormal, so projected distances never exceed true ones)."""
-    if proj is None:
-        return F.col(col)[j]
-    terms = [F.col(col)[i] * F.lit(row[j]) for i, row in enumerate(proj) if row[j] != 0.0]
-    out = terms[0] if terms else F.lit(0.0)
-    for t in terms[1:]:
-        out = out + t
-    return out
-
-
-def _cell(col: str, width: Column, lo: list[float], proj: list[list[float]] | None = None) -> Column:
-    return F.array(*[F.floor((_coord(col, j, proj) - F.lit(lo[j])) / width).cast("long") for j in range(len(lo))])
-
-
-def _principal_directions(pts: DataFrame, d: int, g: int) -> list[list[float]]:
-    """d x g matrix of the top-g principal directions (one distributed d x d
-    aggregate; the matrix is tiny)."""
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector
-
-    pc = PCA(k=g, inputCol="_v", outputCol="_pv").fit(pts.select(array_to_vector("_x").alias("_v"))).pc.toArray()
-    return [[float(pc[i][j]) for j in range(g)] for i in range(d)]
+def _cell(col: str, width: Column, lo: list[float]) -> Column:
+    return F.array(*[F.floor((F.col(col)[j] - F.lit(lo[j])) / width).cast("long") for j in range(len(lo))])
 
 
-def _start_levels(uniq: DataFrame, by: list[str], w0: float, lo: list[float], dense_cell: int, max_refine: int, proj=None):
+def _start_levels(uniq: DataFrame, by: list[str], w0: float, lo: list[float], dense_cell: int, max_refine: int):
     """(by..., _x, _lvl): the coarsest level <= 0 whose home cell holds at most
     ``dense_cell`` distinct vectors; None when no cell at level 0 is dense.
 
@@ -113,7 +89,7 @@ def _start_levels(uniq: DataFrame, by: list[str], w0: float, lo: list[float], de
     calm: list[DataFrame] = []
     level = 0
     while True:
-        tagged = cur.withColumn("_c", _cell("_x", F.lit(w0 * 2.0**level), lo, proj))
+        tagged = cur.withColumn("_c", _cell("_x", F.lit(w0 * 2.0**level), lo))
         hot = tagged.groupBy(*by, "_c").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > dense_cell).select(*by, "_c")
         hot = hot.checkpoint(eager=True)
         n_hot = hot.count()  # at most (vectors / dense_cell) rows
@@ -162,10 +138,7 @@ def knn(
     d = int(head["d"])
     fixed_d = d if d == int(head["d_min"]) and d <= 256 else None
     g = min(d, GRID_DIMS)
-    # beyond GRID_DIMS dimensions the grid lies on the top principal directions:
-    # a much tighter lower bound on distance than the first raw components
-    proj = _principal_directions(pts, d, g) if fixed_d is not None and d > GRID_DIMS else None
-    rng = pts.agg(*[F.min(_coord("_x", j, proj)).alias(f"lo{j}") for j in range(g)], *[F.max(_coord("_x", j, proj)).alias(f"hi{j}") for j in range(g)]).first()
+    rng = pts.agg(*[F.min(F.col("_x")[j]).alias(f"lo{j}") for j in range(g)], *[F.max(F.col("_x")[j]).alias(f"hi{j}") for j in range(g)]).first()
     lo = [float(rng[f"lo{j}"]) for j in range(g)]
     _mark("rng")
     span = [max(float(rng[f"hi{j}"]) - lo[j], 1e-12) for j in range(g)]
@@ -182,7 +155,7 @@ def knn(
     top = max(span)
     offsets = F.array(*[F.array(*[F.lit(o) for o in combo]) for combo in _offsets(g)])
 
-    levels = _start_levels(uniq, by, w0, lo, dense_cell, MAX_REFINE, proj)
+    levels = _start_levels(uniq, by, w0, lo, dense_cell, MAX_REFINE)
     _mark("levels")
     if levels is None:
         pending = pts.withColumn("_lvl", F.lit(0))
@@ -200,9 +173,9 @@ def knn(
             present = sorted(r[0] for r in pending.select("_lvl").distinct().collect())
         lv = F.col("_lvl")
         grid = uniq.select(*by, F.col("_x").alias("_qx"), "_ids").withColumn("_lvl", F.explode(F.array(*[F.lit(v) for v in present])))
-        grid = grid.withColumn("_cell", _cell("_qx", _width(w0, lv), lo, proj))
+        grid = grid.withColumn("_cell", _cell("_qx", _width(w0, lv), lo))
         probe = pending.select(*by, key, "_x", "_lvl").withColumn("_w", _width(w0, lv))
-        probe = probe.withColumn("_home", _cell("_x", F.col("_w"), lo, proj)).withColumn("_off", F.explode(offsets))
+        probe = probe.withColumn("_home", _cell("_x", F.col("_w"), lo)).withColumn("_off", F.explode(offsets))
         probe = probe.withColumn("_cell", F.array(*[F.col("_home")[j] + F.col("_off")[j] for j in range(g)]))
         if n_pending * len(_offsets(g)) <= MAX_BROADCAST_ROWS:
             # few points left (exact count known): ship them, do not re-shuffle the grid
