@@ -37,7 +37,8 @@ def hashed_rank(
     w_off = Window.partitionBy(*partition_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*partition_cols, "_b", F.coalesce(F.sum("_c").over(w_off), F.lit(0)).alias("_off"))
     # (#groups) x 16^digits rows: proven small without groups, size-checked with them
-    offsets = F.broadcast(offsets) if not partition_cols else broadcast_if_small(offsets)
+    # the size check materializes the small table once; the join reuses it
+    offsets = F.broadcast(offsets) if not partition_cols else broadcast_if_small(offsets.persist())
     joined = tagged.join(offsets, [*partition_cols, "_b"], "inner")
     w = Window.partitionBy(*partition_cols, "_b").orderBy("_h", key)
     return joined.withColumn(rank_col, (F.col("_off") + F.row_number().over(w)).cast("long")).drop("_h", "_b", "_off")
@@ -128,5 +129,5 @@ def learning_subsets(
         "subset_n",
         F.least(F.col("_n"), F.greatest(F.floor(F.col("_n") * F.col("fraction")).cast("long"), F.lit(min_rows))),
     )
-    out = ranked.join(broadcast_if_small(sizes), group_cols, "inner")  # groups x fractions rows
+    out = ranked.join(broadcast_if_small(sizes.persist()), group_cols, "inner")  # groups x fractions rows
     return out.where(F.col("_lrank") <= F.col("subset_n")).drop("_lrank", "_n")
