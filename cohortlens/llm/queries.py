@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, jaccard, secrets, substrings, token_counts
+from cohortlens.llm import bpe, decontam, jaccard, lines, packing, secrets, substrings, token_counts, toxicity
 from cohortlens.llm.common import hexdigest, table
+from cohortlens.llm.sql import SQL
 
 #: Folder of the public vocabulary files (a parameter; the files are not part of this repository).
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
@@ -31,11 +32,32 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), hexdigest(said).alias("base_sha256"), said.alias("spans"))
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    left = lines.dedup(docs, min_lines=2)
+    return left.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_deleted").alias("n_deleted"), hexdigest(F.col("text")).alias("kept_sha256"))
+
+
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substrings.dedup(table(spark, sf_dir, "documents"), window=20)
     return left.select("doc_id", "n_words", "n_removed", hexdigest(F.col("text")).alias("kept_sha256"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels.filter(~toxicity.held_out())))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", hexdigest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", length=2048)
+
+
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), words=4, percent=85)
 
@@ -47,9 +69,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
+    "op4_lines": op4_lines,
     "op5_substrings": op5_substrings,
+    "op6_toxicity": op6_toxicity,
+    "op7_decontamination": op7_decontamination,
+    "op8_packing": op8_packing,
     "op9_jaccard": op9_jaccard,
     "op10_token_counts": op10_token_counts,
 }
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL", "TOKENIZERS"]
