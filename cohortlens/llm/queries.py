@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, decontam, jaccard, lines, packing, secrets, substrings, token_counts, toxicity
+from cohortlens.llm import bpe, decontam, jaccard, lines, packing, secrets, substrings, token_counts, topk, toxicity
 from cohortlens.llm.common import hexdigest, table
 from cohortlens.llm.sql import SQL
 
@@ -32,6 +32,11 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), hexdigest(said).alias("base_sha256"), said.alias("spans"))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return topk.search(docs, docs.filter("doc_id % 50 = 0"), k=10)
+
+
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     left = lines.dedup(docs, min_lines=2)
@@ -69,6 +74,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
+    "op3_topk": op3_topk,
     "op4_lines": op4_lines,
     "op5_substrings": op5_substrings,
     "op6_toxicity": op6_toxicity,

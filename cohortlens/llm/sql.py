@@ -51,8 +51,8 @@ WITH RECURSIVE d AS (
 s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 3], ' ')) AS h
       FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 2))) AS i FROM d WHERE len(w) > 0)),
 size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-both AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-link AS (SELECT x, y FROM both JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y WHERE 100 * o >= 85 * (a.n + b.n - o)),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT x, y FROM shared JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y WHERE 100 * o >= 85 * (a.n + b.n - o)),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id
 FROM d LEFT JOIN size USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS c FROM reach GROUP BY x) USING (doc_id)
