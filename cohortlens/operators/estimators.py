@@ -18,7 +18,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param.shared import HasInputCol, HasLabelCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators.joins import broadcast_if_small
@@ -34,22 +34,61 @@ class ArrayToVector(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadabl
         return df.withColumn(self.getOutputCol(), array_to_vector(F.col(self.getInputCol())))
 
 
-class BalancedWeights(Transformer, HasLabelCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """weight = n / (2 * n_class), from one aggregate over the fit table."""
+class BalancedWeights(Estimator, HasLabelCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """weight = n / (2 * n_class), learned by one aggregate over the fit table."""
 
     @keyword_only
     def __init__(self, *, labelCol="label", outputCol="weight"):
         super().__init__()
         self._set(**self._input_kwargs)
 
+    def _fit(self, df: DataFrame) -> "BalancedWeightsModel":
+        y = F.col(self.getLabelCol())
+        n, pos = df.agg(F.count(F.lit(1)), F.count_if(y == 1)).first()
+        return BalancedWeightsModel(
+            labelCol=self.getLabelCol(), outputCol=self.getOutputCol(),
+            negativeWeight=n / (2.0 * (n - pos)) if n > pos else 1.0, positiveWeight=n / (2.0 * pos) if pos else 1.0,
+        )
+
+
+class BalancedWeightsModel(Model, HasLabelCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Adds the learned weight of the row's class; tables without a label (scoring) pass unchanged."""
+
+    negativeWeight = Param(Params._dummy(), "negativeWeight", "weight of class 0", TypeConverters.toFloat)
+    positiveWeight = Param(Params._dummy(), "positiveWeight", "weight of class 1", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, *, labelCol="label", outputCol="weight", negativeWeight=1.0, positiveWeight=1.0):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
     def _transform(self, df: DataFrame) -> DataFrame:
         y = self.getLabelCol()
-        if y not in df.columns:  # scoring tables carry no label
-            return df.withColumn(self.getOutputCol(), F.lit(1.0))
-        cc = df.groupBy(y).agg(F.count(F.lit(1)).alias("_nc"))
-        w = Window.partitionBy(F.lit(0))
-        cc = cc.withColumn(self.getOutputCol(), F.sum("_nc").over(w) / (F.lit(2.0) * F.col("_nc"))).drop("_nc")
-        return df.join(F.broadcast(cc), y, "left")  # one row per class (binary target)
+        if y not in df.columns:
+            return df
+        w = F.when(F.col(y) == 1, self.getOrDefault("positiveWeight")).otherwise(self.getOrDefault("negativeWeight"))
+        return df.withColumn(self.getOutputCol(), w)
+
+
+class LogisticByC(Estimator, HasLabelCol):
+    """L2 logistic regression whose strength is given as C, the inverse penalty of the summed loss.
+
+    Spark averages the loss over the weight sum, so its penalty is 1 / (C * sum of
+    weights); that sum is taken from the table the estimator is fitted on.
+    """
+
+    def __init__(self, label: str, C: float = 1.0, weight: str | None = None, max_iter: int = 2000):
+        super().__init__()
+        self._set(labelCol=label)
+        self.C, self.weight, self.max_iter = C, weight, max_iter
+
+    def _fit(self, df: DataFrame):
+        total = df.agg(F.sum(self.weight) if self.weight else F.count(F.lit(1)).cast("double")).first()[0]
+        kw = {"weightCol": self.weight} if self.weight else {}
+        return LogisticRegression(
+            labelCol=self.getLabelCol(), featuresCol="features", maxIter=self.max_iter, regParam=1.0 / (self.C * total),
+            elasticNetParam=0.0, standardization=False, **kw,
+        ).fit(df)
 
 
 class _GroupRateParams(HasLabelCol):
@@ -77,13 +116,14 @@ class GroupRateClassifier(Estimator, _GroupRateParams):
         g, y = self.getOrDefault("groupCols"), self.getLabelCol()
         mc = self.getOrDefault("modelCols")
         stats = df.groupBy(*mc, *g).agg(F.count(F.lit(1)).alias("_ng"), F.count_if(F.col(y) == 1).alias("_pg"))
-        # per-model totals over the small group table
-        w = Window.partitionBy(*mc) if mc else Window.partitionBy(F.lit(0))
-        stats = stats.withColumn("_n", F.sum("_ng").over(w)).withColumn("_p", F.sum("_pg").over(w))
+        # per-model totals: a plain aggregate of the group table, joined back
+        stats = stats.withColumn("_all", F.lit(1))
+        totals = stats.groupBy(*mc, "_all").agg(F.sum("_ng").alias("_n"), F.sum("_pg").alias("_p"))
+        stats = stats.join(broadcast_if_small(totals), [*mc, "_all"])  # one row per model
         rule = stats.select(*mc, *g, (F.col("_pg") * F.col("_n") >= F.col("_p") * F.col("_ng")).cast("int").alias("_rule"))
         m = GroupRateModel(groupCols=[*mc, *g], predictionCol=self.getOrDefault("predictionCol"))
         # one row per (model, group); scored rows join it on possibly hot group keys
-        m.rules = broadcast_if_small(rule.persist())
+        m.rules = broadcast_if_small(rule)
         return m
 
 
@@ -102,7 +142,12 @@ class GroupRateModel(Model, _GroupRateParams):
 
 
 def forest(label: str, vec: str = "x", trees: int = 200, depth: int = 15, min_leaf: int = 1, balanced: bool = True, seed: int = 42) -> Pipeline:
-    """Random forest on an array<double> feature column (sqrt feature subsets)."""
+    """Random forest on an array<double> feature column (sqrt feature subsets).
+
+    ``depth=None`` (unlimited) means Spark's limit of 30; a larger number is an error.
+    """
+    if depth is not None and depth > 30:
+        raise ValueError(f"Spark trees have at most 30 levels, {depth} were asked for")
     stages = [ArrayToVector(inputCol=vec, outputCol="features")]
     kw = {}
     if balanced:
@@ -113,7 +158,7 @@ def forest(label: str, vec: str = "x", trees: int = 200, depth: int = 15, min_le
             labelCol=label,
             featuresCol="features",
             numTrees=trees,
-            maxDepth=min(depth if depth is not None else 30, 30),
+            maxDepth=30 if depth is None else depth,
             minInstancesPerNode=min_leaf,
             featureSubsetStrategy="sqrt",
             seed=seed,
@@ -123,13 +168,9 @@ def forest(label: str, vec: str = "x", trees: int = 200, depth: int = 15, min_le
     return Pipeline(stages=stages)
 
 
-def logistic(label: str, vec: str = "x", C: float = 1.0, balanced: bool = True, n_rows: int | None = None, max_iter: int = 2000) -> Pipeline:
-    """L2 logistic regression; sklearn's C maps to regParam = 1 / (C * n)."""
+def logistic(label: str, vec: str = "x", C: float = 1.0, balanced: bool = True, max_iter: int = 2000) -> Pipeline:
+    """L2 logistic regression on an array<double> feature column."""
     stages = [ArrayToVector(inputCol=vec, outputCol="features")]
-    kw = {}
     if balanced:
         stages.append(BalancedWeights(labelCol=label, outputCol="weight"))
-        kw["weightCol"] = "weight"
-    reg = 1.0 / (C * n_rows) if n_rows else 1.0 / C
-    stages.append(LogisticRegression(labelCol=label, featuresCol="features", maxIter=max_iter, regParam=reg, elasticNetParam=0.0, standardization=False, **kw))
-    return Pipeline(stages=stages)
+    return Pipeline(stages=[*stages, LogisticByC(label, C, "weight" if balanced else None, max_iter)])

@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 1_000_000
+from cohortlens.session import scratch_path, stored_bytes
 
+MAX_BROADCAST_BYTES = 64 << 20  # of compressed Parquet
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
 
-    The check reads at most ``max_rows + 1`` rows of an already small
-    (aggregated) table; above the bound the join stays a shuffle join and
-    AQE (skew splitting, runtime broadcast) decides.
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its stored size is at most ``max_bytes``, else ``df``.
+
+    The (already aggregated) table is written to the shared folder, so it is
+    computed once, its size is known in bytes and no cache stays behind.  Above
+    the bound the join remains a shuffle join and AQE decides.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    path = scratch_path(df.sparkSession, "side")
+    df.write.parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return F.broadcast(back) if stored_bytes(df.sparkSession, path) <= max_bytes else back

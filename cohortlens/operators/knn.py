@@ -5,7 +5,7 @@
    from one vector: k neighbours plus itself).  A hot group of copies
    therefore costs k+1 candidates, not its size.
 2. Distinct vectors are binned on a grid over (up to) the first three
-   components (a projected distance is a lower bound of the true one).
+   components that vary (a projected distance is a lower bound of the true one).
    A query point is joined with the vectors in its own and the
    adjacent cells (3^g cells), its k best candidates are kept, and the
    answer is final when the k-th distance is below the cell width: any
@@ -38,21 +38,18 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.operators.joins import MAX_BROADCAST_ROWS
+from cohortlens.operators.joins import MAX_BROADCAST_BYTES
 from cohortlens.session import shared_dir
 
 GRID_DIMS = 3
 ID_BUCKETS = 1024
 DENSE_FACTOR = 3  # a cell is split above DENSE_FACTOR x the target occupancy
-MAX_REFINE = 40  # halvings of the start width (2^-40 of it) at most
+MAX_REFINE = 30  # halvings of the start width, so that cell numbers stay below 2^62 (where cells start does not touch results)
 TRACE: list | None = None  # tests/diagnostics: set to a list to record (step, levels, resolved, pending)
 
 
-def _sqdist(a: str, b: str, d: int | None = None):
-    """Squared distance; with a known common length ``d`` a plain sum of
-    ``d`` terms (whole-stage codegen) instead of interpreted lambdas."""
-    if d is None:
-        return F.aggregate(F.zip_with(F.col(a), F.col(b), lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda acc, t: acc + t)
+def _sqdist(a: str, b: str, d: int):
+    """Squared distance as a plain sum over the ``d`` components (whole-stage codegen)."""
     terms = [(F.col(a)[j] - F.col(b)[j]) * (F.col(a)[j] - F.col(b)[j]) for j in range(d)]
     out = terms[0]
     for t in terms[1:]:
@@ -73,11 +70,12 @@ def _width(w0: float, level: Column) -> Column:
     return F.lit(w0) * F.pow(F.lit(2.0), level.cast("double"))
 
 
-def _cell(col: str, width: Column, lo: list[float]) -> Column:
-    return F.array(*[F.floor((F.col(col)[j] - F.lit(lo[j])) / width).cast("long") for j in range(len(lo))])
+def _cell(col: str, width: Column, lo: list[float], dims: list[int] | None = None) -> Column:
+    """Cell numbers in the grid components ``dims`` (the first ones if not given)."""
+    return F.array(*[F.floor((F.col(col)[j] - F.lit(x)) / width).cast("long") for j, x in zip(dims or range(len(lo)), lo)])
 
 
-def _start_levels(uniq: DataFrame, by: list[str], w0: float, lo: list[float], dense_cell: int, max_refine: int):
+def _start_levels(uniq: DataFrame, by: list[str], w0: float, lo: list[float], dense_cell: int, max_refine: int, dims: list[int] | None = None):
     """(by..., _x, _lvl): the coarsest level <= 0 whose home cell holds at most
     ``dense_cell`` distinct vectors; None when no cell at level 0 is dense.
 
@@ -89,7 +87,7 @@ def _start_levels(uniq: DataFrame, by: list[str], w0: float, lo: list[float], de
     calm: list[DataFrame] = []
     level = 0
     while True:
-        tagged = cur.withColumn("_c", _cell("_x", F.lit(w0 * 2.0**level), lo))
+        tagged = cur.withColumn("_c", _cell("_x", F.lit(w0 * 2.0**level), lo, dims))
         hot = tagged.groupBy(*by, "_c").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > dense_cell).select(*by, "_c")
         hot = hot.checkpoint(eager=True)
         n_hot = hot.count()  # at most (vectors / dense_cell) rows
@@ -98,7 +96,7 @@ def _start_levels(uniq: DataFrame, by: list[str], w0: float, lo: list[float], de
                 return None
             calm.append(cur.withColumn("_lvl", F.lit(level)))
             break
-        if n_hot <= MAX_BROADCAST_ROWS:
+        if n_hot * 100 <= MAX_BROADCAST_BYTES:  # bytes of a cell row, at most
             hot = F.broadcast(hot)  # keeps the many rows of a hot cell out of one join partition
         calm.append(tagged.join(hot, [*by, "_c"], "left_anti").select(*by, "_x", F.lit(level).alias("_lvl")))
         cur = tagged.join(hot, [*by, "_c"], "left_semi").select(*by, "_x").checkpoint(eager=True)
@@ -121,7 +119,6 @@ def knn(
     vec: str = "x",
     by: list[str] | None = None,
     target_per_cell: float | None = None,
-    max_levels: int = 64,
     dense_cell: int | None = None,
 ) -> DataFrame:
     """(by..., key, nn_rank, neighbour_id, distance) for the k nearest other points."""
@@ -136,12 +133,16 @@ def knn(
         return spark.createDataFrame([], out_schema)
     _mark("head")
     d = int(head["d"])
-    fixed_d = d if d == int(head["d_min"]) and d <= 256 else None
-    g = min(d, GRID_DIMS)
-    rng = pts.agg(*[F.min(F.col("_x")[j]).alias(f"lo{j}") for j in range(g)], *[F.max(F.col("_x")[j]).alias(f"hi{j}") for j in range(g)]).first()
-    lo = [float(rng[f"lo{j}"]) for j in range(g)]
+    if d != int(head["d_min"]):
+        pts.unpersist()
+        raise ValueError(f"Vectors of column {vec} have {head['d_min']} to {d} components; one length is needed")
+    rng = pts.agg(*[F.min(F.col("_x")[j]).alias(f"lo{j}") for j in range(d)], *[F.max(F.col("_x")[j]).alias(f"hi{j}") for j in range(d)]).first()
+    # the first components that vary; a constant one would only narrow the cells
+    dims = [j for j in range(d) if rng[f"hi{j}"] > rng[f"lo{j}"]][:GRID_DIMS] or [0]
+    g = len(dims)
+    lo = [float(rng[f"lo{j}"]) for j in dims]
     _mark("rng")
-    span = [max(float(rng[f"hi{j}"]) - lo[j], 1e-12) for j in range(g)]
+    span = [(float(rng[f"hi{j}"]) - x) or 1.0 for j, x in zip(dims, lo)]
     uniq = _first_ids(pts, by, key, "_x", k + 1).checkpoint(eager=True)
     _mark("uniq")
     n_uniq = uniq.count()
@@ -149,13 +150,13 @@ def knn(
         # beyond the grid dims, distances exceed the projected ones: start coarser
         target_per_cell = float(min(256, 16 * 4 ** max(0, d - g)))
     w0 = (math.prod(span) * target_per_cell / max(n_uniq, 1)) ** (1.0 / g)
-    w0 = min(w0, max(span))
+    w0 = max(min(w0, max(span)), max(span) * 2.0**-30)
     if dense_cell is None:
         dense_cell = int(max(32, DENSE_FACTOR * target_per_cell))
     top = max(span)
     offsets = F.array(*[F.array(*[F.lit(o) for o in combo]) for combo in _offsets(g)])
 
-    levels = _start_levels(uniq, by, w0, lo, dense_cell, MAX_REFINE)
+    levels = _start_levels(uniq, by, w0, lo, dense_cell, MAX_REFINE, dims)
     _mark("levels")
     if levels is None:
         pending = pts.withColumn("_lvl", F.lit(0))
@@ -173,23 +174,24 @@ def knn(
             present = sorted(r[0] for r in pending.select("_lvl").distinct().collect())
         lv = F.col("_lvl")
         grid = uniq.select(*by, F.col("_x").alias("_qx"), "_ids").withColumn("_lvl", F.explode(F.array(*[F.lit(v) for v in present])))
-        grid = grid.withColumn("_cell", _cell("_qx", _width(w0, lv), lo))
+        grid = grid.withColumn("_cell", _cell("_qx", _width(w0, lv), lo, dims))
         probe = pending.select(*by, key, "_x", "_lvl").withColumn("_w", _width(w0, lv))
-        probe = probe.withColumn("_home", _cell("_x", F.col("_w"), lo)).withColumn("_off", F.explode(offsets))
+        probe = probe.withColumn("_home", _cell("_x", F.col("_w"), lo, dims)).withColumn("_off", F.explode(offsets))
         probe = probe.withColumn("_cell", F.array(*[F.col("_home")[j] + F.col("_off")[j] for j in range(g)]))
-        if n_pending * len(_offsets(g)) <= MAX_BROADCAST_ROWS:
+        if n_pending * len(_offsets(g)) * (8 * d + 200) <= MAX_BROADCAST_BYTES:
             # few points left (exact count known): ship them, do not re-shuffle the grid
             probe = F.broadcast(probe)
         pairs = probe.join(grid, [*by, "_lvl", "_cell"], "inner")
-        pairs = pairs.select(*by, key, "_lvl", "_w", F.explode("_ids").alias("neighbour_id"), F.sqrt(_sqdist("_x", "_qx", fixed_d)).alias("distance"))
+        pairs = pairs.select(*by, key, "_lvl", "_w", F.explode("_ids").alias("neighbour_id"), F.sqrt(_sqdist("_x", "_qx", d)).alias("distance"))
         pairs = pairs.where(F.col("neighbour_id") != F.col(key))
-        # one aggregate per point: its candidates (bounded by its block) sorted
-        # by (distance, neighbour key), first k kept.  Measured faster than a
-        # window with a group limit in 2 and 13 dimensions.
-        cand = F.sort_array(F.collect_list(F.struct("distance", "neighbour_id")))
-        per = pairs.groupBy(*by, key).agg(F.first("_lvl").alias("_lvl"), F.first("_w").alias("_w"), F.slice(cand, 1, k).alias("_nn"))
+        # at most k candidates of a point survive each task (group limit), then k in all
+        w_near = Window.partitionBy(*by, key).orderBy("distance", "neighbour_id")
+        near = pairs.withColumn("_r", F.row_number().over(w_near)).where(F.col("_r") <= k)
+        per = near.groupBy(*by, key).agg(
+            F.first("_lvl").alias("_lvl"), F.first("_w").alias("_w"), F.sort_array(F.collect_list(F.struct("distance", "neighbour_id"))).alias("_nn")
+        )
         per = per.withColumn("_cnt", F.size("_nn")).withColumn("_kth", F.col("_nn")[F.col("_cnt") - 1]["distance"])
-        final = (F.col("_w") > F.lit(top)) | (F.col("_lvl") >= F.lit(max_levels))
+        final = F.col("_w") > F.lit(top)
         ok = final | ((F.col("_cnt") == k) & (F.col("_kth") < F.col("_w")))
         # reliable checkpoint: cuts the plan, which would otherwise double per level
         per = per.withColumn("_ok", ok).checkpoint(eager=True)
@@ -212,7 +214,7 @@ def knn(
         moves = per.where(~F.col("_ok")).select(*by, key, nxt_lvl.alias("_next"))
         nxt = pending.join(per.where("_ok").select(*by, key), [*by, key], "left_anti").join(moves, [*by, key], "left")
         nxt = nxt.withColumn("_lvl", F.coalesce(F.col("_next"), F.col("_lvl") + 2)).drop("_next")
-        pending = nxt.withColumn("_lvl", F.least(F.col("_lvl"), F.lit(max_levels))).checkpoint(eager=True)
+        pending = nxt.checkpoint(eager=True)
         n_pending -= n_ok
         step += 1
     _mark("loop")

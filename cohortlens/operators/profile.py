@@ -38,17 +38,25 @@ def feature_groups(df: DataFrame, exclude=(), strict: bool = True) -> FeatureGro
         else:
             other.append(f.name)
     if other:
-        raise ValueError(f"Some columns could not be classified: {sorted(other)}")
+        raise ValueError(f"Neither numbers nor strings: columns {sorted(other)}")
     return FeatureGroups(numeric=numeric, categorical=categorical)
 
 
 def feature_groups_table(df: DataFrame, exclude=(), strict: bool = True) -> DataFrame:
-    """The feature groups as rows (feature, feature_group, position)."""
+    """Feature groups with what their columns hold: (feature, feature_group, n_null, n_distinct).
+
+    Columns are unpivoted and grouped by (feature, value), so a value that most
+    rows share is combined before it moves.
+    """
     g = feature_groups(df, exclude, strict)
     kind = {c: "numeric" for c in g.numeric} | {c: "categorical" for c in g.categorical}
-    rows = [(f.name, kind[f.name]) for f in df.schema.fields if f.name in kind]
-    data = [(name, grp, i + 1) for i, (name, grp) in enumerate(rows)]
-    return df.sparkSession.createDataFrame(data, "feature string, feature_group string, position int")
+    text = df.select([F.col(c).cast("string").alias(c) for c in kind])
+    values = text.unpivot([], list(kind), "feature", "value").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    out = values.groupBy("feature").agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("n_null"), F.count("value").alias("n_distinct")
+    )
+    group = F.when(F.col("feature").isin(g.categorical), "categorical").otherwise("numeric")
+    return out.select("feature", group.alias("feature_group"), "n_null", "n_distinct")
 
 
 def drop_redundant(df: DataFrame, columns) -> DataFrame:

@@ -22,9 +22,11 @@ from cohortlens.functions.hashing import hash_unit, portable_hash
 from cohortlens.operators.joins import broadcast_if_small
 from cohortlens.operators.knn import knn
 from cohortlens.operators.split import hashed_rank
+from cohortlens.operators.validate import validate
 
 
 def _class_sizes(df: DataFrame, target: str):
+    validate(df, target)  # binary, no nulls
     rows = df.groupBy(target).agg(F.count(F.lit(1)).alias("c")).collect()  # one row per class
     return sorted(((r[target], r["c"]) for r in rows), key=lambda t: (t[1], t[0]))
 
@@ -153,6 +155,7 @@ def smote_grouped(
     """
     from pyspark.sql import Window
 
+    validate(df, target)
     carry = [c for c in (carry or []) if c not in (key, target, vec, *by)]
     cc = df.groupBy(*by, target).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*by)
@@ -182,7 +185,7 @@ def smote_grouped(
     )
     # one row per group; joined on a low-cardinality key (e.g. the fold), so it is
     # broadcast after a size check instead of shuffling whole groups into single tasks
-    active = broadcast_if_small(active.persist())
+    active = broadcast_if_small(active)
     minority = df.join(active, by, "inner").where(F.col(target) == F.col("_ym")).select(*by, key, target, vec, *carry, "_m", "_nsyn", "_k")
     pos = hashed_rank(minority, by, seed, key, "_pos", salt="smote")
     reps = pos.withColumn(

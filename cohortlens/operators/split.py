@@ -11,6 +11,7 @@ gets broadcast.
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
@@ -18,6 +19,10 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.hashing import hash_hex
 from cohortlens.operators.joins import broadcast_if_small
+from cohortlens.operators.validate import validate
+
+
+BUCKET_ROWS = 20_000
 
 
 def hashed_rank(
@@ -26,20 +31,28 @@ def hashed_rank(
     seed: int = 42,
     key: str = "row_id",
     rank_col: str = "rank",
-    digits: int = 3,
+    digits: int | None = None,
     salt: str | None = None,
 ) -> DataFrame:
-    """Exact ``row_number() over (partition by P order by md5(seed:key), key)``."""
+    """Exact ``row_number() over (partition by P order by md5(seed:key), key)``.
+
+    Buckets follow the row count (about ``BUCKET_ROWS`` rows each), so a group
+    of any size is numbered by many tasks.  Null group values are a group.
+    """
+    if digits is None:
+        digits = max(1, math.ceil(math.log(max(1, df.count() / BUCKET_ROWS), 16)))
     parts = [F.col(key)] if salt is None else [F.lit(salt), F.col(key)]
     h = hash_hex(seed, *parts)
     tagged = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, digits))
     counts = tagged.groupBy(*partition_cols, "_b").agg(F.count(F.lit(1)).alias("_c"))
     w_off = Window.partitionBy(*partition_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*partition_cols, "_b", F.coalesce(F.sum("_c").over(w_off), F.lit(0)).alias("_off"))
-    # (#groups) x 16^digits rows: proven small without groups, size-checked with them
-    # the size check materializes the small table once; the join reuses it
-    offsets = F.broadcast(offsets) if not partition_cols else broadcast_if_small(offsets.persist())
-    joined = tagged.join(offsets, [*partition_cols, "_b"], "inner")
+    # (#groups) x 16^digits rows
+    offsets = broadcast_if_small(offsets.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(partition_cols)], F.col("_b").alias("_ob"), "_off"))
+    same = F.col("_b") == F.col("_ob")
+    for i, c in enumerate(partition_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    joined = tagged.join(offsets, same, "inner").drop("_ob", *[f"_g{i}" for i in range(len(partition_cols))])
     w = Window.partitionBy(*partition_cols, "_b").orderBy("_h", key)
     return joined.withColumn(rank_col, (F.col("_off") + F.row_number().over(w)).cast("long")).drop("_h", "_b", "_off")
 
@@ -71,6 +84,7 @@ def stratified_split(
     df: DataFrame, target: str, test_size: float = 0.2, seed: int = 42, key: str = "row_id"
 ) -> DataFrame:
     """Adds ``split`` in {'train', 'test'}: exact class quotas, hash order."""
+    validate(df, target)
     ranked = hashed_rank(df, [target], seed, key, "_rank")
     quotas = split_quotas(df, target, test_size).select(target, "test_quota")
     out = ranked.join(F.broadcast(quotas), target, "inner")
@@ -79,11 +93,6 @@ def stratified_split(
     ).drop("_rank", "test_quota")
 
 
-def train_test(df: DataFrame, target: str, test_size: float = 0.2, seed: int = 42, key: str = "row_id"):
-    s = stratified_split(df, target, test_size, seed, key)
-    return s.where(F.col("split") == "train").drop("split"), s.where(F.col("split") == "test").drop("split")
-
-
 def add_folds(df: DataFrame, target: str, k: int = 5, seed: int = 42, key: str = "row_id", fold_col: str = "fold") -> DataFrame:
     """Stratified, shuffled k folds numbered 1..k.
 
@@ -91,6 +100,7 @@ def add_folds(df: DataFrame, target: str, k: int = 5, seed: int = 42, key: str =
     where the previous one stopped, so fold sizes and per-class counts are
     within one of each other.
     """
+    validate(df, target)
     ranked = hashed_rank(df, [target], seed, key, "_rank", salt="fold")
     cc = class_counts(df, target)
     w = Window.partitionBy(F.lit(0)).orderBy(target).rowsBetween(Window.unboundedPreceding, -1)
@@ -129,5 +139,10 @@ def learning_subsets(
         "subset_n",
         F.least(F.col("_n"), F.greatest(F.floor(F.col("_n") * F.col("fraction")).cast("long"), F.lit(min_rows))),
     )
-    out = ranked.join(broadcast_if_small(sizes.persist()), group_cols, "inner")  # groups x fractions rows
+    sizes = broadcast_if_small(sizes.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], "_n", "fraction", "subset_n"))
+    same = F.lit(True)
+    for i, c in enumerate(group_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    # groups x fractions rows
+    out = ranked.join(sizes, same, "inner").drop(*[f"_g{i}" for i in range(len(group_cols))])
     return out.where(F.col("_lrank") <= F.col("subset_n")).drop("_lrank", "_n")

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+SHOWN_VALUES = 20  # in an error message, which gives the full count
+
+
 class ValidationError(ValueError):
     pass
 
@@ -13,7 +16,7 @@ class ValidationError(ValueError):
 def require_columns(df: DataFrame, required) -> None:
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValidationError(f"Required columns are missing from the dataset: {missing}")
+        raise ValidationError(f"The table lacks columns that are needed: {missing}")
 
 
 def target_summary(df: DataFrame, target: str) -> DataFrame:
@@ -36,25 +39,19 @@ def validate(df: DataFrame, target: str, cohorts=()) -> DataFrame:
     require_columns(df, {target, *cohorts})
     s = target_summary(df, target).first()
     if s["n_null"]:
-        raise ValidationError(f"Target '{target}' contains missing values.")
+        raise ValidationError(f"{s['n_null']} rows have no value in target column {target}")
     if s["n_invalid"]:
-        bad = (
-            df.where(~F.col(target).isin(0, 1))
-            .select(target)
-            .distinct()
-            .orderBy(target)
-            .limit(20)
-            .collect()
-        )
-        raise ValidationError(
-            f"Target '{target}' must contain only 0 and 1. Found: {[r[0] for r in bad]}"
-        )
+        bad = df.where(~F.col(target).isin(0, 1)).groupBy(target).count()
+        kinds = bad.count()
+        shown = [r[0] for r in bad.orderBy(target).limit(SHOWN_VALUES).collect()]
+        more = f" (the first {SHOWN_VALUES} are shown)" if kinds > SHOWN_VALUES else ""
+        raise ValidationError(f"{s['n_invalid']} rows of target column {target} are neither 0 nor 1; {kinds} other values{more}: {shown}")
     return df
 
 
 def require_strategy_column(df: DataFrame, column: str = "strategy") -> None:
     if column not in df.columns:
-        raise ValidationError(f"Column '{column}' is missing from the comparison table.")
+        raise ValidationError(f"The strategy comparison has no column {column}")
 
 
 def row_parity(left: DataFrame, right: DataFrame, key: str = "row_id") -> DataFrame:
@@ -82,4 +79,4 @@ def assert_parity(left: DataFrame, right: DataFrame, key: str = "row_id") -> Non
 def assert_complete(train: DataFrame, predictions: DataFrame, key: str = "row_id") -> None:
     """Every training row has a prediction (left anti join is empty)."""
     if not train.select(key).join(predictions.select(key), key, "left_anti").isEmpty():
-        raise RuntimeError("Some rows did not receive an out-of-fold prediction.")
+        raise RuntimeError("There are training rows that no fold model has scored")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators import metrics as M
 from cohortlens.operators import validate as V
+from cohortlens.session import hadoop_path
 from cohortlens.sources import proxies as P
 
 LABELLED_COLUMNS = [
@@ -24,8 +25,24 @@ LABELLED_COLUMNS = [
 _MEMO: dict = {}
 
 
+def _state(spark, sf_dir: str) -> int:
+    """Changes when a file below the input folder does."""
+    p, fs = hadoop_path(spark, sf_dir)
+    found = []
+    for f in fs.listStatus(p):
+        inner = fs.listStatus(f.getPath()) if f.isDirectory() else [f]
+        found += [(x.getPath().toString(), x.getLen(), x.getModificationTime()) for x in inner]
+    return hash(tuple(sorted(found)))
+
+
+def clear_memo() -> None:
+    """Forget shared intermediate results (so that a query is timed alone)."""
+    _MEMO.clear()
+
+
 def _memo(spark, key, fn):
-    k = (id(spark), spark.sparkContext.applicationId, key)
+    """Protocol results that several queries report on, for one state of the input files."""
+    k = (id(spark), spark.sparkContext.applicationId, key, _state(spark, key[1]))
     if k not in _MEMO:
         _MEMO[k] = fn()
     return _MEMO[k]
@@ -575,8 +592,8 @@ def rf_learner(depth=RF_DEPTH, min_leaf=1, balanced=True, trees=RF_TREES) -> CV.
     return CV.Learner(forest("y_learn", "x", trees, depth, min_leaf, balanced, SEED), _prep_featurizer, "x", needs_vectors=True)
 
 
-def lr_learner(C=1.0, balanced=True, n_rows=None) -> CV.Learner:
-    return CV.Learner(logistic("y_learn", "x", C, balanced, n_rows), _prep_featurizer, "x", needs_vectors=True)
+def lr_learner(C=1.0, balanced=True) -> CV.Learner:
+    return CV.Learner(logistic("y_learn", "x", C, balanced), _prep_featurizer, "x", needs_vectors=True)
 
 
 def rf_inputs(spark, sf_dir):
@@ -645,9 +662,8 @@ def q_score_table(spark, sf_dir):
 
 def q_baseline_selection(spark, sf_dir):
     df, _ = rf_inputs(spark, sf_dir)
-    n_fit = None
     cands = {
-        "logistic_regression": (lambda p: lr_learner(p["C"], p["balanced"], n_fit), [{"C": c, "balanced": True} for c in (0.1, 1.0, 10.0)]),
+        "logistic_regression": (lambda p: lr_learner(p["C"], p["balanced"]), SEL.LOGISTIC_GRID),
         "random_forest": (lambda p: rf_learner(p["depth"], p["min_leaf"], p["balanced"]), [{"depth": d, "min_leaf": 1, "balanced": True} for d in (3, RF_DEPTH)]),
     }
     best, _ = SEL.grid_search(df, cands, RF_SPEC)
@@ -686,9 +702,9 @@ def q_validate_document_labels(spark, sf_dir):
 
 
 def q_knn_embeddings(spark, sf_dir):
-    """Exact kNN in 64 dimensions among the embeddings of one label."""
-    pts = P.embedding_points(spark, sf_dir, label=0).where("y = 1")
-    return KN.knn(pts, K_NN, key="row_id", vec="features").withColumn("distance", F.round("distance", 6))
+    """Exact kNN in 64 dimensions among the embeddings of each label."""
+    pts = P.embedding_points(spark, sf_dir)
+    return KN.knn(pts, K_NN, key="row_id", vec="features", by=["label"]).withColumn("distance", F.round("distance", 6))
 
 
 QUERIES.update({"validate_document_labels": q_validate_document_labels, "knn_embeddings": q_knn_embeddings})

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -32,8 +31,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read: the cluster's ``spark.checkpoint.dir``.
 
-    The setting is read from the session.  Only when it is unset (local tests)
-    a fresh scratch folder is created and registered as the checkpoint dir.
+    The setting is read from the session.  Only when it is unset on a local
+    master (tests) a fresh scratch folder is created and registered; a cluster
+    without the setting is an error, since its executors share no local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,6 +43,8 @@ def shared_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
         conf = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -54,9 +56,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def fs_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-only helpers (tests)."""
-    return path[5:] if path.startswith("file:") else path
+def hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-__all__ = ["local_session", "shared_dir", "scratch_path", "fs_path", "os"]
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the session's file system has ``path`` (any scheme it knows)."""
+    p, fs = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of everything below ``path``."""
+    p, fs = hadoop_path(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+__all__ = ["local_session", "shared_dir", "scratch_path", "path_exists", "stored_bytes"]

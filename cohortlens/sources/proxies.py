@@ -113,11 +113,11 @@ def document_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(lab, "doc_id", "left").withColumnRenamed("doc_id", "row_id")
 
 
-def embedding_points(spark: SparkSession, sf_dir: str, label: int = 0) -> DataFrame:
-    """Embeddings as (row_id, y = label==given, features array<double>)."""
+def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as (row_id, label, features array<double>)."""
     e = table(spark, sf_dir, "embeddings")
     return e.select(
         F.col("vec_id").alias("row_id"),
-        (F.col("label") == label).cast("int").alias("y"),
+        "label",
         F.transform("embedding", lambda v: v.cast("double")).alias("features"),
     )

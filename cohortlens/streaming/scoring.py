@@ -2,8 +2,8 @@
 
 A ``PipelineModel`` (and the toolkit's ``TablePreprocessorModel``) are
 row-wise maps once fitted, so they run unchanged on a streaming DataFrame:
-no state, no watermark.  Results go to a file sink with a checkpoint in the
-shared folder, so a restarted query resumes exactly once.
+no state, no watermark.  Results go to a file sink; the caller names the
+checkpoint folder, and a query restarted with it resumes exactly once.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.session import scratch_path
 
 
 def score_stream(model, stream: DataFrame, featurize=None, key: str = "row_id", target: str | None = None) -> DataFrame:
@@ -25,9 +24,8 @@ def score_stream(model, stream: DataFrame, featurize=None, key: str = "row_id",
     return out.select(key, F.col("prediction").cast("int").alias("prediction"), prob.alias("probability"))
 
 
-def start_scoring(scored: DataFrame, path: str, checkpoint: str | None = None, once: bool = True):
+def start_scoring(scored: DataFrame, path: str, checkpoint: str, once: bool = True):
     """Write scores as parquet; ``once`` processes what is available and stops."""
-    ck = checkpoint or scratch_path(scored.sparkSession, "score-checkpoint")
-    w = scored.writeStream.format("parquet").option("path", path).option("checkpointLocation", ck).outputMode("append")
+    w = scored.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
     w = w.trigger(availableNow=True) if once else w
     return w.start()

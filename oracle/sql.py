@@ -130,15 +130,13 @@ SQL["drop_redundant"] = with_views(
     "part_a, part_b, month, line_flag FROM labelled_orders"
 )
 
-SQL["feature_groups"] = (
-    "SELECT column_name AS feature, "
-    "CASE WHEN column_type = 'VARCHAR' THEN 'categorical' ELSE 'numeric' END AS feature_group, "
-    "CAST(row_number() OVER () AS INTEGER) AS position FROM (DESCRIBE ("
-    + with_views(
-        "SELECT segment, priority, nation, total_price, acctbal, part_a, part_b, part_total, "
-        "month, week, zero, line_flag FROM labelled_orders"
+_FEATURES = ["segment", "priority", "nation", "total_price", "acctbal", "part_a", "part_b", "part_total", "month", "week", "zero", "line_flag"]
+SQL["feature_groups"] = with_views(
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS feature, '{'categorical' if c in ('segment', 'priority', 'nation', 'line_flag') else 'numeric'}' AS feature_group, "
+        f"count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct FROM labelled_orders"
+        for c in _FEATURES
     )
-    + "))"
 )
 
 def _corr(a: str, b: str) -> str:
@@ -791,9 +789,9 @@ SELECT count(*) AS n,
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 SQL["knn_embeddings"] = """
-WITH pts AS (SELECT vec_id AS row_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label = 0),
-pairs AS (SELECT a.row_id, b.row_id AS neighbour_id,
+WITH pts AS (SELECT label, vec_id AS row_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+pairs AS (SELECT a.label, a.row_id, b.row_id AS neighbour_id,
                  sqrt(list_sum(list_transform(list_zip(a.x, b.x), lambda t: (t[1] - t[2]) * (t[1] - t[2])))) AS distance
-          FROM pts a JOIN pts b ON a.row_id <> b.row_id),
+          FROM pts a JOIN pts b ON a.row_id <> b.row_id AND a.label = b.label),
 nn AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY distance, neighbour_id) AS nn_rank FROM pairs)
-SELECT row_id, CAST(nn_rank AS INTEGER) AS nn_rank, neighbour_id, round(distance, 6) AS distance FROM nn WHERE nn_rank <= 5"""
+SELECT label, row_id, CAST(nn_rank AS INTEGER) AS nn_rank, neighbour_id, round(distance, 6) AS distance FROM nn WHERE nn_rank <= 5"""

@@ -133,3 +133,32 @@ def test_smote_estimator_augments_in_fit_only(spark):
     got = {r["row_id"]: r["prediction"] for r in model.transform(df).collect()}
     want = {r["row_id"]: r["prediction"] for r in direct.transform(df).collect()}
     assert got == want and len(got) == 60  # scoring keeps the input rows, no synthetic ones
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_knn_constant_and_huge_components(spark, wide):
+    import math
+    import random
+
+    r = random.Random(4)
+    rows = [(i, [5.0, r.uniform(0, 2e18) if wide else r.uniform(0, 3), 7.0, r.uniform(0, 1)]) for i in range(60)]
+    got = {(x.row_id, x.nn_rank): x.neighbour_id for x in KN.knn(spark.createDataFrame(rows, "row_id bigint, x array<double>"), 3).collect()}
+    for i, a in rows:
+        near = sorted((math.sqrt(sum((u - v) ** 2 for u, v in zip(a, b, strict=True))), j) for j, b in rows if j != i)[:3]
+        assert [got[i, n + 1] for n in range(3)] == [j for _, j in near]
+
+
+def test_knn_rejects_ragged_vectors(spark):
+    with pytest.raises(ValueError, match="one length"):
+        KN.knn(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "row_id bigint, x array<double>"), 1)
+
+
+@pytest.mark.parametrize("bad", [None, 2])
+def test_target_must_be_binary(spark, bad):
+    from cohortlens.operators import split as SP
+    from cohortlens.operators.validate import ValidationError
+
+    df = spark.createDataFrame([(i, i % 2, [float(i)]) for i in range(20)] + [(99, bad, [0.0])], "row_id bigint, y int, x array<double>")
+    for call in (lambda: SP.stratified_split(df, "y"), lambda: SP.add_folds(df, "y"), lambda: RS.smote(df, "y"), lambda: RS.smote_grouped(df.selectExpr("*", "1 AS g"), "y", ["g"])):
+        with pytest.raises(ValidationError):
+            call()

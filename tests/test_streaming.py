@@ -13,7 +13,7 @@ def test_stream_scores_equal_batch_scores(spark, smoke_dir):
     model = learner.estimator.fit(f(train.select(*cols)))
     stream = spark.readStream.schema(test.select(*cols).schema).parquet(src)
     out = scratch_path(spark, "stream-out")
-    q = start_scoring(score_stream(model, stream, f, target="y_learn"), out)
+    q = start_scoring(score_stream(model, stream, f, target="y_learn"), out, scratch_path(spark, "stream-checkpoint"))
     q.awaitTermination(300)
     got = {r["row_id"]: r["prediction"] for r in spark.read.parquet(out).collect()}
     want = {r["row_id"]: r["prediction"] for r in score_stream(model, spark.read.parquet(src), f, target="y_learn").collect()}
