@@ -30,6 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from tokenizers import Tokenizer
 
 from cohortlens.llm.common import slices, text_rows, worker_cache
@@ -233,7 +234,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with the column ``decoded``: the tokens' strings, as the vocabulary's own decoder gives them."""
-    schema = encoded.schema.add("decoded", "string")
+    schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
     at = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
