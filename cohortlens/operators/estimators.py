@@ -21,6 +21,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.functions.hashing import hash_unit
 from cohortlens.operators.joins import broadcast_if_small
 
 
@@ -141,6 +142,25 @@ class GroupRateModel(Model, _GroupRateParams):
         return out.withColumn(self.getOrDefault("predictionCol"), F.coalesce(F.col("_rule"), F.lit(0)).cast("double")).drop("_rule")
 
 
+class BoundedFit(Estimator):
+    """Fits ``estimator`` on about ``max_rows`` rows of its table, chosen by a hash of their key.
+
+    Only fitting is bounded: scores, folds and metrics cover every row.  The
+    choice is a filter on a hash, so it is the same for any partitioning.
+    """
+
+    def __init__(self, estimator: Estimator, max_rows: int, key: str = "row_id", seed: int = 42):
+        super().__init__()
+        self.estimator, self.max_rows, self.key, self.seed = estimator, max_rows, key, seed
+
+    def _fit(self, df: DataFrame):
+        n = df.count()
+        if n > self.max_rows:
+            keys = [F.col(c) for c in (self.key, "syn_j") if c in df.columns]
+            df = df.where(hash_unit(self.seed, F.lit("fit"), *keys) < self.max_rows / n)
+        return self.estimator.fit(df)
+
+
 def forest(label: str, vec: str = "x", trees: int = 200, depth: int = 15, min_leaf: int = 1, balanced: bool = True, seed: int = 42) -> Pipeline:
     """Random forest on an array<double> feature column (sqrt feature subsets).
 
@@ -161,6 +181,7 @@ def forest(label: str, vec: str = "x", trees: int = 200, depth: int = 15, min_le
             maxDepth=30 if depth is None else depth,
             minInstancesPerNode=min_leaf,
             featureSubsetStrategy="sqrt",
+            maxMemoryInMB=1024,  # node statistics gathered at once: fewer passes over the rows
             seed=seed,
             **kw,
         )

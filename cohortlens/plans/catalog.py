@@ -369,7 +369,7 @@ def rate_inputs(spark, sf_dir):
     """CV folds over the train split only; the test split is never seen by selection."""
     train, _ = split_tables(spark, sf_dir)
     df = SP.add_folds(train.select(*RATE_COLUMNS), "y_learn", K_FOLDS, SEED)
-    extra = P.extra_rows(labelled(spark, sf_dir)).select(*RATE_COLUMNS)
+    extra = P.extra_rows(spark, sf_dir).select(*RATE_COLUMNS)
     return df, extra
 
 
@@ -445,7 +445,7 @@ def q_strategy_table(spark, sf_dir):
 
 def q_cohort_breakdown(spark, sf_dir):
     train, _ = split_tables(spark, sf_dir)
-    extra = P.extra_rows(labelled(spark, sf_dir))
+    extra = P.extra_rows(spark, sf_dir)
     return RP.cohort_breakdown(train, extra, "y_learn", F.col(P.FOCUS_COLUMN) == P.FOCUS_VALUE)
 
 
@@ -472,7 +472,7 @@ def rate_final(spark, sf_dir):
     def run():
         train, test = split_tables(spark, sf_dir)
         sel = RP.selected_strategy(rate_comparison(spark, sf_dir)).first()["strategy"]  # one name
-        extra = P.extra_rows(labelled(spark, sf_dir)).select(*RATE_COLUMNS)
+        extra = P.extra_rows(spark, sf_dir).select(*RATE_COLUMNS)
         model, f, _ = CV.fit_final(train.select(*RATE_COLUMNS), extra, sel, rate_learner(), RATE_SPEC)
         preds = CV.test_predictions(model, f, test.select(*RATE_COLUMNS), RATE_SPEC, sel)
         return CV.materialize(preds, "final-test"), sel
@@ -524,7 +524,7 @@ def q_curve_verdict(spark, sf_dir):
 
 def q_augmentation_rate(spark, sf_dir):
     train, _ = split_tables(spark, sf_dir)
-    extra = P.extra_rows(labelled(spark, sf_dir)).select(*RATE_COLUMNS)
+    extra = P.extra_rows(spark, sf_dir).select(*RATE_COLUMNS)
     return CV.augmentation_comparison(train.select(*RATE_COLUMNS), extra, rate_learner(), RATE_SPEC)
 
 
@@ -535,7 +535,7 @@ def q_smote_fold_stats(spark, sf_dir):
 
 def q_append_extra(spark, sf_dir):
     df = labelled(spark, sf_dir).select("row_id", "y_learn", "segment").withColumn("source", F.lit("train"))
-    ex = P.extra_rows(labelled(spark, sf_dir)).select("row_id", "y_learn", "segment").withColumn("source", F.lit("extra"))
+    ex = P.extra_rows(spark, sf_dir).select("row_id", "y_learn", "segment").withColumn("source", F.lit("extra"))
     return df.unionByName(ex, allowMissingColumns=True)
 
 
@@ -572,11 +572,12 @@ QUERIES.update(
 # ---------------------------------------------------------------- learned models (rows-only checks)
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
-from cohortlens.operators.estimators import forest, logistic  # noqa: E402
+from cohortlens.operators.estimators import BoundedFit, forest, logistic  # noqa: E402
 from cohortlens.plans import selection as SEL  # noqa: E402
 
-# query sizes (function defaults keep the reference sizes)
-RF_TREES, RF_DEPTH, RF_FOLDS = 20, 5, 3
+# the reference's forest, folds and grids; FIT_ROWS bounds the rows a single model is fitted on
+RF_TREES, RF_DEPTH, RF_FOLDS = 200, 15, 5
+FIT_ROWS = 2000
 KEEP = ["row_id", "y_learn", "segment", "priority", "origin", "syn_j", "is_synthetic", "fold", "eval_fold", "_src", "_uid"]
 RF_SPEC = CV.Spec(target="y_learn", cohort_column=P.FOCUS_COLUMN, cohort_value=P.FOCUS_VALUE, k=RF_FOLDS, seed=SEED, carry=["priority"])
 
@@ -589,18 +590,18 @@ def _prep_featurizer(train):
 
 
 def rf_learner(depth=RF_DEPTH, min_leaf=1, balanced=True, trees=RF_TREES) -> CV.Learner:
-    return CV.Learner(forest("y_learn", "x", trees, depth, min_leaf, balanced, SEED), _prep_featurizer, "x", needs_vectors=True)
+    return CV.Learner(BoundedFit(forest("y_learn", "x", trees, depth, min_leaf, balanced, SEED), FIT_ROWS), _prep_featurizer, "x", needs_vectors=True)
 
 
 def lr_learner(C=1.0, balanced=True) -> CV.Learner:
-    return CV.Learner(logistic("y_learn", "x", C, balanced), _prep_featurizer, "x", needs_vectors=True)
+    return CV.Learner(BoundedFit(logistic("y_learn", "x", C, balanced), FIT_ROWS), _prep_featurizer, "x", needs_vectors=True)
 
 
 def rf_inputs(spark, sf_dir):
     train, _ = split_tables(spark, sf_dir)
     cols = ["row_id", "y_learn", "segment", "priority", *[c for c in NUMERIC_FEATURES + CATEGORICAL_FEATURES if c != "segment"]]
     df = SP.add_folds(train.select(*cols), "y_learn", RF_FOLDS, SEED)
-    extra = P.extra_rows(labelled(spark, sf_dir)).select(*cols)
+    extra = P.extra_rows(spark, sf_dir).select(*cols)
     return df, extra
 
 
@@ -664,7 +665,7 @@ def q_baseline_selection(spark, sf_dir):
     df, _ = rf_inputs(spark, sf_dir)
     cands = {
         "logistic_regression": (lambda p: lr_learner(p["C"], p["balanced"]), SEL.LOGISTIC_GRID),
-        "random_forest": (lambda p: rf_learner(p["depth"], p["min_leaf"], p["balanced"]), [{"depth": d, "min_leaf": 1, "balanced": True} for d in (3, RF_DEPTH)]),
+        "random_forest": (lambda p: rf_learner(p["depth"], p["min_leaf"], p["balanced"]), SEL.FOREST_GRID),
     }
     best, _ = SEL.grid_search(df, cands, RF_SPEC)
     return best

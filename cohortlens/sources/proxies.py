@@ -7,7 +7,7 @@ over the whole input tables; no row caps, no samples.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions.hashing import portable_hash
@@ -49,7 +49,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with a target, a rule prediction and cohort columns."""
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
@@ -87,11 +87,21 @@ def labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def extra_rows(labelled: DataFrame) -> DataFrame:
-    """Extra real rows for the focus cohort: its latest orders, keys shifted."""
-    return labelled.filter(
-        (F.col(FOCUS_COLUMN) == FOCUS_VALUE) & (F.col("order_date") >= F.lit(EXTRA_FROM).cast("timestamp_ntz"))
-    ).withColumn("row_id", F.col("row_id") + F.lit(EXTRA_KEY_SHIFT))
+def _is_extra() -> Column:
+    return (F.col(FOCUS_COLUMN) == FOCUS_VALUE) & (F.col("order_date") >= F.lit(EXTRA_FROM).cast("timestamp_ntz"))
+
+
+def labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled table: all orders but those set aside as extra rows."""
+    return labelled_all(spark, sf_dir).filter(~F.coalesce(_is_extra(), F.lit(False)))
+
+
+def extra_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extra real rows for the focus cohort: its latest orders, keys shifted.
+
+    None of them is in the labelled table, so none can be in a train or test split.
+    """
+    return labelled_all(spark, sf_dir).filter(_is_extra()).withColumn("row_id", F.col("row_id") + F.lit(EXTRA_KEY_SHIFT))
 
 
 def events_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ orders_base AS (
   LEFT JOIN lines l ON l.l_orderkey = o.o_orderkey
   LEFT JOIN flags f ON f.l_orderkey = o.o_orderkey
 ),
-labelled_orders AS (
+labelled_all AS (
   SELECT row_id, y_true, y_pred,
          CAST(CASE WHEN noise < CASE WHEN segment = 'HOUSEHOLD' THEN 40 ELSE 15 END
                    THEN 1 - y_pred ELSE y_pred END AS INTEGER) AS y_learn,
@@ -49,8 +49,11 @@ labelled_orders AS (
          month, week, zero, line_flag, order_date
   FROM orders_base
 ),
+labelled_orders AS (
+  SELECT * FROM labelled_all WHERE NOT coalesce(segment = 'HOUSEHOLD' AND order_date >= TIMESTAMP '2001-01-01', FALSE)
+),
 extra_rows AS (
-  SELECT * REPLACE (row_id + 1000000000 AS row_id) FROM labelled_orders
+  SELECT * REPLACE (row_id + 1000000000 AS row_id) FROM labelled_all
   WHERE segment = 'HOUSEHOLD' AND order_date >= TIMESTAMP '2001-01-01'
 ),
 events_labelled AS (

@@ -68,3 +68,45 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[:2] == ["cohort_feature", "cohort_value"]
     assert df.count() > 0
+
+
+def test_extra_rows_are_in_no_split(spark, smoke_dir):
+    from cohortlens.sources import proxies as P
+
+    extra = {r.row_id - P.EXTRA_KEY_SHIFT for r in P.extra_rows(spark, smoke_dir).select("row_id").collect()}
+    train, test = C.split_tables(spark, smoke_dir)
+    kept = {r.row_id for t in (train, test) for r in t.select("row_id").collect()}
+    assert extra and kept and not extra & kept
+    assert len(extra) + len(kept) == P.labelled_all(spark, smoke_dir).count()
+
+
+def test_logistic_c_is_the_penalty_of_the_summed_loss(spark):
+    """One feature, closed by Newton steps on sum(loss) + w^2 / (2 C), intercept free."""
+    import math
+
+    from cohortlens.operators.estimators import logistic
+
+    rows = [(float(i % 7) / 3 - 1, int((i * 5) % 11 > 4 - i % 7)) for i in range(200)]
+    df = spark.createDataFrame([([x], y) for x, y in rows], "x array<double>, y int")
+    found = {}
+    for strength in (0.01, 1.0, 100.0):
+        w = b = 0.0
+        for _ in range(50):
+            p = [1 / (1 + math.exp(-(w * x + b))) for x, _ in rows]
+            gw = sum((q - y) * x for q, (x, y) in zip(p, rows, strict=True)) + w / strength
+            gb = sum(q - y for q, (_, y) in zip(p, rows, strict=True))
+            v = [q * (1 - q) for q in p]
+            hww, hwb, hbb = sum(a * x * x for a, (x, _) in zip(v, rows, strict=True)) + 1 / strength, sum(a * x for a, (x, _) in zip(v, rows, strict=True)), sum(v)
+            det = hww * hbb - hwb * hwb
+            w, b = w - (hbb * gw - hwb * gb) / det, b - (hww * gb - hwb * gw) / det
+        found[strength] = logistic("y", "x", strength, balanced=False).fit(df).stages[-1].coefficients[0]
+        assert abs(found[strength] - w) < 1e-3
+    assert abs(found[0.01]) < abs(found[1.0]) < abs(found[100.0])
+
+
+def test_forest_depth_limit():
+    from cohortlens.operators.estimators import forest
+
+    with pytest.raises(ValueError, match="30 levels"):
+        forest("y", depth=31)
+    assert forest("y", depth=None).getStages()[-1].getMaxDepth() == 30
