@@ -570,9 +570,8 @@ QUERIES.update(
 
 
 # ---------------------------------------------------------------- learned models (rows-only checks)
-from pyspark.ml.functions import vector_to_array  # noqa: E402
-
 from cohortlens.operators.estimators import BoundedFit, forest, logistic  # noqa: E402
+from cohortlens.plans import scoring as SC  # noqa: E402
 from cohortlens.plans import selection as SEL  # noqa: E402
 
 # the reference's forest, folds and grids; FIT_ROWS bounds the rows a single model is fitted on
@@ -582,10 +581,12 @@ KEEP = ["row_id", "y_learn", "segment", "priority", "origin", "syn_j", "is_synth
 RF_SPEC = CV.Spec(target="y_learn", cohort_column=P.FOCUS_COLUMN, cohort_value=P.FOCUS_VALUE, k=RF_FOLDS, seed=SEED, carry=["priority"])
 
 
+def _preparer():
+    return PR.TablePreprocessor(numericCols=NUMERIC_FEATURES, categoricalCols=CATEGORICAL_FEATURES, keepCols=KEEP, arrayCol="x")
+
+
 def _prep_featurizer(train):
-    model = PR.TablePreprocessor(
-        numericCols=NUMERIC_FEATURES, categoricalCols=CATEGORICAL_FEATURES, keepCols=KEEP, arrayCol="x"
-    ).fit(train)
+    model = _preparer().fit(train)
     return lambda df: model.transform(df).drop("features")
 
 
@@ -642,23 +643,22 @@ def rf_final(spark, sf_dir):
         train, test = split_tables(spark, sf_dir)
         df, extra = rf_inputs(spark, sf_dir)
         sel = RP.selected_strategy(q_strategy_cv(spark, sf_dir)).first()["strategy"]
-        model, f, _ = CV.fit_final(df.drop("fold"), extra, sel, rf_learner(), RF_SPEC)
-        return model, f, sel, test
+        model = SC.fit_final_model(df.drop("fold"), extra, sel, rf_learner().estimator, _preparer(), RF_SPEC)
+        return model, sel, test
 
     return _memo(spark, ("rf_final", sf_dir), run)
 
 
 def q_final_test_metrics(spark, sf_dir):
-    model, f, sel, test = rf_final(spark, sf_dir)
-    preds = CV.test_predictions(model, f, test, RF_SPEC, sel)
+    model, sel, test = rf_final(spark, sf_dir)
+    preds = CV.test_predictions(model, lambda df: df, test, RF_SPEC, sel)
     return M.global_vs_cohort(preds, RF_SPEC.cohort_column, RF_SPEC.cohort_value, by=["strategy"])
 
 
 def q_score_table(spark, sf_dir):
     """Score the test split with the final model: class and P(1)."""
-    model, f, _, test = rf_final(spark, sf_dir)
-    out = model.transform(f(test.drop("y_learn")))
-    return out.select("row_id", F.col("prediction").cast("int").alias("prediction"), vector_to_array("probability")[1].alias("probability"))
+    model, _, test = rf_final(spark, sf_dir)
+    return SC.score(model, test, target="y_learn", redundant=tuple(P.REDUNDANT_COLUMNS))
 
 
 def q_baseline_selection(spark, sf_dir):

@@ -18,13 +18,14 @@ from typing import Callable
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions.ratios import confusion_aggs, metric_columns
 from cohortlens.operators import metrics as M
 from cohortlens.operators import resample as RS
 from cohortlens.operators import split as SP
+from cohortlens.operators.validate import assert_complete
 from cohortlens.session import scratch_path
 
 STRATEGIES = ["baseline", "real_data", "smote", "smote_cohort"]
@@ -82,9 +83,10 @@ def run_concurrently(tasks: list[Callable], threads: int = FIT_THREADS) -> list:
         return [t() for t in tasks]
     from concurrent.futures import ThreadPoolExecutor
 
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=threads) as pool:
         # jobs of the threads keep the caller's scheduler pool and job group
-        return list(pool.map(lambda t: inheritable_thread_target(t)(), tasks))
+        return list(pool.map(lambda t: inherit(t)(), tasks))
 
 
 def _featurize(learner: Learner, train: DataFrame):
@@ -192,6 +194,8 @@ def strategy_cv(
         if st is not None:
             stats.append((s, i, st))
     preds = materialize(M.union_all(parts), "predictions", ["strategy"])
+    for s in {s for s, _ in runs}:
+        assert_complete(df, preds.where((F.col("strategy") == s) & (F.col("split") == "val")), spec.key)
     spark = df.sparkSession
     rows = []
     for s, i, st in stats:
@@ -261,6 +265,8 @@ def _strategy_cv_batched(df, extra, learner: Learner, spec: Spec, strategies, fo
     vx = val_long.withColumn("strategy", F.explode(F.array(*[F.lit(x) for x in present])))
     vp = model.transform(vx).select(*cols("val", F.lit(0).alias("syn_j"), F.lit("train").alias("origin")))
     preds = materialize(tp.unionByName(vp), "predictions", ["strategy"])
+    for s in present:
+        assert_complete(df, preds.where((F.col("strategy") == s) & (F.col("split") == "val")), spec.key)
     if cohort_stats is None:
         st_df = df.sparkSession.createDataFrame([], "strategy string, fold int, cohort_original_n long")
     else:
@@ -304,7 +310,9 @@ def oof_predict(estimator: Estimator, df: DataFrame, spec: Spec, learner: Learne
     """Each row scored by the model fitted on the other folds."""
     learner = learner or Learner(estimator)
     preds, _ = strategy_cv(df, None, learner, spec, ["baseline"], fold_col)
-    return oof_predictions(preds)
+    out = oof_predictions(preds)
+    assert_complete(df, out, spec.key)
+    return out
 
 
 # ---------------------------------------------------------------- augmentation protocol

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.ratios import safe_ratio
+from cohortlens.operators.validate import require_strategy_column
 
 ORDER = ["baseline", "real_data", "smote", "smote_cohort"]  # fixed display order
 METRICS = ["accuracy", "precision", "recall", "f1"]
@@ -27,6 +28,7 @@ def selected_strategy(comparison: DataFrame | None, default: str = "smote", spar
     """The top-ranked strategy, or ``default`` when no comparison exists."""
     if comparison is None:
         return spark.createDataFrame([(default, "default")], "strategy string, source string")
+    require_strategy_column(comparison)
     top = rank_strategies(comparison).where("rank = 1")
     return top.select("strategy", F.lit("comparison").alias("source"))
 

@@ -110,3 +110,34 @@ def test_forest_depth_limit():
     with pytest.raises(ValueError, match="30 levels"):
         forest("y", depth=31)
     assert forest("y", depth=None).getStages()[-1].getMaxDepth() == 30
+
+
+def test_final_model_scores_raw_tables_after_reload(spark, smoke_dir):
+    """One saved pipeline scores a table or a path, with or without target and redundant columns."""
+    from cohortlens.operators.estimators import forest
+    from cohortlens.plans import scoring as SC
+    from cohortlens.session import scratch_path
+    from cohortlens.sources import proxies as P
+    from cohortlens.sources.models_io import save_model
+
+    df, extra = C.rf_inputs(spark, smoke_dir)
+    _, test = C.split_tables(spark, smoke_dir)
+    for strategy in ("baseline", "real_data"):
+        model = SC.fit_final_model(df.drop("fold"), extra, strategy, forest("y_learn", "x", 3, 3), C._preparer(), C.RF_SPEC)
+        path, table = save_model(model, scratch_path(spark, "final")), scratch_path(spark, "raw")
+        test.write.parquet(table)
+        want = {tuple(r) for r in SC.score(model, test).collect()}
+        assert len(want) == test.count()
+        for m, d in ((path, test), (model, table), (path, table)):
+            assert {tuple(r) for r in SC.score(m, d, spark, target="y_learn", redundant=tuple(P.REDUNDANT_COLUMNS)).collect()} == want
+
+
+def test_incomplete_fold_scores_are_an_error(spark):
+    from cohortlens.operators.validate import assert_complete, require_strategy_column
+
+    train = spark.range(5).withColumnRenamed("id", "row_id")
+    assert_complete(train, train)
+    with pytest.raises(RuntimeError):
+        assert_complete(train, train.where("row_id < 4"))
+    with pytest.raises(ValueError):
+        require_strategy_column(train)
