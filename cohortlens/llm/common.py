@@ -117,6 +117,14 @@ def worker_cache(name: str) -> dict:
     return home.__dict__.setdefault(name, {})
 
 
+def forget() -> None:
+    """Drop what other operators remember in this worker, before work that needs the memory."""
+    home = sys.modules.get("_cohortlens_worker")
+    if home is not None:
+        for name in [k for k, v in home.__dict__.items() if isinstance(v, dict)]:
+            home.__dict__[name].clear()
+
+
 def hexdigest(column: Column) -> Column:
     return F.sha2(column.cast("binary"), 256)
 

@@ -2,7 +2,7 @@
 
 Two passes.  The first sketches the count of every window (``sketch``).  The
 second fingerprints windows again and groups only those estimated repeated, by
-a 128-bit fingerprint of their words; the earliest start of each is kept.  A
+a 96-bit fingerprint of their words; the earliest start of each is kept.  A
 window estimated repeated that is not such a first start is a later copy, and
 the words it covers go.
 
@@ -23,15 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import sketch
-from cohortlens.llm.common import BASE_A, BASE_B, keyed, mixed, rolled, slices, text_rows, word_hashes
+from cohortlens.llm.common import BASE_A, BASE_B, forget, keyed, mixed, rolled, slices, text_rows, word_hashes
 
 
 def window_keys(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit fingerprints of each window."""
+    """A 64-bit and an independent 32-bit fingerprint of each window."""
     if len(words) < window:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
     h = word_hashes(words)
-    return mixed(rolled(h, window, BASE_A)), mixed(rolled(mixed(h, 5), window, BASE_B))
+    return mixed(rolled(h, window, BASE_A)), (mixed(rolled(mixed(h, 5), window, BASE_B)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 20, cells_per_window: float = 4.0) -> DataFrame:
@@ -59,6 +59,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
     seen = spark.sparkContext.broadcast(sketch.build(rows.select("text"), keys_of, bits, (2,))[0])
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in slices(batches, 3):
             held = []
             for i, body in text_rows(batch, 3):
@@ -76,12 +77,12 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
                 continue
             a, b, row, pos = (np.concatenate(x) for x in zip(*held, strict=True))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), *(batch.column(c).take(pa.array(row)) for c in range(3)), pa.array(pos.astype(np.int32))],
+                [pa.array(a.view(np.int64)), pa.array(b), *(batch.column(c).take(pa.array(row)) for c in range(3)), pa.array(pos.astype(np.int32))],
                 ["a", "b", "z", "d", "t", "p"],
             )
 
     kind = rows.schema["d"].dataType.simpleString()
-    found = rows.select("z", "d", "t", "text").mapInArrow(candidates, f"a bigint, b bigint, z int, d {kind}, t bigint, p int")
+    found = rows.select("z", "d", "t", "text").mapInArrow(candidates, f"a bigint, b int, z int, d {kind}, t bigint, p int")
     if plain:
         low = facts["low"]
         place = F.shiftleft(F.col("d").cast("bigint") - F.lit(low), shift).bitwiseOR(F.col("p").cast("bigint"))

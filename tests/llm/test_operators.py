@@ -253,7 +253,7 @@ def test_jaccard(spark, docs, rows, k, percent):
 
 def test_jaccard_with_a_full_sketch(spark, docs, monkeypatch):
     plain = Counter(jaccard.join(docs).collect())
-    monkeypatch.setattr(sketch, "log2_cells", lambda *_: 4)
+    monkeypatch.setattr(sketch, "log2_cells", lambda *_: 6)
     assert Counter(jaccard.join(docs).collect()) == plain
 
 
