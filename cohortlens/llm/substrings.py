@@ -34,7 +34,7 @@ def window_keys(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray
     return mixed(rolled(h, window, BASE_A)), (mixed(rolled(mixed(h, 5), window, BASE_B)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 20, cells_per_window: float = 4.0) -> DataFrame:
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 20, cells_per_window: float = 2.0) -> DataFrame:
     """One row per row of ``docs``: its id, n_words, n_removed and the text that is left."""
     rows = keyed(docs, doc_id, text)
     spark = docs.sparkSession
