@@ -17,6 +17,7 @@ columns, whatever they are called, are not looked at.  No row is dropped.
 
 from __future__ import annotations
 
+import gc
 import json
 import math
 import os
@@ -38,6 +39,9 @@ from cohortlens.llm.common import slices, text_rows, worker_cache
 #: Pieces and words a worker remembers before it starts afresh (memory bound, no effect on results).
 REMEMBERED = 600_000
 
+#: Text whose distinct words share one trie.
+TRIE_BYTES = 8_000_000
+
 END = "</w>"
 
 #: Letters below this one are classed alike by all Unicode versions.
@@ -73,7 +77,8 @@ class WordBpe:
         self.length = [len(s) for s in self.names]
         for s, i in self.final.items():
             self.length[i] = len(s)
-        self.longest = max(self.length)
+        self.sizes = self.by_tail(self.inner), self.by_tail(self.final)
+        self.begin = len(self.names)  # stands before the first token of a word
         self.library = Tokenizer.from_file(path)
         self.letters = dict(enumerate(byte_letters()))
         self.parts = {token: (a, b, rank) for (a, b), (rank, token) in self.ranks.items()}
@@ -83,6 +88,17 @@ class WordBpe:
         self.whole: dict[int, bool] = {}
         self.pieces: dict[bytes, bytes] = {}
 
+    @staticmethod
+    def by_tail(tokens: Iterable[str]) -> dict[str, list[int]]:
+        """Sizes (longest first) of the tokens that end in one or two given letters."""
+        sizes: dict[str, set[int]] = {}
+        for s in tokens:
+            sizes.setdefault(s[-2:], set()).add(len(s))
+        for s in list(sizes):
+            if len(s) == 2:
+                sizes[s] |= sizes.get(s[1], set())
+        return {s: sorted(x, reverse=True) for s, x in sizes.items()}
+
     def symbols(self, token: int) -> list[int]:
         s = self.names[token]
         if self.final.get(s[: -len(END)]) == token and s.endswith(END):
@@ -137,47 +153,65 @@ class WordBpe:
                     return False
         return self.alone(a) and self.alone(b)
 
-    def last_token(self, word: str, n: int, last: list[int], vocab: dict[str, int]) -> int:
-        """Last token of the first ``n`` letters, given those of all shorter prefixes."""
-        pairs = self.pairs
-        for at in range(max(0, n - self.longest), n):
-            t = vocab.get(word[at:n])
-            if t is not None:
-                if at == 0:
-                    if self.alone(t):
-                        return t
-                elif last[at] >= 0:
-                    key = last[at] << 32 | t
-                    ok = pairs.get(key)
-                    if ok is None:
-                        ok = pairs[key] = self.together(last[at], t)
-                    if ok:
-                        return t
-        return -1
+    def fits(self, before: int, token: int) -> bool:
+        """Whether ``token`` may follow ``before`` (or begin a word); remembered."""
+        ok = self.alone(token) if before == self.begin else self.together(before, token)
+        self.pairs[before << 32 | token] = ok
+        return ok
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Ids of each word (letters of bytes): depth-first over the trie of all of them."""
-        out, last, before = {}, [-1], ""
-        length, inner, final, last_token = self.length, self.inner, self.final, self.last_token
+        """Ids of each word (letters of bytes): depth-first over the trie of all of them.
+
+        ``last[i]`` is the last token of the first ``i`` letters.  It is the suffix
+        of them that fits behind the last token of what comes before it.
+        """
+        out: dict[str, list[int]] = {}
+        last, before = [self.begin], ""
+        length, none = self.length, -1
+        inner_sizes, final_sizes = self.sizes[0].get, self.sizes[1].get
+        inner, final, pairs, fits = self.inner.get, self.final.get, self.pairs.get, self.fits
         for word in sorted(words):
             n = len(word)
-            stem = word[:-1]
-            common = len(os.path.commonprefix((before, stem)))
-            del last[common + 1 :]
-            for i in range(common + 1, n):
-                last.append(last_token(word, i, last, inner))
-            before = stem
-            end = last_token(word, n, last, final)
-            ids, at = [end], n - (length[end] if end >= 0 else n)
+            # the path shared with the word before (its last letter is not on it: it ends differently)
+            i, most = 0, min(len(before), n) - 1
+            while i < most and before[i] == word[i]:
+                i += 1
+            del last[i + 1 :]
+            for i in range(i + 1, n):
+                found = none
+                for size in inner_sizes(word[max(0, i - 2) : i]) or (1,):
+                    at = i - size
+                    t = inner(word[at:i]) if at >= 0 else None
+                    if t is not None:
+                        p = last[at]
+                        if p >= 0 and (pairs(p << 32 | t) or (pairs(p << 32 | t) is None and fits(p, t))):
+                            found = t
+                            break
+                last.append(found)
+            before = word
+            end, at = none, 0
+            for size in final_sizes(word[-2:]) or (1,):
+                at = n - size
+                t = final(word[at:]) if at >= 0 else None
+                if t is not None:
+                    p = last[at]
+                    if p >= 0 and (pairs(p << 32 | t) or (pairs(p << 32 | t) is None and fits(p, t))):
+                        end = t
+                        break
+            ids = [end]
             while at > 0 and last[at] >= 0:
                 ids.append(last[at])
                 at -= length[last[at]]
             # a vocabulary whose merges are not of this form: merge the word itself
-            out[word] = ids[::-1] if end >= 0 and at == 0 else self.merged([inner[c] for c in stem] + [final[word[-1]]])
+            out[word] = ids[::-1] if end >= 0 and at == 0 else self.merged([self.inner[c] for c in word[:-1]] + [self.final[word[-1]]])
         return out
 
     def split(self, piece: bytes) -> list[str | int]:
         """Words (as letters of bytes) and special ids of a piece without white space."""
+        if piece.isalpha():  # letters a-z only: one word
+            return [piece.lower().decode()]
+        if piece[:-1].isalpha() and piece[-1:] in b".,;:!?":
+            return [piece[:-1].lower().decode(), piece[-1:].decode()]
         out: list[str | int] = []
         text = piece.decode()
         for part in self.cut.split(text) if self.cut and "<" in text else (text,):
@@ -197,12 +231,17 @@ class WordBpe:
         new = pieces.difference(self.pieces)
         if len(self.pieces) + len(new) > REMEMBERED:
             self.pieces.clear()
+            self.pairs.clear()
             new = pieces
+        collecting = gc.isenabled()
+        gc.disable()  # the many small lists below hold no cycles
         parts = {p: self.split(p) for p in new}
         words = self.encode_words({w for x in parts.values() for w in x if isinstance(w, str)})
         packed = {w: array("I", ids).tobytes() for w, ids in words.items()}
         for p, x in parts.items():
             self.pieces[p] = b"".join(packed[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in x)
+        if collecting:
+            gc.enable()
 
     def decode(self, ids: bytes) -> str:
         names = self.names
@@ -223,7 +262,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, TRIE_BYTES):
             bodies = [body.encode() for _, body in text_rows(batch, 1)]
             bpe.learn(set().union(*(body.split() for body in bodies)))
             ids = [b"".join(map(bpe.pieces.__getitem__, body.split())) for body in bodies]

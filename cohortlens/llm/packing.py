@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.bpe import vocabulary
+from cohortlens.llm.bpe import TRIE_BYTES, vocabulary
 from cohortlens.llm.common import slices, text_rows
 
 GROUP_TOKENS = 4_000_000
@@ -117,7 +117,7 @@ def pack(docs: DataFrame, path: str, length: int = 2048, pad: int = 0, doc_id: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         ids, owners, n = [], [], 0
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, TRIE_BYTES):
             bodies = [body.encode() for _, body in text_rows(batch, 1)]
             bpe.learn(set().union(*(body.split() for body in bodies)))
             for owner, body in zip(batch.column(0), bodies, strict=True):
