@@ -69,7 +69,8 @@ def scan(versions: DataFrame, path: str = "path", content: str = "content", ledg
     body = F.coalesce(F.col(content).cast("string"), F.lit(""))
     blobs = versions.select(F.col(path).alias("path"), body.alias("content")).withColumn("blob", F.sha2(F.encode("content", "UTF-8"), 256))
     known = ledger_of(spark, ledger).filter(F.col("rules") == rules_version).select("blob")
-    unseen = blobs.select("blob", "content").join(known, "blob", "left_anti").dropDuplicates(["blob"])
+    # copies fall together within each task before anything moves
+    unseen = blobs.select("blob", "content").dropDuplicates(["blob"]).join(known, "blob", "left_anti")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = matchers()
