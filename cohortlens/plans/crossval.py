@@ -74,7 +74,7 @@ class Spec:
         return list(dict.fromkeys([*self.carry, self.cohort_column]))
 
 
-FIT_THREADS = 4  # concurrent fold fits submitted from the driver
+FIT_THREADS = 8  # concurrent fold fits submitted from the driver
 
 
 def run_concurrently(tasks: list[Callable], threads: int = FIT_THREADS) -> list:
