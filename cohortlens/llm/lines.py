@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import keyed, stored
+from cohortlens.llm.common import forget, keyed, stored
 
 
 def ranked(keys: DataFrame, columns: list[str]) -> DataFrame:
@@ -94,6 +94,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _n_lines bigint, _n_deleted bigint"
 
     def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             texts, total, gone = [], [], []
             for body, first in zip(batch.column(at), batch.column(starts), strict=True):

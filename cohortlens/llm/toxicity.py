@@ -33,7 +33,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import slices, text_rows
+from cohortlens.llm.common import forget, slices, text_rows
 
 MAX_TOXIC, MAX_ORDINARY, MAX_CHARS = 2000, 6000, 20_000
 WINDOW_BYTES = 56
@@ -139,6 +139,7 @@ def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "tex
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         ready = "w" in model
         c0, c1 = (compressor(model["ordinary"]), compressor(model["toxic"])) if ready else (None, None)
         for batch in slices(batches, 1):
