@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import forget, keyed, stored
 
+BLANK = r"[\x20\x09-\x0D]+"
+
 
 def ranked(keys: DataFrame, columns: list[str]) -> DataFrame:
     """``keys`` with an order-preserving ``rank``: one sort over all tasks, written before use."""
@@ -44,9 +46,12 @@ def repeated(at: DataFrame, columns: list[str]) -> DataFrame:
     return at.groupBy(*columns).agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").drop("last")
 
 
-def suffixes(rows: DataFrame, min_lines: int) -> DataFrame:
-    """(z, d, t, pos, rank, first) of every suffix whose first ``min_lines`` lines occur again."""
-    lines = rows.select("z", "d", "t", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).select("z", "d", "t", "pos", F.unhex(F.md5("line")).alias("line"))
+def suffixes(rows: DataFrame, min_lines: int, least_words: int = 0) -> DataFrame:
+    """(z, d, t, pos, rank, first) of every suffix whose first ``min_lines`` lines (of ``least_words`` words each) occur again."""
+    lines = rows.select("z", "d", "t", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    if least_words:
+        lines = lines.filter(F.size(F.filter(F.split("line", BLANK), lambda w: w != "")) >= least_words)
+    lines = lines.select("z", "d", "t", "pos", F.unhex(F.md5("line")).alias("line"))
     ranks = ranked(repeated(lines, ["line"]), ["line"])
     at = stored(lines.join(ranks.select("line", "rank", "first"), "line").select("z", "d", "t", "pos", "rank", "first").distinct(), "suffixes")
     depth = 1
@@ -60,9 +65,9 @@ def suffixes(rows: DataFrame, min_lines: int) -> DataFrame:
     return at
 
 
-def later_copies(rows: DataFrame, min_lines: int) -> DataFrame:
+def later_copies(rows: DataFrame, min_lines: int, least_words: int = 0) -> DataFrame:
     """Per document, the sorted starts of later copies."""
-    at = suffixes(rows, min_lines).filter(F.struct("z", "d", "t", "pos") != F.col("first"))
+    at = suffixes(rows, min_lines, least_words).filter(F.struct("z", "d", "t", "pos") != F.col("first"))
     return at.groupBy("z", "d", "t").agg(F.sort_array(F.collect_list("pos")).alias("starts"))
 
 
@@ -79,13 +84,15 @@ def runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines:
     return later_copies(rows, min_lines).select(F.when(F.col("z") == 0, F.col("d")).alias(doc_id), F.inline(spread))
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = 2) -> DataFrame:
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_lines: int = 2, least_words: int = 0) -> DataFrame:
     """``docs`` with the lines of later copies deleted from ``text``.
 
+    With ``least_words``, only lines of so many words are compared; ``min_lines=1``
+    then deletes single long lines whatever their neighbours are.
     Two columns follow: ``_n_lines`` and ``_n_deleted``, counts of the row's lines before.
     """
     rows = keyed(docs.filter(F.col(text).isNotNull()), doc_id, text)
-    copies = later_copies(rows, min_lines).select(F.col("z").alias("_z"), F.col("d").alias("_d"), F.col("t").alias("_t"), F.col("starts").alias("_starts"))
+    copies = later_copies(rows, min_lines, least_words).select(F.col("z").alias("_z"), F.col("d").alias("_d"), F.col("t").alias("_t"), F.col("starts").alias("_starts"))
     c = docs[doc_id]
     zero = F.lit(0).cast(docs.schema[doc_id].dataType)
     same = (F.when(c.isNull(), 1).otherwise(0) == copies["_z"]) & (F.coalesce(c, zero) == copies["_d"]) & (F.xxhash64(docs[text].cast("string")) == copies["_t"])
