@@ -59,6 +59,16 @@ def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
+def without(docs: DataFrame, gone: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` whose (z, d, t) of ``keyed`` is not in ``gone``, so never by a null or shared id alone."""
+    gone = gone.select(F.col("z").alias("_z"), F.col("d").alias("_d"), F.col("t").alias("_t")).distinct()
+    c = docs[doc_id]
+    zero = F.lit(0).cast(docs.schema[doc_id].dataType)
+    body = F.coalesce(docs[text].cast("string"), F.lit(""))
+    same = (F.when(c.isNull(), 1).otherwise(0) == gone["_z"]) & (F.coalesce(c, zero) == gone["_d"]) & (F.xxhash64(body) == gone["_t"])
+    return docs.join(gone, same, "left_anti")
+
+
 def text_rows(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, str]]:
     """(row, text) of one column, one Python string at a time; null reads as empty."""
     for i, v in enumerate(batch.column(column)):

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import is_small, keyed, stored
+from cohortlens.llm.common import is_small, keyed, stored, without
 
 #: Benchmark fingerprints are broadcast only if their table is at most this large.
 BROADCAST_BYTES = 32 << 20
@@ -53,11 +53,11 @@ def winnowed(grams: Column, span: int) -> Column:
     return runs(grams, span, lambda i: F.array_min(F.slice(grams, i, span)))
 
 
-def contamination(
+def hit_rows(
     docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5,
     doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
-) -> DataFrame:
-    """One row per row of ``docs``: id, n_words, n_hit, n_items, items (sorted as strings, comma-joined)."""
+) -> tuple[DataFrame, DataFrame]:
+    """(z, d, t, n_hit, item_sets) of the rows that hold a benchmark window, and the (item_set, list) of all windows."""
     span = window - gram + 1
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), words_of(F.col(item_text).cast("string")).alias("w")).filter(F.size("w") > 0)
     whole = items.filter(F.size("w") >= window).select("item", F.explode(runs(F.col("w"), window, lambda i: F.slice("w", i, window))).alias("w"))
@@ -99,7 +99,12 @@ def contamination(
             (a["hit"] + F.greatest(F.lit(0), s["i"] + s["n"] - F.greatest(a["end"], s["i"]))).cast("long").alias("hit"),
         ),
     )["hit"]
-    found = stored(found.select("z", "d", "t", covered.alias("n_hit"), "item_sets"), "found")
+    return stored(found.select("z", "d", "t", covered.alias("n_hit"), "item_sets"), "found"), sets
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram: int = 5, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, n_words, n_hit, n_items, items (sorted as strings, comma-joined)."""
+    found, sets = hit_rows(docs, benchmark, window, gram, doc_id, text, item_id, item_text)
     lists = found.select("item_sets").distinct().select("item_sets", F.explode("item_sets").alias("item_set")).join(sets, "item_set")
     lists = lists.groupBy("item_sets").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.split("list", ","))))).alias("items"))
     lists = lists.select("item_sets", F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("items"))
@@ -112,7 +117,13 @@ def contamination(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` without a benchmark window."""
+    """The rows of ``docs`` whose id has no benchmark window in any row (nulls count as one id); see ``clean_rows``."""
     judged = contamination(docs, benchmark, doc_id=doc_id, text=text, **how)
     gone = judged.filter("n_hit > 0").select(F.col(doc_id).alias("_gone")).distinct()
     return docs.join(gone, docs[doc_id].eqNullSafe(gone["_gone"]), "left_anti")
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` without a benchmark window, each judged by its own text."""
+    found, _ = hit_rows(docs, benchmark, doc_id=doc_id, text=text, **how)
+    return without(docs, found, doc_id, text)

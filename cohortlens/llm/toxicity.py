@@ -33,7 +33,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import forget, slices, text_rows
+from cohortlens.llm.common import forget, keyed, slices, text_rows, without
 
 MAX_TOXIC, MAX_ORDINARY, MAX_CHARS = 2000, 6000, 20_000
 WINDOW_BYTES = 56
@@ -161,6 +161,6 @@ def held_out(doc_id: str = "doc_id"):
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below the threshold."""
-    judged = score(docs, fit(docs, labels.filter(~held_out(doc_id)), doc_id, text), doc_id, text)
-    gone = judged.filter(F.col("score") >= THRESHOLD).select(F.col(doc_id).alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone["_gone"]), "left_anti")
+    rows = keyed(docs, doc_id, text).select(F.struct("z", "d", "t").alias("key"), "text")
+    judged = score(rows, fit(docs, labels.filter(~held_out(doc_id)), doc_id, text), "key", "text")
+    return without(docs, judged.filter(F.col("score") >= THRESHOLD).select("key.*"), doc_id, text)
