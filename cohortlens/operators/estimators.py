@@ -145,23 +145,28 @@ class GroupRateModel(Model, _GroupRateParams):
 class BoundedFit(Estimator):
     """Fits ``estimator`` on about ``max_rows`` rows of its table, chosen by a hash of their key.
 
-    Only fitting is bounded: scores, folds and metrics cover every row.  The
-    choice is a filter on a hash, so it is the same for any partitioning.
+    Only fitting is bounded: folds and validation scores cover every row, and
+    train scores cover ``fitted_rows``.  The choice is a filter on a hash, so it
+    is the same for any partitioning.
     """
 
     def __init__(self, estimator: Estimator, max_rows: int, key: str = "row_id", seed: int = 42):
         super().__init__()
         self.estimator, self.max_rows, self.key, self.seed = estimator, max_rows, key, seed
 
-    def _fit(self, df: DataFrame):
+    def fitted_rows(self, df: DataFrame) -> DataFrame:
+        """The rows of ``df`` that ``fit`` reads."""
         n = df.count()
         if n > self.max_rows:
             keys = [F.col(c) for c in (self.key, "syn_j") if c in df.columns]
             df = df.where(hash_unit(self.seed, F.lit("fit"), *keys) < self.max_rows / n)
-        return self.estimator.fit(df)
+        return df
+
+    def _fit(self, df: DataFrame):
+        return self.estimator.fit(self.fitted_rows(df))
 
 
-def forest(label: str, vec: str = "x", trees: int = 200, depth: int = 15, min_leaf: int = 1, balanced: bool = True, seed: int = 42) -> Pipeline:
+def forest(label: str, vec: str = "x", trees: int = 200, depth: int = 15, min_leaf: int = 1, balanced: bool = True, seed: int = 42, memory_mb: int = 1024) -> Pipeline:
     """Random forest on an array<double> feature column (sqrt feature subsets).
 
     ``depth=None`` (unlimited) means Spark's limit of 30; a larger number is an error.
@@ -181,7 +186,7 @@ def forest(label: str, vec: str = "x", trees: int = 200, depth: int = 15, min_le
             maxDepth=30 if depth is None else depth,
             minInstancesPerNode=min_leaf,
             featureSubsetStrategy="sqrt",
-            maxMemoryInMB=1024,  # node statistics gathered at once: fewer passes over the rows
+            maxMemoryInMB=memory_mb,  # node statistics gathered at once: fewer passes over the rows
             seed=seed,
             **kw,
         )

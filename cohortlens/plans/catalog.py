@@ -594,6 +594,12 @@ def rf_learner(depth=RF_DEPTH, min_leaf=1, balanced=True, trees=RF_TREES) -> CV.
     return CV.Learner(BoundedFit(forest("y_learn", "x", trees, depth, min_leaf, balanced, SEED), FIT_ROWS), _prep_featurizer, "x", needs_vectors=True)
 
 
+def curve_learner(depth=RF_DEPTH, trees=RF_TREES) -> CV.Learner:
+    """The forest without the row bound: a learning curve needs fits that grow with its subsets."""
+    # large fits have many open nodes: smaller groups of node statistics keep tasks within an executor's heap
+    return CV.Learner(forest("y_learn", "x", trees, depth, 1, True, SEED, memory_mb=256), _prep_featurizer, "x", needs_vectors=True)
+
+
 def lr_learner(C=1.0, balanced=True) -> CV.Learner:
     return CV.Learner(BoundedFit(logistic("y_learn", "x", C, balanced), FIT_ROWS), _prep_featurizer, "x", needs_vectors=True)
 
@@ -673,7 +679,7 @@ def q_baseline_selection(spark, sf_dir):
 
 def q_learning_curve(spark, sf_dir):
     df, _ = rf_inputs(spark, sf_dir)
-    return CV.learning_curve(df, rf_learner(), RF_SPEC)
+    return CV.learning_curve(df, curve_learner(), RF_SPEC)
 
 
 def q_augmentation_comparison(spark, sf_dir):

@@ -75,6 +75,7 @@ class Spec:
 
 
 FIT_THREADS = 8  # concurrent fold fits submitted from the driver
+CURVE_THREADS = 2  # fits on whole subsets: few forests in the driver at once
 
 
 def run_concurrently(tasks: list[Callable], threads: int = FIT_THREADS) -> list:
@@ -95,6 +96,12 @@ def _featurize(learner: Learner, train: DataFrame):
     return learner.featurizer(train)
 
 
+def _fitted(learner: Learner, table: DataFrame) -> DataFrame:
+    """The rows of a fit table that the model has seen: train scores are taken on these."""
+    estimator = learner.estimator
+    return estimator.fitted_rows(table) if hasattr(estimator, "fitted_rows") else table
+
+
 def _base_rows(df: DataFrame, spec: Spec, learner: Learner, origin: str | None = "train") -> DataFrame:
     out = df.select(spec.key, spec.target, learner.vec, *spec.carried(), *(["origin"] if origin is None else []))
     out = out.withColumn("syn_j", F.lit(0)).withColumn("is_synthetic", F.lit(False))
@@ -186,11 +193,14 @@ def strategy_cv(
         fit_rows, f, st = augment(s, train, extra, learner, spec, None if s == "real_data" else prep[i])
         fit_rows = materialize(fit_rows, "cv-fit")  # read by the fit and by train scoring
         model = learner.estimator.fit(fit_rows)
-        scored = [_scored(model, fit_rows, spec, s, i, "train"), _scored(model, f(val).withColumn("syn_j", F.lit(0)), spec, s, i, "val")]
-        return scored, st
+        scored = [_scored(model, _fitted(learner, fit_rows), spec, s, i, "train"), _scored(model, f(val).withColumn("syn_j", F.lit(0)), spec, s, i, "val")]
+        counted = fit_rows.select(F.lit(s).alias("strategy"), F.lit(i).cast("int").alias("fold"), F.col("syn_j").cast("int").alias("syn_j"), spec.cohort_column)
+        return scored, st, counted
 
-    for (s, i), (scored, st) in zip(runs, run_concurrently([lambda s=s, i=i: one(s, i) for s, i in runs])):
+    fit_tables = []
+    for (s, i), (scored, st, counted) in zip(runs, run_concurrently([lambda s=s, i=i: one(s, i) for s, i in runs])):
         parts.extend(scored)
+        fit_tables.append(counted)
         if st is not None:
             stats.append((s, i, st))
     preds = materialize(M.union_all(parts), "predictions", ["strategy"])
@@ -205,7 +215,8 @@ def strategy_cv(
         "strategy string, fold int, cohort_original_n long, cohort_original_minority_n long, "
         "cohort_original_majority_n long, cohort_resampled_n long, cohort_synthetic_n long",
     )
-    sizes = preds.where("split = 'train'").groupBy("strategy", "fold").agg(
+    # sizes of the whole fit tables, whatever part of them the estimator reads
+    sizes = M.union_all(fit_tables).groupBy("strategy", "fold").agg(
         F.count(F.lit(1)).alias("fold_total_n_after_smote"),
         F.count_if(F.col("syn_j") == 0).alias("train_fold_n"),
         F.count_if((F.col("syn_j") == 0) & spec.in_cohort()).alias("cohort_fold_n"),
@@ -399,16 +410,18 @@ def learning_curve(df: DataFrame, learner: Learner, spec: Spec, fractions=FRACTI
         val = prepared.where(F.col(fold_col) == i)
         sub = subsets.where((F.col("eval_fold") == i) & (F.col("fraction") == F.lit(fr).cast("decimal(4,2)")))
         model = learner.estimator.fit(sub)
-        return [
+        scored = [
             model.transform(table).select(
                 F.lit(i).alias("fold"), F.lit(float(fr)).alias("fraction"), F.lit(split).alias("split"),
                 F.col(spec.target).cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
             )
-            for split, table in (("train", sub), ("val", val))
+            for split, table in (("train", _fitted(learner, sub)), ("val", val))
         ]
+        # written at once: a plan that waits would hold its whole forest in the driver
+        return [materialize(M.union_all(scored), "curve-scored")]
 
     jobs = [(i, fr) for i in range(1, spec.k + 1) for fr in fractions]
-    for got in run_concurrently([lambda i=i, fr=fr: one(i, fr) for i, fr in jobs]):
+    for got in run_concurrently([lambda i=i, fr=fr: one(i, fr) for i, fr in jobs], CURVE_THREADS):
         parts.extend(got)
     return _curve_table(df, parts, spec)
 
