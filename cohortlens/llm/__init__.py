@@ -1,4 +1,4 @@
-"""Operators for preparing training text: ten self-contained modules plus their queries.
+"""Operators for preparing training text: thirteen self-contained modules plus their queries.
 
 Nothing else in the library imports this subpackage.  Functions that run inside
 Python workers are pickled by value, so the executors need no copy of it.

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, decontam, jaccard, lines, packing, secrets, substrings, token_counts, topk, toxicity
+from cohortlens.llm import alignment, bpe, decontam, jaccard, lines, packing, phrases, secrets, substrings, token_counts, topk, toxicity, warc
 from cohortlens.llm.common import hexdigest, table
 from cohortlens.llm.sql import SQL
 
@@ -71,6 +71,25 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), top=2000, support=10, longest=3, covered=50)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+    digest = F.when(F.col("n_a") > 0, hexdigest(F.col("groups"))).otherwise("")
+    out = alignment.link_statistics(aligned.withColumn("groups_sha256", digest).drop("groups"))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.deduplicated(table(spark, sf_dir, "pages"), least_bytes=0)
+    return found.select(
+        F.col("source_id").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"), "refers_to",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
@@ -82,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_jaccard": op9_jaccard,
     "op10_token_counts": op10_token_counts,
+    "op11_phrases": op11_phrases,
+    "op12_alignment": op12_alignment,
+    "op13_warc": op13_warc,
 }
 
 __all__ = ["QUERIES", "SQL", "TOKENIZERS"]

@@ -58,4 +58,34 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id
 FROM d LEFT JOIN size USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS c FROM reach GROUP BY x) USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op4_lines": LINES, "op5_substrings": SUBSTRINGS, "op7_decontamination": DECONTAMINATION, "op9_jaccard": JACCARD}
+PHRASES = rf"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM piece),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+f AS (SELECT lang, s, ph, f FROM (
+  SELECT lang, s, ph, count(*) AS f FROM (
+    SELECT lang, s, w[i:i + s - 1] AS ph FROM (SELECT lang, w, s, unnest(range(1, len(w) - s + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS s)))
+  GROUP BY ALL) WHERE f >= 10),
+cut AS (SELECT c.lang, c.ph, c.f AS a, k, l.f AS l, r.f AS r, (1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, s)) AS k FROM f WHERE s > 1) c
+  JOIN f l ON l.lang = c.lang AND l.ph = c.ph[1:k] JOIN f r ON r.lang = c.lang AND r.ph = c.ph[k + 1:]),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) AS o FROM cut) WHERE o = 1),
+inner_ AS (SELECT x.lang, x.ph FROM f x JOIN (SELECT lang, f, unnest([ph[1:2], ph[2:3]]) AS ph FROM f WHERE s = 3) y ON x.lang = y.lang AND x.ph = y.ph WHERE 100 * y.f >= 50 * x.f),
+left_ AS (SELECT lang, array_to_string(ph, ' ') AS phrase, a, l, r, score::BIGINT AS score FROM best ANTI JOIN inner_ USING (lang, ph))
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_) JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+PAGES = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+x AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(b) AS h, max(page_id) OVER (PARTITION BY b) AS last FROM p),
+d AS (SELECT page_id, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> s) & 31)::INT, 1), '' ORDER BY i, s DESC) AS payload_digest
+      FROM (SELECT page_id, i, ('0x' || substr(h, 5 * i + 1, 5))::BIGINT AS v FROM x, (SELECT unnest(range(8)) AS i)), (SELECT unnest([0, 5, 10, 15]) AS s) GROUP BY page_id)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM x JOIN d USING (page_id)
+"""
+
+SQL: dict[str, str] = {
+    "op4_lines": LINES, "op5_substrings": SUBSTRINGS, "op7_decontamination": DECONTAMINATION, "op9_jaccard": JACCARD, "op11_phrases": PHRASES, "op13_warc": PAGES,
+}
