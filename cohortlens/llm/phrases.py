@@ -6,9 +6,9 @@ end at ``. , ; : ! ?`` and line breaks.  Everything is counted per language.
 1. Mining.  The input's partitions are dealt to ``shards`` shards.  A phrase
    that occurs ``support`` times occurs ``support / shards`` times in one of them
    at least, so each shard is mined completely at that lowered support (rounded
-   up).  A shard is as large as the input over ``shards``: its counts come from
-   one distributed aggregate over the distinct phrases of each task, known by a
-   64-bit hash.  Hashes that meet only raise a count, so no phrase is lost.
+   up).  A shard is as large as the input over ``shards``: the distinct phrases of
+   each slice, known by a 64-bit hash, meet by range of hashes and are added up
+   there.  Hashes that agree by chance only raise a count, so no phrase is lost.
 2. Union.  The locally frequent hashes of all shards set bits in one bitmap
    (about ``BITS_EACH`` for each, ``MAX_LOG2_BITS`` at most).
 3. Counting.  A second pass counts the phrases whose bit is set by their words,
@@ -40,7 +40,8 @@ SHARDS = 4
 SLICE = 8_000_000  # bytes of text whose distinct phrases are counted together
 BITS_EACH = 16
 MAX_LOG2_BITS = 29  # a bitmap of 64 MB
-BLOCK = 20  # log2 of the bits in a row of the bitmap
+BLOCK = 16  # log2 of the bits in a row of the bitmap
+CHUNK = 4_000_000  # hashes added up at once
 RANK_PARTS = 64
 
 STOP = b"."
@@ -89,22 +90,69 @@ def by_lang(batch: pa.RecordBatch) -> dict[str, list[str]]:
     return texts
 
 
+def summed(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, rising, and the sum of their counts."""
+    order = np.argsort(h)
+    h, c = h[order], c[order]
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    at = np.flatnonzero(new)
+    return h[at], np.add.reduceat(c, at) if len(at) else c
+
+
 def frequent(rows: DataFrame, support: int, longest: int, shards: int) -> DataFrame:
-    """Hashes of the phrases that are frequent in a shard, at the support lowered to its share."""
+    """Hashes of the phrases that are frequent in a shard, at the support lowered to its share.
+
+    Hashes travel in blocks: one for each slice and range of hashes, with twice as
+    many ranges as shuffle partitions.
+    """
+    partitions = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    ranges = 2 * partitions
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         shard = TaskContext.get().partitionId() % shards
         for batch in slices(batches, 1, SLICE):
+            held_h, held_c = [], []
             for lang, texts in by_lang(batch).items():
                 _, levels, hashes = distinct_windows(texts, longest)
                 for n, (at, count) in enumerate(levels, 1):
-                    h = window_hash(hashes, at, n, lang)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), shard, np.int32)), pa.array(h.view(np.int64)), pa.array(count.astype(np.int64))], ["shard", "h", "c"])
+                    held_h.append(window_hash(hashes, at, n, lang))
+                    held_c.append(count)
+            h, c = summed(np.concatenate(held_h), np.concatenate(held_c))
+            cut = np.searchsorted((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1))
+            blocks = [(r, h[i:j].tobytes(), c[i:j].astype(np.uint32).tobytes()) for r, (i, j) in enumerate(zip(cut, cut[1:], strict=False)) if j > i]
+            if blocks:
+                r, x, y = zip(*blocks, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([shard] * len(r), pa.int32()), pa.array(r, pa.int32()), pa.array(x, pa.binary()), pa.array(y, pa.binary())], ["shard", "range", "h", "c"])
 
     least = -(-support // shards)
-    mined = rows.mapInArrow(local, "shard int, h bigint, c bigint").groupBy("shard", "h").agg(F.sum("c").alias("c"))
-    return mined.filter(F.col("c") >= least).select("h").distinct()
+
+    def mined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Adds up one (shard, range) after another; the input is sorted by them."""
+        forget()
+        key, held, n = None, [], 0
+
+        def out() -> pa.RecordBatch:
+            h, c = summed(*map(np.concatenate, zip(*held, strict=True)))
+            return pa.RecordBatch.from_arrays([pa.array(h[c >= least].view(np.int64))], ["h"])
+
+        for batch in batches:
+            for row in zip(*batch.columns, strict=True):
+                if (row[0].as_py(), row[1].as_py()) != key:
+                    if held:
+                        yield out()
+                    key, held, n = (row[0].as_py(), row[1].as_py()), [], 0
+                held.append((np.frombuffer(row[2].as_py(), np.uint64), np.frombuffer(row[3].as_py(), np.uint32).astype(np.int64)))
+                n += len(held[-1][0])
+                if n > CHUNK:  # copies fall together before more is read
+                    held = [summed(*map(np.concatenate, zip(*held, strict=True)))]
+                    n = len(held[0][0]) // 2
+        if held:
+            yield out()
+
+    blocks = rows.mapInArrow(local, "shard int, range int, h binary, c binary")
+    return blocks.repartition(partitions, "shard", "range").sortWithinPartitions("shard", "range").mapInArrow(mined, "h bigint")
 
 
 def bitmap(candidates: DataFrame) -> tuple[bytes, int]:
