@@ -1,16 +1,18 @@
 """Cross-tokenizer alignment: which tokens of one tokenizer cover the bytes of another's.
 
 A document is tokenised whole by both: A, a byte-level BPE, reads blank + text; B,
-a SentencePiece model, adds the blank itself.  Every token stands for bytes, so
-both sides give rising byte offsets, and documents whose joined bytes are not
-those of blank + text are left without tokens.
-
-Anchors are offsets where tokens of both end and the next ones are marked by a
-blank on both sides; offsets and marks are verified, none is guessed.  They cut a
-document into short windows of token ids, mostly a word each.  A window's
-alignment (groups between shared ends, links between overlapping tokens) is a
-function of its two id tuples alone, so it is worked out once for each pair of
-tuples and remembered.
+a SentencePiece model, adds the blank itself.  Neither joins anything across a
+single blank between two characters that are no white space, so a text's ids are
+those of its stretches between such blanks, which are tokenised once and
+remembered.  (For vocabularies of another build the whole text is one stretch.)
+
+Every token stands for bytes.  Documents whose joined bytes are not those of
+blank + text are left without tokens; this is verified for each stretch on either
+side, so the end of a stretch is a shared end, and both sides go on with a token
+that a blank marks.  These anchors cut a document into windows of token ids.  A
+window's alignment (groups between shared ends, links between overlapping tokens)
+is a function of its two id tuples alone: it is worked out once for each pair of
+tuples and remembered by them.
 
 ``link_statistics`` adds what depends on the corpus: the number of documents that
 hold an id pair linked.
@@ -22,9 +24,12 @@ at.  Texts are tokenised whole, whatever their length.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +39,31 @@ from pyspark.sql import functions as F
 from cohortlens.llm.bpe import byte_letters
 from cohortlens.llm.common import forget, slices, stored, text_rows, worker_cache
 
-SLICE = 1_000_000  # bytes of text tokenised at once
-REMEMBERED = 300_000  # windows a worker remembers
+SLICE = 4_000_000  # bytes of text tokenised at once
+REMEMBERED, REMEMBERED_CHARS = 300_000, 10_000_000  # stretches a worker remembers from slice to slice
 BROADCAST_PAIRS = 2_000_000  # rows of (pair, count, best), about 100 MB as a hash table
 
 
+#: A single blank that neither tokenizer joins anything across, and where a blank is not of this kind.
+BLANK = re.compile("(?<=[^\\s\u180e])\x20(?=[^\\s\u180e])")
+OTHER = re.compile("\x20[\\s\u180e]|[\\s\u180e]\x20|\x20$")
+
+LATIN = re.compile("[!-~\u00a1-\u024f]+")  # classed alike by all Unicode versions, no white space
+
+#: Fixed pattern of this kind of byte-level vocabulary.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+#: Of a window: groups as text, links as packed integers, numbers of A tokens, B tokens and groups.
+Aligned = tuple[str, bytes, int, int, int]
+
+
 class Aligner:
-    """Both tokenizers, the bytes of their tokens, and the windows aligned so far."""
+    """Both tokenizers, the bytes of their tokens, and the stretches and windows met so far."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(a_path)
@@ -54,59 +73,116 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         byte = {letter: i for i, letter in enumerate(byte_letters())}
         with open(a_path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab = spec["model"]["vocab"]
         self.a_bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.a_bytes[i] = bytes(map(byte.__getitem__, token)) if all(c in byte for c in token) else token.encode()
-        pieces = map(self.b.id_to_piece, range(self.b.get_piece_size()))
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
-        self.a_mark, self.b_mark = (np.array([t.startswith(b" ") for t in x]) for x in (self.a_bytes, self.b_bytes))
-        self.windows: dict[tuple[bytes, bytes], tuple[str, int, bytes]] = {}
-
-    def tokenise(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both sides for each text; none where the bytes differ."""
-        nothing = np.zeros(0, np.uint32)
-        ours = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        theirs = self.b.encode(texts, num_threads=1)
-        for text, one, b in zip(texts, ours, theirs, strict=True):
-            a, whole = one.ids, (" " + text).encode()
-            if text and b"".join([self.a_bytes[i] for i in a]) == whole and b"".join([self.b_bytes[i] for i in b]) == whole:
-                yield np.array(a, np.uint32), np.array(b, np.uint32)
-            else:
-                yield nothing, nothing
-
-    def window(self, a: bytes, b: bytes) -> tuple[str, int, bytes]:
-        """(groups, their number, links) of one window of ids."""
-        x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-        x_end, y_end = np.cumsum(self.a_size[x]), np.cumsum(self.b_size[y])
-        groups, links, i, j, i0, j0 = [], [], 0, 0, 0, 0
-        while i < len(x) and j < len(y):  # the tokens i and j overlap
-            links.append(int(x[i]) << 32 | int(y[j]))
-            left, right = x_end[i], y_end[j]
-            i, j = i + (left <= right), j + (right <= left)
-            if left == right:
-                groups.append(",".join(map(str, x[i0:i])) + "|" + ",".join(map(str, y[j0:j])))
-                i0, j0 = i, j
-        return ";".join(groups), len(groups), np.array(links, np.int64).tobytes()
-
-    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[str, int, np.ndarray]:
-        """Groups as text, their number, and the id pair of every link of a document."""
+        pieces = list(map(self.b.id_to_piece, range(self.b.get_piece_size())))
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("\u2581", " ").encode() for i, p in enumerate(pieces)]
+        self.size = self.a_size, self.b_size = tuple(np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        self.a_text, self.b_text = ([np.array([f"{i}{end}" for i in range(len(x))], object) for end in ends] for x, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;")))
+        before = spec["pre_tokenizer"]
+        known = spec["normalizer"] is None and before["type"] == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
+        self.parted = known and not any("\u2581" in p.lstrip("\u2581") for p in pieces)
+        self.a_width, self.b_width = (np.array([len(t) for t in x[0]], np.int64) for x in (self.a_text, self.b_text))
+        self.again: set[str] = set()
+        # ids that follow the order of the merges are ranks, and plain Latin text is then split and merged faster
+        ordered = [vocab.get("".join(m), -1) for m in spec["model"]["merges"]]
+        special = {t["content"] for t in spec["added_tokens"]}
+        self.fast = None
+        if self.parted and ordered == sorted(set(ordered)) and ordered[0] >= 0:
+            ranks = {self.a_bytes[i]: i for token, i in vocab.items() if token not in special}
+            self.fast = tiktoken.Encoding("a", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.windows: dict[tuple[tuple, tuple], Aligned] = {}
+        self.stretches: dict[str, Aligned | None] = {}
+
+    def parts(self, text: str) -> list[str]:
+        """The stretches of a text."""
+        if not self.parted:
+            return [text]
+        return BLANK.split(text) if OTHER.search(" " + text) else text.split(" ")
+
+    def ids_of(self, parts: list[str]) -> tuple[list[tuple[int, ...]], list[tuple[int, ...]]]:
+        """Ids of both sides for each stretch."""
+        theirs = list(map(tuple, self.b.encode(parts, num_threads=1)))
+        whole = lambda some: [tuple(x.ids) for x in self.a.encode_batch_fast([" " + p for p in some], add_special_tokens=False)]
+        if self.fast is None:
+            return whole(parts), theirs
+        plain = [p.isascii() and p.isprintable() and " " not in p and p != "" or bool(LATIN.fullmatch(p)) for p in parts]
+        joined = [p for p, ok in zip(parts, plain, strict=True) if ok]
+        # one text of them all: blanks keep them apart
+        ids = self.fast.encode_ordinary(" " + " ".join(joined)) if joined else []
+        ends = np.cumsum(self.a_size[ids]) if ids else np.zeros(0, np.int64)
+        cut = (np.searchsorted(ends, np.cumsum([len(p.encode()) + 1 for p in joined])) + 1).tolist()
+        fast = iter([tuple(ids[i:j]) for i, j in zip([0, *cut], cut, strict=False)])
+        rest = iter(whole([p for p, ok in zip(parts, plain, strict=True) if not ok]))
+        return [next(fast) if ok else next(rest) for ok in plain], theirs
+
+    def align(self, windows: list[tuple[tuple, tuple]]) -> list[Aligned]:
+        """The alignment of each window (ids of A, ids of B), all in one step.
+
+        The tokens' ends cut the bytes; each cut piece lies in one token of either
+        side, and these two are linked.
+        """
+        n_a, n_b = (np.array([len(w[k]) for w in windows]) for k in (0, 1))
+        a, b = (np.array(list(chain.from_iterable([w[k] for w in windows]))) for k in (0, 1))
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
-        at = np.searchsorted(b_end, a_end)
-        x = np.flatnonzero(b_end[at] == a_end)  # tokens of A whose end is shared, and those of B
-        y = at[x]
-        anchor = np.ones(len(x), bool)
-        anchor[:-1] = self.a_mark[a[x[:-1] + 1]] & self.b_mark[b[y[:-1] + 1]]
-        x, y = ((x[anchor] + 1) * 4).tolist(), ((y[anchor] + 1) * 4).tolist()
-        a_raw, b_raw = a.tobytes(), b.tobytes()
-        windows, held = [], self.windows
-        for key in [(a_raw[i:j], b_raw[k:m]) for i, j, k, m in zip([0, *x], x, [0, *y], y, strict=False)]:
-            w = held.get(key)
-            if w is None:
-                w = held[key] = self.window(*key)
-            windows.append(w)
-        return ";".join([w[0] for w in windows]), sum([w[1] for w in windows]), np.frombuffer(b"".join([w[2] for w in windows]), np.int64)
+        ends = np.union1d(a_end, b_end)
+        links = a[np.searchsorted(a_end, ends)] << 32 | b[np.searchsorted(b_end, ends)]
+        shared = a_end[np.isin(a_end, b_end, assume_unique=True)]
+        # tokens in the order of the groups' text: those of A, then those of B
+        a_group, b_group = np.searchsorted(shared, a_end), np.searchsorted(shared, b_end)
+        a_last, b_last = np.append(a_group[1:] != a_group[:-1], True), np.append(b_group[1:] != b_group[:-1], True)
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        text = "".join(np.concatenate([np.where(a_last, self.a_text[1][a], self.a_text[0][a]), np.where(b_last, self.b_text[1][b], self.b_text[0][b])])[order].tolist())
+        last_a, last_b = np.cumsum(n_a) - 1, np.cumsum(n_b) - 1
+        cut = np.concatenate([[0], a_end[last_a]])  # where windows end: in bytes, in the groups' text, in links
+        at = np.concatenate([[0], np.cumsum(self.a_width[a])[last_a] + np.cumsum(self.b_width[b])[last_b]]).tolist()
+        pieces = (8 * np.searchsorted(ends, cut, side="right")).tolist()
+        groups = np.diff(np.searchsorted(shared, cut, side="right")).tolist()
+        raw = links.tobytes()
+        return [
+            (text[i : j - 1], raw[k:m], x, y, g)
+            for i, j, k, m, x, y, g in zip(at, at[1:], pieces, pieces[1:], n_a.tolist(), n_b.tolist(), groups, strict=False)
+        ]
+
+    def verified(self, parts: list[str], windows: list[tuple[tuple, tuple]]) -> list[bool]:
+        """Of each stretch, whether the joined bytes of either side are those of blank + stretch."""
+        whole = [(" " + p).encode() for p in parts]
+        joined, ends = b"".join(whole), np.cumsum(list(map(len, whole)))
+        for k, spelled in ((0, self.a_bytes), (1, self.b_bytes)):
+            flat = list(chain.from_iterable([w[k] for w in windows]))
+            if not flat or b"".join([spelled[i] for i in flat]) != joined or (np.concatenate([[0], np.cumsum(self.size[k][flat])])[np.cumsum([len(w[k]) for w in windows])] != ends).any():
+                break
+        else:  # all at once
+            return [True] * len(parts)
+        return [b"".join([self.a_bytes[i] for i in a]) == x == b"".join([self.b_bytes[i] for i in b]) for x, (a, b) in zip(whole, windows, strict=True)]
+
+    def learn(self, parts: set[str]) -> None:
+        """Tokenise, verify and align the stretches not met before."""
+        new = list(parts.difference(self.stretches))
+        self.again |= parts.intersection(self.stretches)
+        if len(self.stretches) + len(new) > REMEMBERED or sum(map(len, new)) > REMEMBERED_CHARS:
+            # those of this slice stay, and those that more than one slice had
+            keep = parts | (self.again if len(self.again) < REMEMBERED // 2 else set())
+            self.stretches, self.windows = {p: self.stretches[p] for p in keep if p in self.stretches}, {}
+            self.again &= keep
+        collecting = gc.isenabled()
+        gc.disable()  # the many small objects below hold no cycles
+        for begin in range(0, len(new), 20_000):
+            some = new[begin : begin + 20_000]
+            windows = list(zip(*self.ids_of(some), strict=True))
+            good = self.verified(some, windows)
+            fresh = list(dict.fromkeys([w for w, ok in zip(windows, good, strict=True) if ok and w not in self.windows]))
+            found = self.align(fresh) if fresh else []
+            self.windows.update(zip(fresh, found, strict=True))
+            if len(found) == len(some):  # all of them new
+                self.stretches.update(zip(some, found, strict=True))
+            else:
+                self.stretches.update((p, self.windows[w] if ok else None) for p, w, ok in zip(some, windows, good, strict=True))
+        if collecting:
+            gc.enable()
 
 
 def aligner(a_path: str, b_path: str) -> Aligner:
@@ -125,14 +201,18 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(a_path, b_path)
         for batch in slices(batches, 1, SLICE):
-            if len(both.windows) > REMEMBERED:
-                both.windows.clear()
+            parts = [both.parts(body) if body else [] for _, body in text_rows(batch, 1)]
+            both.learn(set().union(*parts))
             numbers, groups, pairs, times = [], [], [], []
-            for a, b in both.tokenise([body for _, body in text_rows(batch, 1)]):
-                said, n, links = both.align(a, b) if len(a) else ("", 0, np.zeros(0, np.int64))
+            for names in parts:
+                windows = list(map(both.stretches.__getitem__, names))
+                if None in windows:  # the bytes of some stretch differ
+                    windows = []
+                said, packed, n_a, n_b, n = zip(*windows, strict=True) if windows else ((),) * 5
+                links = np.frombuffer(b"".join(packed), np.int64)
                 pair, count = np.unique(links, return_counts=True)
-                numbers.append((len(a), len(b), n, len(links)))
-                groups.append(said)
+                numbers.append((sum(n_a), sum(n_b), sum(n), len(links)))
+                groups.append(";".join(said))
                 pairs.append(pair)
                 times.append(count.astype(np.int32))
             counts = [pa.array(list(x), pa.int64()) for x in zip(*numbers, strict=True)]

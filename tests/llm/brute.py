@@ -105,3 +105,27 @@ def bm25(docs, queries, k):
                 scores.append((round(s, 9), i))
         out[q] = sorted(scores, key=lambda x: (-x[0], x[1] is None, x[1] or 0))[:k]
     return out
+
+
+def collocations(docs, top, support, longest, covered):
+    """docs: (lang, text); rows (lang, rank, phrase, a, l, r, n, score)."""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lower(text or "")):
+            w = re.findall("[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for size in range(1, longest + 1):
+                f[lang].update(tuple(w[i : i + size]) for i in range(len(w) - size + 1))
+    out = []
+    for lang, counts in f.items():
+        known = {p: c for p, c in counts.items() if len(p) > 1 and c >= support}
+        inner = {p[i : i + s] for p, c in known.items() for s in range(2, len(p)) for i in range(len(p) - s + 1) if 100 * c >= covered * counts[p[i : i + s]]}
+        best = []
+        for p, a in known.items():
+            if p not in inner:
+                score, _, left, right = min((1000000 * a * a // (counts[p[:k]] * counts[p[k:]]), k, counts[p[:k]], counts[p[k:]]) for k in range(1, len(p)))
+                best.append((-score, -a, " ".join(p).encode(), left, right))
+        for rank, (score, a, p, left, right) in enumerate(sorted(best)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, n[lang], -score))
+    return out
