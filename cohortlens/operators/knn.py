@@ -1,5 +1,8 @@
 """Exact k nearest neighbours (Euclidean) without an all-pairs join.
 
+Vectors with more than three components that vary are searched by pivots
+(``operators.balls``), others on a grid, as follows.
+
 1. Identical vectors are collapsed: each distinct vector keeps its copy
    count and only its k+1 smallest keys (the most any query point can use
    from one vector: k neighbours plus itself).  A hot group of copies
@@ -38,6 +41,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.operators import balls
 from cohortlens.operators.joins import MAX_BROADCAST_BYTES
 from cohortlens.session import shared_dir
 
@@ -146,6 +150,11 @@ def knn(
     uniq = _first_ids(pts, by, key, "_x", k + 1).checkpoint(eager=True)
     _mark("uniq")
     n_uniq = uniq.count()
+    if sum(rng[f"hi{j}"] > rng[f"lo{j}"] for j in range(d)) > GRID_DIMS:
+        # a grid of three components says little about more: balls around pivots bound by all of them
+        out = balls.knn(pts, uniq, by, key, k, d).checkpoint(eager=True)
+        pts.unpersist()
+        return out
     if target_per_cell is None:
         # beyond the grid dims, distances exceed the projected ones: start coarser
         target_per_cell = float(min(256, 16 * 4 ** max(0, d - g)))
