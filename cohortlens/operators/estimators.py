@@ -186,6 +186,8 @@ def forest(label: str, vec: str = "x", trees: int = 200, depth: int = 15, min_le
             maxDepth=30 if depth is None else depth,
             minInstancesPerNode=min_leaf,
             featureSubsetStrategy="sqrt",
+            cacheNodeIds=True,  # else every pass ships the trees grown so far to the tasks
+            checkpointInterval=-1,  # the cached ids of a fit are few; a lost one is computed again
             maxMemoryInMB=memory_mb,  # node statistics gathered at once: fewer passes over the rows
             seed=seed,
             **kw,

@@ -573,6 +573,8 @@ QUERIES.update(
 from cohortlens.operators.estimators import BoundedFit, forest, logistic  # noqa: E402
 from cohortlens.plans import scoring as SC  # noqa: E402
 from cohortlens.plans import selection as SEL  # noqa: E402
+from cohortlens.plans.fits import ModelStore, scored  # noqa: E402
+from cohortlens.sources.models_io import load_model  # noqa: E402
 
 # the reference's forest, folds and grids; FIT_ROWS bounds the rows a single model is fitted on
 RF_TREES, RF_DEPTH, RF_FOLDS = 200, 15, 5
@@ -612,10 +614,22 @@ def rf_inputs(spark, sf_dir):
     return df, extra
 
 
+def rf_baseline_cv(spark, sf_dir):
+    """The baseline strategy alone: all that out-of-fold reports need."""
+
+    def run():
+        df, _ = rf_inputs(spark, sf_dir)
+        return CV.strategy_cv(df, None, rf_learner(), RF_SPEC, ["baseline"])[0]
+
+    return _memo(spark, ("rf_baseline_cv", sf_dir), run)
+
+
 def rf_cv(spark, sf_dir):
     def run():
+        first = rf_baseline_cv(spark, sf_dir)
         df, extra = rf_inputs(spark, sf_dir)
-        return CV.strategy_cv(df, extra, rf_learner(), RF_SPEC)
+        others, stats = CV.strategy_cv(df, extra, rf_learner(), RF_SPEC, [s for s in CV.STRATEGIES if s != "baseline"])
+        return first.unionByName(others), stats
 
     return _memo(spark, ("rf_cv", sf_dir), run)
 
@@ -627,8 +641,7 @@ def q_feature_vector(spark, sf_dir):
 
 
 def q_oof_predictions(spark, sf_dir):
-    preds, _ = rf_cv(spark, sf_dir)
-    return CV.oof_predictions(preds).drop("strategy")
+    return CV.oof_predictions(rf_baseline_cv(spark, sf_dir)).drop("strategy")
 
 
 def q_strategy_cv(spark, sf_dir):
@@ -637,8 +650,7 @@ def q_strategy_cv(spark, sf_dir):
 
 
 def q_oof_cohort_report(spark, sf_dir):
-    preds, _ = rf_cv(spark, sf_dir)
-    oof = CV.oof_predictions(preds)
+    oof = CV.oof_predictions(rf_baseline_cv(spark, sf_dir))
     train, _ = split_tables(spark, sf_dir)
     joined = oof.select("row_id", "y_true", "y_pred", "segment").join(train.select("row_id", "priority", "nation", "line_flag"), "row_id")
     return M.worst_cohorts(M.cohort_metrics(joined, P.COHORT_COLUMNS))
@@ -650,31 +662,35 @@ def rf_final(spark, sf_dir):
         df, extra = rf_inputs(spark, sf_dir)
         sel = RP.selected_strategy(q_strategy_cv(spark, sf_dir)).first()["strategy"]
         model = SC.fit_final_model(df.drop("fold"), extra, sel, rf_learner().estimator, _preparer(), RF_SPEC)
-        return model, sel, test
+        return ModelStore(spark).save("final", model), sel, test
 
     return _memo(spark, ("rf_final", sf_dir), run)
 
 
 def q_final_test_metrics(spark, sf_dir):
-    model, sel, test = rf_final(spark, sf_dir)
-    preds = CV.test_predictions(model, lambda df: df, test, RF_SPEC, sel)
+    path, sel, test = rf_final(spark, sf_dir)
+    preds = scored([SC.final_predictions(load_model(path), test, RF_SPEC, sel)], "final-predictions")
     return M.global_vs_cohort(preds, RF_SPEC.cohort_column, RF_SPEC.cohort_value, by=["strategy"])
 
 
 def q_score_table(spark, sf_dir):
     """Score the test split with the final model: class and P(1)."""
-    model, _, test = rf_final(spark, sf_dir)
-    return SC.score(model, test, target="y_learn", redundant=tuple(P.REDUNDANT_COLUMNS))
+    path, _, test = rf_final(spark, sf_dir)
+    return SC.score(path, test, target="y_learn", redundant=tuple(P.REDUNDANT_COLUMNS))
 
 
-def q_baseline_selection(spark, sf_dir):
+def baseline(spark, sf_dir, store=None):
+    """Full grids over the folds; parameters are chosen, and the best model is refitted, on FIT_ROWS rows each."""
     df, _ = rf_inputs(spark, sf_dir)
     cands = {
         "logistic_regression": (lambda p: lr_learner(p["C"], p["balanced"]), SEL.LOGISTIC_GRID),
         "random_forest": (lambda p: rf_learner(p["depth"], p["min_leaf"], p["balanced"]), SEL.FOREST_GRID),
     }
-    best, _ = SEL.grid_search(df, cands, RF_SPEC)
-    return best
+    return SEL.select_baseline(df, cands, RF_SPEC, _preparer(), store)
+
+
+def q_baseline_selection(spark, sf_dir):
+    return baseline(spark, sf_dir).comparison
 
 
 def q_learning_curve(spark, sf_dir):

@@ -16,9 +16,8 @@ from dataclasses import dataclass, field
 from decimal import Decimal
 from typing import Callable
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions.ratios import confusion_aggs, metric_columns
@@ -26,7 +25,7 @@ from cohortlens.operators import metrics as M
 from cohortlens.operators import resample as RS
 from cohortlens.operators import split as SP
 from cohortlens.operators.validate import assert_complete
-from cohortlens.session import scratch_path
+from cohortlens.plans.fits import fit_table, materialize, run_concurrently, scored
 
 STRATEGIES = ["baseline", "real_data", "smote", "smote_cohort"]
 
@@ -74,20 +73,7 @@ class Spec:
         return list(dict.fromkeys([*self.carry, self.cohort_column]))
 
 
-FIT_THREADS = 8  # concurrent fold fits submitted from the driver
-CURVE_THREADS = 2  # fits on whole subsets: few forests in the driver at once
-
-
-def run_concurrently(tasks: list[Callable], threads: int = FIT_THREADS) -> list:
-    """Run independent fits as concurrent Spark jobs; results keep task order."""
-    if threads <= 1 or len(tasks) <= 1:
-        return [t() for t in tasks]
-    from concurrent.futures import ThreadPoolExecutor
-
-    inherit = inheritable_thread_target(SparkSession.active())
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        # jobs of the threads keep the caller's scheduler pool and job group
-        return list(pool.map(lambda t: inherit(t)(), tasks))
+CURVE_THREADS = 4  # fits on whole subsets: few forests in the driver at once
 
 
 def _featurize(learner: Learner, train: DataFrame):
@@ -96,12 +82,6 @@ def _featurize(learner: Learner, train: DataFrame):
     return learner.featurizer(train)
 
 
-def _fitted(learner: Learner, table: DataFrame) -> DataFrame:
-    """The rows of a fit table that the model has seen: train scores are taken on these."""
-    estimator = learner.estimator
-    return estimator.fitted_rows(table) if hasattr(estimator, "fitted_rows") else table
-
-
 def _base_rows(df: DataFrame, spec: Spec, learner: Learner, origin: str | None = "train") -> DataFrame:
     out = df.select(spec.key, spec.target, learner.vec, *spec.carried(), *(["origin"] if origin is None else []))
     out = out.withColumn("syn_j", F.lit(0)).withColumn("is_synthetic", F.lit(False))
@@ -156,17 +136,6 @@ def _scored(model, df: DataFrame, spec: Spec, strategy: str, fold: int, split: s
     )
 
 
-def materialize(df: DataFrame, name: str, partition_by=None) -> DataFrame:
-    """Write to a fresh path in the shared folder and read back (lineage cut)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return spark.read.parquet(path)
-
-
 def strategy_cv(
     df: DataFrame,
     extra: DataFrame | None,
@@ -191,15 +160,16 @@ def strategy_cv(
     def one(s: str, i: int):
         train, val = split(i)
         fit_rows, f, st = augment(s, train, extra, learner, spec, None if s == "real_data" else prep[i])
-        fit_rows = materialize(fit_rows, "cv-fit")  # read by the fit and by train scoring
-        model = learner.estimator.fit(fit_rows)
-        scored = [_scored(model, _fitted(learner, fit_rows), spec, s, i, "train"), _scored(model, f(val).withColumn("syn_j", F.lit(0)), spec, s, i, "val")]
+        fit_rows = materialize(fit_rows, "cv-fit")
+        estimator, table = fit_table(learner.estimator, fit_rows)  # train scores are taken on the rows the model has seen
+        model = estimator.fit(table)
+        rows = scored([_scored(model, table, spec, s, i, "train"), _scored(model, f(val).withColumn("syn_j", F.lit(0)), spec, s, i, "val")])
         counted = fit_rows.select(F.lit(s).alias("strategy"), F.lit(i).cast("int").alias("fold"), F.col("syn_j").cast("int").alias("syn_j"), spec.cohort_column)
-        return scored, st, counted
+        return [rows], st, counted
 
     fit_tables = []
-    for (s, i), (scored, st, counted) in zip(runs, run_concurrently([lambda s=s, i=i: one(s, i) for s, i in runs])):
-        parts.extend(scored)
+    for (s, i), (rows, st, counted) in zip(runs, run_concurrently([lambda s=s, i=i: one(s, i) for s, i in runs])):
+        parts.extend(rows)
         fit_tables.append(counted)
         if st is not None:
             stats.append((s, i, st))
@@ -351,23 +321,28 @@ def augmentation_comparison(df: DataFrame, extra: DataFrame | None, learner: Lea
             preds.append(model.transform(long.where(F.col("split") == "val")).select(
                 spec.key, "syn_j", spec.cohort_column, "_src", F.col(spec.target).cast("int").alias("y_true"),
                 F.col("prediction").cast("int").alias("y_pred")))
-        for i in (range(1, spec.k + 1) if not learner.batched else []):
-            train = folded.where(F.col("fold") != i)
-            val = folded.where(F.col("fold") == i)
-            f = _featurize(learner, train) if name != "smote" else (lambda d: d)
-            model = learner.estimator.fit(f(train))
-            preds.append(model.transform(f(val)).select(spec.key, "syn_j", spec.cohort_column, "_src", F.col(spec.target).cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred")))
+
+        def one(i: int) -> DataFrame:
+            estimator, table = fit_table(learner.estimator, folded.where(F.col("fold") != i))
+            model = estimator.fit(table)
+            val = model.transform(folded.where(F.col("fold") == i))
+            return scored([val.select(spec.key, "syn_j", spec.cohort_column, "_src", F.col(spec.target).cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))], f"aug-{name}-fold")
+
+        if not learner.batched:
+            preds += run_concurrently([lambda i=i: one(i) for i in range(1, spec.k + 1)])
         p = materialize(M.union_all(preds), f"aug-{name}")
         g = M.metrics_row(p, "global_")
         c = M.metrics_row(p, "cohort_", where=cohort_rows)
         out.append(M.metrics_rows(p, [g, c]).select(F.lit(name).alias("strategy"), "*"))
 
-    base = df.withColumn("syn_j", F.lit(0)).withColumn("_src", F.lit("train"))
+    # as in the reference, one preparation, fitted on train, serves train and extra rows
+    f = _featurize(learner, df)
+    ready = (lambda t: t) if learner.batched else f
+    base = ready(df).withColumn("syn_j", F.lit(0)).withColumn("_src", F.lit("train"))
     run(base, "baseline", spec.in_cohort() & (F.col("_src") == "train"))
     if extra is not None:
-        ex = extra.select(*df.columns).withColumn("syn_j", F.lit(0)).withColumn("_src", F.lit("extra"))
+        ex = ready(extra.select(*df.columns)).withColumn("syn_j", F.lit(0)).withColumn("_src", F.lit("extra"))
         run(base.unionByName(ex), "real_data", F.col("_src") == "extra")
-    f = _featurize(learner, df)
     rows, _ = RS.smote(f(df), spec.target, learner.vec, spec.k_nn, spec.seed, spec.key, spec.carried(), learner.needs_vectors)
     rows = rows.drop("neighbour_id", "is_synthetic").withColumn("_src", F.when(F.col("syn_j") == 0, "train").otherwise("synthetic"))
     run(rows, "smote", spec.in_cohort() & (F.col("_src") == "train"))
@@ -409,16 +384,16 @@ def learning_curve(df: DataFrame, learner: Learner, spec: Spec, fractions=FRACTI
     def one(i, fr):
         val = prepared.where(F.col(fold_col) == i)
         sub = subsets.where((F.col("eval_fold") == i) & (F.col("fraction") == F.lit(fr).cast("decimal(4,2)")))
-        model = learner.estimator.fit(sub)
-        scored = [
+        estimator, table = fit_table(learner.estimator, sub)
+        model = estimator.fit(table)
+        rows = [
             model.transform(table).select(
                 F.lit(i).alias("fold"), F.lit(float(fr)).alias("fraction"), F.lit(split).alias("split"),
                 F.col(spec.target).cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"),
             )
-            for split, table in (("train", _fitted(learner, sub)), ("val", val))
+            for split, table in (("train", table), ("val", val))
         ]
-        # written at once: a plan that waits would hold its whole forest in the driver
-        return [materialize(M.union_all(scored), "curve-scored")]
+        return [scored(rows, "curve-scored")]
 
     jobs = [(i, fr) for i in range(1, spec.k + 1) for fr in fractions]
     for got in run_concurrently([lambda i=i, fr=fr: one(i, fr) for i, fr in jobs], CURVE_THREADS):
@@ -467,7 +442,8 @@ def curve_verdict(curve: DataFrame, gap_limit: float = 0.15, trend_limit: float
 def fit_final(train: DataFrame, extra: DataFrame | None, strategy: str, learner: Learner, spec: Spec):
     """Fit on the whole train under the chosen strategy; returns (model, featurize, stats)."""
     fit_rows, f, st = augment(strategy, train, extra, learner, spec)
-    return learner.estimator.fit(fit_rows), f, st
+    estimator, table = fit_table(learner.estimator, fit_rows)
+    return estimator.fit(table), f, st
 
 
 def test_predictions(model, featurize, test: DataFrame, spec: Spec, strategy: str) -> DataFrame:
