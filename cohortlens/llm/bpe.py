@@ -283,3 +283,19 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one worker: two maps of one stage would hold the vocabulary twice in every task."""
+    kind = docs.schema[doc_id].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = vocabulary(path)
+        for batch in slices(batches, 1, TRIE_BYTES // 2):
+            bodies = [body.encode() for _, body in text_rows(batch, 1)]
+            bpe.learn(set().union(*(body.split() for body in bodies)))
+            ids = [b"".join(map(bpe.pieces.__getitem__, body.split())) for body in bodies]
+            decoded = pa.array(map(bpe.decode, ids), pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), decoded], [doc_id, "n_tokens", "ids", "decoded"])
+
+    return docs.select(doc_id, F.col(text).cast("string").alias("text")).mapInArrow(run, f"`{doc_id}` {kind}, n_tokens bigint, ids binary, decoded string")

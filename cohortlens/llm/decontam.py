@@ -62,8 +62,8 @@ def hit_rows(
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), words_of(F.col(item_text).cast("string")).alias("w")).filter(F.size("w") > 0)
     whole = items.filter(F.size("w") >= window).select("item", F.explode(runs(F.col("w"), window, lambda i: F.slice("w", i, window))).alias("w"))
     windows = stored(whole.union(items.filter(F.size("w") < window)).distinct(), "windows")
-    of_window = windows.groupBy("w").agg(F.array_join(F.sort_array(F.collect_set("item")), ",").alias("list"))
-    of_window = stored(of_window.withColumn("item_set", F.sha2("list", 256)), "window_items")
+    of_window = windows.groupBy("w").agg(F.sort_array(F.collect_set("item")).alias("list"))
+    of_window = stored(of_window.withColumn("item_set", F.sha2(F.to_json("list"), 256)), "window_items")
     sets = of_window.select("item_set", "list").distinct()
     known = of_window.select(F.size("w").alias("n"), F.when(F.size("w") == window, F.array_min(gram_hashes(F.col("w"), gram))).otherwise(F.xxhash64(F.size("w"), F.col("w"))).alias("f"))
     known = stored(known.distinct(), "fingerprints")
@@ -106,7 +106,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram:
     """One row per row of ``docs``: id, n_words, n_hit, n_items, items (sorted as strings, comma-joined)."""
     found, sets = hit_rows(docs, benchmark, window, gram, doc_id, text, item_id, item_text)
     lists = found.select("item_sets").distinct().select("item_sets", F.explode("item_sets").alias("item_set")).join(sets, "item_set")
-    lists = lists.groupBy("item_sets").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list(F.split("list", ","))))).alias("items"))
+    lists = lists.groupBy("item_sets").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("list")))).alias("items"))
     lists = lists.select("item_sets", F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("items"))
     found = found.join(lists, "item_sets").select("z", "d", "t", "n_hit", "n_items", "items")
     count = keyed(docs, doc_id, text).select("id", "z", "d", "t", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))

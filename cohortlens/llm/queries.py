@@ -20,8 +20,7 @@ TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{TOKENIZERS}/word_bpe_49k.json"
-    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    out = bpe.round_trip(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
     return out.select("doc_id", "n_tokens", hexdigest(F.col("ids")).alias("ids_sha256"), hexdigest(F.col("decoded")).alias("decoded_sha256"))
 
 

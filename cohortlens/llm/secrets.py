@@ -81,4 +81,5 @@ def scan(versions: DataFrame, path: str = "path", content: str = "content", ledg
 
     unseen.mapInArrow(run, LEDGER).write.mode("append").parquet(ledger)
     findings = spark.read.schema(LEDGER).parquet(ledger).filter(F.col("rules") == rules_version).select("blob", "findings")
+    findings = findings.dropDuplicates(["blob"])  # two runs at once may both append a blob; its findings are the same
     return blobs.select("path", "blob").join(findings, "blob", "left").select(F.col("path").alias(path), "blob", "findings")

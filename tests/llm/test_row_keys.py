@@ -49,3 +49,40 @@ def test_near_copies(spark):
     assert left[None, None] == 2 and left[None, " "] == 1
     assert [k for k in left if k[1] and k[1].startswith(named)] == [(3, named)] and left[mixed[2]] == 1
     assert sum(left.values()) == 8
+
+
+def test_item_ids_are_never_split(spark):
+    """Ids with commas, empty ids, and an item whose only id is null."""
+    from collections import Counter
+
+    import brute
+    from cohortlens.llm import decontam
+
+    words = [" ".join(f"w{k}x{i}" for i in range(14)) for k in range(4)]
+    items = [("x,y", words[0]), ("", words[1]), (None, words[2]), ("a", words[3]), ("x,y", words[3]), ("b,", words[3])]
+    docs = [(k, f"before {w} after") for k, w in enumerate(words)] + [(9, " ".join(words)), (10, "clean text")]
+    got = decontam.contamination(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id string, text string")).collect()
+    want = brute.contaminated([t for _, t in docs], items, 10)
+    assert Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, r["items"]) for r in got) == Counter((i, *w) for (i, _), w in zip(docs, want, strict=True))
+    assert {r.doc_id: r.n_items for r in got} == {0: 1, 1: 1, 2: 0, 3: 3, 9: 4, 10: 0}
+
+
+def test_a_ledger_that_holds_a_blob_twice(spark, tmp_path):
+    from cohortlens.llm import secrets
+
+    ledger = f"file://{tmp_path}/ledger"
+    versions = spark.createDataFrame([("p", "token=abcdefgh"), ("q", "none")], "path string, content string")
+    secrets.scan(versions, ledger=ledger).collect()
+    spark.read.parquet(ledger).write.mode("append").parquet(ledger)
+    assert sorted((r.path, len(r.findings)) for r in secrets.scan(versions, ledger=ledger).collect()) == [("p", 1), ("q", 0)]
+
+
+def test_round_trip_in_one_worker(docs):
+    from collections import Counter
+
+    from cohortlens.llm import bpe
+    from cohortlens.llm.queries import TOKENIZERS
+
+    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    same = lambda df: Counter((r.doc_id, r.n_tokens, bytes(r.ids), r.decoded) for r in df.collect())
+    assert same(bpe.round_trip(docs, path)) == same(bpe.decode(bpe.encode(docs, path), path))
