@@ -1,7 +1,7 @@
 """Packing token ids into rows of fixed length, best fit decreasing.
 
-Every task packs its own documents, group by group: documents are encoded, those
-longer than a row are split without loss into full rows and a rest, and the
+Every task packs its own documents, group by group: documents are encoded (their distinct words
+by the tokenizers library, each once while it is remembered), those longer than a row are split without loss into full rows and a rest, and the
 rests of a group, longest first, go each into the open row with the least room
 that still holds them.  Rows are looked up by room in a segment tree over room
 sizes (a node knows how many open rows lie below it), so a placement costs
@@ -14,24 +14,103 @@ each segment its document and its offset there, from which all documents can be
 put together again.
 
 Defined results: null and empty text have no tokens and no segment; repeated rows
-are packed as often as they occur; an empty table gives no rows; other columns
-are not looked at.
+are packed as often as they occur; an empty table gives no rows; ids of any type,
+nulls among them, are listed as they are; other columns are not looked at.
 """
 
 from __future__ import annotations
 
+import json
+import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from cohortlens.llm.bpe import TRIE_BYTES, vocabulary
-from cohortlens.llm.common import slices, text_rows
+from cohortlens.llm.common import slices, text_rows, worker_cache
 
 GROUP_TOKENS = 4_000_000
 
+#: Words of a generation: a worker remembers two generations at most, or the words of one slice.
+REMEMBERED = 300_000
+
+#: Words given to the library at once (its encodings are large objects).
+BATCH_WORDS = 4096
+
+
+#: Letters below this one are classed alike by all Unicode versions.
+LATIN_END = 0x250
+
+#: Splitting of the vocabulary that is served: fixed value, checked when the file is loaded.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+class Words:
+    """Token ids of texts, word by word; words are remembered in two generations.
+
+    The older generation goes when the newer is full, and a word in use moves to
+    the newer one, so a burst of rare words does not take the common ones along.
+    Words of plain text (ASCII and Latin letters) are cut here, by the file's own
+    pattern; other texts are cut at white space only and the library does the rest.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        latin = [chr(c) for c in [9, 10, 13, *range(32, 127), *range(0xA1, LATIN_END)]]
+        of_kind = lambda kind: "".join(re.escape(c) for c in latin if regex.fullmatch(kind, c))
+        letters, digits = of_kind(r"\p{L}"), of_kind(r"\p{N}")
+        assert any(p.get("pattern") == {"Regex": SPLIT} for p in spec["pre_tokenizer"]["pretokenizers"]), "another way of splitting words"
+        self.plain = re.compile("[" + re.escape("".join(latin)) + "]*").fullmatch
+        self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^\s{letters}{digits}]+").findall
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def cut(self, text: str) -> list[str]:
+        """Words whose ids, one after the other, are those of the text."""
+        low = text.lower()
+        if self.plain(low) and not any(t in text for t in self.special):
+            return self.words(low)
+        return [p.decode() for p in text.encode().split()]
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """A dictionary that has all of ``words``: packed little-endian ids."""
+        missing = words.difference(self.newer)
+        if len(self.newer) + len(missing) > REMEMBERED:
+            self.older, self.newer = self.newer, {}
+            missing = words
+        new = []
+        for word in missing:
+            ids = self.older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                self.newer[word] = ids
+        for at in range(0, len(new), BATCH_WORDS):
+            some = new[at : at + BATCH_WORDS]
+            for word, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.newer[word] = array("I", e.ids).tobytes()
+        return self.newer
+
+
+def words_of(path: str) -> Words:
+    """The worker's copy of a vocabulary."""
+    held = worker_cache("packing")
+    if path not in held:
+        held[path] = Words(path)
+    return held[path]
+
 
 class Rooms:
     """Segment tree over room sizes 0..length: open rows by the room they have left."""
@@ -84,9 +163,8 @@ def best_fit(sizes: list[int], length: int) -> list[list[int]]:
 def pack(docs: DataFrame, path: str, length: int = 2048, pad: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Packed rows: ids (length integers), n_tokens, cumulative, positions, doc_ids, offsets."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    arrow_ids = pa.int64() if kind == "bigint" else None
 
-    def packed(ids: list[np.ndarray], owners: list, length: int) -> Iterator[pa.RecordBatch]:
+    def packed(ids: list[np.ndarray], owners: list, of: pa.DataType) -> Iterator[pa.RecordBatch]:
         pieces = [(i, at) for i, x in enumerate(ids) for at in range(0, len(x), length)]
         sizes = [min(length, len(ids[i]) - at) for i, at in pieces]
         full = [[k] for k, size in enumerate(sizes) if size == length]
@@ -110,27 +188,28 @@ def pack(docs: DataFrame, path: str, length: int = 2048, pad: int = 0, doc_id: s
                 offsets.append([pieces[k][1] for k in row])
             lists = lambda m: pa.ListArray.from_arrays(pa.array(np.arange(0, m.size + 1, length, dtype=np.int32)), pa.array(m.reshape(-1)))
             yield pa.RecordBatch.from_arrays(
-                [lists(matrix), pa.array([x[-1] for x in sums], pa.int32()), pa.array(sums, pa.list_(pa.int32())), lists(place), pa.array(docs_of, pa.list_(arrow_ids) if arrow_ids else None), pa.array(offsets, pa.list_(pa.int32()))],
+                [lists(matrix), pa.array([x[-1] for x in sums], pa.int32()), pa.array(sums, pa.list_(pa.int32())), lists(place), pa.array(docs_of, pa.list_(of)), pa.array(offsets, pa.list_(pa.int32()))],
                 ["ids", "n_tokens", "cumulative", "positions", "doc_ids", "offsets"],
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path)
-        ids, owners, n = [], [], 0
-        for batch in slices(batches, 1, TRIE_BYTES):
-            bodies = [body.encode() for _, body in text_rows(batch, 1)]
-            bpe.learn(set().union(*(body.split() for body in bodies)))
+        vocabulary = words_of(path)
+        ids, owners, n, of = [], [], 0, pa.null()
+        for batch in slices(batches, 1):
+            of = batch.schema.field(0).type
+            bodies = [vocabulary.cut(body) for _, body in text_rows(batch, 1)]
+            known = vocabulary.learn(set().union(*bodies))
             for owner, body in zip(batch.column(0), bodies, strict=True):
-                x = np.frombuffer(b"".join(map(bpe.pieces.__getitem__, body.split())), "<u4")
+                x = np.frombuffer(b"".join(map(known.__getitem__, body)), "<u4")
                 if len(x):
                     ids.append(x)
                     owners.append(owner.as_py())
                     n += len(x)
                 if n >= GROUP_TOKENS:
-                    yield from packed(ids, owners, length)
+                    yield from packed(ids, owners, of)
                     ids, owners, n = [], [], 0
         if n:
-            yield from packed(ids, owners, length)
+            yield from packed(ids, owners, of)
 
     schema = f"ids array<int>, n_tokens int, cumulative array<int>, positions array<int>, doc_ids array<{kind}>, offsets array<int>"
     return docs.select(doc_id, F.col(text).cast("string").alias("text")).mapInArrow(run, schema)
