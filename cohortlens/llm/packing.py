@@ -73,7 +73,11 @@ class Words:
         letters, digits = of_kind(r"\p{L}"), of_kind(r"\p{N}")
         assert any(p.get("pattern") == {"Regex": SPLIT} for p in spec["pre_tokenizer"]["pretokenizers"]), "another way of splitting words"
         self.plain = re.compile("[" + re.escape("".join(latin)) + "]*").fullmatch
-        self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^\s{letters}{digits}]+").findall
+        # what begins with a letter cannot begin another way, so letters may be tried first
+        self.words = re.compile(rf"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{digits}]|[^\s{letters}{digits}]+").findall
+        vocab = spec["model"]["vocab"]
+        self.ends = np.zeros(max(vocab.values()) + len(self.special) + 1, bool)  # tokens that end a word
+        self.ends[[i for s, i in vocab.items() if s.endswith(spec["model"]["end_of_word_suffix"])]] = True
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -97,12 +101,26 @@ class Words:
                 new.append(word)
             else:
                 self.newer[word] = ids
-        for at in range(0, len(new), BATCH_WORDS):
-            some = new[at : at + BATCH_WORDS]
+        single = [w for w in new if self.plain(w) and self.words(w) == [w]]
+        for at in range(0, len(single), BATCH_WORDS):
+            self.learn_singles(single[at : at + BATCH_WORDS])
+        rest = [w for w in new if w not in self.newer]
+        for at in range(0, len(rest), BATCH_WORDS):
+            some = rest[at : at + BATCH_WORDS]
             for word, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 self.newer[word] = array("I", e.ids).tobytes()
         return self.newer
 
+    def learn_singles(self, words: list[str]) -> None:
+        """Encode single words as one text; its tokens are cut after those that end a word."""
+        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(ends) == len(words) and ends[-1] == len(ids):
+            packed, begin = ids.tobytes(), 0
+            for word, end in zip(words, ends, strict=True):
+                self.newer[word] = packed[4 * begin : 4 * end]
+                begin = end
+
 
 def words_of(path: str) -> Words:
     """The worker's copy of a vocabulary."""
