@@ -5,6 +5,9 @@
   n_g`` in integers; an unseen group predicts 0).  Fitting is one grouped
   aggregate, so the whole fold/augment/score protocol around it has an
   exact SQL counterpart.
+* ``CentroidClassifier``: predicts the class whose mean vector is nearer (class 0
+  on equal distance).  It reads the vectors, so preparation and SMOTE change its
+  answers, and its fit is one aggregate with an exact SQL counterpart.
 * ``forest`` / ``logistic``: Spark ML pipelines over an ``array<double>``
   feature column, with ``balanced`` class weights via ``weightCol``.
 * ``ArrayToVector``: array<double> -> ML vector.
@@ -142,6 +145,59 @@ class GroupRateModel(Model, _GroupRateParams):
         return out.withColumn(self.getOrDefault("predictionCol"), F.coalesce(F.col("_rule"), F.lit(0)).cast("double")).drop("_rule")
 
 
+class _CentroidParams(HasLabelCol, HasInputCol):
+    predictionCol = Param(Params._dummy(), "predictionCol", "prediction column", TypeConverters.toString)
+
+    def __init__(self):
+        super().__init__()
+        self._setDefault(predictionCol="prediction", inputCol="x")
+
+
+class CentroidClassifier(Estimator, _CentroidParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Nearest class mean over an array<double> column; null labels or vectors are not read.
+
+    With rows of one class only, every row is predicted to be of that class; a table
+    without any row is an error.
+    """
+
+    @keyword_only
+    def __init__(self, *, inputCol="x", labelCol="label", predictionCol="prediction"):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df: DataFrame) -> "CentroidModel":
+        x, y = F.col(self.getInputCol()), F.col(self.getLabelCol())
+        rows = df.where(x.isNotNull() & y.isNotNull()).select(y.alias("y"), x.alias("x"))
+        first = rows.select(F.size("x").alias("d")).first()  # one scalar
+        if first is None:
+            raise ValueError("A centroid needs at least one row")
+        means = rows.groupBy("y").agg(F.array(*[F.avg(F.col("x")[i]) for i in range(first["d"])]).alias("m"))
+        found = {int(r["y"]): r["m"] for r in means.collect()}  # one row per class
+        return CentroidModel(
+            inputCol=self.getInputCol(), labelCol=self.getLabelCol(), predictionCol=self.getOrDefault("predictionCol"),
+            negativeMean=found.get(0, []), positiveMean=found.get(1, []),
+        )
+
+
+class CentroidModel(Model, _CentroidParams, DefaultParamsReadable, DefaultParamsWritable):
+    negativeMean = Param(Params._dummy(), "negativeMean", "mean vector of class 0 (empty: none seen)", TypeConverters.toListFloat)
+    positiveMean = Param(Params._dummy(), "positiveMean", "mean vector of class 1 (empty: none seen)", TypeConverters.toListFloat)
+
+    @keyword_only
+    def __init__(self, *, inputCol="x", labelCol="label", predictionCol="prediction", negativeMean=None, positiveMean=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        neg, pos = self.getOrDefault("negativeMean"), self.getOrDefault("positiveMean")
+        if not neg or not pos:
+            return df.withColumn(self.getOrDefault("predictionCol"), F.lit(1.0 if pos else 0.0))
+        x = F.col(self.getInputCol())
+        # one sum over the components, left to right: no array of differences is built
+        apart = lambda mean: sum(((x[i] - F.lit(m)) * (x[i] - F.lit(m)) for i, m in enumerate(mean)), F.lit(0.0))
+        return df.withColumn(self.getOrDefault("predictionCol"), F.when(apart(pos) < apart(neg), 1.0).otherwise(0.0))
+
+
 class BoundedFit(Estimator):
     """Fits ``estimator`` on about ``max_rows`` rows of its table, chosen by a hash of their key.
 

@@ -570,7 +570,7 @@ QUERIES.update(
 
 
 # ---------------------------------------------------------------- learned models (rows-only checks)
-from cohortlens.operators.estimators import BoundedFit, forest, logistic  # noqa: E402
+from cohortlens.operators.estimators import BoundedFit, CentroidClassifier, forest, logistic  # noqa: E402
 from cohortlens.plans import scoring as SC  # noqa: E402
 from cohortlens.plans import selection as SEL  # noqa: E402
 from cohortlens.plans.fits import ModelStore, scored  # noqa: E402
@@ -614,6 +614,57 @@ def rf_inputs(spark, sf_dir):
     return df, extra
 
 
+# the protocols with a learner that reads vectors: preparation per fold, exact kNN and
+# SMOTE vectors all run, and the answer still has an exact oracle
+CENTROID_FEATURES = ["total_price", "acctbal", "part_total"]
+CENTROID_SPEC = CV.Spec(target="y_learn", cohort_column=P.FOCUS_COLUMN, cohort_value=P.FOCUS_VALUE, k=K_FOLDS, seed=SEED)
+
+
+def _centroid_featurizer(train):
+    model = PR.TablePreprocessor(numericCols=CENTROID_FEATURES, keepCols=KEEP, arrayCol="x").fit(train)
+    return lambda df: model.transform(df).drop("features")
+
+
+def centroid_learner() -> CV.Learner:
+    return CV.Learner(CentroidClassifier(inputCol="x", labelCol="y_learn"), _centroid_featurizer, "x", needs_vectors=True)
+
+
+def centroid_inputs(spark, sf_dir):
+    train, _ = split_tables(spark, sf_dir)
+    cols = ["row_id", "y_learn", "segment", *CENTROID_FEATURES]
+    return SP.add_folds(train.select(*cols), "y_learn", K_FOLDS, SEED), P.extra_rows(spark, sf_dir).select(*cols)
+
+
+def centroid_cv(spark, sf_dir):
+    def run():
+        df, extra = centroid_inputs(spark, sf_dir)
+        return CV.strategy_cv(df, extra, centroid_learner(), CENTROID_SPEC)
+
+    return _memo(spark, ("centroid_cv", sf_dir), run)
+
+
+def q_strategy_cv_centroid(spark, sf_dir):
+    return CV.comparison(centroid_cv(spark, sf_dir)[0], CENTROID_SPEC)
+
+
+def q_fold_metrics_centroid(spark, sf_dir):
+    return CV.fold_metrics(centroid_cv(spark, sf_dir)[0])
+
+
+def q_oof_predictions_centroid(spark, sf_dir):
+    """Out-of-fold rows of the strategy with SMOTE: they depend on its vectors."""
+    return CV.oof_predictions(centroid_cv(spark, sf_dir)[0], "smote").drop("strategy")
+
+
+QUERIES.update(
+    {
+        "strategy_cv_centroid": q_strategy_cv_centroid,
+        "fold_metrics_centroid": q_fold_metrics_centroid,
+        "oof_predictions_centroid": q_oof_predictions_centroid,
+    }
+)
+
+
 def rf_baseline_cv(spark, sf_dir):
     """The baseline strategy alone: all that out-of-fold reports need."""
 

@@ -795,3 +795,104 @@ pairs AS (SELECT a.label, a.row_id, b.row_id AS neighbour_id,
           FROM pts a JOIN pts b ON a.row_id <> b.row_id AND a.label = b.label),
 nn AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY distance, neighbour_id) AS nn_rank FROM pairs)
 SELECT label, row_id, CAST(nn_rank AS INTEGER) AS nn_rank, neighbour_id, round(distance, 6) AS distance FROM nn WHERE nn_rank <= 5"""
+
+# ---------------------------------------------------------------- protocols (nearest class mean)
+
+
+def _smote_vectors(src: str, p: str) -> str:
+    """Synthetic rows with vectors per eval_fold of the prepared table ``src`` (brute-force neighbours)."""
+    return f"""
+{p}cls AS (SELECT eval_fold, y_learn, count(*) AS c FROM {src} GROUP BY eval_fold, y_learn),
+{p}rk AS (SELECT *, row_number() OVER (PARTITION BY eval_fold ORDER BY c, y_learn) AS r,
+                 max(c) OVER (PARTITION BY eval_fold) AS big, count(*) OVER (PARTITION BY eval_fold) AS n_cls FROM {p}cls),
+{p}mm AS (SELECT eval_fold, y_learn AS ym, c AS m, big, least(5, c - 1) AS k FROM {p}rk
+          WHERE r = 1 AND n_cls = 2 AND c >= 2 AND c < big),
+{p}mino AS (SELECT s.eval_fold, s.row_id, s.segment, s.x1, s.x2, s.x3 FROM {src} s JOIN {p}mm mm ON s.eval_fold = mm.eval_fold AND s.y_learn = mm.ym),
+{p}near AS (SELECT a.eval_fold, a.row_id,
+                   min({{'d': sqrt((a.x1 - b.x1) * (a.x1 - b.x1) + (a.x2 - b.x2) * (a.x2 - b.x2) + (a.x3 - b.x3) * (a.x3 - b.x3)), 'i': b.row_id}}, 5) AS l
+            FROM {p}mino a JOIN {p}mino b ON a.eval_fold = b.eval_fold AND a.row_id <> b.row_id GROUP BY a.eval_fold, a.row_id),
+{p}pos AS (SELECT eval_fold, row_id, row_number() OVER (PARTITION BY eval_fold ORDER BY md5('42:smote:' || row_id), row_id) AS pz FROM {p}mino),
+{p}syn0 AS (SELECT eval_fold, row_id, ym, k, CAST(unnest(range(1, r + 1)) AS INTEGER) AS syn_j
+            FROM (SELECT *, (big - m) // m + CASE WHEN pz <= (big - m) % m THEN 1 ELSE 0 END AS r FROM {p}pos JOIN {p}mm USING (eval_fold))
+            WHERE r > 0),
+{p}pick AS (SELECT *, ('0x' || substr(md5('42:nn:' || row_id || ':' || syn_j), 1, 8))::BIGINT % k + 1 AS pick,
+                   CAST(('0x' || substr(md5('42:gap:' || row_id || ':' || syn_j), 1, 8))::BIGINT AS DOUBLE) / CAST(4294967296 AS DOUBLE) AS gap
+            FROM {p}syn0),
+{p}syn AS (SELECT s.eval_fold, s.row_id, s.syn_j, s.ym AS y_learn, b.segment,
+                  b.x1 + s.gap * (q.x1 - b.x1) AS x1, b.x2 + s.gap * (q.x2 - b.x2) AS x2, b.x3 + s.gap * (q.x3 - b.x3) AS x3
+           FROM {p}pick s JOIN {p}near n USING (eval_fold, row_id) JOIN {p}mino b USING (eval_fold, row_id)
+           JOIN {p}mino q ON q.eval_fold = s.eval_fold AND q.row_id = n.l[s.pick].i)
+""".strip()
+
+
+_STD = "CASE WHEN stddev_pop({0}) < 2.220446049250313e-15 THEN 1.0 ELSE stddev_pop({0}) END"
+_RAW = "y_learn, segment, CAST(total_price AS DOUBLE) AS v1, CAST(acctbal AS DOUBLE) AS v2, CAST(part_total AS DOUBLE) AS v3"
+_SCALED = "(v1 - a1) / s1 AS x1, (v2 - a2) / s2 AS x2, (coalesce(v3, med) - a3) / s3 AS x3"
+CENTROID_CTES = (
+    LEARN_SPLIT_CTES.strip()
+    + ",\n"
+    + fold_ctes("train_rows", "cv_")
+    + f""",
+ctr AS (SELECT eval_fold, row_id, {_RAW} FROM cv_fold_long WHERE split = 'train'),
+cex AS (SELECT e.eval_fold, row_id, {_RAW} FROM extra_rows, (SELECT DISTINCT eval_fold FROM ctr) e),
+craw AS (SELECT 'own' AS prep, 'train' AS origin, * FROM ctr UNION ALL SELECT 'ext', 'train', * FROM ctr UNION ALL SELECT 'ext', 'extra', * FROM cex),
+cmed AS (SELECT prep, eval_fold, median(v3) AS med FROM craw GROUP BY prep, eval_fold),
+cst AS (SELECT prep, eval_fold, any_value(med) AS med, avg(v1) AS a1, {_STD.format("v1")} AS s1, avg(v2) AS a2, {_STD.format("v2")} AS s2,
+               avg(coalesce(v3, med)) AS a3, {_STD.format("coalesce(v3, med)")} AS s3
+        FROM craw JOIN cmed USING (prep, eval_fold) GROUP BY prep, eval_fold),
+cprep AS (SELECT prep, origin, eval_fold, row_id, y_learn, segment, {_SCALED} FROM craw JOIN cst USING (prep, eval_fold)),
+cown AS (SELECT * FROM cprep WHERE prep = 'own'),
+ccoh AS (SELECT * FROM cown WHERE segment = 'HOUSEHOLD'),
+"""
+    + _smote_vectors("cown", "ws_")
+    + ",\n"
+    + _smote_vectors("ccoh", "wc_")
+    + f""",
+cfit AS (
+  SELECT 'baseline' AS strategy, eval_fold, row_id, 0 AS syn_j, y_learn, segment, origin, x1, x2, x3 FROM cown
+  UNION ALL SELECT 'real_data', eval_fold, row_id, 0, y_learn, segment, origin, x1, x2, x3 FROM cprep WHERE prep = 'ext'
+  UNION ALL SELECT 'smote', eval_fold, row_id, 0, y_learn, segment, origin, x1, x2, x3 FROM cown
+  UNION ALL SELECT 'smote', eval_fold, row_id, syn_j, y_learn, segment, 'synthetic', x1, x2, x3 FROM ws_syn
+  UNION ALL SELECT 'smote_cohort', eval_fold, row_id, 0, y_learn, segment, origin, x1, x2, x3 FROM cown
+  UNION ALL SELECT 'smote_cohort', eval_fold, row_id, syn_j, y_learn, segment, 'synthetic', x1, x2, x3 FROM wc_syn
+),
+cmean AS (SELECT strategy, eval_fold, y_learn, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3 FROM cfit GROUP BY strategy, eval_fold, y_learn),
+cpair AS (SELECT n.strategy, n.eval_fold, n.m1 AS n1, n.m2 AS n2, n.m3 AS n3, p.m1 AS p1, p.m2 AS p2, p.m3 AS p3
+          FROM cmean n JOIN cmean p USING (strategy, eval_fold) WHERE n.y_learn = 0 AND p.y_learn = 1),
+cval AS (
+  SELECT s.strategy, v.eval_fold, v.row_id, v.y_learn, v.segment, {_SCALED}
+  FROM (SELECT eval_fold, row_id, {_RAW} FROM cv_fold_long WHERE split = 'val') v CROSS JOIN {STRATS}
+  JOIN cst ON cst.eval_fold = v.eval_fold AND cst.prep = CASE WHEN s.strategy = 'real_data' THEN 'ext' ELSE 'own' END
+),
+call AS (
+  SELECT strategy, eval_fold, 'train' AS split, row_id, y_learn, segment, x1, x2, x3 FROM cfit
+  UNION ALL SELECT strategy, eval_fold, 'val', row_id, y_learn, segment, x1, x2, x3 FROM cval
+),
+preds AS (
+  SELECT strategy, CAST(eval_fold AS INTEGER) AS fold, split, row_id, y_learn AS y_true, segment,
+         CASE WHEN (x1 - p1) * (x1 - p1) + (x2 - p2) * (x2 - p2) + (x3 - p3) * (x3 - p3)
+                 < (x1 - n1) * (x1 - n1) + (x2 - n2) * (x2 - n2) + (x3 - n3) * (x3 - n3) THEN 1 ELSE 0 END AS y_pred
+  FROM call JOIN cpair USING (strategy, eval_fold)
+)
+"""
+)
+
+SQL["strategy_cv_centroid"] = with_views(
+    f"""SELECT strategy, global_n, {ratios("global_")}, global_tn, global_fp, global_fn, global_tp,
+              'segment' AS cohort_column, 'HOUSEHOLD' AS cohort_value,
+              cohort_n, {ratios("cohort_")}, cohort_tn, cohort_fp, cohort_fn, cohort_tp
+       FROM (SELECT strategy, {counts(prefix="global_")}, {counts(where="segment = 'HOUSEHOLD'", prefix="cohort_")}
+             FROM preds WHERE split = 'val' GROUP BY strategy)""",
+    CENTROID_CTES,
+)
+SQL["fold_metrics_centroid"] = with_views(
+    f"""SELECT strategy, fold, train_n, val_n, {ratios("train_")}, {ratios("val_")}
+       FROM (SELECT strategy, fold, {counts(where="split = 'train'", prefix="train_")},
+                    {counts(where="split = 'val'", prefix="val_")} FROM preds GROUP BY strategy, fold)""",
+    CENTROID_CTES,
+)
+SQL["oof_predictions_centroid"] = with_views(
+    """SELECT fold, row_id, y_true, y_pred, segment, y_true <> y_pred AS is_error
+       FROM preds WHERE split = 'val' AND strategy = 'smote'""",
+    CENTROID_CTES,
+)
