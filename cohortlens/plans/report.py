@@ -87,8 +87,9 @@ def train_val_by_strategy(fold_metrics: DataFrame) -> DataFrame:
 
 
 def smote_summary(fold_stats: DataFrame) -> DataFrame:
-    """Synthetic rows per fold: mean / min / max and the total over folds."""
+    """Synthetic rows per fold (mean / min / max, total over folds) and the mean sizes they came from."""
     s = F.col("cohort_synthetic_n")
+    sizes = ["train_fold_n", "cohort_fold_n", "cohort_original_n", "cohort_resampled_n"]
     return fold_stats.groupBy("strategy").agg(
         F.count(F.lit(1)).alias("n_folds"),
         F.round(F.avg(s), 6).alias("synthetic_mean"),
@@ -96,6 +97,7 @@ def smote_summary(fold_stats: DataFrame) -> DataFrame:
         F.max(s).alias("synthetic_max"),
         F.sum(s).alias("synthetic_total"),
         F.round(F.avg("fold_total_n_after_smote"), 6).alias("fold_total_mean"),
+        *[F.round(F.avg(c), 6).alias(f"{c.removesuffix('_n')}_mean") for c in sizes],
     )
 
 

@@ -595,8 +595,11 @@ SQL["train_val_by_strategy"] = with_views(
 SQL["smote_summary"] = with_views(
     """SELECT 'smote_cohort' AS strategy, count(*) AS n_folds, round(avg(s), 6) AS synthetic_mean,
               min(s) AS synthetic_min, max(s) AS synthetic_max, CAST(sum(s) AS BIGINT) AS synthetic_total,
-              round(avg(t), 6) AS fold_total_mean
-       FROM (SELECT m.eval_fold, (SELECT count(*) FROM cv_sc_syn x WHERE x.eval_fold = m.eval_fold) AS s,
+              round(avg(t), 6) AS fold_total_mean, round(avg(t - s), 6) AS train_fold_mean,
+              round(avg(c), 6) AS cohort_fold_mean, round(avg(c), 6) AS cohort_original_mean,
+              round(avg(c + s), 6) AS cohort_resampled_mean
+       FROM (SELECT m.eval_fold, (SELECT count(*) FROM trc WHERE trc.eval_fold = m.eval_fold) AS c,
+                    (SELECT count(*) FROM cv_sc_syn x WHERE x.eval_fold = m.eval_fold) AS s,
                     (SELECT count(*) FROM tr WHERE tr.eval_fold = m.eval_fold)
                       + (SELECT count(*) FROM cv_sc_syn x WHERE x.eval_fold = m.eval_fold) AS t
              FROM cv_sc_mm m)""",
