@@ -23,16 +23,21 @@ def confusion_aggs(
     y_pred: str = "y_pred",
     where: Column | None = None,
     prefix: str = "",
+    weight: str | None = None,
 ) -> list[Column]:
-    """n, tn, fp, fn, tp as aggregate expressions (labels fixed to 0/1)."""
+    """n, tn, fp, fn, tp as aggregate expressions (labels fixed to 0/1).
+
+    ``weight`` names a column that says how many rows a row stands for.
+    """
     t, p = F.col(y_true), F.col(y_pred)
     cond = (lambda c: c & where) if where is not None else (lambda c: c)
+    count = F.count_if if weight is None else (lambda c: F.coalesce(F.sum(F.when(c, F.col(weight))), F.lit(0)).cast("long"))
     return [
-        F.count_if(cond(F.lit(True))).alias(f"{prefix}n"),
-        F.count_if(cond((t == 0) & (p == 0))).alias(f"{prefix}tn"),
-        F.count_if(cond((t == 0) & (p == 1))).alias(f"{prefix}fp"),
-        F.count_if(cond((t == 1) & (p == 0))).alias(f"{prefix}fn"),
-        F.count_if(cond((t == 1) & (p == 1))).alias(f"{prefix}tp"),
+        count(cond(F.lit(True))).alias(f"{prefix}n"),
+        count(cond((t == 0) & (p == 0))).alias(f"{prefix}tn"),
+        count(cond((t == 0) & (p == 1))).alias(f"{prefix}fp"),
+        count(cond((t == 1) & (p == 0))).alias(f"{prefix}fn"),
+        count(cond((t == 1) & (p == 1))).alias(f"{prefix}tp"),
     ]
 
 

@@ -119,7 +119,12 @@ class GroupRateClassifier(Estimator, _GroupRateParams):
     def _fit(self, df: DataFrame) -> "GroupRateModel":
         g, y = self.getOrDefault("groupCols"), self.getLabelCol()
         mc = self.getOrDefault("modelCols")
-        stats = df.groupBy(*mc, *g).agg(F.count(F.lit(1)).alias("_ng"), F.count_if(F.col(y) == 1).alias("_pg"))
+        return self.fit_counts(df.groupBy(*mc, *g).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(y) == 1).alias("positives")), mc)
+
+    def fit_counts(self, counts: DataFrame, model_cols: list[str]) -> "GroupRateModel":
+        """The fit from its sufficient statistics: (model columns, group columns, n, positives), one model per value of ``model_cols``."""
+        g, mc = self.getOrDefault("groupCols"), model_cols
+        stats = counts.select(*mc, *g, F.col("n").alias("_ng"), F.col("positives").alias("_pg"))
         # per-model totals: a plain aggregate of the group table, joined back
         stats = stats.withColumn("_all", F.lit(1))
         totals = stats.groupBy(*mc, "_all").agg(F.sum("_ng").alias("_n"), F.sum("_pg").alias("_p"))
@@ -133,6 +138,7 @@ class GroupRateClassifier(Estimator, _GroupRateParams):
 
 class GroupRateModel(Model, _GroupRateParams):
     rules: DataFrame
+    ruleCol = "_rule"
 
     @keyword_only
     def __init__(self, *, groupCols=None, predictionCol="prediction"):

@@ -31,6 +31,7 @@ def binary_metrics(
     y_true: str = "y_true",
     y_pred: str = "y_pred",
     digits: int | None = DIGITS,
+    weight: str | None = None,
 ) -> DataFrame:
     """n, accuracy, precision, recall, f1, tn, fp, fn, tp (per group of ``by``).
 
@@ -38,7 +39,7 @@ def binary_metrics(
     costs no more shuffle than a cold one.
     """
     by = by or []
-    agg = df.groupBy(*by).agg(*confusion_aggs(y_true, y_pred))
+    agg = df.groupBy(*by).agg(*confusion_aggs(y_true, y_pred, weight=weight))
     return agg.select(*by, "n", *metric_columns("", digits), *COUNTS)
 
 

@@ -57,6 +57,43 @@ def hashed_rank(
     return joined.withColumn(rank_col, (F.col("_off") + F.row_number().over(w)).cast("long")).drop("_h", "_b", "_off")
 
 
+def fold_out_ranks(
+    df: DataFrame,
+    k: int,
+    counted: dict,
+    partition_cols: list[str],
+    seed: int = 42,
+    key: str = "row_id",
+    fold_col: str = "fold",
+    salt: str | None = None,
+) -> DataFrame:
+    """Ranks by hash with one fold left out, for all folds in one pass and without copies of rows.
+
+    ``counted`` maps a new column to a condition.  The column is an array over folds: entry
+    i - 1 is ``hashed_rank`` among the rows of the group that hold the condition and
+    are not of fold i; null where the row itself is not counted.
+    """
+    digits = max(1, math.ceil(math.log(max(1, df.count() / BUCKET_ROWS), 16)))
+    h = hash_hex(seed, *([F.col(key)] if salt is None else [F.lit(salt), F.col(key)]))
+    tagged = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, digits))
+    held = {(c, i): F.coalesce(cond, F.lit(False)) & (F.col(fold_col) != i) for c, cond in counted.items() for i in range(1, k + 1)}
+    names = {x: f"_c{j}" for j, x in enumerate(held)}
+    counts = tagged.groupBy(*partition_cols, "_b").agg(*[F.count_if(cond).alias(names[x]) for x, cond in held.items()])
+    before = Window.partitionBy(*(partition_cols or [F.lit(0)])).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(partition_cols)], F.col("_b").alias("_ob"),
+        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in names.values()],
+    )
+    offsets = broadcast_if_small(offsets)  # (#groups) x 16^digits rows
+    same = F.col("_b") == F.col("_ob")
+    for i, c in enumerate(partition_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    joined = tagged.join(offsets, same, "inner")
+    w = Window.partitionBy(*partition_cols, "_b").orderBy("_h", key).rowsBetween(Window.unboundedPreceding, 0)
+    rank = {x: F.when(cond, F.col(names[x]) + F.sum(F.when(cond, 1).otherwise(0)).over(w)) for x, cond in held.items()}
+    return joined.select(*df.columns, *[F.array(*[rank[(c, i)] for i in range(1, k + 1)]).alias(c) for c in counted])
+
+
 def class_counts(df: DataFrame, target: str) -> DataFrame:
     return df.groupBy(target).agg(F.count(F.lit(1)).alias("n_class"))
 

@@ -133,6 +133,7 @@ QUERIES = {
 from cohortlens.operators import prepare as PR  # noqa: E402
 from cohortlens.operators import profile as PF  # noqa: E402
 from cohortlens.operators import split as SP  # noqa: E402
+from cohortlens.plans import subtract as SUB  # noqa: E402
 
 TARGETS = ["row_id", "y_true", "y_pred", "y_learn"]
 NUMERIC_FEATURES = ["total_price", "acctbal", "part_a", "part_b", "month"]
@@ -184,19 +185,22 @@ def q_stratified_folds(spark, sf_dir):
 
 
 def q_fold_membership(spark, sf_dir):
-    long = SP.fold_membership(folds_table(spark, sf_dir).select("row_id", "y_learn", "fold"), K_FOLDS)
-    return long.groupBy("eval_fold", "split").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("y_learn") == 1).alias("n_pos")
-    )
+    """Sizes of every fold's two sides: its own rows, and the total less them."""
+    df = folds_table(spark, sf_dir).select("row_id", "y_learn", "fold")
+    train = SUB.fold_counts(df, [], "y_learn", K_FOLDS).select("eval_fold", F.lit("train").alias("split"), F.col("n").alias("n_rows"), F.col("positives").alias("n_pos"))
+    val = df.groupBy(F.col("fold").alias("eval_fold")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("y_learn") == 1).alias("n_pos"))
+    return train.unionByName(val.select("eval_fold", F.lit("val").alias("split"), "n_rows", "n_pos"))
 
 
 def q_learning_subsets(spark, sf_dir):
-    long = SP.fold_membership(folds_table(spark, sf_dir).select("row_id", "y_learn", "fold"), K_FOLDS)
-    train = long.where(F.col("split") == "train")
-    sub = SP.learning_subsets(train, ["eval_fold"], seed=SEED)
-    return sub.groupBy("eval_fold", F.col("fraction").cast("double").alias("fraction"), "subset_n").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("y_learn") == 1).alias("n_pos")
+    """Sizes and positives of the nested subsets of every fold, as cuts of one rank."""
+    cells, sizes = SUB.subset_cells(folds_table(spark, sf_dir), ["y_learn"], K_FOLDS, SP.FRACTIONS, 50, SEED, "row_id")
+    held = SUB.subset_counts(cells, ["y_learn"], len(SP.FRACTIONS)).groupBy("eval_fold", "position").agg(
+        F.sum("c").alias("n_rows"), F.sum(F.when(F.col("y_learn") == 1, F.col("c")).otherwise(0)).alias("n_pos")
     )
+    size = F.array(*[F.array(*[F.lit(n).cast("long") for n in row]) for row in sizes])[F.col("eval_fold") - 1][F.col("position")]
+    share = F.array(*[F.lit(float(f)) for f in SP.FRACTIONS])[F.col("position")]
+    return held.select("eval_fold", share.alias("fraction"), size.alias("subset_n"), "n_rows", "n_pos")
 
 
 # ---------------------------------------------------------------- prepare

@@ -25,6 +25,7 @@ from cohortlens.operators import metrics as M
 from cohortlens.operators import resample as RS
 from cohortlens.operators import split as SP
 from cohortlens.operators.validate import assert_complete
+from cohortlens.plans import subtract as SUB
 from cohortlens.plans.fits import fit_table, materialize, run_concurrently, scored
 
 STRATEGIES = ["baseline", "real_data", "smote", "smote_cohort"]
@@ -54,6 +55,11 @@ class Learner:
         training rows."""
         return hasattr(self.estimator, "with_models") and (self.featurizer is None or self.stateless_features)
 
+    @property
+    def countable(self) -> bool:
+        """Models are fitted from counts alone, so no protocol needs a copy of a row."""
+        return self.batched and not self.needs_vectors and hasattr(self.estimator, "fit_counts")
+
 
 @dataclass
 class Spec:
@@ -145,6 +151,11 @@ def strategy_cv(
     fold_col: str = "fold",
 ) -> tuple[DataFrame, DataFrame]:
     """Same folds for every strategy; returns (predictions, SMOTE fold stats)."""
+    unknown = [s for s in strategies if s not in STRATEGIES]
+    if unknown:
+        raise ValueError(f"No such strategy: {unknown}")
+    if learner.countable:
+        return SUB.strategy_cv(df, extra, learner, spec, strategies, fold_col)
     if learner.batched:
         return _strategy_cv_batched(df, extra, learner, spec, strategies, fold_col)
     parts, stats = [], []
@@ -314,7 +325,11 @@ def augmentation_comparison(df: DataFrame, extra: DataFrame | None, learner: Lea
         keyed = table.withColumn("_uid", F.concat_ws(":", F.col(spec.key).cast("string"), F.col("syn_j").cast("string")))
         folded = materialize(SP.add_folds(keyed, spec.target, spec.k, spec.seed, key="_uid"), f"aug-folds-{name}")
         preds = []
-        if learner.batched:
+        if learner.countable:
+            preds.append(SUB.out_of_fold(folded, learner, spec.target, spec.k).select(
+                spec.key, "syn_j", spec.cohort_column, "_src", F.col(spec.target).cast("int").alias("y_true"),
+                F.col("prediction").cast("int").alias("y_pred")))
+        elif learner.batched:
             long = SP.fold_membership(folded, spec.k, "fold")
             tr = long.where(F.col("split") == "train")
             model = learner.estimator.with_models(["eval_fold"]).fit(tr)
@@ -357,6 +372,8 @@ def learning_curve(df: DataFrame, learner: Learner, spec: Spec, fractions=FRACTI
     """Mean train/val F1 and recall over folds for growing nested subsets."""
     parts = []
     df = materialize(df, "curve-input")
+    if learner.countable:
+        return _curve_table(df, [SUB.curve_cells(df, learner, spec, fractions, min_rows, fold_col)], spec, "c")
     if learner.batched:
         f = _featurize(learner, df)
         long = SP.fold_membership(f(df), spec.k, fold_col)
@@ -401,9 +418,9 @@ def learning_curve(df: DataFrame, learner: Learner, spec: Spec, fractions=FRACTI
     return _curve_table(df, parts, spec)
 
 
-def _curve_table(df: DataFrame, parts: list, spec: Spec) -> DataFrame:
+def _curve_table(df: DataFrame, parts: list, spec: Spec, weight: str | None = None) -> DataFrame:
     p = materialize(M.union_all(parts), "learning-curve")
-    per = M.binary_metrics(p, ["fraction", "fold", "split"])
+    per = M.binary_metrics(p, ["fraction", "fold", "split"], weight=weight)
     tr, va = F.col("split") == "train", F.col("split") == "val"
     curve = per.groupBy("fraction").agg(
         F.round(F.avg(F.when(tr, F.col("f1"))), 6).alias("train_f1"),
