@@ -7,9 +7,8 @@ std (a constant column keeps scale 1); strings: most-frequent imputation
 columns, numeric block first, plus an assembled ``features`` vector.
 
 Statistics are computed with distributed aggregates.  The exact median never
-gathers a column into one task: distinct values are counted, bucketed by
-approximate quantiles, and only the bucket holding the middle rank is
-ordered.
+gathers a column into one task: the range holding the middle rank is narrowed until it is small, and
+only that range is ordered.
 """
 
 from __future__ import annotations
@@ -30,80 +29,88 @@ from cohortlens.operators.profile import feature_groups
 SCALE_EPS = 10 * 2.220446049250313e-16  # below this a std counts as zero
 
 
-def exact_medians(df: DataFrame, cols: list[str], buckets: int | None = None) -> dict[str, float | None]:
-    """Exact medians of several numeric columns in three jobs.
+SMALL_RANGE = 100_000  # rows of a range that one task may order
 
-    1. approximate quantiles of every column (one aggregate) give ``buckets``
-       value ranges per column with about equal row counts;
-    2. one aggregate counts rows per (column, bucket); the buckets holding
-       the middle ranks are found on that small table;
-    3. only rows of those buckets are grouped by value and ordered, so no task
-       ever orders a whole column (a hot value is one row after grouping).
-    For an even count the two middle values are averaged.
+
+def _narrow(x: DataFrame, ranges: dict[str, tuple], buckets: int) -> dict[str, list[tuple]]:
+    """Value ranges of about equal row counts inside each column's range: (least, largest, rows), ascending.
+
+    Two aggregates: approximate quantiles inside the ranges, then rows, least and largest value
+    of every range between them.  Each quantile is a range of its own, so a hot value never shares one.
+    """
+    names = {c: i for i, c in enumerate(ranges)}
+    probs = [i / buckets for i in range(1, buckets)]
+    inside = x.select(*[F.when(F.col(c).between(lo, hi), F.col(c)).alias(c) for c, (lo, hi) in ranges.items()])
+    head = inside.agg(*[F.percentile_approx(c, probs, 20 * buckets).alias(f"q_{i}") for c, i in names.items()]).first()
+    splits = []
+    for i in names.values():
+        cuts = {float(v) for v in head[f"q_{i}"]}
+        cuts |= {math.nextafter(v, math.inf) for v in cuts}
+        splits.append([-math.inf] + sorted(v for v in cuts if math.isfinite(v)) + [math.inf])
+    bz = Bucketizer(splitsArray=splits, inputCols=list(names), outputCols=[f"b_{i}" for i in names.values()], handleInvalid="keep")
+    each = F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).alias("v"), F.col(f"b_{i}").alias("b")) for c, i in names.items()])
+    long = bz.transform(inside).select(F.inline(each)).where(F.col("v").isNotNull())
+    out: dict[str, list[tuple]] = {c: [] for c in names}
+    for r in long.groupBy("f", "b").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect():  # columns x ranges
+        out[r["f"]].append((r["lo"], r["hi"], r["c"]))
+    return {c: sorted(v) for c, v in out.items()}
+
+
+def exact_medians(df: DataFrame, cols: list[str], buckets: int = 64, small: int = SMALL_RANGE) -> dict[str, float | None]:
+    """Exact medians of several numeric columns by narrowing the range that holds the middle ranks.
+
+    A round (``_narrow``) splits each column's range into about ``2 * buckets`` ranges
+    and keeps the one with the middle rank, so rows fall by about that factor a
+    round, whatever their number.  A range of one value, or two middle ranks in two ranges, is the answer
+    itself; a range of at most ``small`` rows is grouped by value and ordered.  The driver
+    sees ranges and counts only.  Null and NaN are not values; an even count takes the mean of
+    the two middle values; a column without values has no median.
     """
     if not cols:
         return {}
     x = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in cols])
-    if buckets is None:
-        # enough ranges that the ordered bucket stays ~100k rows, at most 1024
-        n_max = x.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-        buckets = int(min(1024, max(16, n_max // 100_000)))
-    probs = [i / buckets for i in range(1, buckets)]
-    head = x.agg(
-        *[F.percentile_approx(c, probs, 20 * buckets).alias(f"q_{i}") for i, c in enumerate(cols)],
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
-    ).first()
+    head = x.agg(*[f(c).alias(f"{n}_{i}") for i, c in enumerate(cols) for n, f in (("lo", F.min), ("hi", F.max), ("n", F.count))]).first()
     out: dict[str, float | None] = {c: None for c in cols}
-    live = [(i, c) for i, c in enumerate(cols) if head[f"n_{i}"]]
-    if not live:
-        return out
-    splits = [[-math.inf] + sorted(set(float(v) for v in head[f"q_{i}"])) + [math.inf] for i, _ in live]
-    bz = Bucketizer(
-        splitsArray=splits, inputCols=[c for _, c in live], outputCols=[f"b_{i}" for i, _ in live], handleInvalid="keep"
-    )
-    long = bz.transform(x).select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).alias("v"), F.col(f"b_{i}").alias("b")) for i, c in live])).alias("r")
-    ).select("r.*").where(F.col("v").isNotNull())
-    counts = long.groupBy("f", "b").agg(F.count(F.lit(1)).alias("c")).collect()  # columns x buckets rows
-    targets = []  # (feature, bucket, rows before the bucket, [ranks])
-    for _, c in live:
-        n = head[f"n_{cols.index(c)}"]
-        ks = sorted({(n + 1) // 2, n // 2 + 1})
-        seen = 0
-        for r in sorted((r for r in counts if r["f"] == c), key=lambda r: r["b"]):
-            hit = [k for k in ks if seen < k <= seen + r["c"]]
-            if hit:
-                targets.append((c, float(r["b"]), seen, hit))
-            seen += r["c"]
-    spark = df.sparkSession
-    tdf = spark.createDataFrame([(c, b, lo) for c, b, lo, _ in targets], "f string, b double, lo long")
-    sel = long.join(F.broadcast(tdf), ["f", "b"], "inner").groupBy("f", "b", "lo", "v").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("f", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    sel = sel.withColumn("cum", F.sum("c").over(w) + F.col("lo"))
-    picks = []
-    for c, b, lo, ks in targets:
-        for k in ks:
-            picks.append((c, b, k))
-    pdf = spark.createDataFrame(picks, "f string, b double, k long")
-    got = sel.join(F.broadcast(pdf), ["f", "b"], "inner").where((F.col("cum") - F.col("c") < F.col("k")) & (F.col("cum") >= F.col("k")))
-    vals: dict[str, dict[int, float]] = {}
-    for r in got.select("f", "k", "v").collect():  # at most two rows per column
-        vals.setdefault(r["f"], {})[r["k"]] = r["v"]
-    for _, c in live:
-        n = head[f"n_{cols.index(c)}"]
-        v1, v2 = vals[c][(n + 1) // 2], vals[c][n // 2 + 1]
-        out[c] = (v1 + v2) / 2.0
+    open_, last = {}, {}  # column -> (lo, hi, rows, first rank, second rank), ranks counted from the range's start
+    for i, c in enumerate(cols):
+        if n := head[f"n_{i}"]:
+            open_[c] = (head[f"lo_{i}"], head[f"hi_{i}"], n, (n + 1) // 2, n // 2 + 1)
+    while open_:
+        for c, (lo, hi, n, _, _) in list(open_.items()):
+            if lo == hi:
+                out[c] = lo
+                del open_[c]
+            elif n <= small:
+                last[c] = open_.pop(c)
+        if not open_:
+            break
+        for c, found in _narrow(x, {c: r[:2] for c, r in open_.items()}, buckets).items():
+            _, _, _, k1, k2 = open_[c]
+            for at, (lo, hi, n) in enumerate(found):
+                if k1 <= n:
+                    break
+                k1, k2 = k1 - n, k2 - n
+            if k2 > n:  # the first middle rank ends this range, the second begins the next one
+                out[c] = (hi + found[at + 1][0]) / 2.0
+                del open_[c]
+            else:
+                open_[c] = (lo, hi, n, k1, k2)
+    if last:
+        each = F.array(*[F.struct(F.lit(c).alias("f"), F.when(F.col(c).between(r[0], r[1]), F.col(c)).alias("v")) for c, r in last.items()])
+        some = x.select(F.inline(each)).where(F.col("v").isNotNull()).groupBy("f", "v").agg(F.count(F.lit(1)).alias("c"))
+        upto = F.sum("c").over(Window.partitionBy("f").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        ranks = F.create_map(*[v for c, r in last.items() for v in (F.lit(c), F.array(F.lit(r[3]), F.lit(r[4])))])
+        got = some.withColumn("upto", upto).withColumn("k", F.explode(ranks[F.col("f")])).where((F.col("upto") - F.col("c") < F.col("k")) & (F.col("upto") >= F.col("k")))
+        vals: dict[str, list[float]] = {}
+        for r in got.select("f", "v").collect():  # two rows per column
+            vals.setdefault(r["f"], []).append(r["v"])
+        for c, v in vals.items():
+            out[c] = sum(v) / 2.0
     return out
 
 
-def exact_median(df: DataFrame, col: str, buckets: int | None = None) -> float | None:
-    return exact_medians(df, [col], buckets)[col]
-
-
-def value_counts(df: DataFrame, col: str) -> list[tuple[str, int]]:
-    """(value, count) of a categorical column; size = its vocabulary."""
-    rows = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("c")).collect()
-    return [(r[0], r[1]) for r in rows]
+def exact_median(df: DataFrame, col: str, buckets: int = 64, small: int = SMALL_RANGE) -> float | None:
+    return exact_medians(df, [col], buckets, small)[col]
 
 
 def category_counts(df: DataFrame, cols: list[str]) -> dict[str, list[tuple[str, int]]]:

@@ -64,11 +64,6 @@ def drop_redundant(df: DataFrame, columns) -> DataFrame:
     return df.drop(*[c for c in columns if c in df.columns])
 
 
-def redundancy_report(df: DataFrame, columns) -> tuple[list[str], list[str]]:
-    present = [c for c in columns if c in df.columns]
-    return present, [c for c in columns if c not in df.columns]
-
-
 def allclose_expr(total: Column, parts: list[Column]) -> Column:
     """bool_and over rows of |total - sum(parts)| <= atol + rtol*|sum(parts)|.
 
@@ -128,20 +123,73 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
     ]
 
 
-def pairwise_correlations(df: DataFrame, pairs: list[tuple[str, str]], digits: int = 6) -> DataFrame:
-    """Pearson r per column pair with pairwise deletion, one grouped pass.
+BLOCK_COLUMNS = 512  # columns whose moments are one matrix in a task
+LEAST_VARIANCE = 1e-12  # a pair's variance below this share of its mean square is rounding of a constant
+
+
+def _moments(df: DataFrame, left: list[str], right: list[str], numbers: dict[str, int], centre: dict[str, float]) -> DataFrame:
+    """(i, j, n, sx, sy, sxx, syy, sxy) over rows where both columns have a value; i < j.
 
-    Each row is exploded into one (pair, x, y) record per pair inside the
-    scan stage and aggregated per pair (partial aggregation before the
-    shuffle), which keeps three codegen aggregates instead of 3 x pairs.
+    A task keeps one matrix for each moment and multiplies batches of rows into them; it
+    emits a row for each pair of columns, however many rows it read.
     """
-    recs = F.explode(
-        F.array(*[F.struct(F.lit(i).alias("p"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)])
-    )
-    long = df.select(recs.alias("r")).select("r.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    agg = long.groupBy("p").agg(F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y")).alias("r"))
-    names = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b")) for a, b in pairs])
-    return agg.select(names[F.col("p")]["feature_a"].alias("feature_a"), names[F.col("p")]["feature_b"].alias("feature_b"), F.round("r", digits).alias("r"))
+    cols = list(dict.fromkeys([*left, *right]))
+    shift = [centre[c] for c in cols]
+    a, b = [cols.index(c) for c in left], [cols.index(c) for c in right]
+    ids = [numbers[c] for c in left], [numbers[c] for c in right]
+    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = None
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - shift
+            held = np.isfinite(x)
+            x, m = np.where(held, x, 0.0), held.astype(float)
+            xa, ma, xb, mb = x[:, a], m[:, a], x[:, b], m[:, b]
+            now = [ma.T @ mb, xa.T @ mb, ma.T @ xb, (xa * xa).T @ mb, ma.T @ (xb * xb), xa.T @ xb]
+            total = now if total is None else [t + s for t, s in zip(total, now, strict=True)]
+        if total is not None:
+            i, j = np.meshgrid(*ids, indexing="ij")
+            keep = (i < j) & (total[0] > 0)
+            yield pa.RecordBatch.from_arrays([pa.array(i[keep].astype(np.int32)), pa.array(j[keep].astype(np.int32)), *[pa.array(t[keep]) for t in total]], ["i", "j", *names])
+
+    table = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(cols)])
+    return table.mapInArrow(run, "i int, j int, " + ", ".join(f"{n} double" for n in names))
+
+
+def pairwise_correlations(df: DataFrame, cols: list[str], digits: int = 6, block: int = BLOCK_COLUMNS) -> DataFrame:
+    """(feature_a, feature_b, r): Pearson r of every pair of columns over the rows where both have a value.
+
+    Moments of all pairs come from one blocked matrix product a task, summed by pair;
+    more than ``block`` columns are taken in pairs of blocks, each reading its own columns
+    only.  Values are centred at their column's mean first.  A pair
+    without rows in common, or with a column that is constant on them, has no r (null).  Infinite
+    values and NaN count as missing.
+    """
+    numbers = {c: i for i, c in enumerate(cols)}
+    value = lambda c: F.when(F.abs(F.col(c).cast("double")) < float("inf"), F.col(c).cast("double"))
+    stats = df.agg(*[f(value(c)).alias(f"{n}{i}") for c, i in numbers.items() for n, f in (("m", F.avg), ("lo", F.min), ("hi", F.max))]).first()
+    live = [c for c, i in numbers.items() if stats[f"lo{i}"] is not None and stats[f"lo{i}"] < stats[f"hi{i}"]]
+    centre = {c: stats[f"m{numbers[c]}"] for c in live}
+    blocks = [live[i : i + block] for i in range(0, len(live), block)]
+    spark = df.sparkSession
+    parts = [_moments(df, p, q, numbers, centre) for i, p in enumerate(blocks) for q in blocks[i:]]
+    if not parts:
+        return spark.createDataFrame([], "feature_a string, feature_b string, r double")
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.union(p)
+    names = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    s = every.groupBy("i", "j").agg(*[F.sum(n).alias(n) for n in names])
+    n = F.col("n")
+    vx, vy = n * F.col("sxx") - F.col("sx") * F.col("sx"), n * F.col("syy") - F.col("sy") * F.col("sy")
+    varies = (vx > n * F.col("sxx") * LEAST_VARIANCE) & (vy > n * F.col("syy") * LEAST_VARIANCE)
+    r = F.when(varies, (n * F.col("sxy") - F.col("sx") * F.col("sy")) / (F.sqrt(vx) * F.sqrt(vy)))
+    name = F.array(*[F.lit(c) for c in cols])
+    return s.select(name[F.col("i")].alias("feature_a"), name[F.col("j")].alias("feature_b"), F.round(r, digits).alias("r"))
 
 
 def high_correlations(df: DataFrame, exclude=(), threshold: float = 0.85, digits: int = 6) -> DataFrame:
@@ -151,10 +199,9 @@ def high_correlations(df: DataFrame, exclude=(), threshold: float = 0.85, digits
     ``stack`` drops NaN.
     """
     cols = numeric_columns(df, exclude)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    if not pairs:
+    if len(cols) < 2:
         return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, correlation double")
-    r = pairwise_correlations(df, pairs, digits)
+    r = pairwise_correlations(df, cols, digits)
     out = r.select("feature_a", "feature_b", F.abs("r").alias("correlation"))
     return out.where(F.col("correlation").isNotNull() & (F.col("correlation") > threshold)).orderBy(
         F.col("correlation").desc(), "feature_a", "feature_b"
