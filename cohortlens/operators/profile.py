@@ -64,6 +64,13 @@ def drop_redundant(df: DataFrame, columns) -> DataFrame:
     return df.drop(*[c for c in columns if c in df.columns])
 
 
+def features_target(df: DataFrame, target: str, key: str = "row_id") -> tuple[DataFrame, DataFrame]:
+    """(key and features, key and target as int); an absent target is an error, a null one stays null."""
+    if target not in df.columns:
+        raise ValueError(f"There is no target column {target}")
+    return df.drop(target), df.select(key, F.col(target).cast("int").alias(target))
+
+
 def allclose_expr(total: Column, parts: list[Column]) -> Column:
     """bool_and over rows of |total - sum(parts)| <= atol + rtol*|sum(parts)|.
 

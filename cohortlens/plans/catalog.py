@@ -130,6 +130,7 @@ QUERIES = {
 
 
 # ---------------------------------------------------------------- profile
+from cohortlens.operators import dictionary as DI  # noqa: E402
 from cohortlens.operators import prepare as PR  # noqa: E402
 from cohortlens.operators import profile as PF  # noqa: E402
 from cohortlens.operators import split as SP  # noqa: E402
@@ -262,6 +263,31 @@ def q_transform_test(spark, sf_dir):
     return _round_doubles(fitted_preprocessor(train).transform(test).drop("features"))
 
 
+def q_transform_extra(spark, sf_dir):
+    """The preparation fitted on train, applied to the extra table."""
+    train, _ = split_tables(spark, sf_dir)
+    return _round_doubles(fitted_preprocessor(train).transform(P.extra_rows(spark, sf_dir)).drop("features"))
+
+
+def q_features_target(spark, sf_dir):
+    """Features and target as two tables, the target (read as text) cast to int, aligned again by key."""
+    df = PF.drop_redundant(q_load_labelled(spark, sf_dir), [*P.REDUNDANT_COLUMNS, "y_true", "y_pred"])
+    x, y = PF.features_target(df.withColumn("y_learn", F.col("y_learn").cast("string")), "y_learn")
+    return x.join(y, "row_id")
+
+
+def q_dictionary_encode(spark, sf_dir):
+    """Users and properties of purchases as a dictionary, applied to all events (null: unseen)."""
+    ev = P.table(spark, sf_dir, "events").select(F.col("event_id").alias("row_id"), "event_type", F.col("user_id").cast("string").alias("user"), "props")
+    model = DI.DictionaryEncoder(inputCols=["user", "props"]).fit(ev.where("event_type = 'purchase'"))
+    return model.indices(ev).select("row_id", "user_index", "props_index")
+
+
+def q_dictionary_table(spark, sf_dir):
+    ev = P.table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("user"), "props", "event_type")
+    return DI.DictionaryEncoder(inputCols=["user", "props", "event_type"]).fit(ev).dictionary()
+
+
 def q_row_parity(spark, sf_dir):
     train, _ = split_tables(spark, sf_dir)
     prepared = fitted_preprocessor(train).transform(train)
@@ -285,6 +311,10 @@ QUERIES.update(
         "standard_scale": q_standard_scale,
         "one_hot": q_one_hot,
         "transform_test": q_transform_test,
+        "transform_extra": q_transform_extra,
+        "features_target": q_features_target,
+        "dictionary_encode": q_dictionary_encode,
+        "dictionary_table": q_dictionary_table,
         "row_parity": q_row_parity,
     }
 )
@@ -575,6 +605,7 @@ QUERIES.update(
 
 # ---------------------------------------------------------------- learned models (rows-only checks)
 from cohortlens.operators.estimators import BoundedFit, CentroidClassifier, forest, logistic  # noqa: E402
+from cohortlens.operators.smote_model import RawSmoteEstimator  # noqa: E402
 from cohortlens.plans import scoring as SC  # noqa: E402
 from cohortlens.plans import selection as SEL  # noqa: E402
 from cohortlens.plans.fits import ModelStore, scored  # noqa: E402
@@ -695,6 +726,27 @@ def q_feature_vector(spark, sf_dir):
     return f(test).select("row_id", "x")
 
 
+def q_feature_entries(spark, sf_dir):
+    """Entries of the assembled vectors of the test rows: (row_id, position, value)."""
+    return q_feature_vector(spark, sf_dir).select("row_id", F.posexplode("x").alias("position", "v")).select("row_id", "position", F.round("v", 6).alias("value"))
+
+
+def raw_smote_centroid() -> RawSmoteEstimator:
+    prep = PR.TablePreprocessor(numericCols=CENTROID_FEATURES, keepCols=["row_id", "y_learn", "segment"], arrayCol="x")
+    return RawSmoteEstimator(
+        prep, CentroidClassifier(inputCol="x", labelCol="y_learn"), P.FOCUS_VALUE, targetCol="y_learn", cohortCol=P.FOCUS_COLUMN,
+        redundantCols=["week", "zero"], k=K_NN, seed=SEED,
+    )
+
+
+def q_final_smote_cohort_centroid(spark, sf_dir):
+    """Raw train rows to a saved model with SMOTE in the focus cohort; the reloaded model scores the raw test rows."""
+    train, test = split_tables(spark, sf_dir)
+    path = ModelStore(spark).save("raw-smote", raw_smote_centroid().fit(train))
+    out = load_model(path).transform(test).select("row_id", "segment", F.col("y_learn").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
+    return M.error_flags(out)
+
+
 def q_oof_predictions(spark, sf_dir):
     return CV.oof_predictions(rf_baseline_cv(spark, sf_dir)).drop("strategy")
 
@@ -761,6 +813,8 @@ def q_augmentation_comparison(spark, sf_dir):
 QUERIES.update(
     {
         "feature_vector": q_feature_vector,
+        "feature_entries": q_feature_entries,
+        "final_smote_cohort_centroid": q_final_smote_cohort_centroid,
         "oof_predictions": q_oof_predictions,
         "strategy_cv": q_strategy_cv,
         "oof_cohort_report": q_oof_cohort_report,

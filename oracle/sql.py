@@ -330,6 +330,35 @@ SQL["transform_test"] = with_views(
     LEARN_SPLIT_CTES,
 )
 
+SQL["transform_extra"] = SQL["transform_test"].replace("FROM test_rows", "FROM extra_rows")
+SQL["features_target"] = with_views(
+    "SELECT row_id, segment, priority, nation, total_price, acctbal, part_a, part_b, month, line_flag, y_learn FROM labelled_orders"
+)
+_VECTOR = [f"{c}" for c in ["total_price", "acctbal", "part_a", "part_b", "month"]] + [f"segment_{v}" for v in _SEGMENTS] + [f"line_flag_{v}" for v in _FLAGS]
+SQL["feature_entries"] = (
+    "WITH t AS (" + SQL["transform_test"] + ") SELECT row_id, CAST(unnest(range(" + str(len(_VECTOR)) + ")) AS INTEGER) AS position, "
+    "unnest([" + ", ".join(f'"{c}"' for c in _VECTOR) + "]) AS value FROM t"
+)
+
+
+def _ranks(col: str, where: str) -> str:
+    return f"(SELECT v, row_number() OVER (ORDER BY v) - 1 AS r FROM (SELECT DISTINCT CAST({col} AS VARCHAR) AS v FROM events WHERE {where} AND {col} IS NOT NULL))"
+
+
+def _mode(col: str, where: str) -> str:
+    return f"(SELECT CAST({col} AS VARCHAR) FROM events WHERE {where} AND {col} IS NOT NULL GROUP BY {col} ORDER BY count(*) DESC, CAST({col} AS VARCHAR) LIMIT 1)"
+
+
+_BOUGHT = "event_type = 'purchase'"
+SQL["dictionary_encode"] = f"""SELECT event_id AS row_id, CAST(u.r AS INTEGER) AS user_index, CAST(p.r AS INTEGER) AS props_index
+FROM events e LEFT JOIN {_ranks("user_id", _BOUGHT)} u ON u.v = coalesce(CAST(e.user_id AS VARCHAR), {_mode("user_id", _BOUGHT)})
+LEFT JOIN {_ranks("props", _BOUGHT)} p ON p.v = coalesce(e.props, {_mode("props", _BOUGHT)})"""
+SQL["dictionary_table"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS feature, CAST({c} AS VARCHAR) AS value, count(*) AS n, CAST(row_number() OVER (ORDER BY CAST({c} AS VARCHAR)) - 1 AS INTEGER) AS rank "
+    f"FROM events WHERE {c} IS NOT NULL GROUP BY CAST({c} AS VARCHAR)"
+    for name, c in [("user", "user_id"), ("props", "props"), ("event_type", "event_type")]
+)
+
 SQL["row_parity"] = with_views(
     """SELECT count(l.row_id) AS n_left, count(r.row_id) AS n_right,
               count(*) FILTER (WHERE r.row_id IS NULL) AS only_left,
@@ -899,3 +928,27 @@ SQL["oof_predictions_centroid"] = with_views(
        FROM preds WHERE split = 'val' AND strategy = 'smote'""",
     CENTROID_CTES,
 )
+
+# whole train prepared, the focus cohort grown, the test rows scored once
+SQL["final_smote_cohort_centroid"] = with_views(
+    """SELECT row_id, segment, y_learn AS y_true, y_pred, y_learn <> y_pred AS is_error FROM (
+         SELECT t.*, CASE WHEN (x1 - p1) * (x1 - p1) + (x2 - p2) * (x2 - p2) + (x3 - p3) * (x3 - p3)
+                             < (x1 - n1) * (x1 - n1) + (x2 - n2) * (x2 - n2) + (x3 - n3) * (x3 - n3) THEN 1 ELSE 0 END AS y_pred
+         FROM (SELECT row_id, y_learn, segment, {scaled} FROM (SELECT 0 AS eval_fold, row_id, {raw} FROM test_rows) JOIN ust USING (eval_fold)) t
+         JOIN (SELECT n.m1 AS n1, n.m2 AS n2, n.m3 AS n3, p.m1 AS p1, p.m2 AS p2, p.m3 AS p3 FROM umean n JOIN umean p ON n.y_learn = 0 AND p.y_learn = 1) ON TRUE)
+    """.format(scaled=_SCALED, raw=_RAW),
+    LEARN_SPLIT_CTES.strip()
+    + f""",
+uraw AS (SELECT 0 AS eval_fold, row_id, {_RAW} FROM train_rows),
+umed AS (SELECT median(v3) AS med FROM uraw),
+ust AS (SELECT 0 AS eval_fold, any_value(med) AS med, avg(v1) AS a1, {_STD.format("v1")} AS s1, avg(v2) AS a2, {_STD.format("v2")} AS s2,
+               avg(coalesce(v3, med)) AS a3, {_STD.format("coalesce(v3, med)")} AS s3 FROM uraw, umed),
+uprep AS (SELECT eval_fold, row_id, y_learn, segment, {_SCALED} FROM uraw JOIN ust USING (eval_fold)),
+ucoh AS (SELECT * FROM uprep WHERE segment = 'HOUSEHOLD'),
+"""
+    + _smote_vectors("ucoh", "uc_")
+    + """,
+umean AS (SELECT y_learn, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3
+          FROM (SELECT y_learn, x1, x2, x3 FROM uprep UNION ALL SELECT y_learn, x1, x2, x3 FROM uc_syn) GROUP BY y_learn)
+""",
+)
