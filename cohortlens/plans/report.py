@@ -8,7 +8,7 @@ baseline row use a window over the small table instead of a cross join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.ratios import safe_ratio
@@ -18,9 +18,17 @@ ORDER = ["baseline", "real_data", "smote", "smote_cohort"]  # fixed display orde
 METRICS = ["accuracy", "precision", "recall", "f1"]
 
 
+def _f1(comparison: DataFrame, scope: str) -> Column:
+    """F1 as the counts give it, unrounded; a table without counts is taken at its F1."""
+    tp, fp, fn = (F.col(f"{scope}_{c}") for c in ("tp", "fp", "fn"))
+    if not {f"{scope}_{c}" for c in ("tp", "fp", "fn")} <= set(comparison.columns):
+        return F.col(f"{scope}_f1")
+    return safe_ratio(2 * tp, 2 * tp + fp + fn, None)
+
+
 def rank_strategies(comparison: DataFrame) -> DataFrame:
-    """global_f1 desc, then cohort_f1 desc (then name); rank 1 = recommended."""
-    w = Window.partitionBy(F.lit(0)).orderBy(F.col("global_f1").desc(), F.col("cohort_f1").desc(), "strategy")
+    """global F1 desc, then cohort F1 desc (then name), both unrounded; rank 1 = recommended."""
+    w = Window.partitionBy(F.lit(0)).orderBy(_f1(comparison, "global").desc(), _f1(comparison, "cohort").desc(), "strategy")
     return comparison.withColumn("rank", F.row_number().over(w).cast("int"))
 
 

@@ -82,3 +82,11 @@ def test_counts_add_up(spark, smoke_dir):
 
 def test_metric_columns_names():
     assert [c._jc.toString().split(" AS ")[-1].strip("`") for c in metric_columns("g_")][-1].endswith("g_f1")
+
+
+def test_ranks_follow_unrounded_scores(spark):
+    """Two F1 that round to the same six places: the counts decide, not the name."""
+    cols = "strategy string, " + ", ".join(f"{s}_{c} {t}" for s in ("global", "cohort") for c, t in [("f1", "double"), ("tp", "long"), ("fp", "long"), ("fn", "long")])
+    same = (0.5, 1, 1, 1)
+    comp = spark.createDataFrame([("a", 0.666667, 2_000_000, 1_000_001, 1_000_000, *same), ("b", 0.666667, 2_000_000, 1_000_000, 1_000_000, *same)], cols)
+    assert [r["strategy"] for r in RP.rank_strategies(comp).orderBy("rank").collect()] == ["b", "a"]
