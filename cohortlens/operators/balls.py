@@ -37,6 +37,7 @@ PIVOTS_PER_ROOT = 6.0
 FIRST = 4  # balls a vector meets in round one
 VISITORS = 50_000  # of one part of a ball
 CELLS = 2_000_000  # distances held at once
+VISITS = 8_192  # visits of one piece handed on, each with its vector
 EXAMINED: list | None = None  # tests: set to a list to record the pairs a search has compared
 
 
@@ -89,40 +90,32 @@ def _by_group(batch: pa.RecordBatch, by: list[str], pivots: dict) -> Iterator[tu
             yield np.array(rows[a : a + step]), numbers, vectors
 
 
-def nearest(uniq: DataFrame, by: list[str], k: int, d: int) -> DataFrame:
-    """``uniq`` (by..., _x, _ids) with ``_nn``: the k smallest (distance, id) over all ids of the group, its own included."""
-    spark = uniq.sparkSession
-    rows = uniq.withColumn("_q", F.monotonically_increasing_id()).checkpoint(eager=True)  # row numbers are fixed from here on
-    id_kind = rows.schema["_ids"].dataType.elementType.simpleString()
-    pivots = spark.sparkContext.broadcast(_pivots(rows, by, d))
+def _changes(column: pa.Array) -> np.ndarray:
+    """Whether a row's value differs from the row before; true for the first."""
+    n = len(column)
+    return np.concatenate([[True], pa.compute.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)])[:n]
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = matrix(batch.column("_x"), d)
-            ball, radius, near = np.zeros(len(x), np.int64), np.zeros(len(x)), [None] * len(x)
-            for at, numbers, vectors in _by_group(batch, by, pivots.value):
-                dist = distances(x[at], vectors)
-                own = dist.argmin(1)
-                ball[at], radius[at] = numbers[own], dist[np.arange(len(at)), own]
-                for i, some in zip(at.tolist(), numbers[first_balls(dist)], strict=True):
-                    near[i] = some
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ball), pa.array(radius), pa.array(near, pa.list_(pa.int64()))], [*batch.schema.names, "_ball", "_r", "_near"])
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    members = rows.mapInArrow(assign, f"{types}, _ball bigint, _r double, _near array<bigint>").checkpoint(eager=True)
-    radius = {r["_ball"]: r["r"] for r in members.groupBy("_ball").agg(F.max("_r").alias("r")).collect()}  # one row for each pivot
-    radii = spark.sparkContext.broadcast(radius)
+def compared(members: DataFrame, visitors: DataFrame, k: int, d: int) -> DataFrame:
+    """(_q, distance, id): the k nearest ids for each visitor (block, q, x, bound) among the members (block, x, ids) of its block, within its bound.
+
+    Members of a block come first in a partition, then its visitors stream past them.
+    """
+    id_kind = members.schema["ids"].dataType.elementType.simpleString()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Members of a ball, then its visitors: the k nearest ids of the ball for each visitor, within its bound."""
+        """Members of a block, then its visitors: the k nearest ids of the block for each visitor, within its bound."""
         now, held, ready = None, [], None
         for batch in batches:
-            ball, part, turn = (batch.column(c).to_numpy() for c in ("ball", "part", "turn"))
-            cuts = np.flatnonzero(np.diff(ball, prepend=-1) | np.diff(part, prepend=-1) | np.diff(turn, prepend=-1))
-            for a, b in zip(cuts, [*cuts[1:], len(ball)], strict=True):
+            if not batch.num_rows:
+                continue
+            block = batch.column("block")
+            part, turn = (batch.column(c).to_numpy() for c in ("part", "turn"))
+            cuts = np.flatnonzero(_changes(block) | (np.diff(part, prepend=-1) != 0) | (np.diff(turn, prepend=-1) != 0))
+            for a, b in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
                 some = batch.slice(a, b - a)
-                if (ball[a], part[a]) != now:
-                    now, held, ready = (ball[a], part[a]), [], None
+                if (block[a].as_py(), part[a]) != now:
+                    now, held, ready = (block[a].as_py(), part[a]), [], None
                 x = matrix(some.column("x"), d)
                 if turn[a] == 0:
                     held.append((x, some.column("ids")))
@@ -147,15 +140,49 @@ def nearest(uniq: DataFrame, by: list[str], k: int, d: int) -> DataFrame:
                     r, c = r[keep], c[keep]
                     yield pa.RecordBatch.from_arrays([pa.array(q[i + r]), pa.array(dist[r, c]), ids.take(pa.array(c))], ["_q", "distance", "id"])
 
+    count = visitors.groupBy("block").agg(F.count(F.lit(1)).alias("n")).select("block", F.ceil(F.col("n") / VISITORS).cast("int").alias("parts"))
+    # only blocks of more than one part need a row in the table that is joined
+    count = broadcast_if_small(count.where("parts > 1"))
+    parts = F.coalesce("parts", F.lit(1))
+    home = members.join(count, "block", "left")
+    first = home.select("block", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("turn"), F.lit(0).cast("bigint").alias("q"), "x", "ids", F.lit(0.0).alias("bound"))
+    then = visitors.join(count, "block", "left").select("block", F.pmod(F.xxhash64("q"), parts).cast("int").alias("part"), F.lit(1).alias("turn"), "q", "x", F.lit(None).cast(f"array<{id_kind}>").alias("ids"), "bound")
+    both = first.union(then).repartition("block", "part").sortWithinPartitions("block", "part", "turn")
+    return both.mapInArrow(compare, f"_q bigint, distance double, id {id_kind}")
+
+
+def expand(points: DataFrame, lists: DataFrame, by: list[str], key: str, k: int) -> DataFrame:
+    """(by..., key, nn_rank, neighbour_id, distance) of every point, from the lists ``_nn`` of its vector without its own id."""
+    mine = points.join(lists, [*by, "_x"]).select(*by, key, F.slice(F.filter("_nn", lambda n: n["id"] != F.col(key)), 1, k).alias("_nn"))
+    out = mine.select(*by, key, F.posexplode("_nn").alias("_p", "_c"))
+    return out.select(*by, key, (F.col("_p") + 1).cast("int").alias("nn_rank"), F.col("_c.id").alias("neighbour_id"), F.col("_c.distance").alias("distance"))
+
+
+def nearest(uniq: DataFrame, by: list[str], k: int, d: int) -> DataFrame:
+    """``uniq`` (by..., _x, _ids) with ``_nn``: the k smallest (distance, id) over all ids of the group, its own included."""
+    spark = uniq.sparkSession
+    rows = uniq.withColumn("_q", F.monotonically_increasing_id()).checkpoint(eager=True)  # row numbers are fixed from here on
+    pivots = spark.sparkContext.broadcast(_pivots(rows, by, d))
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = matrix(batch.column("_x"), d)
+            ball, radius, near = np.zeros(len(x), np.int64), np.zeros(len(x)), [None] * len(x)
+            for at, numbers, vectors in _by_group(batch, by, pivots.value):
+                dist = distances(x[at], vectors)
+                own = dist.argmin(1)
+                ball[at], radius[at] = numbers[own], dist[np.arange(len(at)), own]
+                for i, some in zip(at.tolist(), numbers[first_balls(dist)], strict=True):
+                    near[i] = some
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ball), pa.array(radius), pa.array(near, pa.list_(pa.int64()))], [*batch.schema.names, "_ball", "_r", "_near"])
+
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    members = rows.mapInArrow(assign, f"{types}, _ball bigint, _r double, _near array<bigint>").checkpoint(eager=True)
+    radius = {r["_ball"]: r["r"] for r in members.groupBy("_ball").agg(F.max("_r").alias("r")).collect()}  # one row for each pivot
+    radii = spark.sparkContext.broadcast(radius)
+
     def met(visitors: DataFrame) -> DataFrame:
-        """Visitors (ball, q, x, bound) compared with the members of their balls."""
-        count = visitors.groupBy("ball").agg(F.count(F.lit(1)).alias("n")).select("ball", F.ceil(F.col("n") / VISITORS).cast("int").alias("parts"))
-        count = broadcast_if_small(count)
-        home = members.select(F.col("_ball").alias("ball"), F.col("_x").alias("x"), F.col("_ids").alias("ids")).join(count, "ball")
-        first = home.select("ball", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("turn"), F.lit(0).cast("bigint").alias("q"), "x", "ids", F.lit(0.0).alias("bound"))
-        then = visitors.join(count, "ball").select("ball", F.pmod(F.xxhash64("q"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("turn"), "q", "x", F.lit(None).cast(f"array<{id_kind}>").alias("ids"), "bound")
-        both = first.union(then).repartition("ball", "part").sortWithinPartitions("ball", "part", "turn")
-        return both.mapInArrow(compare, f"_q bigint, distance double, id {id_kind}")
+        return compared(members.select(F.col("_ball").alias("block"), F.col("_x").alias("x"), F.col("_ids").alias("ids")), visitors.withColumnRenamed("ball", "block"), k, d)
 
     own = members.select(F.explode("_near").alias("ball"), F.col("_q").alias("q"), F.col("_x").alias("x"), F.lit(float("inf")).alias("bound"))
     near = met(own).checkpoint(eager=True)
@@ -175,7 +202,10 @@ def nearest(uniq: DataFrame, by: list[str], k: int, d: int) -> DataFrame:
                 go = (dist - r - slack <= most) & ((dist - dist.min(1)[:, None]) / 2 - slack <= most)
                 np.put_along_axis(go, first_balls(dist), False, axis=1)  # met in round one
                 i, p = np.nonzero(go)
-                yield pa.RecordBatch.from_arrays([pa.array(numbers[p]), pa.array(q[at[i]]), batch.column("_x").take(pa.array(at[i])), pa.array(np.broadcast_to(most, dist.shape)[i, p])], ["ball", "q", "x", "bound"])
+                del dist, go
+                for a in range(0, len(i), VISITS):  # a visit carries its vector: all of a chunk at once would be CELLS vectors
+                    some, to = i[a : a + VISITS], numbers[p[a : a + VISITS]]
+                    yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(q[at[some]]), batch.column("_x").take(pa.array(at[some])), pa.array(most[some, 0])], ["ball", "q", "x", "bound"])
 
     asked = members.drop("_ids", "_r", "_near").join(bound, "_q").mapInArrow(visit, "ball bigint, q bigint, x array<double>, bound double").checkpoint(eager=True)
     if EXAMINED is not None:
@@ -191,6 +221,4 @@ def nearest(uniq: DataFrame, by: list[str], k: int, d: int) -> DataFrame:
 def knn(points: DataFrame, uniq: DataFrame, by: list[str], key: str, k: int, d: int) -> DataFrame:
     """(by..., key, nn_rank, neighbour_id, distance) of every point of ``points`` (by..., key, _x)."""
     lists = nearest(uniq, by, k + 1, d).drop("_ids").checkpoint(eager=True)
-    mine = points.join(lists, [*by, "_x"]).select(*by, key, F.slice(F.filter("_nn", lambda n: n["id"] != F.col(key)), 1, k).alias("_nn"))
-    out = mine.select(*by, key, F.posexplode("_nn").alias("_p", "_c"))
-    return out.select(*by, key, (F.col("_p") + 1).cast("int").alias("nn_rank"), F.col("_c.id").alias("neighbour_id"), F.col("_c.distance").alias("distance"))
+    return expand(points, lists, by, key, k)

@@ -7,17 +7,18 @@ Vectors with more than three components that vary are searched by pivots
    count and only its k+1 smallest keys (the most any query point can use
    from one vector: k neighbours plus itself).  A hot group of copies
    therefore costs k+1 candidates, not its size.
-2. Distinct vectors are binned on a grid over (up to) the first three
+2. Distinct vectors are binned into blocks of a grid over (up to) the first three
    components that vary (a projected distance is a lower bound of the true one).
-   A query point is joined with the vectors in its own and the
-   adjacent cells (3^g cells), its k best candidates are kept, and the
-   answer is final when the k-th distance is below the cell width: any
-   vector outside the searched block is at least one cell width away.
-3. Points without that certificate go to a coarser level: a point that
-   already has k candidates within distance D jumps straight to the first
-   level whose width exceeds D (its block there holds those k, so the
-   certificate must hold); a point with fewer candidates quadruples the width.
-   At the level where one cell spans the whole range the block holds every
+   A vector is a member of its own block and of every block from which it is at most
+   ``MARGIN`` of a width away, so it moves to one or a few blocks and no pair of
+   vectors is ever a row.  Each vector visits its own block, where a task compares it with the
+   members; its list is final when the last distance is below the margin: any vector
+   outside is at least that far away.  The lists of distinct vectors are joined back to the points.
+3. Vectors without that certificate go to a coarser level: one that
+   already has its candidates within distance D jumps straight to the first
+   level whose margin exceeds D (its block there holds those, so the
+   certificate must hold); one with fewer candidates quadruples the width.
+   At the level where one block spans the whole range it holds every
    vector, so the result is exact by construction.
 4. Dense regions start finer.  A cell holding more than ``dense_cell``
    distinct vectors (a cluster of near copies) is split by halving the
@@ -42,23 +43,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.operators import balls
-from cohortlens.operators.joins import MAX_BROADCAST_BYTES
-from cohortlens.session import shared_dir
+from cohortlens.operators.joins import MAX_BROADCAST_BYTES, broadcast_if_small
+from cohortlens.session import scratch_path, shared_dir
 
 GRID_DIMS = 3
+MARGIN = 0.25  # of the width of a block: vectors so near to it are its members too
 ID_BUCKETS = 1024
 DENSE_FACTOR = 3  # a cell is split above DENSE_FACTOR x the target occupancy
 MAX_REFINE = 30  # halvings of the start width, so that cell numbers stay below 2^62 (where cells start does not touch results)
 TRACE: list | None = None  # tests/diagnostics: set to a list to record (step, levels, resolved, pending)
 
 
-def _sqdist(a: str, b: str, d: int):
-    """Squared distance as a plain sum over the ``d`` components (whole-stage codegen)."""
-    terms = [(F.col(a)[j] - F.col(b)[j]) * (F.col(a)[j] - F.col(b)[j]) for j in range(d)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder as compressed columns and read back: later plans start there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _first_ids(points: DataFrame, by: list[str], key: str, vec: str, keep: int) -> DataFrame:
@@ -93,7 +93,7 @@ def _start_levels(uniq: DataFrame, by: list[str], w0: float, lo: list[float], de
     while True:
         tagged = cur.withColumn("_c", _cell("_x", F.lit(w0 * 2.0**level), lo, dims))
         hot = tagged.groupBy(*by, "_c").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > dense_cell).select(*by, "_c")
-        hot = hot.checkpoint(eager=True)
+        hot = cut(hot, "knn-dense")
         n_hot = hot.count()  # at most (vectors / dense_cell) rows
         if n_hot == 0 or level <= -max_refine:
             if level == 0:
@@ -103,12 +103,12 @@ def _start_levels(uniq: DataFrame, by: list[str], w0: float, lo: list[float], de
         if n_hot * 100 <= MAX_BROADCAST_BYTES:  # bytes of a cell row, at most
             hot = F.broadcast(hot)  # keeps the many rows of a hot cell out of one join partition
         calm.append(tagged.join(hot, [*by, "_c"], "left_anti").select(*by, "_x", F.lit(level).alias("_lvl")))
-        cur = tagged.join(hot, [*by, "_c"], "left_semi").select(*by, "_x").checkpoint(eager=True)
+        cur = cut(tagged.join(hot, [*by, "_c"], "left_semi").select(*by, "_x"), "knn-refined")
         level -= 1
     out = calm[0]
     for c in calm[1:]:
         out = out.unionByName(c)
-    return out.checkpoint(eager=True)
+    return cut(out, "knn-levels")
 
 
 def _mark(label):
@@ -129,7 +129,7 @@ def knn(
     by = list(by or [])
     spark = df.sparkSession
     shared_dir(spark)
-    pts = df.select(*by, key, F.col(vec).cast("array<double>").alias("_x")).persist(StorageLevel.MEMORY_AND_DISK)
+    points = pts = df.select(*by, key, F.col(vec).cast("array<double>").alias("_x")).persist(StorageLevel.MEMORY_AND_DISK)
     out_schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by), f"`{key}` {df.schema[key].dataType.simpleString()}", "nn_rank int", "neighbour_id " + df.schema[key].dataType.simpleString(), "distance double"])
     head = pts.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_x")).alias("d"), F.min(F.size("_x")).alias("d_min")).first()
     if not head["n"] or k <= 0:
@@ -147,7 +147,7 @@ def knn(
     lo = [float(rng[f"lo{j}"]) for j in dims]
     _mark("rng")
     span = [(float(rng[f"hi{j}"]) - x) or 1.0 for j, x in zip(dims, lo)]
-    uniq = _first_ids(pts, by, key, "_x", k + 1).checkpoint(eager=True)
+    uniq = cut(_first_ids(pts, by, key, "_x", k + 1), "knn-distinct")
     _mark("uniq")
     n_uniq = uniq.count()
     if sum(rng[f"hi{j}"] > rng[f"lo{j}"] for j in range(d)) > GRID_DIMS:
@@ -156,86 +156,76 @@ def knn(
         pts.unpersist()
         return out
     if target_per_cell is None:
-        # beyond the grid dims, distances exceed the projected ones: start coarser
-        target_per_cell = float(min(256, 16 * 4 ** max(0, d - g)))
+        target_per_cell = float((32, 128, 256)[g - 1])
     w0 = (math.prod(span) * target_per_cell / max(n_uniq, 1)) ** (1.0 / g)
     w0 = max(min(w0, max(span)), max(span) * 2.0**-30)
     if dense_cell is None:
         dense_cell = int(max(32, DENSE_FACTOR * target_per_cell))
     top = max(span)
-    offsets = F.array(*[F.array(*[F.lit(o) for o in combo]) for combo in _offsets(g)])
-
-    levels = _start_levels(uniq, by, w0, lo, dense_cell, MAX_REFINE, dims)
+    # a vector with a null component is at no distance from any other
+    pts = pts.where(~F.exists("_x", lambda v: v.isNull()))
+    # a key that comes several times fills as many places of its own list
+    copies = pts.groupBy(*by, key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    want = k + copies
+    if copies > 1:
+        uniq = _first_ids(pts, by, key, "_x", want)
+    rows = cut(uniq.where(~F.exists("_x", lambda v: v.isNull())).withColumn("_q", F.monotonically_increasing_id()), "knn-vectors")  # row numbers are fixed from here on
+
+    levels = _start_levels(rows, by, w0, lo, dense_cell, MAX_REFINE, dims)
     _mark("levels")
-    if levels is None:
-        pending = pts.withColumn("_lvl", F.lit(0))
-        start = [0]
-    else:
-        pending = pts.join(levels, [*by, "_x"], "inner")
-        start = sorted(r[0] for r in levels.select("_lvl").distinct().collect())  # <= MAX_REFINE + 1 values
+    pending = rows.select(*by, "_x", "_q", F.lit(0).alias("_lvl")) if levels is None else rows.select(*by, "_x", "_q").join(levels, [*by, "_x"], "inner")
     found: list[DataFrame] = []
-    n_pending = int(head["n"])
+    n_pending = n_rows = rows.count()
     step = 0
-    while True:
-        if len(start) == 1 and step == 0:
-            present = [start[0]]
-        else:
-            present = sorted(r[0] for r in pending.select("_lvl").distinct().collect())
-        lv = F.col("_lvl")
-        grid = uniq.select(*by, F.col("_x").alias("_qx"), "_ids").withColumn("_lvl", F.explode(F.array(*[F.lit(v) for v in present])))
-        grid = grid.withColumn("_cell", _cell("_qx", _width(w0, lv), lo, dims))
-        probe = pending.select(*by, key, "_x", "_lvl").withColumn("_w", _width(w0, lv))
-        probe = probe.withColumn("_home", _cell("_x", F.col("_w"), lo, dims)).withColumn("_off", F.explode(offsets))
-        probe = probe.withColumn("_cell", F.array(*[F.col("_home")[j] + F.col("_off")[j] for j in range(g)]))
-        if n_pending * len(_offsets(g)) * (8 * d + 200) <= MAX_BROADCAST_BYTES:
-            # few points left (exact count known): ship them, do not re-shuffle the grid
-            probe = F.broadcast(probe)
-        pairs = probe.join(grid, [*by, "_lvl", "_cell"], "inner")
-        pairs = pairs.select(*by, key, "_lvl", "_w", F.explode("_ids").alias("neighbour_id"), F.sqrt(_sqdist("_x", "_qx", d)).alias("distance"))
-        pairs = pairs.where(F.col("neighbour_id") != F.col(key))
-        # at most k candidates of a point survive each task (group limit), then k in all
-        w_near = Window.partitionBy(*by, key).orderBy("distance", "neighbour_id")
-        near = pairs.withColumn("_r", F.row_number().over(w_near)).where(F.col("_r") <= k)
-        per = near.groupBy(*by, key).agg(
-            F.first("_lvl").alias("_lvl"), F.first("_w").alias("_w"), F.sort_array(F.collect_list(F.struct("distance", "neighbour_id"))).alias("_nn")
-        )
-        per = per.withColumn("_cnt", F.size("_nn")).withColumn("_kth", F.col("_nn")[F.col("_cnt") - 1]["distance"])
-        final = F.col("_w") > F.lit(top)
-        ok = final | ((F.col("_cnt") == k) & (F.col("_kth") < F.col("_w")))
-        # reliable checkpoint: cuts the plan, which would otherwise double per level
-        per = per.withColumn("_ok", ok).checkpoint(eager=True)
+    while n_pending:
+        present = sorted(r[0] for r in pending.select("_lvl").distinct().collect())  # <= MAX_REFINE + 1 values at the start
+        visitors = pending.withColumn("_w", _width(w0, F.col("_lvl"))).withColumn("_cell", _cell("_x", F.col("_w"), lo, dims))
+        visitors = visitors.select(_block(by).alias("block"), F.col("_q").alias("q"), F.col("_x").alias("x"), F.lit(float("inf")).alias("bound"))
+        members = rows.withColumn("_lvl", F.explode(F.array(*[F.lit(v) for v in present]))).withColumn("_w", _width(w0, F.col("_lvl")))
+        for i, (j, x) in enumerate(zip(dims, lo)):
+            at = lambda side: F.floor((F.col("_x")[j] - F.lit(x) + F.lit(side * MARGIN) * F.col("_w")) / F.col("_w")).cast("long")  # noqa: B023, E731
+            members = members.withColumn(f"_c{i}", F.explode(F.sequence(at(-1), at(1))))
+        members = members.withColumn("_cell", F.array(*[F.col(f"_c{i}") for i in range(g)]))
+        members = members.select(_block(by).alias("block"), F.col("_x").alias("x"), F.col("_ids").alias("ids"))
+        if len(present) > 1 or n_pending < n_rows:  # blocks without visitors stay where they are
+            members = members.join(broadcast_if_small(visitors.select("block").distinct()), "block", "left_semi")
+        near = balls.compared(members, visitors, want, d)
+        lists = near.groupBy("_q").agg(F.sort_array(F.collect_list(F.struct("distance", "id"))).alias("_nn"))
+        per = lists.join(pending.select("_q", "_lvl"), "_q").withColumn("_cnt", F.size("_nn")).withColumn("_kth", F.col("_nn")[F.col("_cnt") - 1]["distance"])
+        reach = _width(w0, F.col("_lvl")) * F.lit(MARGIN * (1 - 1e-9))  # all vectors so near are members of the block
+        ok = (_width(w0, F.col("_lvl")) > F.lit(top)) | ((F.col("_cnt") == want) & (F.col("_kth") < reach))
+        per = cut(per.withColumn("_ok", ok), "knn-lists")
         _mark("per")
-        found.append(
-            per.where("_ok").select(*by, key, F.posexplode("_nn").alias("_p", "_c")).select(
-                *by, key, (F.col("_p") + 1).cast("int").alias("nn_rank"), F.col("_c.neighbour_id").alias("neighbour_id"), F.col("_c.distance").alias("distance")
-            )
-        )
-        # points with no candidate at all are absent from ``per``: count by difference
+        found.append(per.where("_ok").select("_q", "_nn"))
         n_ok = per.where("_ok").count()
         if TRACE is not None:
             TRACE.append((step, present, n_ok, n_pending - n_ok))
         if n_ok == n_pending:
             break
-        # k candidates within _kth: the first level wider than _kth certifies them
-        jump = F.floor(F.log2(F.col("_kth") / F.lit(w0))).cast("int") + 1
-        # fewer than k candidates: the block is sparse, quadruple the width
-        nxt_lvl = F.when((F.col("_cnt") == k) & (F.col("_kth") > 0), F.greatest(F.col("_lvl") + 1, jump)).otherwise(F.col("_lvl") + 2)
-        moves = per.where(~F.col("_ok")).select(*by, key, nxt_lvl.alias("_next"))
-        nxt = pending.join(per.where("_ok").select(*by, key), [*by, key], "left_anti").join(moves, [*by, key], "left")
-        nxt = nxt.withColumn("_lvl", F.coalesce(F.col("_next"), F.col("_lvl") + 2)).drop("_next")
-        pending = nxt.checkpoint(eager=True)
+        # enough candidates within _kth: the first level whose margin is wider certifies them
+        jump = F.floor(F.log2(F.col("_kth") / F.lit(w0 * MARGIN))).cast("int") + 1
+        # fewer candidates: the block is sparse, quadruple the width
+        nxt_lvl = F.when((F.col("_cnt") == want) & (F.col("_kth") > 0), F.greatest(F.col("_lvl") + 1, jump)).otherwise(F.col("_lvl") + 2)
+        moves = per.where(~F.col("_ok")).select("_q", nxt_lvl.alias("_lvl"))
+        pending = cut(pending.drop("_lvl").join(moves, "_q"), "knn-pending")
         n_pending -= n_ok
         step += 1
     _mark("loop")
-    pts.unpersist()
-    result = found[0]
+    if not found:
+        return spark.createDataFrame([], out_schema)
+    lists = found[0]
     for f in found[1:]:
-        result = result.unionByName(f)
-    return result.select(*by, key, "nn_rank", "neighbour_id", "distance")
+        lists = lists.unionByName(f)
+    out = balls.expand(pts, rows.select(*by, "_x", "_q").join(lists, "_q").drop("_q"), by, key, k)
+    if copies > 1:  # rows of one key share one list
+        nearest = Window.partitionBy(*by, key).orderBy("distance", "neighbour_id")
+        out = out.withColumn("nn_rank", F.row_number().over(nearest)).where(F.col("nn_rank") <= k)
+    out = cut(out, "knn")
+    points.unpersist()
+    return out
 
 
-def _offsets(g: int):
-    combos = [[]]
-    for _ in range(g):
-        combos = [c + [o] for c in combos for o in (-1, 0, 1)]
-    return combos
+def _block(by: list[str]) -> Column:
+    """Name of the block of a row (by..., _lvl, _cell)."""
+    group = [F.to_json(F.struct(*by))] if by else []
+    return F.concat_ws("|", *group, F.col("_lvl").cast("string"), F.concat_ws(",", F.col("_cell").cast("array<string>")))
