@@ -62,9 +62,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left, and the text they decode to."""
-    path = f"{TOKENIZERS}/word_bpe_49k.json"
-    return bpe.decode(bpe.encode(docs, path), path)
+    """Token ids of every document that is left, and the text they decode to, in one worker a task: two maps need twice the memory."""
+    return bpe.round_trip(docs, f"{TOKENIZERS}/word_bpe_49k.json")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -84,3 +84,15 @@ def test_scores_learn_from_no_held_out_row(spark, folder):
     flipped = labels.selectExpr("doc_id", "quality", "IF(crc32(CAST(doc_id AS STRING)) % 3 = 1, 1 - toxic, toxic) AS toxic")
     a, b = (toxicity.fit(docs, x.filter(~toxicity.held_out())) for x in (labels, flipped))
     assert a["toxic"] == b["toxic"] and (a["w"] == b["w"]).all()
+
+
+def test_encoding_is_one_map(spark, folder):
+    """Two Python maps of one stage are two workers in every task, each with the vocabulary."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = corpus_pipeline.encoding(spark, docs, folder)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    path = f"{corpus_pipeline.TOKENIZERS}/word_bpe_49k.json"
+    apart = bpe.decode(bpe.encode(docs, path), path)
+    assert out.columns == apart.columns
+    plain = lambda df: sorted(map(str, df.collect()))
+    assert plain(out) == plain(apart)
