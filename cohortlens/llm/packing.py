@@ -25,6 +25,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from cohortlens.llm.common import slices, text_rows, worker_cache
 
@@ -65,6 +67,9 @@ class Words:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        # ASCII words that are lower-cased and cut already need the vocabulary's merges alone
+        self.merges = Tokenizer(self.library.model)
+        self.merges.pre_tokenizer = WhitespaceSplit()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec["added_tokens"]]
@@ -101,9 +106,15 @@ class Words:
                 new.append(word)
             else:
                 self.newer[word] = ids
-        single = [w for w in new if self.plain(w) and self.words(w) == [w]]
-        for at in range(0, len(single), BATCH_WORDS):
-            self.learn_singles(single[at : at + BATCH_WORDS])
+        simple, single = [], []
+        for w in new:
+            if w.isascii() and w == w.lower() and (w.isalpha() or self.alone(w)):
+                simple.append(w)
+            elif self.alone(w):
+                single.append(w)
+        for encoder, words in ((self.merges, simple), (self.library, single)):
+            for at in range(0, len(words), BATCH_WORDS):
+                self.learn_singles(encoder, words[at : at + BATCH_WORDS])
         rest = [w for w in new if w not in self.newer]
         for at in range(0, len(rest), BATCH_WORDS):
             some = rest[at : at + BATCH_WORDS]
@@ -111,9 +122,28 @@ class Words:
                 self.newer[word] = array("I", e.ids).tobytes()
         return self.newer
 
-    def learn_singles(self, words: list[str]) -> None:
+    def ids(self, bodies: list[list[str]]) -> list[np.ndarray]:
+        """Ids of each list of words: every distinct word is looked up once, its tokens are copied by its number."""
+        words = pa.array(list(chain.from_iterable(bodies)), pa.string()).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        known = self.learn(set(distinct))
+        packed = [known[w] for w in distinct]
+        tokens = np.frombuffer(b"".join(packed), "<u4")
+        size = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        number = words.indices.to_numpy()
+        n = size[number]
+        ends = np.cumsum(n)
+        out = tokens[np.repeat((np.cumsum(size) - size)[number] - (ends - n), n) + np.arange(n.sum())]
+        last = np.cumsum([len(body) for body in bodies], dtype=np.int64)
+        return np.split(out, np.concatenate([[0], ends])[last[:-1]])
+
+    def alone(self, word: str) -> bool:
+        """Whether the file's pattern leaves the word whole."""
+        return self.plain(word) is not None and self.words(word) == [word]
+
+    def learn_singles(self, encoder: Tokenizer, words: list[str]) -> None:
         """Encode single words as one text; its tokens are cut after those that end a word."""
-        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(encoder.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
         if len(ends) == len(words) and ends[-1] == len(ids):
             packed, begin = ids.tobytes(), 0
@@ -216,9 +246,7 @@ def pack(docs: DataFrame, path: str, length: int = 2048, pad: int = 0, doc_id: s
         for batch in slices(batches, 1):
             of = batch.schema.field(0).type
             bodies = [vocabulary.cut(body) for _, body in text_rows(batch, 1)]
-            known = vocabulary.learn(set().union(*bodies))
-            for owner, body in zip(batch.column(0), bodies, strict=True):
-                x = np.frombuffer(b"".join(map(known.__getitem__, body)), "<u4")
+            for owner, x in zip(batch.column(0), vocabulary.ids(bodies), strict=True):
                 if len(x):
                     ids.append(x)
                     owners.append(owner.as_py())

@@ -51,3 +51,19 @@ def test_id_types(spark, kind, ids):
     assert sorted(map(str, {d for r in rows for d in r["doc_ids"]})) == sorted(map(str, set(ids)))
     assert sum(r["n_tokens"] for r in rows) == sum(len(whole(t)) for t in ("some words " * 30, "others", "more"))
     assert dict(packing.pack(docs, WORD_BPE).dtypes)["doc_ids"] == f"array<{kind}>"
+
+
+def test_plain_words_need_the_merges_alone():
+    """Normalising and cutting again words that are lower-cased and cut costs a third of their encoding."""
+    fresh = packing.Words(WORD_BPE)
+    asked = []
+
+    class Library:
+        def encode_batch_fast(self, texts, **how):
+            asked.extend(texts)
+            return LIBRARY.encode_batch_fast(texts, **how)
+
+    fresh.library = Library()
+    text = "Some words, don't stop: (caf\u00e9) 3rd! {x} a_b <|ab|> Na\u00efve ++"
+    assert by_words(text, fresh) == whole(text)
+    assert sorted(" ".join(asked).split()) == ["caf\u00e9", "na\u00efve"]
