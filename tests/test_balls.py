@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from cohortlens.operators import balls
@@ -64,3 +65,28 @@ def test_string_keys_and_one_cluster(spark):
     df = spark.createDataFrame(points, "row_id string, x array<double>, g string").repartition(3)
     got = {("g", x.row_id, x.nn_rank): (x.neighbour_id, x.distance) for x in KN.knn(df, 3).collect()}
     assert got == brute(points, 3)
+
+
+def test_within_keeps_what_plain_distances_give():
+    """Few pairs are compared component by component; all were before."""
+    r = np.random.default_rng(5)
+    x, y = r.normal(size=(300, 13)) + 50, r.normal(size=(400, 13)) + 50
+    y[:40] = x[:40]  # distances of 0 and equal distances
+    y[40:80] = x[:40]
+    plain = balls.distances(x, y)
+    for limit in (np.full(300, np.inf), np.sort(plain, axis=1)[:, 7]):
+        a, b, dist = balls.within(x, y, limit, 6)
+        assert (dist == plain[a, b]).all() and (dist <= limit[a]).all()
+        assert len(a) < plain.size / 20
+        for i in range(300):
+            want = np.sort(plain[i][plain[i] <= min(limit[i], np.sort(plain[i])[5])])
+            assert (np.sort(dist[a == i])[: len(want)] == want).all()
+    x[0, 0] = np.inf
+    a, b, dist = balls.within(x, y, np.full(300, np.inf), 6)
+    assert (dist[a == 0] == np.inf).sum() == 400
+
+
+def test_first_balls_of_equal_distances():
+    r = np.random.default_rng(6)
+    for dist in (r.random((200, 50)), r.integers(0, 4, (200, 50)).astype(float), r.random((20, 3)), np.full((3, 9), np.nan)):
+        assert (balls.first_balls(dist) == np.argsort(dist, axis=1, kind="stable")[:, : balls.FIRST]).all()
