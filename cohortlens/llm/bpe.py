@@ -37,7 +37,10 @@ from tokenizers import Tokenizer
 from cohortlens.llm.common import slices, text_rows, worker_cache
 
 #: Pieces and words a worker remembers before it starts afresh (memory bound, no effect on results).
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+
+#: New pieces that are split and encoded at once: what that takes is dropped before the next ones.
+AT_ONCE = 20_000
 
 #: Text whose distinct words share one trie.
 TRIE_BYTES = 8_000_000
@@ -227,7 +230,7 @@ class WordBpe:
         return out
 
     def learn(self, pieces: set[bytes]) -> None:
-        """Encode the pieces not met before, all in one trie."""
+        """Encode the pieces not met before, neighbours in sorted order in one trie."""
         new = pieces.difference(self.pieces)
         if len(self.pieces) + len(new) > REMEMBERED:
             self.pieces.clear()
@@ -235,13 +238,18 @@ class WordBpe:
             new = pieces
         collecting = gc.isenabled()
         gc.disable()  # the many small lists below hold no cycles
+        todo = sorted(new)
+        for at in range(0, len(todo), AT_ONCE):
+            self.learn_some(todo[at : at + AT_ONCE])
+        if collecting:
+            gc.enable()
+
+    def learn_some(self, new: list[bytes]) -> None:
         parts = {p: self.split(p) for p in new}
         words = self.encode_words({w for x in parts.values() for w in x if isinstance(w, str)})
         packed = {w: array("I", ids).tobytes() for w, ids in words.items()}
         for p, x in parts.items():
             self.pieces[p] = b"".join(packed[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in x)
-        if collecting:
-            gc.enable()
 
     def decode(self, ids: bytes) -> str:
         names = self.names
@@ -291,7 +299,7 @@ def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
-        for batch in slices(batches, 1, TRIE_BYTES // 2):
+        for batch in slices(batches, 1, TRIE_BYTES // 4):
             bodies = [body.encode() for _, body in text_rows(batch, 1)]
             bpe.learn(set().union(*(body.split() for body in bodies)))
             ids = [b"".join(map(bpe.pieces.__getitem__, body.split())) for body in bodies]

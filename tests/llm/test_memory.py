@@ -1,8 +1,23 @@
 """What the long-running workers hold at once, and how much of an index a search reads."""
 
+import tracemalloc
+
 import numpy as np
 
-from cohortlens.llm import topk
+from cohortlens.llm import bpe, topk
+from cohortlens.llm.queries import TOKENIZERS
+
+
+def test_learning_many_pieces_drops_its_intermediates():
+    vocabulary = bpe.WordBpe(f"{TOKENIZERS}/word_bpe_49k.json")
+    vocabulary.learn({b"warm", b"up"})
+    pieces = {b"%s%d." % (w, i) for i in range(25_000) for w in (b"alpha", b"beta", b"gamma")}
+    tracemalloc.start()
+    vocabulary.learn(pieces)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(vocabulary.pieces) == len(pieces) + 2
+    assert peak - held < 12e6
 
 
 def test_long_queries_read_whole_lists(monkeypatch):
