@@ -7,7 +7,9 @@ predecessor up to their common prefix.  A depth-first walk carries, for every
 prefix, the last token of its encoding.  The last token of a longer prefix is
 the one vocabulary suffix whose pairing with the last token before it is itself
 a valid encoding of the two, so a prefix shared by many words is encoded once,
-and a word's ids are read back along these last tokens.
+and a word's ids are read back along these last tokens.  Which vocabulary suffixes
+a prefix has is kept along the same path: the longest suffix that begins some
+token leads to the next one letter by letter.
 
 Defined results: null and empty text have no ids and decode to the empty text;
 special tokens written out in a text become their own ids; repeated rows are
@@ -47,6 +49,12 @@ TRIE_BYTES = 8_000_000
 
 END = "</w>"
 
+#: Steps between token beginnings that are remembered (memory bound, no effect on results).
+STEPS = 200_000
+
+#: Pairs of tokens whose border is remembered at once (memory bound, no effect on results).
+PAIRS = 250_000
+
 #: Letters below this one are classed alike by all Unicode versions.
 LATIN_END = "\u0250"
 
@@ -80,16 +88,18 @@ class WordBpe:
         self.length = [len(s) for s in self.names]
         for s, i in self.final.items():
             self.length[i] = len(s)
-        self.sizes = self.by_tail(self.inner), self.by_tail(self.final)
+        self.final_sizes = self.by_tail(self.final)
         self.begin = len(self.names)  # stands before the first token of a word
         self.library = Tokenizer.from_file(path)
         self.letters = dict(enumerate(byte_letters()))
         self.parts = {token: (a, b, rank) for (a, b), (rank, token) in self.ranks.items()}
         self.rights: dict[int, list] = {}
         self.lefts: dict[int, list] = {}
-        self.pairs: dict[int, bool] = {}
+        self.pairs = [{} for _ in self.names]  # by token: whether it may follow the key
+        self.more_pairs = PAIRS
         self.whole: dict[int, bool] = {}
         self.pieces: dict[bytes, bytes] = {}
+        self.link_beginnings()
 
     @staticmethod
     def by_tail(tokens: Iterable[str]) -> dict[str, list[int]]:
@@ -102,6 +112,49 @@ class WordBpe:
                 sizes[s] |= sizes.get(s[1], set())
         return {s: sorted(x, reverse=True) for s, x in sizes.items()}
 
+    def link_beginnings(self) -> None:
+        """The tree of all beginnings of inner tokens, each with its longest proper suffix in the tree.
+
+        ``ends[node]`` has (size, token, its pairs) of the tokens that the node's
+        letters end in, longest first.
+        """
+        self.steps: list[dict[str, int]] = [{}]
+        self.shorter, self.ends, self.more_steps = [0], [()], STEPS
+        steps, shorter, ends = self.steps, self.shorter, self.ends
+        level = [(0, s) for s in self.inner if s]
+        size = 0
+        while level:  # all nodes of one depth after those of less
+            size += 1
+            below = []
+            for up, s in level:
+                c = s[size - 1]
+                node = steps[up].get(c)
+                if node is None:
+                    node = steps[up][c] = len(steps)
+                    steps.append({})
+                    back = shorter[up]
+                    while up and back and c not in steps[back]:
+                        back = shorter[back]
+                    shorter.append(steps[back].get(c, 0) if up else 0)
+                    ends.append(ends[shorter[node]])
+                if len(s) == size:
+                    token = self.inner[s]
+                    ends[node] = ((size, token, self.pairs[token]), *ends[node])
+                else:
+                    below.append((node, s))
+            level = below
+
+    def step(self, node: int, letter: str) -> int:
+        """The longest beginning of a token that ``node`` and one more letter end in."""
+        at = node
+        while at and letter not in self.steps[at]:
+            at = self.shorter[at]
+        to = self.steps[at].get(letter, 0)
+        if self.more_steps > 0:
+            self.steps[node][letter] = to
+            self.more_steps -= 1
+        return to
+
     def symbols(self, token: int) -> list[int]:
         s = self.names[token]
         if self.final.get(s[: -len(END)]) == token and s.endswith(END):
@@ -159,7 +212,12 @@ class WordBpe:
     def fits(self, before: int, token: int) -> bool:
         """Whether ``token`` may follow ``before`` (or begin a word); remembered."""
         ok = self.alone(token) if before == self.begin else self.together(before, token)
-        self.pairs[before << 32 | token] = ok
+        if self.more_pairs == 0:
+            self.more_pairs = PAIRS
+            for known in self.pairs:
+                known.clear()
+        self.more_pairs -= 1
+        self.pairs[token][before] = ok
         return ok
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
@@ -169,28 +227,32 @@ class WordBpe:
         of them that fits behind the last token of what comes before it.
         """
         out: dict[str, list[int]] = {}
-        last, before = [self.begin], ""
+        last, path, before = [self.begin], [0], ""  # path: the node of each prefix
         length, none = self.length, -1
-        inner_sizes, final_sizes = self.sizes[0].get, self.sizes[1].get
-        inner, final, pairs, fits = self.inner.get, self.final.get, self.pairs.get, self.fits
+        steps, ends, step, fits, pairs = self.steps, self.ends, self.step, self.fits, self.pairs
+        final, final_sizes = self.final.get, self.final_sizes.get
         for word in sorted(words):
             n = len(word)
             # the path shared with the word before (its last letter is not on it: it ends differently)
             i, most = 0, min(len(before), n) - 1
             while i < most and before[i] == word[i]:
                 i += 1
-            del last[i + 1 :]
-            for i in range(i + 1, n):
-                found = none
-                for size in inner_sizes(word[max(0, i - 2) : i]) or (1,):
-                    at = i - size
-                    t = inner(word[at:i]) if at >= 0 else None
-                    if t is not None:
-                        p = last[at]
-                        if p >= 0 and (pairs(p << 32 | t) or (pairs(p << 32 | t) is None and fits(p, t))):
-                            found = t
+            del last[i + 1 :], path[i + 1 :]
+            node = path[i]
+            for letter in word[i:-1]:
+                i += 1
+                to = steps[node].get(letter)
+                node = step(node, letter) if to is None else to
+                path.append(node)
+                for size, t, ok in ends[node]:
+                    p = last[i - size]
+                    if p >= 0:
+                        fit = ok.get(p)
+                        if fit or (fit is None and fits(p, t)):
+                            last.append(t)
                             break
-                last.append(found)
+                else:
+                    last.append(none)
             before = word
             end, at = none, 0
             for size in final_sizes(word[-2:]) or (1,):
@@ -198,9 +260,11 @@ class WordBpe:
                 t = final(word[at:]) if at >= 0 else None
                 if t is not None:
                     p = last[at]
-                    if p >= 0 and (pairs(p << 32 | t) or (pairs(p << 32 | t) is None and fits(p, t))):
-                        end = t
-                        break
+                    if p >= 0:
+                        fit = pairs[t].get(p)
+                        if fit or (fit is None and fits(p, t)):
+                            end = t
+                            break
             ids = [end]
             while at > 0 and last[at] >= 0:
                 ids.append(last[at])
@@ -233,9 +297,9 @@ class WordBpe:
         """Encode the pieces not met before, neighbours in sorted order in one trie."""
         new = pieces.difference(self.pieces)
         if len(self.pieces) + len(new) > REMEMBERED:
-            self.pieces.clear()
-            self.pairs.clear()
-            new = pieces
+            # what this text uses stays: most of it is used again
+            self.pieces = {p: self.pieces[p] for p in pieces - new} if len(pieces) <= REMEMBERED else {}
+            new = pieces.difference(self.pieces)
         collecting = gc.isenabled()
         gc.disable()  # the many small lists below hold no cycles
         todo = sorted(new)
@@ -245,11 +309,12 @@ class WordBpe:
             gc.enable()
 
     def learn_some(self, new: list[bytes]) -> None:
-        parts = {p: self.split(p) for p in new}
-        words = self.encode_words({w for x in parts.values() for w in x if isinstance(w, str)})
-        packed = {w: array("I", ids).tobytes() for w, ids in words.items()}
-        for p, x in parts.items():
-            self.pieces[p] = b"".join(packed[w] if isinstance(w, str) else array("I", [w]).tobytes() for w in x)
+        parts = [self.split(p) for p in new]
+        words = set().union(*parts)
+        special = {w for w in words if isinstance(w, int)}
+        packed = {w: array("I", ids).tobytes() for w, ids in self.encode_words(words - special).items()}
+        packed |= {w: array("I", [w]).tobytes() for w in special}
+        self.pieces.update((p, packed[x[0]] if len(x) == 1 else b"".join([packed[w] for w in x])) for p, x in zip(new, parts, strict=True))
 
     def decode(self, ids: bytes) -> str:
         names = self.names
