@@ -13,9 +13,10 @@
    where neither exceeds its bound.  All components enter these distances, so
    the index does not weaken as components are added to a grid of a few.
 
-Members of a ball come first in a partition, then its visitors stream past them
-in blocks.  A ball with many visitors is dealt to several parts, each with the
-members, so no task depends on the size of a group.  Distances are plain sums
+Neighbouring balls form blocks of bounded size, and a vector is sent to a block once,
+with the list of balls it meets there.  Members of a block come first in a partition,
+then its visitors stream past them.  A block with many visitors is dealt to several
+parts, each with the members, so no task depends on the size of a group.  Distances are plain sums
 over the components in order, the same in any engine.
 """
 
@@ -38,6 +39,7 @@ FIRST = 4  # balls a vector meets in round one
 VISITORS = 50_000  # of one part of a ball
 CELLS = 2_000_000  # distances held at once
 VISITS = 8_192  # visits of one piece handed on, each with its vector
+BLOCK_MEMBERS = 8_192  # of the balls in one block: a vector is sent to a block once, whatever balls it meets there
 EXAMINED: list | None = None  # tests: set to a list to record the pairs a search has compared
 
 
@@ -135,11 +137,45 @@ def _changes(column: pa.Array) -> np.ndarray:
     return np.concatenate([[True], pa.compute.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)])[:n]
 
 
+def _within_balls(x: np.ndarray, vectors: np.ndarray, limit: np.ndarray, k: int, ball: np.ndarray, asked: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``within`` of each row of ``x`` and the vectors of the balls it asks for."""
+    number = asked.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(x)), pa.compute.list_value_length(asked).to_numpy(zero_copy_only=False))
+    turn, place = np.argsort(ball, kind="stable"), np.argsort(number, kind="stable")
+    number, row, own = number[place], row[place], ball[turn]
+    starts = np.flatnonzero(np.diff(number, prepend=-1))
+    found = []
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(number)], strict=True):
+        some, rows = turn[slice(*np.searchsorted(own, (number[a], number[a] + 1)))], row[a:b]
+        r, c, dist = within(x[rows], vectors[some], limit[rows], k)
+        found.append((rows[r], some[c], dist))
+    return tuple(np.concatenate([f[j] for f in found]) for j in range(3)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+
+def _blocks(pivots: dict, count: dict[int, int]) -> dict[int, int]:
+    """Block of each ball: balls whose pivots are near one another, with about ``BLOCK_MEMBERS`` members in all."""
+    out: dict[int, int] = {}
+    block = 0
+    for numbers, vectors in pivots.values():
+        size = np.array([count.get(p, 0) for p in numbers.tolist()])
+        heads = vectors[: max(1, -(-int(size.sum()) // BLOCK_MEMBERS))]
+        near = np.concatenate([distances(vectors[a : a + 1024], heads).argmin(1) for a in range(0, len(vectors), 1024)])
+        held = 0
+        for i in np.argsort(near, kind="stable").tolist():
+            if held and held + size[i] > BLOCK_MEMBERS:
+                block, held = block + 1, 0
+            out[int(numbers[i])], held = block, held + int(size[i])
+        block += 1
+    return out
+
+
 def compared(members: DataFrame, visitors: DataFrame, k: int, d: int) -> DataFrame:
     """(_q, distance, id): the k nearest ids for each visitor (block, q, x, bound) among the members (block, x, ids) of its block, within its bound.
 
     Members of a block come first in a partition, then its visitors stream past them.
+    If members have a ``ball``, visitors list the ``balls`` of the block that they meet.
     """
+    balls = "ball" in members.columns
     id_kind = members.schema["ids"].dataType.elementType.simpleString()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,20 +193,24 @@ def compared(members: DataFrame, visitors: DataFrame, k: int, d: int) -> DataFra
                     now, held, ready = (block[a].as_py(), part[a]), [], None
                 x = matrix(some.column("x"), d)
                 if turn[a] == 0:
-                    held.append((x, some.column("ids")))
+                    held.append((x, some.column("ids"), some.column("ball").to_numpy() if balls else None))
                     continue
                 if ready is None:
-                    ids = pa.concat_arrays([i.flatten() for _, i in held])
-                    owner = np.repeat(np.arange(sum(len(m) for m, _ in held)), np.concatenate([pa.compute.list_value_length(i).to_numpy() for _, i in held]))
+                    ids = pa.concat_arrays([i.flatten() for _, i, _ in held])
+                    owner = np.repeat(np.arange(sum(len(m) for m, _, _ in held)), np.concatenate([pa.compute.list_value_length(i).to_numpy() for _, i, _ in held]))
                     _, order = np.unique(np.array(ids.to_pylist()), return_inverse=True)
-                    ready = np.concatenate([m for m, _ in held]), ids, owner, order
-                vectors, ids, owner, order = ready
+                    ready = np.concatenate([m for m, _, _ in held]), ids, owner, order, np.concatenate([m for _, _, m in held]) if balls else None
+                    held = []
+                vectors, ids, owner, order, ball = ready
                 q, bound = some.column("q").to_numpy(), some.column("bound").to_numpy()
                 step = max(1, CELLS // len(vectors))
                 sizes = np.bincount(owner, minlength=len(vectors))
                 first_id = np.cumsum(sizes) - sizes
                 for i in range(0, len(x), step):
-                    r, v, dist = within(x[i : i + step], vectors, bound[i : i + step], k)
+                    if balls:
+                        r, v, dist = _within_balls(x[i : i + step], vectors, bound[i : i + step], k, ball, some.column("balls").slice(i, step))
+                    else:
+                        r, v, dist = within(x[i : i + step], vectors, bound[i : i + step], k)
                     n = sizes[v]  # every id of a near vector
                     c = np.repeat(first_id[v] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                     r, dist = np.repeat(r, n), np.repeat(dist, n)
@@ -185,8 +225,10 @@ def compared(members: DataFrame, visitors: DataFrame, k: int, d: int) -> DataFra
     count = broadcast_if_small(count.where("parts > 1"))
     parts = F.coalesce("parts", F.lit(1))
     home = members.join(count, "block", "left")
-    first = home.select("block", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("turn"), F.lit(0).cast("bigint").alias("q"), "x", "ids", F.lit(0.0).alias("bound"))
-    then = visitors.join(count, "block", "left").select("block", F.pmod(F.xxhash64("q"), parts).cast("int").alias("part"), F.lit(1).alias("turn"), "q", "x", F.lit(None).cast(f"array<{id_kind}>").alias("ids"), "bound")
+    asks = [F.lit(None).cast("bigint").alias("ball"), "balls"] if balls else []
+    is_in = ["ball", F.lit(None).cast("array<bigint>").alias("balls")] if balls else []
+    first = home.select("block", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("turn"), F.lit(0).cast("bigint").alias("q"), "x", "ids", F.lit(0.0).alias("bound"), *is_in)
+    then = visitors.join(count, "block", "left").select("block", F.pmod(F.xxhash64("q"), parts).cast("int").alias("part"), F.lit(1).alias("turn"), "q", "x", F.lit(None).cast(f"array<{id_kind}>").alias("ids"), "bound", *asks)
     both = first.union(then).repartition("block", "part").sortWithinPartitions("block", "part", "turn")
     return both.mapInArrow(compare, f"_q bigint, distance double, id {id_kind}")
 
@@ -218,13 +260,45 @@ def nearest(uniq: DataFrame, by: list[str], k: int, d: int) -> DataFrame:
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     members = rows.mapInArrow(assign, f"{types}, _ball bigint, _r double, _near array<bigint>").checkpoint(eager=True)
-    radius = {r["_ball"]: r["r"] for r in members.groupBy("_ball").agg(F.max("_r").alias("r")).collect()}  # one row for each pivot
-    radii = spark.sparkContext.broadcast(radius)
+    per_ball = members.groupBy("_ball").agg(F.max("_r").alias("r"), F.count(F.lit(1)).alias("n")).collect()  # one row for each pivot
+    radii = spark.sparkContext.broadcast({r["_ball"]: r["r"] for r in per_ball})
+    block_of = spark.sparkContext.broadcast(_blocks(pivots.value, {r["_ball"]: r["n"] for r in per_ball}))
+
+    def visits(rows: np.ndarray, numbers: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+        """(rows, blocks, balls): the balls ``numbers`` that rows meet, one visit for each block of a row."""
+        block = np.array([block_of.value[p] for p in numbers.tolist()], np.int64)
+        order = np.lexsort((numbers, block, rows))
+        rows, block, numbers = rows[order], block[order], numbers[order]
+        starts = np.flatnonzero((np.diff(rows, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+        ends = np.append(starts[1:], len(rows))
+        for a in range(0, len(starts), VISITS):  # a visit carries its vector: all of a chunk at once would be CELLS vectors
+            some = slice(a, a + VISITS)
+            offsets = np.append(starts[some], ends[some][-1])
+            yield rows[starts[some]], block[starts[some]], pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), pa.array(numbers[offsets[0] : offsets[-1]]))
+
+    def called(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Round one: every vector meets the balls of its nearest pivots."""
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            near = batch.column("_near")
+            rows = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(near).to_numpy(zero_copy_only=False))
+            for at, block, asked in visits(rows, near.flatten().to_numpy(zero_copy_only=False)):
+                yield pa.RecordBatch.from_arrays([pa.array(block), batch.column("_q").take(pa.array(at)), batch.column("_x").take(pa.array(at)), pa.array(np.full(len(at), np.inf)), asked], ["block", "q", "x", "bound", "balls"])
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ball = batch.column("_ball")
+            yield pa.RecordBatch.from_arrays([pa.array([block_of.value[p] for p in ball.to_pylist()], pa.int64()), batch.column("_x"), batch.column("_ids"), ball], ["block", "x", "ids", "ball"])
+
+    id_kind = members.schema["_ids"].dataType.simpleString()
+    visit_type = "block bigint, q bigint, x array<double>, bound double, balls array<bigint>"
+    home = members.select("_x", "_ids", "_ball").mapInArrow(placed, f"block bigint, x array<double>, ids {id_kind}, ball bigint")
+    own = members.select("_q", "_x", "_near").mapInArrow(called, visit_type)
 
     def met(visitors: DataFrame) -> DataFrame:
-        return compared(members.select(F.col("_ball").alias("block"), F.col("_x").alias("x"), F.col("_ids").alias("ids")), visitors.withColumnRenamed("ball", "block"), k, d)
+        return compared(home, visitors, k, d)
 
-    own = members.select(F.explode("_near").alias("ball"), F.col("_q").alias("q"), F.col("_x").alias("x"), F.lit(float("inf")).alias("bound"))
     near = met(own).checkpoint(eager=True)
     bound = near.groupBy("_q").agg(F.coalesce(F.get(F.sort_array(F.collect_list("distance")), F.lit(k - 1)), F.lit(float("inf"))).alias("_bound"))
 
@@ -243,14 +317,13 @@ def nearest(uniq: DataFrame, by: list[str], k: int, d: int) -> DataFrame:
                 np.put_along_axis(go, first_balls(dist), False, axis=1)  # met in round one
                 i, p = np.nonzero(go)
                 del dist, go
-                for a in range(0, len(i), VISITS):  # a visit carries its vector: all of a chunk at once would be CELLS vectors
-                    some, to = i[a : a + VISITS], numbers[p[a : a + VISITS]]
-                    yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(q[at[some]]), batch.column("_x").take(pa.array(at[some])), pa.array(most[some, 0])], ["ball", "q", "x", "bound"])
+                for some, block, asked in visits(i, numbers[p]):
+                    yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(q[at[some]]), batch.column("_x").take(pa.array(at[some])), pa.array(most[some, 0]), asked], ["block", "q", "x", "bound", "balls"])
 
-    asked = members.drop("_ids", "_r", "_near").join(bound, "_q").mapInArrow(visit, "ball bigint, q bigint, x array<double>, bound double").checkpoint(eager=True)
+    asked = members.drop("_ids", "_r", "_near").join(bound, "_q").mapInArrow(visit, visit_type).checkpoint(eager=True)
     if EXAMINED is not None:
         size = members.groupBy(F.col("_ball").alias("ball")).agg(F.count(F.lit(1)).alias("m"))
-        EXAMINED.append(asked.unionByName(own).join(size, "ball").agg(F.sum("m")).first()[0])
+        EXAMINED.append(asked.unionByName(own).select(F.explode("balls").alias("ball")).join(size, "ball").agg(F.sum("m")).first()[0])
     every = near.unionByName(met(asked))
     order = Window.partitionBy("_q").orderBy("distance", "id")
     best = every.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k)

@@ -90,3 +90,25 @@ def test_first_balls_of_equal_distances():
     r = np.random.default_rng(6)
     for dist in (r.random((200, 50)), r.integers(0, 4, (200, 50)).astype(float), r.random((20, 3)), np.full((3, 9), np.nan)):
         assert (balls.first_balls(dist) == np.argsort(dist, axis=1, kind="stable")[:, : balls.FIRST]).all()
+
+
+@pytest.mark.parametrize("size", [25, 8_192])
+def test_a_vector_is_sent_to_a_block_once(spark, size, monkeypatch):
+    """Points without structure meet most balls; one visit a block carries their vector."""
+    sent, compared = [], balls.compared
+
+    def spy(members, visitors, k, d):
+        sent.append((visitors.count(), members.select("block").distinct().count()))
+        return compared(members, visitors, k, d)
+
+    monkeypatch.setattr(balls, "compared", spy)
+    monkeypatch.setattr(balls, "BLOCK_MEMBERS", size)
+    r = random.Random(2)
+    points = [(i, [r.gauss(0, 1) for _ in range(8)], "ab"[i % 2]) for i in range(500)]
+    df = spark.createDataFrame(points, "row_id bigint, x array<double>, g string").repartition(4)
+    got = {(x.g, x.row_id, x.nn_rank): (x.neighbour_id, x.distance) for x in KN.knn(df, 4, by=["g"]).collect()}
+    assert got == brute(points, 4)
+    for visits, blocks in sent:
+        assert visits <= 500 * blocks // 2
+    if size > 500:
+        assert [n for _, n in sent] == [2, 2]
